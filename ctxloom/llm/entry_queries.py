@@ -1,6 +1,6 @@
 """The queries of this subpackage and the SQL that they must equal, for the driver's entry file."""
 
-from . import bpe, gif, quality_rules, secrets
+from . import bpe, gif, near_dup, quality_rules, secrets
 
 QUERIES = {
     f.__name__: f
@@ -9,6 +9,7 @@ QUERIES = {
         secrets.op4_secret_scan,
         quality_rules.op7_quality_rules,
         gif.op8_gif_media,
+        near_dup.op9_minhash_near_dup,
     )
 }
 ORACLES = {"op7_quality_rules": quality_rules.ORACLE}
