@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator
 
@@ -26,7 +27,11 @@ def settle(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ctxloom-checkpoint-"))
-    return df.checkpoint(eager=True)
+    done = df.checkpoint(eager=True)
+    # Shuffle files of plans that nothing refers to go only when the driver collects its garbage.
+    gc.collect()
+    context._jvm.System.gc()
+    return done
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:

@@ -153,45 +153,51 @@ def near_duplicates(
 
 
 def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_classes: int, node_shingles: int) -> DataFrame:
-    """(_group, _class, _side): what is to be compared; _side 0 and 1 are two blocks of a large node, null a whole node."""
+    """(_group, _key, _side): what is to be compared; _side 0 and 1 are two blocks of a large node, null a whole node.
+
+    A class goes by a 64-bit key here.  Should two classes have the same key, both are
+    compared wherever one is.
+    """
     width = trees * branches
-    member = classes.select("_class", "_n", F.posexplode(F.slice("_tokens", 1, width)).alias("_branch", "_token")).select(
-        "_class", "_n", F.floor(F.col("_branch") / branches).cast("int").alias("_tree"), F.xxhash64("_branch", "_token").alias("_node")
+    keyed = classes.select(F.xxhash64("_class").alias("_key"), F.col("_n").cast("int").alias("_n"), "_tokens")
+    member = keyed.select("_key", "_n", F.posexplode(F.slice("_tokens", 1, width)).alias("_branch", "_token")).select(
+        "_key", "_n", F.floor(F.col("_branch") / branches).cast("byte").alias("_tree"), F.xxhash64("_branch", "_token").alias("_node")
     )
     small, large, kept = [], None, None
     for level in range(1, levels + 1):
         nodes = settle(
-            member.groupBy("_tree", "_node")
+            member.groupBy("_node")
             .agg(
                 F.count(F.lit(1)).alias("_count"),
                 F.sum("_n").alias("_total"),
-                F.bit_xor(F.xxhash64("_class")).alias("_x"),
-                F.bit_xor(F.xxhash64(F.lit(1), "_class")).alias("_y"),
+                F.bit_xor("_key").alias("_x"),
+                F.bit_xor(F.xxhash64("_key")).alias("_y"),
             )
             .where("_count > 1")
         )
-        fits = (F.col("_count") <= node_classes) & (F.col("_total") <= node_shingles)
-        once = nodes.where(fits).groupBy("_count", "_x", "_y").agg(F.min(F.struct("_tree", "_node")).alias("_first")).select("_first.*", F.xxhash64("_count", "_x", "_y").alias("_group"))
-        small.append(member.join(once, ["_tree", "_node"]).select("_group", "_class", F.lit(None).cast("int").alias("_side")))
+        # the first level only branches: two common tokens in a row tell similar classes from those that share a passage
+        fits = (F.col("_count") <= node_classes) & (F.col("_total") <= node_shingles) if level > 1 or levels == 1 else F.lit(False)
+        if level > 1 or levels == 1:
+            once = nodes.where(fits).groupBy("_count", "_x", "_y").agg(F.min("_node").alias("_node"))
+            small.append(member.join(once.select("_node"), "_node").select(F.col("_node").alias("_group"), "_key", F.lit(None).cast("int").alias("_side")))
         large = nodes.where(~fits)
-        if large.isEmpty():
+        if large.isEmpty() and small:
             return _union(small)
-        kept = member.join(large.select("_tree", "_node"), ["_tree", "_node"])
+        kept = member.join(large.select("_node"), "_node")
         if level < levels:
-            ahead = classes.select("_class", F.slice("_tokens", level * width + 1, width).alias("_next"))
+            ahead = keyed.select("_key", F.slice("_tokens", level * width + 1, width).alias("_next"))
             pick = F.expr(f"slice(_next, _tree * {branches} + 1, {branches})")
             member = settle(
-                kept.join(ahead, "_class")
-                .select("_class", "_n", "_tree", "_node", F.posexplode(pick).alias("_branch", "_token"))
-                .select("_class", "_n", "_tree", F.xxhash64("_node", "_branch", "_token").alias("_node"))
-                .distinct()
+                kept.join(ahead, "_key")
+                .select("_key", "_n", "_tree", "_node", F.posexplode(pick).alias("_branch", "_token"))
+                .select("_key", "_n", "_tree", F.xxhash64("_node", "_branch", "_token").alias("_node"))
             )
     # Still large: classes go to blocks by their digest, and each block meets each other and itself.
     blocks = F.greatest(F.ceil(F.col("_count") / BLOCK), F.ceil(F.col("_total") * 4 / node_shingles)).cast("int")
-    placed = kept.join(large.select("_tree", "_node", blocks.alias("_blocks")), ["_tree", "_node"]).withColumn("_block", F.pmod(F.xxhash64(F.lit(7), "_class"), F.col("_blocks")).cast("int"))
-    pairs = placed.select("_tree", "_node", "_class", "_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
-        F.xxhash64("_tree", "_node", F.least("_block", "_other"), F.greatest("_block", "_other")).alias("_group"),
-        "_class",
+    placed = kept.join(large.select("_node", blocks.alias("_blocks")), "_node").withColumn("_block", F.pmod(F.xxhash64(F.lit(7), "_key"), F.col("_blocks")).cast("int"))
+    pairs = placed.select("_node", "_key", "_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
+        F.xxhash64("_node", F.least("_block", "_other"), F.greatest("_block", "_other")).alias("_group"),
+        "_key",
         F.when(F.col("_block") == F.col("_other"), F.lit(None)).otherwise((F.col("_block") > F.col("_other")).cast("int")).alias("_side"),
     )
     return _union([*small, pairs])
@@ -207,18 +213,19 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) between classes: a star for each connected part of each group."""
     groups = settle(groups)
-    wanted = classes.join(groups.select("_class").distinct(), "_class", "left_semi").select("_class", "_rep")
-    texts = prepare(df, id_col, text_col).join(wanted.select("_rep").distinct(), F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
+    reps = classes.select(F.xxhash64("_class").alias("_key"), "_rep").join(groups.select("_key"), "_key", "left_semi").select("_rep")
+    texts = prepare(df, id_col, text_col).join(reps, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
 
     def as_sets(batch: pa.RecordBatch) -> dict:
         sets = [s for x in text_bytes(batch.column("_text")) if len(s := shingle_set(x, shingle))]
         return {"_class": [_class(s) for s in sets], "_set": [s.tobytes() for s in sets]}
 
-    sets = map_rows(texts.select("_text"), as_sets, "_class binary, _set binary").dropDuplicates(["_class"])
-    dealt = groups.join(sets, "_class").repartition("_group").sortWithinPartitions("_group")
+    # rows with one id and several texts give sets more often than needed; a group takes each class once
+    sets = map_rows(texts.select("_text"), as_sets, "_class binary, _set binary").withColumn("_key", F.xxhash64("_class"))
+    dealt = groups.join(sets, "_key").repartition("_group").sortWithinPartitions("_group")
 
-    def stars(group: list[tuple[bytes, int | None, bytes]]) -> Iterator[tuple[bytes, bytes]]:
-        group.sort(key=lambda x: (x[1] or 0, x[0]))
+    def stars(rows: list[tuple[bytes, int | None, bytes]]) -> Iterator[tuple[bytes, bytes]]:
+        group = sorted({(x[1] or 0, x[0]): x for x in rows}.values(), key=lambda x: (x[1] or 0, x[0]))
         first = sum(x[1] == 0 for x in group) or None
         roots = link([np.frombuffer(x[2], np.uint64) for x in group], first, num, den)
         for i, r in enumerate(roots.tolist()):
