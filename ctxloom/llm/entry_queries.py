@@ -1,15 +1,19 @@
 """The queries of this subpackage and the SQL that they must equal, for the driver's entry file."""
 
-from . import bpe, gif, near_dup, quality_rules, secrets
+from . import bpe, gif, licenses, mixing, near_dup, quality_model, quality_rules, secrets, toxicity
 
 QUERIES = {
     f.__name__: f
     for f in (
         bpe.op1_byte_bpe,
+        toxicity.op2_toxicity,
+        quality_model.op3_weak_quality,
         secrets.op4_secret_scan,
+        licenses.op5_license_scan,
+        mixing.op6_source_mixing,
         quality_rules.op7_quality_rules,
         gif.op8_gif_media,
         near_dup.op9_minhash_near_dup,
     )
 }
-ORACLES = {"op7_quality_rules": quality_rules.ORACLE}
+ORACLES = {"op5_license_scan": licenses.ORACLE, "op7_quality_rules": quality_rules.ORACLE}
