@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,24 +17,41 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def settle(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and cut its lineage in the shared checkpoint folder.
-
-    The folder is the session's ``spark.checkpoint.dir``; only where that is unset
-    (tests on one machine) a temporary folder is chosen.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir``; only where that is unset (tests on one machine) a temporary folder."""
     context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    known = context._jsc.sc().getCheckpointDir()
+    if known.isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ctxloom-checkpoint-"))
+        known = context._jsc.sc().getCheckpointDir()
+    return known.get()
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage in the shared folder."""
+    spark = df.sparkSession
+    shared_folder(spark)
     done = df.checkpoint(eager=True)
-    # Shuffle files of plans that nothing refers to go only when the driver collects its garbage.
-    gc.collect()
-    context._jvm.System.gc()
+    release(spark)
     return done
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    release(spark)
+    return spark.read.parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Shuffle files of plans that nothing refers to go only when the driver collects its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
     """``mapInArrow`` over column dictionaries: ``fn`` gets a batch and returns {name: values}."""
     arrow = _arrow_schema(df.sparkSession, schema)

@@ -1,6 +1,8 @@
 """The queries of this subpackage and the SQL that they must equal, for the driver's entry file."""
 
-from . import bpe, gif, licenses, mixing, near_dup, quality_model, quality_rules, secrets, toxicity
+import corpus_pipeline
+
+from . import bpe, gif, licenses, mixing, near_dup, quality_model, quality_rules, secrets, suffix_dedup, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -14,6 +16,7 @@ QUERIES = {
         quality_rules.op7_quality_rules,
         gif.op8_gif_media,
         near_dup.op9_minhash_near_dup,
+        suffix_dedup.op10_suffix_dedup,
     )
-}
+} | {"pipeline": corpus_pipeline.run}
 ORACLES = {"op5_license_scan": licenses.ORACLE, "op7_quality_rules": quality_rules.ORACLE}

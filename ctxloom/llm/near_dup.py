@@ -250,5 +250,11 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
     return dealt.select("_group", "_class", "_side", "_set").mapInArrow(run, "a binary, b binary")
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of one document of each group, with all their columns."""
+    kept = near_duplicates(df, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept")).distinct()
+    return df.join(settle(kept), F.col(f"`{id_col}`").eqNullSafe(F.col("_kept")), "left_semi")
+
+
 def op9_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))

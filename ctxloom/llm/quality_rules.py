@@ -103,6 +103,25 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_co
     )
 
 
+def keep_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
+    """The kept rows with all their columns.
+
+    Only the condemned hosts are joined, and each row is measured again instead of being shuffled with its text.
+    """
+    measured = measures(df, id_col, text_col, host_col).withColumn("_base", base_failed()).withColumn("_strict", strict_failed())
+    condemned = settle(host_rates(measured).where(F.col("_rate") > host_rate).select(F.col("_host").alias("_h"), F.lit(True).alias("_condemned")))
+    names, kinds = df.columns, dict(df.dtypes)
+    joined = df.join(condemned, F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col("_h")), "left")
+
+    def run(batch: pa.RecordBatch) -> dict:
+        rows = [measure(x) for x in text_bytes(batch.column(text_col))]
+        return {n: batch.column(n) for n in names} | {"_condemned": batch.column("_condemned")} | {f"_{m}": [r[i] for r in rows] for i, m in enumerate(MEASURES)}
+
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", _condemned boolean, " + ", ".join(f"_{m} long" for m in MEASURES)
+    judged = map_rows(joined.select(*[F.col(f"`{n}`") for n in names], "_condemned"), run, schema)
+    return judged.where(~base_failed() & ~(F.coalesce("_condemned", F.lit(False)) & strict_failed())).select(*[F.col(f"`{n}`") for n in names])
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(documents(spark, sf_dir)).select("doc_id", *MEASURES, "base_failed", "kept")
 
