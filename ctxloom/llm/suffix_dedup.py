@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SEEDS, documents, map_rows, mix64, prepare, settle, text_bytes
+from .common import SEEDS, documents, map_rows, mix64, prepare, release, settle, text_bytes
 
 LENGTH, GRAM = 200, 64
 #: Windows are found in stretches of so many starts, so a long text needs no more memory.
@@ -141,6 +141,7 @@ def _digest(raw: bytes) -> bytes:
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, group: int = GROUP) -> DataFrame:
     """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, and spans (array of removed (start, end) in bytes)."""
+    spark = df.sparkSession
     base = prepare(df, id_col, text_col)
 
     def first_pass(batch: pa.RecordBatch) -> dict:
@@ -151,16 +152,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "_hash": [f[0].view(np.int64) for f in found], "_first": [f[1] for f in found], "_count": [f[2] for f in found],
         }
 
-    rows = settle(map_rows(base, first_pass, "_id long, _digest binary, _n long, _hash array<long>, _first array<int>, _count array<int>").where(F.col("_n") >= length))
+    found = settle(map_rows(base, first_pass, "_id long, _digest binary, _n long, _hash array<long>, _first array<int>, _count array<int>").where(F.col("_n") >= length))
+    rows = settle(found.select("_id", "_digest", "_n"))
     copies = rows.groupBy("_digest").agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_copies"))
-    texts = rows.dropDuplicates(["_digest"]).select("_digest", F.explode(F.arrays_zip("_hash", "_first", "_count")).alias("_a")).select("_digest", "_a.*")
-    shared = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(F.col("_hash").alias("_h"), (F.col("_times") > group).alias("_hot"))
-    cuts = (
-        texts.join(shared, F.col("_hash") == F.col("_h"))
-        .groupBy("_digest")
-        .agg(F.collect_list(F.struct("_hash", "_first", "_count", "_hot")).alias("_cuts"))
-    )
-    wanted = settle(cuts.join(copies.select("_digest", "_rep"), "_digest"))
+    wanted = settle(_shared_anchors(found, group).join(copies.select("_digest", "_rep"), "_digest"))
+    del found  # the anchors of all texts need the shared folder no longer
+    release(spark)
 
     by_id = wanted.groupBy("_rep").agg(F.collect_list(F.struct("_digest", "_cuts")).alias("_wanted"))
     sources = base.join(by_id, F.col("_id").eqNullSafe(F.col("_rep"))).select("_text", "_wanted")
@@ -177,8 +174,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return out
 
     # rows with one id and equal texts give the same pieces more than once
-    pieces = settle(map_rows(sources, cut, "_hash long, _hot boolean, _digest binary, _first int, _count int, _piece binary"))
-    spans = _sorted_groups(pieces.where("not _hot"), length).unionByName(_counted(pieces.where("_hot"), length))
+    pieces = map_rows(sources, cut, "_hash long, _hot boolean, _digest binary, _first int, _count int, _piece binary")
+    spans = _covered(pieces, length)
     whole = copies.where("_copies > 1").select("_digest")
     removed = (
         spans.join(whole, "_digest", "left_anti")
@@ -212,8 +209,19 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return out.withColumnRenamed("_id", id_col)
 
 
-def _sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
-    """(_digest, _from, _to): covered bytes, by suffix sorting; a sort takes whole groups of an anchor."""
+def _shared_anchors(found: DataFrame, group: int) -> DataFrame:
+    """Per different text: its anchors (_hash, _first, _count, _hot) that occur again, hot if more than ``group`` times."""
+    texts = found.dropDuplicates(["_digest"]).select("_digest", F.explode(F.arrays_zip("_hash", "_first", "_count")).alias("_a")).select("_digest", "_a.*")
+    shared = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(F.col("_hash").alias("_h"), (F.col("_times") > group).alias("_hot"))
+    return texts.join(shared, F.col("_hash") == F.col("_h")).groupBy("_digest").agg(F.collect_list(F.struct("_hash", "_first", "_count", "_hot")).alias("_cuts"))
+
+
+def _covered(pieces: DataFrame, length: int) -> DataFrame:
+    """(_digest, _from, _to): covered bytes.
+
+    A sort takes whole groups of an anchor.  The pieces of hot anchors are dealt out
+    evenly; their windows become 128-bit fingerprints, counted with partial sums.
+    """
 
     def sort(rows: list[tuple]) -> Iterator[tuple]:
         distinct: dict[tuple, list] = {}
@@ -235,37 +243,32 @@ def _sorted_groups(pieces: DataFrame, length: int) -> DataFrame:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("_hash", "_digest", "_first", "_count", "_piece")], strict=True):
+            for hot, *row in zip(*[batch.column(c).to_pylist() for c in ("_hot", "_hash", "_digest", "_first", "_count", "_piece")], strict=True):
+                if hot:
+                    _, digest, first, count, piece = row
+                    prints = [hashlib.blake2b(piece[i : i + length], digest_size=16).digest() for i in range(count)]
+                    yield as_batch([digest] * count, range(first, first + count), range(first + length, first + length + count), prints)
+                    continue
                 if size > SYMBOLS // 2 and row[0] != held[-1][0]:
-                    yield from as_batch(sort(held))
+                    yield from sorted_batch(held)
                     held, size = [], 0
                 held.append(row)
                 size += len(row[4]) + 1
-        yield from as_batch(sort(held))
+        yield from sorted_batch(held)
 
-    def as_batch(found: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        if rows := list(found):
-            digest, a, b = zip(*rows, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(a, pa.int32()), pa.array(b, pa.int32())], ["_digest", "_from", "_to"])
+    def sorted_batch(held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        if rows := list(sort(held)):
+            yield as_batch(*zip(*rows, strict=True), [None] * len(rows))
 
-    dealt = pieces.repartition("_hash").sortWithinPartitions("_hash").select("_hash", "_digest", "_first", "_count", "_piece")
-    return dealt.mapInArrow(run, "_digest binary, _from int, _to int")
-
-
-def _counted(pieces: DataFrame, length: int) -> DataFrame:
-    """(_digest, _from, _to) for anchors with many occurrences: windows counted by 128-bit fingerprints."""
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for digest, first, count, piece in zip(*[batch.column(c).to_pylist() for c in ("_digest", "_first", "_count", "_piece")], strict=True):
-                both = [hashlib.blake2b(piece[i : i + length], digest_size=16).digest() for i in range(count)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(both, pa.binary()), pa.array([digest] * count, pa.binary()), pa.array(range(first, first + count), pa.int32())], ["_print", "_digest", "_from"]
-                )
+    def as_batch(digest, a, b, prints) -> pa.RecordBatch:
+        arrays = [pa.array(digest, pa.binary()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(prints, pa.binary())]
+        return pa.RecordBatch.from_arrays(arrays, ["_digest", "_from", "_to", "_print"])
 
-    windows = pieces.mapInArrow(prints, "_print binary, _digest binary, _from int").distinct()
+    dealt = pieces.withColumn("_salt", F.when(F.col("_hot"), F.xxhash64("_digest", "_first"))).repartition("_hash", "_salt").sortWithinPartitions("_hash")
+    found = settle(dealt.select("_hot", "_hash", "_digest", "_first", "_count", "_piece").mapInArrow(run, "_digest binary, _from int, _to int, _print binary"))
+    windows = found.where("_print is not null").distinct()
     again = windows.groupBy("_print").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_print")
-    return windows.join(again, "_print").select("_digest", "_from", (F.col("_from") + length).alias("_to"))
+    return found.where("_print is null").drop("_print").unionByName(windows.join(again, "_print").drop("_print"))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
