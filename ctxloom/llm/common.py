@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -48,8 +51,10 @@ def store(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Shuffle files of plans that nothing refers to go only when the driver collects its garbage."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the last job's plan is held until the first has passed
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.1)
 
 
 def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
@@ -64,7 +69,13 @@ def map_rows(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str) -
                     [v if isinstance(v := out[f.name], pa.Array) else pa.array(v, f.type) for f in arrow], schema=arrow
                 )
 
-    return df.mapInArrow(run, schema)
+    return map_batches(df, run, schema)
+
+
+def map_batches(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def _arrow_schema(spark: SparkSession, ddl: str) -> pa.Schema:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SEEDS, documents, map_rows, mix64, prepare, settle, shingle_hashes, text_bytes, word_hashes
+from .common import LOWER, SEEDS, documents, map_batches, map_rows, mix64, prepare, settle, shingle_hashes, text_bytes, word_hashes
 from .graph import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
@@ -247,7 +247,7 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
         if group and (out := list(stars(group))):
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in range(2)], ["a", "b"])
 
-    return dealt.select("_group", "_class", "_side", "_set").mapInArrow(run, "a binary, b binary")
+    return map_batches(dealt.select("_group", "_class", "_side", "_set"), run, "a binary, b binary")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

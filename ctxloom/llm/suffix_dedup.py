@@ -14,8 +14,9 @@ sorted recursively until a name spans more than ``length`` bytes, the remaining
 merged in by their first symbol and the rank behind it, and adjacent suffixes are compared
 over ``length`` bytes.
 
-An anchor with more occurrences than fit one sort has its windows counted by 128-bit
-fingerprints with partial sums, which is exact for any number of them.
+An anchor with more occurrences than fit one sort is dealt to several; windows that one of
+them doesn't repeat are then compared across them by 128-bit fingerprints, so no occurrence
+is left out however many there are.
 
 Defined results: a null text counts as empty; repeated rows are copies of each other, so
 each loses everything if it has ``length`` bytes or more; an empty table gives an empty
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SEEDS, documents, map_rows, mix64, prepare, release, settle, text_bytes
+from .common import SEEDS, documents, map_batches, map_rows, mix64, prepare, release, settle, text_bytes
 
 LENGTH, GRAM = 200, 64
 #: Windows are found in stretches of so many starts, so a long text needs no more memory.
@@ -163,18 +164,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sources = base.join(by_id, F.col("_id").eqNullSafe(F.col("_rep"))).select("_text", "_wanted")
 
     def cut(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("_hash", "_hot", "_digest", "_first", "_count", "_piece")}
+        out: dict[str, list] = {k: [] for k in ("_hash", "_parts", "_digest", "_first", "_count", "_piece")}
         for raw, every in zip(text_bytes(batch.column("_text")), batch.column("_wanted").to_pylist(), strict=True):
             own = _digest(raw)
             for c in next((x["_cuts"] for x in every if x["_digest"] == own), []):
-                for k in ("_hash", "_hot", "_first", "_count"):
+                for k in ("_hash", "_parts", "_first", "_count"):
                     out[k].append(c[k])
                 out["_digest"].append(own)
                 out["_piece"].append(raw[c["_first"] : c["_first"] + c["_count"] + length - 1])
         return out
 
     # rows with one id and equal texts give the same pieces more than once
-    pieces = map_rows(sources, cut, "_hash long, _hot boolean, _digest binary, _first int, _count int, _piece binary")
+    pieces = map_rows(sources, cut, "_hash long, _parts int, _digest binary, _first int, _count int, _piece binary")
     spans = _covered(pieces, length)
     whole = copies.where("_copies > 1").select("_digest")
     removed = (
@@ -210,65 +211,71 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _shared_anchors(found: DataFrame, group: int) -> DataFrame:
-    """Per different text: its anchors (_hash, _first, _count, _hot) that occur again, hot if more than ``group`` times."""
+    """Per different text: its anchors (_hash, _first, _count, _parts) that occur again, dealt to a sort for each ``group`` occurrences."""
     texts = found.dropDuplicates(["_digest"]).select("_digest", F.explode(F.arrays_zip("_hash", "_first", "_count")).alias("_a")).select("_digest", "_a.*")
-    shared = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(F.col("_hash").alias("_h"), (F.col("_times") > group).alias("_hot"))
-    return texts.join(shared, F.col("_hash") == F.col("_h")).groupBy("_digest").agg(F.collect_list(F.struct("_hash", "_first", "_count", "_hot")).alias("_cuts"))
+    shared = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(F.col("_hash").alias("_h"), F.ceil(F.col("_times") / group).cast("int").alias("_parts"))
+    return texts.join(shared, F.col("_hash") == F.col("_h")).groupBy("_digest").agg(F.collect_list(F.struct("_hash", "_first", "_count", "_parts")).alias("_cuts"))
 
 
 def _covered(pieces: DataFrame, length: int) -> DataFrame:
     """(_digest, _from, _to): covered bytes.
 
-    A sort takes whole groups of an anchor.  The pieces of hot anchors are dealt out
-    evenly; their windows become 128-bit fingerprints, counted with partial sums.
+    A sort takes whole parts of anchors.  Of an anchor that has several parts, each part
+    also gives 128-bit fingerprints of its different windows, and a window that its own
+    part doesn't repeat is covered if another part has its fingerprint.
     """
 
     def sort(rows: list[tuple]) -> Iterator[tuple]:
-        distinct: dict[tuple, list] = {}
-        for h, digest, first, count, piece in rows:
-            distinct.setdefault((h, piece, count), []).append((digest, first))
+        distinct: dict[tuple, set] = {}
+        for h, part, digest, first, count, piece in rows:
+            distinct.setdefault((h, part, piece, count), set()).add((digest, first))
         # a piece that stands at two places repeats whole; it is sorted only where its group has others to compare
-        several: dict[int, int] = {}
-        for h, _, _ in distinct:
-            several[h] = several.get(h, 0) + 1
-        compared = [x for x in distinct if several[x[0]] > 1 or len(distinct[x]) < 2]
-        hits = dict(zip(compared, repeated_starts([x[1] for x in compared], [x[2] for x in compared], length), strict=True)) if compared else {}
+        several: dict[tuple, int] = {}
+        for h, part, _, _ in distinct:
+            several[h, part] = several.get((h, part), 0) + 1
+        compared = [x for x in distinct if several[x[:2]] > 1]
+        hits = dict(zip(compared, repeated_starts([x[2] for x in compared], [x[3] for x in compared], length), strict=True)) if compared else {}
+        seen: set[bytes] = set()
         for x, places in distinct.items():
-            runs = [(0, x[2])] if len(set(places)) > 1 else _runs(hits[x])
+            _, part, piece, count = x
+            flags = np.ones(count, bool) if len(places) > 1 else hits.get(x, np.zeros(count, bool))
+            runs = _runs(flags)
             for digest, first in places:
                 for a, b in runs:
-                    yield digest, first + a, first + b + length - 1
+                    yield digest, first + a, first + b + length - 1, None
+            if part is not None:
+                for i, known in enumerate(flags.tolist()):
+                    mark = _digest(piece[i : i + length])
+                    if not known:
+                        yield digest, first + i, first + i + length, mark
+                    elif mark not in seen:
+                        seen.add(mark)
+                        yield None, None, None, mark
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for hot, *row in zip(*[batch.column(c).to_pylist() for c in ("_hot", "_hash", "_digest", "_first", "_count", "_piece")], strict=True):
-                if hot:
-                    _, digest, first, count, piece = row
-                    prints = [hashlib.blake2b(piece[i : i + length], digest_size=16).digest() for i in range(count)]
-                    yield as_batch([digest] * count, range(first, first + count), range(first + length, first + length + count), prints)
-                    continue
-                if size > SYMBOLS // 2 and row[0] != held[-1][0]:
+            for row in zip(*[batch.column(c).to_pylist() for c in ("_hash", "_part", "_digest", "_first", "_count", "_piece")], strict=True):
+                if size > SYMBOLS // 2 and row[:2] != held[-1][:2]:
                     yield from sorted_batch(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4]) + 1
+                size += len(row[5]) + 1
         yield from sorted_batch(held)
 
     def sorted_batch(held: list[tuple]) -> Iterator[pa.RecordBatch]:
         if rows := list(sort(held)):
-            yield as_batch(*zip(*rows, strict=True), [None] * len(rows))
+            kinds = (pa.binary(), pa.int32(), pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], ["_digest", "_from", "_to", "_print"])
 
-    def as_batch(digest, a, b, prints) -> pa.RecordBatch:
-        arrays = [pa.array(digest, pa.binary()), pa.array(a, pa.int32()), pa.array(b, pa.int32()), pa.array(prints, pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["_digest", "_from", "_to", "_print"])
-
-    dealt = pieces.withColumn("_salt", F.when(F.col("_hot"), F.xxhash64("_digest", "_first"))).repartition("_hash", "_salt").sortWithinPartitions("_hash")
-    found = settle(dealt.select("_hot", "_hash", "_digest", "_first", "_count", "_piece").mapInArrow(run, "_digest binary, _from int, _to int, _print binary"))
-    windows = found.where("_print is not null").distinct()
+    part = F.when(F.col("_parts") > 1, F.pmod(F.xxhash64("_digest", "_first"), F.col("_parts")))
+    dealt = pieces.withColumn("_part", part).repartition("_hash", "_part").sortWithinPartitions("_hash", "_part")
+    found = settle(map_batches(dealt.select("_hash", "_part", "_digest", "_first", "_count", "_piece"), run, "_digest binary, _from int, _to int, _print binary"))
+    windows = found.where("_print is not null")
     again = windows.groupBy("_print").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_print")
-    return found.where("_print is null").drop("_print").unionByName(windows.join(again, "_print").drop("_print"))
+    elsewhere = windows.where("_digest is not null").join(again, "_print").drop("_print")
+    return found.where("_print is null").drop("_print").unionByName(elsewhere)
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
