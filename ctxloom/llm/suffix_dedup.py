@@ -147,13 +147,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def first_pass(batch: pa.RecordBatch) -> dict:
         raws = text_bytes(batch.column("_text"))
-        found = [anchors(x, length) for x in raws]
         return {
             "_id": batch.column("_id"), "_digest": [_digest(x) for x in raws], "_n": [len(x) for x in raws],
-            "_hash": [f[0].view(np.int64) for f in found], "_first": [f[1] for f in found], "_count": [f[2] for f in found],
+            "_hashes": [anchors(x, length)[0].view(np.int64) for x in raws],
         }
 
-    found = settle(map_rows(base, first_pass, "_id long, _digest binary, _n long, _hash array<long>, _first array<int>, _count array<int>").where(F.col("_n") >= length))
+    found = settle(map_rows(base, first_pass, "_id long, _digest binary, _n long, _hashes array<long>").where(F.col("_n") >= length))
     rows = settle(found.select("_id", "_digest", "_n"))
     copies = rows.groupBy("_digest").agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_copies"))
     wanted = settle(_shared_anchors(found, group).join(copies.select("_digest", "_rep"), "_digest"))
@@ -167,11 +166,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         out: dict[str, list] = {k: [] for k in ("_hash", "_parts", "_digest", "_first", "_count", "_piece")}
         for raw, every in zip(text_bytes(batch.column("_text")), batch.column("_wanted").to_pylist(), strict=True):
             own = _digest(raw)
-            for c in next((x["_cuts"] for x in every if x["_digest"] == own), []):
-                for k in ("_hash", "_parts", "_first", "_count"):
-                    out[k].append(c[k])
-                out["_digest"].append(own)
-                out["_piece"].append(raw[c["_first"] : c["_first"] + c["_count"] + length - 1])
+            parts = {c["_hash"]: c["_parts"] for c in next((x["_cuts"] for x in every if x["_digest"] == own), [])}
+            if not parts:
+                continue
+            hashes, firsts, counts = anchors(raw, length)
+            for h, first, count in zip(hashes.view(np.int64).tolist(), firsts.tolist(), counts.tolist(), strict=True):
+                if h in parts:
+                    out["_hash"].append(h)
+                    out["_parts"].append(parts[h])
+                    out["_digest"].append(own)
+                    out["_first"].append(first)
+                    out["_count"].append(count)
+                    out["_piece"].append(raw[first : first + count + length - 1])
         return out
 
     # rows with one id and equal texts give the same pieces more than once
@@ -211,10 +217,12 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def _shared_anchors(found: DataFrame, group: int) -> DataFrame:
-    """Per different text: its anchors (_hash, _first, _count, _parts) that occur again, dealt to a sort for each ``group`` occurrences."""
-    texts = found.dropDuplicates(["_digest"]).select("_digest", F.explode(F.arrays_zip("_hash", "_first", "_count")).alias("_a")).select("_digest", "_a.*")
-    shared = texts.groupBy("_hash").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select(F.col("_hash").alias("_h"), F.ceil(F.col("_times") / group).cast("int").alias("_parts"))
-    return texts.join(shared, F.col("_hash") == F.col("_h")).groupBy("_digest").agg(F.collect_list(F.struct("_hash", "_first", "_count", "_parts")).alias("_cuts"))
+    """Per different text: its anchors (_hash, _parts) that occur again, dealt to a sort for each ``group`` occurrences."""
+    texts = found.dropDuplicates(["_digest"])
+    times = texts.select(F.explode("_hashes").alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1")
+    shared = times.select("_h", F.ceil(F.col("_times") / group).cast("int").alias("_parts"))
+    own = texts.select("_digest", F.explode(F.array_distinct("_hashes")).alias("_hash"))
+    return own.join(shared, F.col("_hash") == F.col("_h")).groupBy("_digest").agg(F.collect_list(F.struct("_hash", "_parts")).alias("_cuts"))
 
 
 def _covered(pieces: DataFrame, length: int) -> DataFrame:
