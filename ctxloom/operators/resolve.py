@@ -1,0 +1,99 @@
+"""Authority policies, contract evaluation, integrity checks and metrics."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from .state import temporal_status
+
+
+def generic_policy(known_authority: Column, start: Column, end: Column, as_of: Column) -> Column:
+    """(outcome, basis, reason): the first rule that holds decides."""
+    row = lambda o, t, r: F.struct(F.lit(o).alias("outcome"), F.lit(t).alias("basis"), F.lit(r).alias("reason"))
+    return (
+        F.when(~F.coalesce(known_authority, F.lit(False)), row("abstained", "unknown", "missing_authority"))
+        .when(start.isNull(), row("abstained", "unknown", "missing_temporal_evidence"))
+        .when(start > as_of, row("rejected", "future", "not_yet_effective"))
+        .when(end <= as_of, row("rejected", "expired", "superseded"))
+        .otherwise(row("selected", "valid", "authoritative_at_as_of"))
+    )
+
+
+def conflict_policy(issuers: Column, authority_ok: Column, start: Column, end: Column, as_of: Column, missing: str = "expired") -> Column:
+    """Outcome where several issuers conflict; a missing start counts as ``missing`` (expired, or valid for media)."""
+    status = temporal_status(start, end, as_of, missing)
+    return (
+        F.when(issuers > 1, "conflict").when(authority_ok & (status == "valid"), "selected")
+        .when(~authority_ok, "abstained").otherwise("rejected")
+    )
+
+
+@dataclass(frozen=True)
+class Contract:
+    """Publication rules; empty tuples and None don't restrict."""
+
+    consumers: tuple[str, ...] = ("*",)
+    tasks: tuple[str, ...] = ("*",)
+    purposes: tuple[str, ...] = ("*",)
+    prohibited: tuple[str, ...] = field(default=())
+    authority_level: str | None = None
+    max_items: int = 2**31
+    max_tokens: int = 2**31
+    max_bytes: int = 2**62
+    require_citations: bool = False
+    reject_superseded: bool = True
+    freshness: bool = False
+
+
+def evaluate(packages: DataFrame, c: Contract) -> DataFrame:
+    """Adds violated_rules and decision.
+
+    Reads consumer, task, purpose, n_items, n_tokens, n_bytes, n_uncited, any_superseded, any_expired
+    and authority_ok.  Any violation denies; else missing authority abstains; else it is allowed.
+    """
+
+    def among(column: str, values: tuple[str, ...]) -> Column:
+        return F.lit("*" in values) | F.col(column).isin(list(values))
+
+    rules = {
+        "unauthorized_consumer": ~among("consumer", c.consumers),
+        "unsupported_task": ~among("task", c.tasks),
+        "unsupported_purpose": ~among("purpose", c.purposes),
+        "prohibited_use": F.col("purpose").isin(list(c.prohibited)) if c.prohibited else F.lit(False),
+        "max_items_exceeded": F.col("n_items") > c.max_items,
+        "max_tokens_exceeded": F.col("n_tokens") > c.max_tokens,
+        "max_bytes_exceeded": F.col("n_bytes") > c.max_bytes,
+        "missing_required_citations": F.lit(c.require_citations) & (F.col("n_uncited") > 0),
+        "superseded_evidence_rejected": F.lit(c.reject_superseded) & F.col("any_superseded"),
+        "freshness_expired": F.lit(c.freshness) & F.col("any_expired"),
+    }
+    violated = F.array_compact(F.array(*[F.when(F.coalesce(on, F.lit(False)), name) for name, on in rules.items()]))
+    lacking = F.lit(c.authority_level not in (None, "", "*")) & ~F.coalesce(F.col("authority_ok"), F.lit(False))
+    return packages.withColumn("violated_rules", violated).withColumn("decision", F.when(F.size("violated_rules") > 0, "deny").when(lacking, "abstain").otherwise("allow"))
+
+
+def orphans(child: DataFrame, fk: str, *parents: tuple[DataFrame, str]) -> DataFrame:
+    """Distinct foreign keys, blanks ignored, that no parent has."""
+    keys = None
+    for frame, pk in parents:
+        part = frame.select(F.col(pk).alias("_pk"))
+        keys = part if keys is None else keys.unionByName(part)
+    return child.where(F.col(fk).isNotNull()).select(fk).distinct().join(keys, F.col(fk) == F.col("_pk"), "left_anti")
+
+
+def key_report(df: DataFrame, key: str) -> DataFrame:
+    """One row: total, blanks, duplicate keys."""
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(
+        F.sum("n").alias("total"), F.coalesce(F.sum(F.when(F.col(key).isNull(), F.col("n"))), F.lit(0)).alias("blanks"),
+        F.coalesce(F.sum(((F.col("n") > 1) & F.col(key).isNotNull()).cast("long")), F.lit(0)).alias("duplicates"),
+    )
+
+
+def not_exactly_one(parent: DataFrame, pk: str, child: DataFrame, fk: str) -> DataFrame:
+    """Parents with no or several children."""
+    n = child.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("n"))
+    return parent.select(pk).join(n, F.col(pk) == F.col("_fk"), "left").select(pk, F.coalesce("n", F.lit(0)).alias("n")).where("n <> 1")
