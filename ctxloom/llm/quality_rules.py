@@ -80,12 +80,10 @@ def host_rates(measured: DataFrame) -> DataFrame:
     """
     hosts = measured.groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"), F.sum(F.col("_strict").cast("long")).alias("_fails"))
     rate = F.col("_fails") / F.col("_docs")
-    prior = hosts.agg((F.sum("_fails") / F.sum("_docs")).alias("_m"), F.var_pop(rate).alias("_v"))
-    weight = F.expr("greatest(1.0D, least(1000.0D, coalesce(_m * (1 - _m) / nullif(_v, 0.0D) - 1, 1000.0D)))")
-    # one row on the other side, the prior: each host is extended by two numbers
-    return hosts.join(F.broadcast(prior.withColumn("_k", weight))).select(
-        "_host", "_docs", "_fails", ((F.col("_fails") + F.col("_m") * F.col("_k")) / (F.col("_docs") + F.col("_k"))).alias("_rate")
-    )
+    mean, spread = hosts.agg(F.sum("_fails") / F.sum("_docs"), F.var_pop(rate)).first()  # one row: the prior
+    mean = mean or 0.0
+    weight = max(1.0, min(1000.0, mean * (1 - mean) / spread - 1 if spread else 1000.0))
+    return hosts.select("_host", "_docs", "_fails", ((F.col("_fails") + F.lit(mean * weight)) / (F.col("_docs") + F.lit(weight))).alias("_rate"))
 
 
 def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
