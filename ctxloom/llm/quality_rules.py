@@ -23,6 +23,7 @@ from .common import SPACE, documents, map_rows, prepare, settle, shingle_hashes,
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
+BROADCAST_HOSTS = 100_000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
 #: The stricter rules of condemned hosts, and the shrunk failure rate from which a host is condemned.
@@ -109,7 +110,9 @@ def keep_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     measured = measures(df, id_col, text_col, host_col).withColumn("_base", base_failed()).withColumn("_strict", strict_failed())
     condemned = settle(host_rates(measured).where(F.col("_rate") > host_rate).select(F.col("_host").alias("_h"), F.lit(True).alias("_condemned")))
     names, kinds = df.columns, dict(df.dtypes)
-    joined = df.join(condemned, F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col("_h")), "left")
+    # the list is sent to all tasks while it is short; a longer one is joined with a shuffle, whose skewed hosts Spark splits
+    few = condemned.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    joined = df.join(F.broadcast(condemned) if few else condemned, F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col("_h")), "left")
 
     def run(batch: pa.RecordBatch) -> dict:
         rows = [measure(x) for x in text_bytes(batch.column(text_col))]
