@@ -125,7 +125,10 @@ def score_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     patterns = np.array([list(r)[:-1] for r in counted], np.int64).reshape(-1, len(LABELLERS))
     share, rates = fit_labellers(patterns, np.array([r["n"] for r in counted], float))
 
-    chosen = base.where(F.length("_text") <= SAMPLE_CHARS).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id").limit(sample).select("_text").collect()
+    # the place of the last sampled row in the order, from numbers alone; then the texts up to it
+    suited = base.where(F.length("_text") <= SAMPLE_CHARS).withColumn("_order", F.xxhash64(F.lit(seed), "_id"))
+    places = [r[0] for r in suited.select("_order").orderBy("_order").limit(sample).collect()]
+    chosen = suited.where(F.col("_order") <= places[-1]).limit(sample).select("_text").collect() if places else []
     raws = [r[0].encode() for r in chosen]
     weights, bias = np.zeros(FEATURES), 0.0
     if raws:

@@ -7,8 +7,8 @@ frequent syllables.  Every window of a text is compressed with both; how many by
 toxic dictionary saves, over all windows, gives a few features whose weights and threshold
 are calibrated on labelled documents that the dictionaries haven't seen.
 
-Training reads labelled rows only, at most ``sample`` of each class, the first in a seeded
-hash order, of at most ``SAMPLE_CHARS`` characters each.
+Training takes at most ``sample`` labelled ids of each class, the first in a seeded hash
+order, and of their documents those of at most ``SAMPLE_CHARS`` characters.
 
 Defined results: a null or empty text has one empty window and a score near the lowest;
 repeated rows give repeated results; an empty table gives an empty result; without labelled
@@ -134,14 +134,19 @@ def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
     return model
 
 
-def train(labelled: DataFrame, text_col: str, label_col: str, id_col: str, sample: int = SAMPLE, seed: int = 23) -> Model | None:
-    """A model of the rows with label 1 and 0; each class gives at most ``sample`` rows."""
-    rows = prepare(labelled, id_col, text_col, label_col).where(F.length("_text").between(1, SAMPLE_CHARS))
-    groups = [
-        [r[0].encode() for r in rows.where(F.col(f"_{label_col}") == label).orderBy(F.xxhash64(F.lit(seed), "_id"), "_id", "_text").limit(sample).select("_text").collect()]
-        for label in (1, 0)
-    ]
-    return fit(*groups)
+def train(docs: DataFrame, labels: DataFrame, text_col: str, label_col: str, id_col: str, sample: int = SAMPLE, seed: int = 23) -> Model | None:
+    """A model of the documents with label 1 and 0.
+
+    Of each class the first ``sample`` labelled ids in a seeded order are taken, a list of
+    bounded size that is sent to the documents; those of suitable length are learned from.
+    """
+    order = F.xxhash64(F.lit(seed), F.col("_lid"))
+    marks = labels.select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_label")).where("_lid is not null").distinct()
+    first = [marks.where(F.col("_label") == label).orderBy(order, "_lid").limit(sample) for label in (1, 0)]
+    rows = prepare(docs, id_col, text_col).where(F.length("_text").between(1, SAMPLE_CHARS))
+    found = rows.join(F.broadcast(first[0].unionByName(first[1])), F.col("_id") == F.col("_lid")).select("_label", "_id", "_text").collect()
+    found.sort(key=lambda r: (r["_id"] * 0x9E3779B97F4A7C15 % (1 << 64), r["_text"]))  # learning and calibrating parts are mixed
+    return fit(*[[r["_text"].encode() for r in found if r["_label"] == label] for label in (1, 0)])
 
 
 def score_toxicity(df: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -162,7 +167,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where((fold != 0) & F.col("toxic").isNotNull())
-    model = train(docs.select("doc_id", "text").join(labels, "doc_id"), "text", "toxic", "doc_id")
+    model = train(docs, labels, "text", "toxic", "doc_id")
     scored = score_toxicity(docs, model)
     return scored.select(
         "doc_id",
