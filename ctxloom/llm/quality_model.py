@@ -72,7 +72,7 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -
                 tally = np.bincount(votes_[:, j], weight[c], 3) + np.array([1.0, 1.0, 1.0])
                 rates[j, c] = tally / tally.sum()
         now = posterior(patterns, share, rates)
-        if np.abs(now - good).max() < 1e-9:
+        if not len(now) or np.abs(now - good).max() < 1e-9:
             break
         good = now
     return share, rates

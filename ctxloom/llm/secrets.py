@@ -48,7 +48,7 @@ ALLOW = (
     r"[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}",
     r"[A-Za-z_/=+-]+",
     r"[0-9_/=+-]+",
-    r"(?:[a-z]+[0-9]{0,4}[/_-])+[a-z]+[0-9]{0,4}",
+    r"/?(?:[a-z]+[0-9]{0,4}[/_-])+[a-z]+[0-9]{0,4}",
 )
 
 
