@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import identity, text
-from ..operators import resolve, retrieval, state
+from ..operators import enrich, metrics, resolve, retrieval, state
+from ..sources import readers, relations, store
+from . import lifecycle
 from .engine import Engine
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -372,3 +374,119 @@ def licence_gate(spark, sf_dir):
 def date_parse(spark, sf_dir):
     revision = F.concat(F.lit("rev-"), F.date_format("o_orderdate", "yyyyMMdd"), F.lit("-"), F.col("o_orderstatus"))
     return table(spark, sf_dir, "orders").select("o_orderkey", text.parse_revision_date(revision).alias("effective"))
+
+
+# --- relations, lifecycle, evaluation ---------------------------------------------------------------
+
+
+def _sha(json_text: str) -> str:
+    return f"'sha256:' || sha256({json_text})"
+
+
+def _lifecycle_inputs(spark, sf_dir):
+    """Customers as observations; orders as outputs derived from them (a part of the sources is lacking)."""
+    seen = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("c"), "c_custkey").alias("snapshot_identity"), F.lit("crm").alias("source_system"), F.col("c_custkey").cast("string").alias("source_key"),
+        F.lit("customer").alias("snapshot_role"), F.lit("customer").alias("object_role"), F.col("c_name").alias("preview"),
+    )
+    made = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("o"), "o_orderkey").alias("identity"), F.lit("order").alias("role"), F.lit("summary").alias("kind"), F.lit("active").alias("status"),
+        F.array(F.concat(F.when(F.col("o_orderkey") % 10 == 0, "x").otherwise("c"), F.col("o_custkey"))).alias("derived_from"), F.col("o_orderpriority").alias("text"),
+    )
+    return seen, made
+
+
+@register(
+    """SELECT canonical_identity, object_kind, physical_relation, preview FROM (
+      SELECT 'c' || c_custkey AS canonical_identity, 'customer' AS object_kind, 'context_snapshots' AS physical_relation, c_name AS preview FROM customer
+      UNION ALL SELECT 'o' || o_orderkey, 'summary', 'context_outputs', o_orderpriority FROM orders)"""
+)
+def catalog_build(spark, sf_dir):
+    made = relations.materialize(spark, {"context_model_id": "m"}, *_lifecycle_inputs(spark, sf_dir))
+    return made["context_catalog"].select("canonical_identity", "object_kind", "physical_relation", "preview")
+
+
+_EDGES = "SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'x' ELSE 'c' END || o_custkey AS a, 'o' || o_orderkey AS b FROM orders"
+
+
+@register(f"""SELECT {_sha("'{\"source\":\"' || a || '\",\"target\":\"' || b || '\",\"type\":\"derived_from\"}'")} AS edge_identity, a AS source_node_id, b AS target_node_id FROM ({_EDGES})""")
+def lineage_edges_build(spark, sf_dir):
+    return relations.derived_edges(_lifecycle_inputs(spark, sf_dir)[1]).select("edge_identity", "source_node_id", "target_node_id")
+
+
+@register(
+    f"""WITH known AS (SELECT 'c' || c_custkey AS n FROM customer UNION SELECT 'o' || o_orderkey FROM orders), ends AS (SELECT a AS n FROM ({_EDGES}) UNION SELECT b FROM ({_EDGES}))
+    SELECT kind, count(*) AS n FROM (SELECT n, 'context' AS kind FROM known UNION ALL SELECT n, 'referenced' FROM ends WHERE n NOT IN (SELECT n FROM known)) GROUP BY kind"""
+)
+def lineage_nodes_build(spark, sf_dir):
+    made = relations.materialize(spark, {"context_model_id": "m"}, *_lifecycle_inputs(spark, sf_dir))
+    return made["lineage_nodes"].groupBy(F.col("node_kind").alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@register(
+    """SELECT 'reference:candidate_context' AS "check", count(DISTINCT l_orderkey) AS n_failed FROM lineitem WHERE l_orderkey % 4 = 0 HAVING count(*) > 0
+    UNION ALL SELECT 'reference:decision_candidate', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber = 7) HAVING count(*) > 0"""
+)
+def conformance_report(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    candidate = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("candidate_identity")
+    context = F.concat(F.when(F.col("l_orderkey") % 4 == 0, "none").otherwise("o"), F.col("l_orderkey")).alias("context_identity")
+    made = relations.materialize(
+        spark, {"context_model_id": "m", "context_model_identity": "m1"}, *_lifecycle_inputs(spark, sf_dir), resolution_candidates=lines.where("l_linenumber < 7 OR l_orderkey % 4 = 0").where("l_linenumber <> 7").select(candidate, context)
+        .unionByName(lines.where("l_orderkey % 4 = 0").select(F.concat(F.lit("k"), "l_orderkey").alias("candidate_identity"), context)),
+        resolution_decisions=lines.select(F.concat(F.lit("d"), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("decision_identity"), candidate, F.lit("selected").alias("outcome")),
+    )
+    return relations.conformance(spark, made).where("NOT passed").select("check", "n_failed")
+
+
+@register(
+    """WITH d AS (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber < 6), p AS (SELECT l_orderkey, count(*) AS n FROM d GROUP BY l_orderkey)
+    SELECT decision, count(*) AS packages, sum(n)::BIGINT AS items FROM (SELECT n, CASE WHEN n > 4 THEN 'deny' ELSE 'allow' END AS decision FROM p) GROUP BY decision"""
+)
+def package_publication(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber").distinct()
+    outcome = F.when(F.col("l_linenumber") < 6, "selected").otherwise("rejected")
+    candidates = lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("candidate_identity"), F.col("l_orderkey").cast("string").alias("request_identity"),
+        F.concat(F.lit("o"), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("context_identity"), F.struct(outcome.alias("outcome"), F.lit("rule").alias("reason")).alias("d"),
+    )
+    packages, items = lifecycle.default_packages(lifecycle.decision_rows(candidates))
+    outputs = lines.select(F.concat(F.lit("o"), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("identity"), F.lit("active").alias("status"))
+    decided = resolve.evaluate(lifecycle.measured(packages, items, outputs, "c", "t", "p", None), resolve.Contract(max_items=4))
+    return decided.groupBy("decision").agg(F.count(F.lit(1)).alias("packages"), F.sum("n_items").alias("items"))
+
+
+@register("SELECT doc_id::VARCHAR AS identity, 'succeeded' AS status, round(list_sum(list_transform(range(8), lambda i: round(('0x' || substr(sha256(text), 2 * i + 1, 2))::INT / 255, 6))), 6) AS total FROM documents WHERE text IS NOT NULL UNION ALL SELECT doc_id::VARCHAR, 'skipped', NULL FROM documents WHERE text IS NULL")
+def enrich_digest(spark, sf_dir):
+    done = enrich.enrich(table(spark, sf_dir, "documents"), "doc_id", "text", enrich.DigestEmbedding(8))
+    total = F.aggregate(F.from_json("value_json", "array<double>"), F.lit(0.0), lambda a, x: a + x)
+    return done.select("identity", "status", F.round(total, 6).alias("total"))
+
+
+@register("SELECT o_orderkey, o_shippriority AS size FROM (SELECT o_orderkey, 1 + o_orderkey % 7 AS o_shippriority, sum(1 + o_orderkey % 7) OVER (ORDER BY o_orderkey) AS run FROM orders) WHERE run <= 5000")
+def budget_prefix(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", (1 + F.col("o_orderkey") % 7).alias("size"))
+    return readers.affordable(rows, "o_orderkey", "size", 5000)
+
+
+@register("SELECT doc_id, CASE WHEN b IS NULL THEN 'invalidated' WHEN a IS NULL THEN 'created' ELSE 'reused' END AS change FROM (SELECT doc_id, 1 AS a FROM documents) FULL JOIN (SELECT DISTINCT doc_id + 100 AS doc_id, 1 AS b FROM labels) USING (doc_id)")
+def mutation_sets(spark, sf_dir):
+    after = table(spark, sf_dir, "labels").select((F.col("doc_id") + 100).alias("doc_id"))
+    return metrics.identity_sets(table(spark, sf_dir, "documents"), after, "doc_id")
+
+
+@register(
+    """SELECT round(avg(CASE WHEN quality = 1 THEN (source IS NOT NULL AND source LIKE '%1')::INT END), 6) AS accuracy, coalesce(bool_or(quality = 0 AND source IS NOT NULL), FALSE) AS no_answer_false_positive
+    FROM labels LEFT JOIN documents USING (doc_id)"""
+)
+def answer_metrics(spark, sf_dir):
+    judgments = table(spark, sf_dir, "labels").select("doc_id", (F.col("quality") == 0).alias("no_answer"), F.array(F.lit("1")).alias("labels"))
+    predictions = table(spark, sf_dir, "documents").select("doc_id", F.substring("source", -1, 1).alias("prediction"))
+    return metrics.answers(judgments, predictions, "doc_id")
+
+
+@register("SELECT lacks, count(*) AS n FROM (SELECT array_to_string(list_filter([CASE WHEN trim(coalesce(lang, '')) = '' THEN 'lang' END, CASE WHEN trim(coalesce(text, '')) = '' THEN 'text' END], lambda x: x IS NOT NULL), ',') AS lacks FROM documents) GROUP BY lacks")
+def record_admission(spark, sf_dir):
+    good, issues = store.admitted(table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") >= 0, F.col("lang")).alias("lang"), "text"), ["lang", "text"])
+    counted = good.select(F.lit("").alias("lacks")).unionByName(issues.select(F.array_join("missing_concepts", ",").alias("lacks")))
+    return counted.groupBy("lacks").agg(F.count(F.lit(1)).alias("n"))
