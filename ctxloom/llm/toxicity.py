@@ -1,11 +1,13 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic text.  Both hold
-common segments of their own class; the toxic one ends with the word beginnings that are
-over-represented in toxic documents, which zstandard's own segment choice would lose among
-frequent syllables.  Every window of a text is compressed with both; how many bytes the
-toxic dictionary saves, over all windows, gives a few features whose weights and threshold
-are calibrated on labelled documents that the dictionaries haven't seen.
+Two zstandard dictionaries are trained, one on ordinary and one on toxic text.  The first
+holds zstandard's choice of common segments.  The second holds the same, so that both know
+ordinary text alike, and ends with the words and word beginnings that are over-represented
+in toxic documents, which zstandard's own choice would lose among frequent syllables.
+Every window of a text is compressed with both; how many bytes the toxic dictionary saves,
+over all windows, gives a few features whose weights and threshold are calibrated: in turn
+a part of the documents is described by dictionaries trained on the other parts, and the
+final dictionaries are trained on all.
 
 Training takes at most ``sample`` labelled ids of each class, the first in a seeded hash
 order, and of their documents those of at most ``SAMPLE_CHARS`` characters.
@@ -29,11 +31,11 @@ from pyspark.sql import functions as F
 
 from .common import documents, map_rows, prepare, text_bytes
 
-#: Training bounds: documents of a class, characters of one, share that calibrates.
-SAMPLE, SAMPLE_CHARS, CALIBRATE = 3000, 20_000, 0.4
-WINDOW, STEP, DICTIONARY = 32, 12, 8192
-#: Word beginnings: their lengths in bytes with the blank, least documents, least z of the share's difference, most of them.
-LENGTHS, LEAST_DOCS, LEAST_Z, MOST = (4, 5, 6, 8), 5, 6.0, 400
+#: Training bounds: documents of a class, characters of one; parts of the calibration and penalty of its weights.
+SAMPLE, SAMPLE_CHARS, PARTS, PENALTY = 3000, 20_000, 4, 2.0
+WINDOW, STEP, DICTIONARY = 32, 8, 8192
+#: Word beginnings: their lengths in bytes with the blanks around the word, least documents, least z of the share's difference, most of them.
+LENGTHS, LEAST_DOCS, LEAST_Z, MOST = (5, 6, 8, 10, 12), 5, 6.0, 400
 
 
 @dataclass
@@ -72,12 +74,12 @@ def savings(raw: bytes, ordinary, toxic) -> np.ndarray:
 
 def describe(saved: np.ndarray) -> list[float]:
     top = np.sort(saved)[-3:]
-    counts = np.array([(saved >= k).sum() for k in (1, 2, 3, 4, 5, 7)], float)
+    counts = np.array([(saved >= k).sum() for k in (1, 2, 3, 4, 5, 6, 7, 9)], float)
     return [float(top[-1]), float(top.mean()), *np.log1p(counts), *np.sqrt(counts / len(saved)), float(saved.mean()), float(np.log1p(len(saved)))]
 
 
 def beginnings(raw: bytes) -> set[bytes]:
-    return {w[:k] for w in {b" " + w for w in folded(raw).split()} for k in LENGTHS if len(w) >= k or k == LENGTHS[-1]}
+    return {w[:k] for w in {b" " + w + b" " for w in folded(raw).split()} for k in LENGTHS if len(w) >= k or k == LENGTHS[-1]}
 
 
 def over_represented(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
@@ -103,26 +105,38 @@ def segments(texts: list[bytes], size: int) -> bytes:
         return b"".join(pieces)[-size:]
 
 
+def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> Model:
+    common = segments(ordinary, DICTIONARY)
+    return Model(common, common + b"".join(over_represented(toxic, ordinary)), np.zeros(0), np.zeros(0), np.ones(0), 0.0)
+
+
+def calibration(toxic: list[bytes], ordinary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of all documents, each by dictionaries that haven't seen it (unless there are too few)."""
+    parts = min(PARTS, len(toxic), len(ordinary))
+    x, y = [], []
+    for part in range(parts):
+        others = [[t for i, t in enumerate(group) if i % parts != part] or group for group in (toxic, ordinary)]
+        pair = dictionaries(*others).compressors()
+        for label, group in ((1.0, toxic), (0.0, ordinary)):
+            x += [describe(savings(t, *pair)) for t in group[part::parts]]
+            y += [label] * len(group[part::parts])
+    return np.array(x), np.array(y)
+
+
 def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
-    """Dictionaries from the first part of each class, weights and threshold from the rest."""
+    """Dictionaries from all documents, weights and threshold from the calibration."""
     if not toxic or not ordinary:
         return None
-    cut = [max(1, int(len(x) * (1 - CALIBRATE))) for x in (toxic, ordinary)]
-    learn, check = (toxic[: cut[0]], ordinary[: cut[1]]), (toxic[cut[0] :] or toxic, ordinary[cut[1] :] or ordinary)
-    common = segments(learn[1], DICTIONARY)
-    marks = over_represented(*learn)
-    model = Model(common, segments(learn[0], DICTIONARY // 4) + common + b"".join(marks) if marks else common, np.zeros(0), np.zeros(0), np.ones(0), 0.0)
-    pair = model.compressors()
-    x = np.array([describe(savings(t, *pair)) for group in check for t in group])
-    y = np.array([1.0] * len(check[0]) + [0.0] * len(check[1]))
+    model = dictionaries(toxic, ordinary)
+    x, y = calibration(toxic, ordinary)
     model.means, model.scales = x.mean(0), x.std(0) + 1e-9
     x = (x - model.means) / model.scales
     w, bias = np.zeros(x.shape[1]), 0.0
-    for _ in range(50):  # Newton's method with a small penalty
+    for _ in range(50):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(x @ w + bias, -30, 30)))
         full = np.column_stack([x, np.ones(len(x))])
-        h = full.T @ (full * (p * (1 - p))[:, None]) + 0.1 * np.eye(full.shape[1])
-        step = np.linalg.solve(h, full.T @ (p - y) + 0.1 * np.append(w, 0))
+        h = full.T @ (full * (p * (1 - p))[:, None]) + PENALTY * np.eye(full.shape[1])
+        step = np.linalg.solve(h, full.T @ (p - y) + PENALTY * np.append(w, 0))
         w, bias = w - step[:-1], bias - step[-1]
     z = x @ w + bias
     # the threshold with the best F1 on the calibration rows becomes score 0.5
@@ -145,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str, label_col: str, id_
     first = [marks.where(F.col("_label") == label).orderBy(order, "_lid").limit(sample) for label in (1, 0)]
     rows = prepare(docs, id_col, text_col).where(F.length("_text").between(1, SAMPLE_CHARS))
     found = rows.join(F.broadcast(first[0].unionByName(first[1])), F.col("_id") == F.col("_lid")).select("_label", "_id", "_text").collect()
-    found.sort(key=lambda r: (r["_id"] * 0x9E3779B97F4A7C15 % (1 << 64), r["_text"]))  # learning and calibrating parts are mixed
+    found.sort(key=lambda r: (r["_id"] * 0x9E3779B97F4A7C15 % (1 << 64), r["_text"]))  # the parts are mixed
     return fit(*[[r["_text"].encode() for r in found if r["_label"] == label] for label in (1, 0)])
 
 
