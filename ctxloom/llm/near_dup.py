@@ -84,7 +84,8 @@ def link(sets: list[np.ndarray], first: int | None = None, num: int = NUMERATOR,
 
     A set's intersections with all others come from counting the owners of its shingles.
     Sets inside the largest part so far need no comparison among themselves.  With
-    ``first``, only the links between the first so many sets and the others are looked for.
+    ``first``, only the links between the first so many sets and the others are looked for:
+    these are found when all sets of one side, or all outside the largest part, are compared.
     """
     n = len(sets)
     sizes = np.array([len(s) for s in sets])
@@ -94,13 +95,13 @@ def link(sets: list[np.ndarray], first: int | None = None, num: int = NUMERATOR,
     owners, ends = owner[order], np.cumsum(counts)
     starts, at = ends - counts, np.concatenate(([0], np.cumsum(sizes)))
     parts, done = Parts(n), np.zeros(n, bool)
-    queue = n if first is None else first
+    sides = [] if first is None else [np.arange(n) < first, np.arange(n) >= first]
     while True:
         roots = parts.roots()
         tally = np.bincount(roots, minlength=n)
         if tally.max() == n:
             break
-        left = np.flatnonzero(~done[:queue] & ((roots[:queue] != tally.argmax()) | (not done.any())))
+        left = np.flatnonzero(min((~done & x for x in (roots != tally.argmax(), *sides)), key=np.count_nonzero))
         if not len(left):
             break
         for i in left[:1] if not done.any() else left[:64]:
@@ -134,11 +135,12 @@ def signatures(df: DataFrame, id_col: str, text_col: str, n: int, tokens: int) -
 def near_duplicates(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, num: int = NUMERATOR, den: int = DENOMINATOR,
     trees: int = TREES, branches: int = BRANCHES, levels: int = LEVELS, node_classes: int = NODE_CLASSES, node_shingles: int = NODE_SHINGLES,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id, kept."""
     rows = settle(signatures(df, id_col, text_col, shingle, trees * branches * levels))
     classes = settle(rows.where("_n > 0").groupBy("_class").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_tokens").alias("_tokens")))
-    groups = _groups(classes, trees, branches, levels, node_classes, node_shingles)
+    groups = _groups(classes, trees, branches, levels, node_classes, node_shingles, block)
     edges = _compare(df, id_col, text_col, shingle, classes, groups, num, den)
     labels = components(edges)
     named = settle(labels.join(classes.select(F.col("_class").alias("vertex"), "_rep"), "vertex"))
@@ -152,7 +154,7 @@ def near_duplicates(
     return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), F.col("_id").eqNullSafe(F.col("_component")).alias("kept"))
 
 
-def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_classes: int, node_shingles: int) -> DataFrame:
+def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_classes: int, node_shingles: int, block: int) -> DataFrame:
     """(_group, _key, _side): what is to be compared; _side 0 and 1 are two blocks of a large node, null a whole node.
 
     A class goes by a 64-bit key here.  Should two classes have the same key, both are
@@ -193,7 +195,7 @@ def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_cla
                 .select("_key", "_n", "_tree", F.xxhash64("_node", "_branch", "_token").alias("_node"))
             )
     # Still large: classes go to blocks by their digest, and each block meets each other and itself.
-    blocks = F.greatest(F.ceil(F.col("_count") / BLOCK), F.ceil(F.col("_total") * 4 / node_shingles)).cast("int")
+    blocks = F.greatest(F.ceil(F.col("_count") / block), F.ceil(F.col("_total") * 4 / node_shingles)).cast("int")
     placed = kept.join(large.select("_node", blocks.alias("_blocks")), "_node").withColumn("_block", F.pmod(F.xxhash64(F.lit(7), "_key"), F.col("_blocks")).cast("int"))
     pairs = placed.select("_node", "_key", "_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
         F.xxhash64("_node", F.least("_block", "_other"), F.greatest("_block", "_other")).alias("_group"),

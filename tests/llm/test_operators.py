@@ -189,6 +189,57 @@ def test_near_duplicates_equal_brute_force(spark, docs, empty, limits):
         assert near_dup.near_duplicates(docs.selectExpr("cast(null as long) as doc_id", "text")).count() == len(TEXTS)
 
 
+def parts_by_force(sets):
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if x in (a, b) else x for x in root]
+    return root
+
+
+def test_links_between_blocks_of_a_large_node():
+    # a1 ~ a2 in the first block, a2 ~ b1 in the second, a1 not ~ b1
+    a1, a2, b1 = set(range(20)), set(range(2, 22)), set(range(4, 24))
+    cases = [([a1, a2, b1], 2), ([b1, a2, a1], 1)]
+    for k in range(200):
+        r = random.Random(k)
+        sets = [set(range(s, s + 20)) for s in (r.randrange(60) for _ in range(r.randrange(2, 30)))]
+        cases.append((sets, r.randrange(1, len(sets))))
+    for sets, first in cases:
+        arrays = [np.array(sorted(s), np.uint64) for s in sets]
+        assert near_dup.link(arrays).tolist() == parts_by_force(sets)
+        parts = near_dup.Parts(len(sets))
+        for block in (range(first), range(first, len(sets))):
+            for root, i in zip(near_dup.link([arrays[i] for i in block]).tolist(), block, strict=True):
+                parts.join(np.array([block[root], i]))
+        for i, root in enumerate(near_dup.link(arrays, first).tolist()):
+            parts.join(np.array([root, i]))
+        assert parts.roots().tolist() == parts_by_force(sets)
+
+
+def test_near_duplicates_in_blocks_of_large_nodes(spark):
+    def edited(words, places, mark):
+        return [f"{mark}{i}" if i in places else w for i, w in enumerate(words)]
+
+    rows = []
+    for k in range(6):
+        hub = prose(120, 700 + k).split()
+        if k % 2:  # a star: spokes are similar to the hub only
+            group = [hub] + [edited(hub, {10 + i * 3, 50 + i * 3, 90 + i * 2}, f"s{i}x") for i in range(12)]
+        else:  # a chain: each text is similar to the next only
+            group = [hub]
+            for i in range(12):
+                group.append(edited(group[-1], {5 + i * 3, 45 + i * 3, 85 + i * 2}, f"c{i}x"))
+        rows += [(100 * k + i, " ".join(x)) for i, x in enumerate(group)]
+    random.Random(5).shuffle(rows)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for block in (2, 5):
+        got = near_dup.near_duplicates(df, node_classes=3, levels=1, block=block).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_by_force(rows)
+
+
 def test_suffix_order_and_removal(spark, empty):
     for _ in range(100):
         t = np.array([random.randrange(1, random.choice((3, 4, 20))) for _ in range(random.randrange(1, 60))], np.int64)
