@@ -2,15 +2,17 @@
 
 Each source's rows stand in a seeded order and are cut into blocks.  Block k of a source
 of weight w has release time floor(k / w) and deadline ceil((k + 1) / w); each slot goes
-to the released block of the earliest deadline.  Weights are multiples of 1 / PERIOD, so
-the schedule repeats after PERIOD slots, with every source at its exact share there: one
-period is simulated on the driver (its size doesn't follow the data) and every block finds
-its slot from the pattern.  Within a phase the number of blocks of a source in the first t
-slots differs from t * w by less than one.
+to the released block of the earliest deadline.  Weights are exact fractions, so the
+schedule repeats after as many slots as their common denominator, with every source at its
+exact share there: one period is simulated on the driver and every block finds its slot
+from the pattern.  A period longer than the phase is simulated as far as the phase goes,
+so for weights without a small common denominator the plan grows with the blocks.  Within
+a phase the number of blocks of a source in the first t slots differs from t * w by less
+than one.
 
 A phase ends when a source has no block left; the other sources go on with their weights
 in proportion, so every row is placed exactly once.  Sources without a target weight, or
-with none above zero, come last, mixed by their sizes.
+with none above zero, come last, mixed by their sizes in shares of PERIOD slots.
 
 Ranks within a source come from counts of hash buckets and ranks inside a bucket, so a
 source with a third of all rows is not gathered in one task.
@@ -23,8 +25,10 @@ empty result; other columns are kept by ``mix`` and ignored by the query.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,30 +36,53 @@ from pyspark.sql import functions as F
 from .common import documents, settle
 
 PERIOD, BUCKETS, BLOCK = 1000, 4096, 16
+#: Slots of the plan's patterns up to which they are sent to all tasks; more are joined by shuffle.
+BROADCAST_SLOTS = 200_000
+
+
+def whole_weights(weights: Mapping[str | None, float]) -> dict[str | None, int]:
+    """The least whole numbers in proportion to the weights, each the simplest fraction that its float stands for."""
+    fractions = {s: f if float(f := Fraction(w).limit_denominator(10**6)) == w else Fraction(w) for s, w in weights.items()}
+    scale = math.lcm(*[f.denominator for f in fractions.values()])
+    return reduced({s: int(f * scale) for s, f in fractions.items()})
+
+
+def reduced(shares: Mapping[str | None, int]) -> dict[str | None, int]:
+    divisor = math.gcd(*shares.values())
+    return {s: q // divisor for s, q in shares.items()}
 
 
 def quantise(weights: Mapping[str | None, float], period: int = PERIOD) -> dict[str | None, int]:
-    """Shares of a period, at least 1 each, that add up to it: largest remainders first, ties by name."""
+    """Exact shares of the longest period up to ``period`` that has them.
+
+    If none has, shares of ``period`` itself, at least 1 each: largest remainders first, ties by name.
+    """
+    exact = whole_weights(weights)
+    if (least := sum(exact.values())) <= period:
+        return {s: q * (period // least) for s, q in exact.items()}
     period = max(period, len(weights))
     total = sum(weights.values())
-    exact = {s: w / total * (period - len(weights)) for s, w in weights.items()}
-    shares = {s: 1 + int(x) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s is None, s or ""))
+    near = {s: w / total * (period - len(weights)) for s, w in weights.items()}
+    shares = {s: 1 + int(x) for s, x in near.items()}
+    order = sorted(near, key=lambda s: (int(near[s]) - near[s], s is None, s or ""))
     for s in order[: period - sum(shares.values())]:
         shares[s] += 1
     return shares
 
 
-def one_period(shares: Mapping[str | None, int]) -> dict[str | None, list[int]]:
-    """The slots of each source in one period: earliest deadline first among released blocks."""
+def one_period(shares: Mapping[str | None, int], most: int | None = None) -> dict[str | None, list[int]]:
+    """The slots of each source in one period, or its first ``most`` slots: earliest deadline first among released blocks."""
     period = sum(shares.values())
+    length = period if most is None else min(period, most)
     out: dict[str | None, list[int]] = {s: [] for s in shares}
-    release: list[list] = [[] for _ in range(period + 1)]
+    release: list[list] = [[] for _ in range(length)]
     for s, q in shares.items():
-        for k in range(q):
-            release[k * period // q].append((-(-(k + 1) * period // q), s is None, s or "", s))
+        k = 0
+        while k < q and (at := k * period // q) < length:
+            release[at].append((-(-(k + 1) * period // q), s is None, s or "", s))
+            k += 1
     ready: list[tuple] = []
-    for slot in range(period):
+    for slot in range(length):
         for x in release[slot]:
             heapq.heappush(ready, x)
         deadline, *_, s = heapq.heappop(ready)
@@ -81,18 +108,23 @@ def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float]
     out, start = [], 0
     placed = dict.fromkeys(blocks, 0)
     wanted = {s: weights.get(s, 0) for s in blocks}
-    for tier in ({s: w for s, w in wanted.items() if w > 0}, {s: float(blocks[s]) for s, w in wanted.items() if w <= 0}):
+    targets, rest = {s: w for s, w in wanted.items() if w > 0}, {s: float(blocks[s]) for s, w in wanted.items() if w <= 0}
+    for tier in (targets, rest):
         left = {s: w for s, w in tier.items() if blocks[s]}
         while left:
-            shares = quantise(left, period)
-            slots = one_period(shares)
+            shares = whole_weights(left) if tier is targets else reduced(quantise(left, period))
             cycle = sum(shares.values())
-            last = {s: (n - 1) // shares[s] * cycle + slots[s][(n - 1) % shares[s]] for s in left if (n := blocks[s] - placed[s])}
-            length = min(last.values()) + 1
+            todo = {s: blocks[s] - placed[s] for s in left}
+            # by this slot a source has run out, as it is less than one block behind
+            cycle = min(cycle, min((todo[s] + 1) * cycle // q + 2 for s, q in shares.items()))
+            slots = one_period(shares, cycle)
+            again = cycle == sum(shares.values())
+            last = [(n - 1) // len(x) * cycle + x[(n - 1) % len(x)] for s, n in todo.items() if (x := slots[s]) and (again or n <= len(x))]
+            length = min(last) + 1
             out.append(Phase(start, length, cycle, dict(placed), slots))
             for s in left:
-                whole, rest = divmod(length, cycle)
-                placed[s] += whole * shares[s] + sum(x < rest for x in slots[s])
+                whole, over = divmod(length, cycle)
+                placed[s] += whole * len(slots[s]) + sum(x < over for x in slots[s])
             start += length
             left = {s: w for s, w in left.items() if placed[s] < blocks[s]}
     return out
@@ -126,26 +158,29 @@ def mix(
         .withColumn("_rank", F.col("_before") + F.col("_inside"))
         .withColumn("_block", F.floor(F.col("_rank") / block))
     )
-    table = [
-        (s, p.start, p.length, p.period, p.first[s], slots, i)
-        for i, p in enumerate(plan)
-        for s, slots in p.slots.items()
-        if p.first[s] < -(-totals[s] // block)
-    ]
-    schema = "_s string, _start long, _length long, _period long, _first long, _slots array<long>, _phase int"
-    by_source: dict = {}
-    for s, *rest in table:
-        by_source.setdefault(s, []).append(rest)
-    plan_rows = [(s, sorted(x, key=lambda y: y[5])) for s, x in by_source.items()]
-    # a row for each source, bounded as the sources are
-    lookup = spark.createDataFrame(plan_rows, f"_s string, _phases array<struct<{schema.removeprefix('_s string, ').replace(' ', ': ').replace(',: ', ', ')}>>")
+    # a row for each source, bounded as the sources are; the slots of the patterns are a table of their own
+    codes = {s: i for i, s in enumerate(totals)}
+    known: dict = {s: [] for s in totals}
+    pattern = []
+    for i, p in enumerate(plan):
+        for s, slots in p.slots.items():
+            if slots and p.first[s] < -(-totals[s] // block):
+                known[s].append((p.start, p.period, p.first[s], len(slots), i))
+                pattern += [(codes[s], i, j, slot) for j, slot in enumerate(slots)]
+    lookup = spark.createDataFrame(
+        [(s, codes[s], x) for s, x in known.items()], "_s string, _code int, _phases array<struct<_start: long, _period: long, _first: long, _size: long, _phase: int>>"
+    )
+    slot_table = spark.createDataFrame(pattern, "_c int, _phase int, _j long, _at long")
+    few = len(pattern) <= BROADCAST_SLOTS
     at = F.expr("element_at(filter(_phases, p -> p._first <= _block), -1)")
     placed = (
         ranked.drop("_s", "_b")
         .join(F.broadcast(lookup), F.col("_source").eqNullSafe(F.col("_s")))
         .withColumn("_p", at)
         .withColumn("_k", F.expr("_block - _p._first"))
-        .withColumn("_slot", F.expr("_p._start + _k div size(_p._slots) * _p._period + _p._slots[cast(_k % size(_p._slots) as int)]"))
+        .withColumn("_i", F.expr("_k % _p._size"))
+        .join(F.broadcast(slot_table) if few else slot_table, F.expr("_code = _c AND _p._phase = _phase AND _i = _j"))
+        .withColumn("_slot", F.expr("_p._start + _k div _p._size * _p._period + _at"))
     )
     short = sorted(_last_slots(plan, totals, block).items())
     gaps = F.lit(0)
@@ -161,7 +196,7 @@ def _last_slots(plan: list[Phase], totals: Mapping[str | None, int], block: int)
     out = {}
     for s, n in totals.items():
         k = -(-n // block) - 1
-        p = [p for p in plan if s in p.slots and p.first[s] <= k][-1]
+        p = [p for p in plan if p.slots.get(s) and p.first[s] <= k][-1]
         q = len(p.slots[s])
         slot = p.start + (k - p.first[s]) // q * p.period + p.slots[s][(k - p.first[s]) % q]
         if missing := (k + 1) * block - n:

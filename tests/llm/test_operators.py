@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -277,6 +278,30 @@ def test_mixing_is_whole_and_within_one_block(spark, docs, empty):
     assert mixing.mix(empty, weights).count() == 0 and mixing.mix(docs).count() == len(TEXTS)
 
 
+def test_mixing_keeps_to_the_target_weights_in_long_phases(spark):
+    awkward = {"a": 0.7341, "b": 0.2, "c": math.pi, "d": 1 / 3, "e": 0.0004}
+    for weights, blocks in ((mixing.WEIGHTS, dict.fromkeys(mixing.WEIGHTS, 3000)), (awkward, {"a": 2500, "b": 900, "c": 9000, "d": 1200, "e": 3})):
+        plan = mixing.phases(blocks, weights)
+        assert sum(p.length for p in plan) == sum(blocks.values())
+        taken = set()
+        for i, p in enumerate(plan):
+            ends = plan[i + 1].first if i + 1 < len(plan) else blocks
+            total = sum(Fraction(weights[s]) for s in p.slots)
+            for s, slots in p.slots.items():
+                for k in range(ends[s] - p.first[s]):
+                    t = k // len(slots) * p.period + slots[k % len(slots)]
+                    w = Fraction(weights[s]) / total
+                    assert t < p.length and abs(k - t * w) < 1 and abs(k + 1 - (t + 1) * w) < 1
+                    taken.add(p.start + t)
+        assert taken == set(range(sum(blocks.values())))
+    rows = [(i, random.Random(i).choice("abcde") if i % 9 else None) for i in range(4000)]
+    for most in (mixing.BROADCAST_SLOTS, 0):
+        mixing.BROADCAST_SLOTS, before = most, mixing.BROADCAST_SLOTS
+        got = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), awkward, block=2).collect()
+        mixing.BROADCAST_SLOTS = before
+        assert sorted(r["_position"] for r in got) == list(range(len(rows))) and len({r["doc_id"] for r in got}) == len(rows)
+
+
 def test_weak_labels(spark, docs, empty):
     rows = [(i, prose(120, i) + ".") for i in range(150)] + [(1000 + i, " ".join(w + "***" for w in prose(120, i).split())) for i in range(30)]
     got = {r["doc_id"]: r for r in quality_model.score_quality(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
