@@ -86,9 +86,11 @@ def lzw_decode(stream: bytes, least: int, most: int) -> bytes:
     out: list[bytes] = []
     done, bit = 0, 0
     steps = np.concatenate(([0], np.cumsum(widths)))
+    table = None
     while done < most:
         # the codes up to the next clear code, as if there were none; beyond a full table all have 12 bits
-        at, wide = bit + steps[:-1], widths
+        at, wide = (bit + steps[:-1], widths) if table is None else (bit + 12 * np.arange(FULL), np.full(FULL, 12))
+        span = len(at)
         fits = int(np.searchsorted(at + wide, total, "right"))
         if not fits:
             break
@@ -99,15 +101,19 @@ def lzw_decode(stream: bytes, least: int, most: int) -> bytes:
         n = int(stop[0]) if len(stop) else fits
         if n:
             block = codes[:n].tolist()
-            parts = _strings(block[: FULL - clear - 1], single.copy(), block[FULL - clear - 1 :])
+            if table is None:
+                table = single.copy()
+                parts = _strings(block[: FULL - clear - 1], table, block[FULL - clear - 1 :])
+            else:
+                parts = b"".join([table[code] for code in block])
             out.append(parts)
             done += len(parts)
         if len(stop) and codes[n] == clear:
-            bit = int(at[n] + wide[n])
-        elif len(stop) or fits < len(widths):
+            bit, table = int(at[n] + wide[n]), None
+        elif len(stop) or fits < span:
             break
         else:
-            raise ValueError("a table that stays full")  # writers clear a full table; this one doesn't
+            bit = int(at[-1] + wide[-1])  # a deferred clear code: the full table stays
     return b"".join(out)[:most]
 
 

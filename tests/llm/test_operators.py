@@ -156,6 +156,55 @@ def test_gif_disposal_transparency_and_palettes(spark):
     assert len(got[1]["frames"]) == 4 and got[2]["frames"] == [] and got[2]["error"] is None and got[3]["error"] and got[4]["error"]
 
 
+def late_clearing(data, least, extra):
+    """A code stream that clears ``extra`` codes after the table is full, never if None."""
+    clear, bits, at = 1 << least, 0, 0
+
+    def put(code, width):
+        nonlocal bits, at
+        bits |= code << at
+        at += width
+
+    table, width, after, cur = {bytes([i]): i for i in range(clear)}, least + 1, 0, b""
+    following = clear + 2
+    put(clear, width)
+    for x in data:
+        if (longer := cur + bytes([x])) in table:
+            cur = longer
+            continue
+        put(table[cur], width)
+        if following < 4096:
+            table[longer] = following
+            width = max(width, following.bit_length())
+            following += 1
+        elif extra is not None and (after := after + 1) >= extra:
+            put(clear, 12)
+            table, width, after, following = {bytes([i]): i for i in range(clear)}, least + 1, 0, clear + 2
+        cur = bytes([x])
+    put(table[cur], width)
+    if following < 4096:
+        width = max(width, following.bit_length())
+    put(clear + 1, width)
+    return bits.to_bytes(-(-at // 8), "little")
+
+
+def test_gif_with_deferred_clear_codes(spark):
+    r = random.Random(3)
+    for least in (2, 4, 8):
+        raw = bytes(min(r.randrange(1 << least), r.randrange(1 << least)) for _ in range(60_000))
+        for extra in (None, 1, 2, 258, 259, 260, 261, 4096, 5000):
+            stream = late_clearing(raw, least, extra)
+            assert gif.lzw_decode(stream, least, len(raw)) == raw, (least, extra)
+            assert gif.lzw_decode(stream, least, 40_000) == raw[:40_000]
+    stored = gif.encode([np.frombuffer(raw, np.uint8).reshape(200, 300)])
+    head = stored[: stored.index(b"\x2c\0\0\0\0\x2c\x01\xc8\0\0\x08") + 11]
+    for extra in (None, 700):
+        stream = late_clearing(raw, 8, extra)
+        data = head + b"".join(bytes([len(x := stream[i : i + 255])]) + x for i in range(0, len(stream), 255)) + b"\0\x3b"
+        got = gif.frames(spark.createDataFrame([(1, bytearray(data))], "k long, content binary"), "k", "content").first()
+        assert got["error"] is None and len(got["frames"]) == 1 and bytes(got["frames"][0]["rgba"])[::4] == raw
+
+
 def components_by_force(rows):
     sets = []
     for _, t in rows:
