@@ -15,8 +15,9 @@ are joined by distributed connected components.
 
 Defined results: texts without words (or null) have an empty set and are linked with
 nothing; texts with fewer words than a shingle have one shingle, the whole sequence;
-repeated rows are copies of each other; a row with a null id belongs to its component and
-is kept only if no row of the component has an id; an empty table gives an empty result;
+repeated rows are copies of each other, all marked alike by the query, of which ``keep_one``
+keeps one; a row with a null id belongs to its component and is kept only if no row of the
+component has an id; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -138,6 +139,16 @@ def near_duplicates(
     block: int = BLOCK,
 ) -> DataFrame:
     """Per row: id, n_shingles, component_id, kept."""
+    out = _members(df, id_col, text_col, shingle, num, den, trees, branches, levels, node_classes, node_shingles, block)
+    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), F.col("_id").eqNullSafe(F.col("_component")).alias("kept"))
+
+
+def _members(
+    df: DataFrame, id_col: str, text_col: str, shingle: int = SHINGLE, num: int = NUMERATOR, den: int = DENOMINATOR,
+    trees: int = TREES, branches: int = BRANCHES, levels: int = LEVELS, node_classes: int = NODE_CLASSES, node_shingles: int = NODE_SHINGLES,
+    block: int = BLOCK,
+) -> DataFrame:
+    """Per row: _id, _n, _class, _root (a class that stands for the component), _component."""
     rows = settle(signatures(df, id_col, text_col, shingle, trees * branches * levels))
     classes = settle(rows.where("_n > 0").groupBy("_class").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_tokens").alias("_tokens")))
     groups = _groups(classes, trees, branches, levels, node_classes, node_shingles, block)
@@ -145,13 +156,12 @@ def near_duplicates(
     labels = components(edges)
     named = settle(labels.join(classes.select(F.col("_class").alias("vertex"), "_rep"), "vertex"))
     least = named.groupBy("root").agg(F.min("_rep").alias("_component"))
-    linked = named.join(least, "root").select(F.col("vertex").alias("_class"), "_component")
-    final = classes.select("_class", "_rep").join(linked, "_class", "left").select("_class", F.coalesce("_component", "_rep").alias("_component"))
-    out = (
-        rows.where("_n > 0").select("_id", "_n", "_class").join(final, "_class", "left").select("_id", "_n", "_component")
-        .unionByName(rows.where("_n = 0").select("_id", "_n", F.col("_id").alias("_component")))
+    linked = named.join(least, "root").select(F.col("vertex").alias("_class"), "root", "_component")
+    final = classes.select("_class", "_rep").join(linked, "_class", "left").select("_class", F.coalesce("root", "_class").alias("_root"), F.coalesce("_component", "_rep").alias("_component"))
+    return (
+        rows.where("_n > 0").select("_id", "_n", "_class").join(final, "_class", "left").select("_id", "_n", "_class", "_root", "_component")
+        .unionByName(rows.where("_n = 0").select("_id", "_n", "_class", F.lit(None).cast("binary").alias("_root"), F.col("_id").alias("_component")))
     )
-    return out.select(F.col("_id").alias(id_col), F.col("_n").alias("n_shingles"), F.col("_component").alias("component_id"), F.col("_id").eqNullSafe(F.col("_component")).alias("kept"))
 
 
 def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_classes: int, node_shingles: int, block: int) -> DataFrame:
@@ -253,9 +263,30 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of one document of each group, with all their columns."""
-    kept = near_duplicates(df, id_col, text_col).where("kept").select(F.col(id_col).alias("_kept")).distinct()
-    return df.join(settle(kept), F.col(f"`{id_col}`").eqNullSafe(F.col("_kept")), "left_semi")
+    """One row of each group, with all its columns, and all rows without words, which are in no group."""
+    members = settle(_members(df, id_col, text_col))
+    key = F.col(f"`{id_col}`").cast("long")
+    several = settle(members.groupBy("_id").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1 OR _id IS NULL").select("_id"))
+    picked = members.where("_id <=> _component AND _n > 0").groupBy("_root").agg(F.first("_id").alias("_id"), F.min("_class").alias("_class"))
+    picked = settle(picked.select("_id", "_class").unionByName(members.where("_n = 0").select("_id", "_class")).distinct())
+    single = df.join(picked.select(F.col("_id").alias("_kept")).distinct(), key.eqNullSafe(F.col("_kept")), "left_semi")
+    if several.isEmpty():
+        return single
+    # an id of several rows doesn't tell them apart: theirs are found by their sets as well
+    several = several.select(F.col("_id").alias("_kept"))
+    names, kinds = df.columns, dict(df.dtypes)
+
+    def run(batch: pa.RecordBatch) -> dict:
+        sets = [shingle_set(x) for x in text_bytes(batch.column("_text_"))]
+        return {n: batch.column(n) for n in names} | {"_id_": batch.column("_id_"), "_class_": [_class(x) if len(x) else None for x in sets]}
+
+    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", _id_ long, _class_ binary"
+    sets = picked.select(F.col("_id").alias("_kept_id_"), F.col("_class").alias("_kept_class_"))
+    among = df.join(several, key.eqNullSafe(F.col("_kept")), "left_semi")
+    among = map_rows(among.select(*[F.col(f"`{n}`") for n in names], key.alias("_id_"), F.col(f"`{text_col}`").cast("string").alias("_text_")), run, schema)
+    stay = among.join(sets, F.col("_id_").eqNullSafe(F.col("_kept_id_")) & F.col("_class_").eqNullSafe(F.col("_kept_class_")), "left_semi")
+    one = stay.where("_class_ IS NOT NULL").dropDuplicates(["_id_", "_class_"]).unionByName(stay.where("_class_ IS NULL"))
+    return single.join(several, key.eqNullSafe(F.col("_kept")), "left_anti").unionByName(one.select(*[F.col(f"`{n}`") for n in names]))
 
 
 def op9_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -290,6 +290,19 @@ def test_near_duplicates_in_blocks_of_large_nodes(spark):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_by_force(rows)
 
 
+def test_one_row_of_each_group_stays(spark, docs):
+    import corpus_pipeline
+
+    a, b, c, d = (prose(120, 800 + k) for k in range(4))
+    rows = [(1, a), (1, a), (1, a + " end"), (2, a), (3, b), (3, c), (4, c), (0, b), (None, d), (None, d), (None, d + " end"), (5, ""), (5, ""), (None, "")]
+    df = spark.createDataFrame([(i, t, "en", "src0", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for start, empties in ((df, 3), (corpus_pipeline.quality(spark, df, ""), 0)):
+        got = [(r["doc_id"], r["text"].removesuffix(" end")) for r in near_dup.keep_one(start).collect()]
+        assert sorted(x[0] for x in got if x[1] and x[0] is not None) == [0, 1, 3]
+        assert sorted(t for _, t in got if t) == sorted((a, b, c, d)) and (3, c) in got and (3, b) not in got
+        assert sum(not t for _, t in got) == empties
+
+
 def test_suffix_order_and_removal(spark, empty):
     for _ in range(100):
         t = np.array([random.randrange(1, random.choice((3, 4, 20))) for _ in range(random.randrange(1, 60))], np.int64)
