@@ -77,7 +77,7 @@ def encode(
     spark = df.sparkSession
     shared = spark.sparkContext.broadcast(ranks)  # a vocabulary: its size doesn't follow the data
     base = prepare(df, id_col, text_col, *keep)
-    kept = [f"_{c}" for c in keep]
+    kept = [f"_more{i}" for i in range(len(keep))]
     kinds = dict(base.dtypes)
     carried = "".join(f"{c} {kinds[c]}, " for c in ["_id", *kept])
     final = carried + DIGESTS + (", ids binary" if with_ids else "")
@@ -149,7 +149,7 @@ def encode(
         return finish(batch, parts=[np.frombuffer(b"".join(x), "<u4") for x in batch.column("_parts").to_pylist()])
 
     out = done.unionByName(map_rows(whole, concat, final))
-    return out.select(F.col("_id").alias(id_col), *[F.col(f"_{c}").alias(c) for c in keep], *[c for c in out.columns if c not in ("_id", *kept)])
+    return out.select(F.col("_id").alias(id_col), *[F.col(k).alias(c) for k, c in zip(kept, keep, strict=True)], *[c for c in out.columns if c not in ("_id", *kept)])
 
 
 def decode(df: DataFrame, ranks: bytes, pattern: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

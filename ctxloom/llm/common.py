@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import re
 import tempfile
 import time
 import uuid
@@ -21,11 +22,13 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where that is unset (tests on one machine) a temporary folder."""
+    """The cluster's ``spark.checkpoint.dir``; only where that is unset on one machine, as in tests, a temporary folder."""
     context = spark.sparkContext
     known = context._jsc.sc().getCheckpointDir()
     if known.isEmpty():
         folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ctxloom-checkpoint-"))
         known = context._jsc.sc().getCheckpointDir()
     return known.get()
@@ -40,13 +43,35 @@ def settle(df: DataFrame) -> DataFrame:
     return done
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again."""
+def store(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet in the shared folder and read again, and its path."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     release(spark)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that ``store`` wrote."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def masked(df: DataFrame) -> DataFrame:
+    """The columns under the names c0, c1 and so on, which no working column has; ``toDF`` gives them back their own."""
+    return df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many more underscores in front as it takes to differ from all that are taken."""
+    known = {t.lower() for t in taken}
+    out = []
+    for n in names:
+        while n.lower() in known:
+            n = f"_{n}"
+        out.append(n)
+    return out
 
 
 def release(spark: SparkSession) -> None:
@@ -91,11 +116,11 @@ def text_bytes(column: pa.Array) -> list[bytes]:
 
 
 def prepare(df: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
-    """The columns an operator reads, under names that input columns can't clash with."""
+    """The columns an operator reads: _id, _text, and ``more`` as _more0, _more1 and so on; no other column comes along."""
     return df.select(
         F.col(f"`{id_col}`").cast("long").alias("_id"),
         F.col(f"`{text_col}`").cast("string").alias("_text"),
-        *[F.col(f"`{c}`").alias(f"_{c}") for c in more],
+        *[F.col(f"`{c}`").alias(f"_more{i}") for i, c in enumerate(more)],
     )
 
 

@@ -5,8 +5,8 @@ the 1989 format: global and local palettes, interlacing, transparent indices, an
 disposal of each frame before the next.  ``encode`` writes 8-bit indexed frames.
 
 Defined results: null content gives no frames (``frames``) or the empty payload (the
-query); bytes that are no GIF raise ValueError in ``decode`` and give an ``error`` row in
-``frames``; repeated rows give repeated results; an empty table gives an empty result;
+query); bytes that are no GIF, code sizes outside 2 to 8 and canvases of more than
+``MOST_PIXELS`` raise ValueError in ``decode`` and give an ``error`` row in ``frames``; repeated rows give repeated results; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -16,6 +16,7 @@ import hashlib
 import struct
 import zlib
 from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,6 +27,8 @@ from .common import documents, map_rows, prepare, text_bytes
 
 GREY = np.repeat(np.arange(256, dtype=np.uint8), 3).reshape(256, 3)
 FULL = 4096
+#: Pixels of a canvas or frame up to which it is rendered; a larger one, as a broken header can claim, is an error.
+MOST_PIXELS = 1 << 26
 
 
 def _widths(least: int) -> np.ndarray:
@@ -79,6 +82,8 @@ def _pack(codes: np.ndarray, bits: np.ndarray) -> bytes:
 
 def lzw_decode(stream: bytes, least: int, most: int) -> bytes:
     """At most ``most`` samples of a code stream."""
+    if least not in _WIDTHS:
+        raise ValueError(f"code size {least}")
     clear = 1 << least
     raw = np.frombuffer(stream + b"\0\0\0", np.uint8).astype(np.int64)
     widths, total = _WIDTHS[least], len(stream) * 8
@@ -167,21 +172,28 @@ def _palette(data: bytes, at: int, flags: int) -> tuple[np.ndarray | None, int]:
     return np.frombuffer(data, np.uint8, 3 * n, at).reshape(n, 3), at + 3 * n
 
 
-def decode(data: bytes) -> list[Frame]:
+def decode(data: bytes, most_pixels: int = MOST_PIXELS) -> list[Frame]:
+    """All frames of an animation."""
+    return list(rendered(data, most_pixels))
+
+
+def rendered(data: bytes, most_pixels: int = MOST_PIXELS) -> Iterator[Frame]:
+    """The frames one by one, so that only the canvas is held; anything that is no GIF raises ValueError."""
     try:
-        return _decode(data)
+        yield from _rendered(data, most_pixels)
     except (IndexError, struct.error) as e:
         raise ValueError(f"broken GIF: {e}") from e
 
 
-def _decode(data: bytes) -> list[Frame]:
+def _rendered(data: bytes, most_pixels: int) -> Iterator[Frame]:
     if data[:6] not in (b"GIF87a", b"GIF89a"):
         raise ValueError("not a GIF")
     width, height, flags = struct.unpack_from("<HHB", data, 6)
+    if width * height > most_pixels:
+        raise ValueError(f"a canvas of {width} x {height}")
     everywhere, at = _palette(data, 13, flags)
     canvas = np.zeros((height, width, 4), np.uint8)
-    frames: list[Frame] = []
-    delay, disposal, clear, clock = 0, 0, None, 0
+    index, delay, disposal, clear, clock = 0, 0, 0, None, 0
     while (kind := data[at]) != 0x3B:
         if kind == 0x21:
             body, after = _blocks(data, at + 2)
@@ -197,6 +209,8 @@ def _decode(data: bytes) -> list[Frame]:
         colours = everywhere if own is None else own
         if colours is None:
             raise ValueError("no palette")
+        if w * h > most_pixels:
+            raise ValueError(f"a frame of {w} x {h}")
         least = data[at]
         stream, at = _blocks(data, at + 1)
         samples = np.frombuffer(lzw_decode(stream, least, w * h), np.uint8)
@@ -217,14 +231,14 @@ def _decode(data: bytes) -> list[Frame]:
         else:
             shown = drawn != clear
             area[shown] = painted.view(np.uint8).reshape(*drawn.shape, 4)[shown]
-        frames.append(Frame(len(frames), clock, delay, disposal, canvas.copy()))
+        yield Frame(index, clock, delay, disposal, canvas.copy())
+        index += 1
         clock += delay
         if disposal == 2:
             area[:] = 0
         elif before is not None:
             canvas = before
         delay, disposal, clear = 0, 0, None
-    return frames
 
 
 def _rgba(colours: np.ndarray) -> np.ndarray:
@@ -246,7 +260,7 @@ def encode(frames: list[np.ndarray], palette: np.ndarray = GREY, delay_ms: int =
     return b"".join([*out, b"\x3b"])
 
 
-def frames(df: DataFrame, id_col: str, content_col: str, bins: int = 4) -> DataFrame:
+def frames(df: DataFrame, id_col: str, content_col: str, bins: int = 4, most_pixels: int = MOST_PIXELS) -> DataFrame:
     """Per GIF one row with its timed frames, or an error: id, frames array<struct<index, at_ms, delay_ms, width, height, rgba, histogram>>, error."""
     import pyspark.sql.functions as F
 
@@ -254,13 +268,12 @@ def frames(df: DataFrame, id_col: str, content_col: str, bins: int = 4) -> DataF
 
     def one(raw: bytes | None) -> tuple[list[dict], str | None]:
         try:
-            got = decode(raw) if raw is not None else []
+            return [
+                {"index": f.index, "at_ms": f.at_ms, "delay_ms": f.delay_ms, "width": f.rgba.shape[1], "height": f.rgba.shape[0], "rgba": f.rgba.tobytes(), "histogram": f.histogram(bins)}
+                for f in (rendered(raw, most_pixels) if raw is not None else ())
+            ], None
         except ValueError as e:
             return [], str(e)
-        return [
-            {"index": f.index, "at_ms": f.at_ms, "delay_ms": f.delay_ms, "width": f.rgba.shape[1], "height": f.rgba.shape[0], "rgba": f.rgba.tobytes(), "histogram": f.histogram(bins)}
-            for f in got
-        ], None
 
     def run(batch: pa.RecordBatch) -> dict:
         rows = [one(x) for x in batch.column("_content").to_pylist()]
@@ -283,11 +296,14 @@ def store(text: bytes) -> bytes:
     return encode([rows[i : i + FRAME_ROWS] for i in range(0, len(rows), FRAME_ROWS)])
 
 
-def payload(stored: bytes) -> tuple[bytes, list[Frame]]:
-    """The samples that ``store`` put in, off the rendered frames."""
-    got = decode(stored)
+def payload(stored: bytes) -> tuple[bytes, int, int]:
+    """The samples that ``store`` put in, off the rendered frames, the number of frames and their time in ms."""
+    samples, n, ms = [], 0, 0
     heights = _frame_heights(stored)
-    return b"".join(f.rgba[:h, :, 0].tobytes() for f, h in zip(got, heights, strict=True)), got
+    for f in rendered(stored):
+        samples.append(f.rgba[: heights[n], :, 0].tobytes())
+        n, ms = n + 1, ms + f.delay_ms
+    return b"".join(samples), n, ms
 
 
 def _frame_heights(data: bytes) -> list[int]:
@@ -306,7 +322,7 @@ def _frame_heights(data: bytes) -> list[int]:
 def op8_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     def one(text: bytes) -> dict:
         stored = store(text)
-        back, got = payload(stored)
+        back, n, ms = payload(stored)
         levels = np.bincount(np.frombuffer(back, np.uint8) >> 4, minlength=16)
         return {
             "n_bytes": len(text),
@@ -315,7 +331,7 @@ def op8_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
             "tail_crc32": zlib.crc32(back[-32:]),
             "media_bytes": len(stored),
             "media_sha256": hashlib.sha256(stored).hexdigest(),
-            "feature": f"frames={len(got)};ms={sum(f.delay_ms for f in got)};grey16=" + ",".join(map(str, levels)),
+            "feature": f"frames={n};ms={ms};grey16=" + ",".join(map(str, levels)),
         }
 
     def run(batch: pa.RecordBatch) -> dict:

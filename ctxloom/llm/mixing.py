@@ -11,15 +11,17 @@ a phase the number of blocks of a source in the first t slots differs from t * w
 than one.
 
 A phase ends when a source has no block left; the other sources go on with their weights
-in proportion, so every row is placed exactly once.  Sources without a target weight, or
-with none above zero, come last, mixed by their sizes in shares of PERIOD slots.
+in proportion, so every row is placed exactly once.  Sources without a target weight above
+zero come last: together they are one source, whose seeded order mixes them by their sizes,
+so the driver plans for the weighted sources alone.
 
 Ranks within a source come from counts of hash buckets and ranks inside a bucket, so a
 source with a third of all rows is not gathered in one task.
 
-Defined results: a null source is a source of its own; ties in the seeded order go by id,
-and equal rows in any order; repeated rows are placed one by one; an empty table gives an
-empty result; other columns are kept by ``mix`` and ignored by the query.
+Defined results: a null source is a source of its own; ties in the seeded order go by id and
+source, and rows equal in both stand in any order; repeated rows are placed one by one; an
+empty table gives an empty result; other columns are kept by ``mix``, whatever their names,
+and ignored by the query.
 """
 
 from __future__ import annotations
@@ -33,9 +35,13 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import documents, settle
+from .common import documents, fresh, masked, settle
 
-PERIOD, BUCKETS, BLOCK = 1000, 4096, 16
+PERIOD, BLOCK = 1000, 16
+#: Rows of a source are ranked in 2 ** BUCKET_BITS buckets of their order.
+BUCKET_BITS = 16
+#: The code of all sources without a target weight.
+REST = -1
 #: Slots of the plan's patterns up to which they are sent to all tasks; more are joined by shuffle.
 BROADCAST_SLOTS = 200_000
 
@@ -132,54 +138,56 @@ def phases(blocks: Mapping[str | None, int], weights: Mapping[str | None, float]
 
 def mix(
     df: DataFrame, weights: Mapping[str | None, float] | None = None, id_col: str = "doc_id", source_col: str = "source",
-    block: int = BLOCK, period: int = PERIOD, seed: int = 11, max_sources: int = 10_000,
+    block: int = BLOCK, period: int = PERIOD, seed: int = 11,
 ) -> DataFrame:
-    """All rows and columns with _source, _block, _slot and _position (0-based place in the mixture).
+    """All rows and columns, then _source, _block, _slot and _position (0-based place in the mixture), with more underscores in front where such a column is there.
 
-    ``weights`` None gives each source the same weight.  The number of sources is bounded
-    by ``max_sources``, since their counts go to the driver; more raise ValueError.
+    Only the sources with a weight above zero are planned for on the driver, however many
+    there are in the rows.
     """
     spark = df.sparkSession
-    order = F.xxhash64(F.lit(seed), F.col(f"`{id_col}`"))
-    rows = df.withColumn("_order", order).withColumn("_source", F.col(f"`{source_col}`").cast("string")).withColumn("_bucket", F.shiftrightunsigned("_order", 52).cast("int"))
-    counts = settle(rows.groupBy("_source", "_bucket").agg(F.count(F.lit(1)).alias("_count")))
-    totals = {r[0]: r[1] for r in counts.groupBy("_source").agg(F.sum("_count")).limit(max_sources + 1).collect()}
-    if len(totals) > max_sources:
-        raise ValueError(f"more than {max_sources} sources")
-    plan = phases({s: -(-n // block) for s, n in totals.items()}, dict.fromkeys(totals, 1.0) if weights is None else weights, period)
+    at = {c: f"c{i}" for i, c in enumerate(df.columns)}
+    targets = {s: w for s, w in (weights or {}).items() if w > 0}
+    # a row for each target, bounded as the weights are
+    codes = spark.createDataFrame([(s, i) for i, s in enumerate(targets)], "_s string, _c int")
+    order = F.xxhash64(F.lit(seed), F.col(at[id_col]))
+    rows = masked(df).withColumn("_order", order).withColumn("_source", F.col(at[source_col]).cast("string")).withColumn("_bucket", F.shiftrightunsigned("_order", 64 - BUCKET_BITS).cast("int"))
+    rows = rows.join(F.broadcast(codes), F.col("_source").eqNullSafe(F.col("_s")), "left").drop("_s").withColumn("_code", F.coalesce("_c", F.lit(REST))).drop("_c")
+    counts = settle(rows.groupBy("_code", "_bucket").agg(F.count(F.lit(1)).alias("_count")))
+    found = dict(counts.groupBy("_code").agg(F.sum("_count")).collect())  # a row for each target and one for the rest
+    named = dict(enumerate(targets)) | {REST: REST}
+    totals = {named[c]: found[c] for c in sorted(found, reverse=True)}
+    plan = phases({s: -(-n // block) for s, n in totals.items()}, targets, period)
 
     # the rows that fill each slot: only the last block of a source is short
-    before = counts.withColumn("_before", F.sum("_count").over(Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
-    before = before.select(F.col("_source").alias("_s"), F.col("_bucket").alias("_b"), F.coalesce("_before", F.lit(0)).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("_source", "_bucket").orderBy("_order", F.col(f"`{id_col}`")))
+    before = counts.withColumn("_before", F.sum("_count").over(Window.partitionBy("_code").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)))
+    before = before.select(F.col("_code").alias("_c"), F.col("_bucket").alias("_b"), F.coalesce("_before", F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_code", "_bucket").orderBy("_order", at[id_col], "_source"))
     ranked = (
         rows.withColumn("_inside", inside - 1)
-        .join(before, F.col("_source").eqNullSafe(F.col("_s")) & (F.col("_bucket") == F.col("_b")))
+        .join(before, (F.col("_code") == F.col("_c")) & (F.col("_bucket") == F.col("_b")))
+        .drop("_c", "_b")
         .withColumn("_rank", F.col("_before") + F.col("_inside"))
         .withColumn("_block", F.floor(F.col("_rank") / block))
     )
-    # a row for each source, bounded as the sources are; the slots of the patterns are a table of their own
-    codes = {s: i for i, s in enumerate(totals)}
+    # a row for each planned source; the slots of the patterns are a table of their own
+    numbers = {s: c for c, s in named.items()}
     known: dict = {s: [] for s in totals}
     pattern = []
     for i, p in enumerate(plan):
         for s, slots in p.slots.items():
             if slots and p.first[s] < -(-totals[s] // block):
                 known[s].append((p.start, p.period, p.first[s], len(slots), i))
-                pattern += [(codes[s], i, j, slot) for j, slot in enumerate(slots)]
-    lookup = spark.createDataFrame(
-        [(s, codes[s], x) for s, x in known.items()], "_s string, _code int, _phases array<struct<_start: long, _period: long, _first: long, _size: long, _phase: int>>"
-    )
-    slot_table = spark.createDataFrame(pattern, "_c int, _phase int, _j long, _at long")
+                pattern += [(numbers[s], i, j, slot) for j, slot in enumerate(slots)]
+    lookup = spark.createDataFrame([(numbers[s], x) for s, x in known.items()], "_c int, _phases array<struct<_start: long, _period: long, _first: long, _size: long, _phase: int>>")
+    slot_table = spark.createDataFrame(pattern, "_d int, _phase int, _j long, _at long")
     few = len(pattern) <= BROADCAST_SLOTS
-    at = F.expr("element_at(filter(_phases, p -> p._first <= _block), -1)")
     placed = (
-        ranked.drop("_s", "_b")
-        .join(F.broadcast(lookup), F.col("_source").eqNullSafe(F.col("_s")))
-        .withColumn("_p", at)
+        ranked.join(F.broadcast(lookup), F.col("_code") == F.col("_c"))
+        .withColumn("_p", F.expr("element_at(filter(_phases, p -> p._first <= _block), -1)"))
         .withColumn("_k", F.expr("_block - _p._first"))
         .withColumn("_i", F.expr("_k % _p._size"))
-        .join(F.broadcast(slot_table) if few else slot_table, F.expr("_code = _c AND _p._phase = _phase AND _i = _j"))
+        .join(F.broadcast(slot_table) if few else slot_table, F.expr("_code = _d AND _p._phase = _phase AND _i = _j"))
         .withColumn("_slot", F.expr("_p._start + _k div _p._size * _p._period + _at"))
     )
     short = sorted(_last_slots(plan, totals, block).items())
@@ -188,7 +196,8 @@ def mix(
         ends = F.array(*[F.struct(F.lit(slot).cast("long").alias("slot"), F.lit(missing).cast("long").alias("missing")) for slot, missing in short])
         gaps = F.aggregate(F.filter(ends, lambda x: x["slot"] < F.col("_slot")), F.lit(0).cast("long"), lambda a, x: a + x["missing"])
     position = F.col("_slot") * block + F.col("_rank") % block - gaps
-    return placed.withColumn("_position", position.cast("long")).select(*df.columns, "_source", "_block", "_slot", "_position")
+    out = placed.withColumn("_position", position.cast("long")).select(*at.values(), "_source", "_block", "_slot", "_position")
+    return out.toDF(*df.columns, *fresh(df.columns, "_source", "_block", "_slot", "_position"))
 
 
 def _last_slots(plan: list[Phase], totals: Mapping[str | None, int], block: int) -> dict[int, int]:

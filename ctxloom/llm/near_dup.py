@@ -6,8 +6,14 @@ functions; a node of a tree holds the classes that chose the same path.  Nodes w
 members are compared exhaustively on their full sets; larger ones branch again.  Two sets
 of Jaccard similarity s choose a common child with probability s for each branch, so with
 two branches and s = 0.75 they meet in one tree with probability 0.889 at any depth, and
-in one of eight trees with 1 - 2e-8.  A node that is still large at the last level is
-compared in blocks against blocks, which is exhaustive too, so no row is dropped.
+in one of eight trees with 1 - 2e-8.
+
+In a node that is still large at the last level, as a large group of near copies makes,
+every class is first compared with a few leaders.  Only components are wanted, so classes
+that these links join need no comparison among themselves: those outside the node's largest
+part are then compared with all of the node, in blocks against blocks.  This finds every
+link between different parts, so no row is dropped, and its cost is that of the node times
+the number of its classes outside the largest part.
 
 Nodes with the same members (as most of a group's are, over the trees) are compared once.
 A comparison emits a star for each connected part of a node, not its pairs, and the parts
@@ -31,15 +37,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, SEEDS, documents, map_batches, map_rows, mix64, prepare, settle, shingle_hashes, text_bytes, word_hashes
+from .common import LOWER, SEEDS, documents, map_batches, map_rows, masked, mix64, prepare, settle, shingle_hashes, text_bytes, word_hashes
 from .graph import components
 
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 TREES, BRANCHES, LEVELS = 8, 2, 3
 #: A node of at most so many classes and shingles is compared in one task; larger ones branch.
-NODE_CLASSES, NODE_SHINGLES = 2048, 4_000_000
-#: Classes in a block of a node that is large at the last level.
-BLOCK = 512
+NODE_CLASSES, NODE_SHINGLES = 512, 4_000_000
+#: Classes in a block of a node that is large at the last level, and the leaders that all of its classes are compared with.
+BLOCK, LEADERS = 512, 16
+#: Ids of texts to be fetched up to which they are sent to all tasks; more are joined by shuffle.
+BROADCAST_IDS = 50_000
 
 
 def shingle_set(raw: bytes, n: int = SHINGLE) -> np.ndarray:
@@ -151,9 +159,15 @@ def _members(
     """Per row: _id, _n, _class, _root (a class that stands for the component), _component."""
     rows = settle(signatures(df, id_col, text_col, shingle, trees * branches * levels))
     classes = settle(rows.where("_n > 0").groupBy("_class").agg(F.min("_id").alias("_rep"), F.first("_n").alias("_n"), F.first("_tokens").alias("_tokens")))
-    groups = _groups(classes, trees, branches, levels, node_classes, node_shingles, block)
-    edges = _compare(df, id_col, text_col, shingle, classes, groups, num, den)
+    small, large = _groups(classes, trees, branches, levels, node_classes, node_shingles, block)
+    edges = _compare(df, id_col, text_col, shingle, classes, small if large is None else small.unionByName(_led(large)), num, den)
     labels = components(edges)
+    if large is not None:
+        labels = settle(labels)
+        rest = _rest(large, labels, block)
+        if not rest.isEmpty():
+            more = _compare(df, id_col, text_col, shingle, classes, rest, num, den)
+            labels = components(labels.select(F.col("root").alias("a"), F.col("vertex").alias("b")).unionByName(more))
     named = settle(labels.join(classes.select(F.col("_class").alias("vertex"), "_rep"), "vertex"))
     least = named.groupBy("root").agg(F.min("_rep").alias("_component"))
     linked = named.join(least, "root").select(F.col("vertex").alias("_class"), "root", "_component")
@@ -164,8 +178,10 @@ def _members(
     )
 
 
-def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_classes: int, node_shingles: int, block: int) -> DataFrame:
-    """(_group, _key, _side): what is to be compared; _side 0 and 1 are two blocks of a large node, null a whole node.
+def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_classes: int, node_shingles: int, block: int) -> tuple[DataFrame, DataFrame | None]:
+    """(_group, _key, _side), whole nodes to be compared, and the large ones as (_node, _key, _block, _blocks) if there are any.
+
+    Where _side isn't null, only the links between sides 0 and 1 of a group are wanted.
 
     A class goes by a 64-bit key here.  Should two classes have the same key, both are
     compared wherever one is.
@@ -194,7 +210,7 @@ def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_cla
             small.append(member.join(once.select("_node"), "_node").select(F.col("_node").alias("_group"), "_key", F.lit(None).cast("int").alias("_side")))
         large = nodes.where(~fits)
         if large.isEmpty() and small:
-            return _union(small)
+            return _union(small), None
         kept = member.join(large.select("_node"), "_node")
         if level < levels:
             ahead = keyed.select("_key", F.slice("_tokens", level * width + 1, width).alias("_next"))
@@ -204,15 +220,40 @@ def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_cla
                 .select("_key", "_n", "_tree", "_node", F.posexplode(pick).alias("_branch", "_token"))
                 .select("_key", "_n", "_tree", F.xxhash64("_node", "_branch", "_token").alias("_node"))
             )
-    # Still large: classes go to blocks by their digest, and each block meets each other and itself.
-    blocks = F.greatest(F.ceil(F.col("_count") / block), F.ceil(F.col("_total") * 4 / node_shingles)).cast("int")
-    placed = kept.join(large.select("_node", blocks.alias("_blocks")), "_node").withColumn("_block", F.pmod(F.xxhash64(F.lit(7), "_key"), F.col("_blocks")).cast("int"))
-    pairs = placed.select("_node", "_key", "_block", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")).select(
-        F.xxhash64("_node", F.least("_block", "_other"), F.greatest("_block", "_other")).alias("_group"),
-        "_key",
-        F.when(F.col("_block") == F.col("_other"), F.lit(None)).otherwise((F.col("_block") > F.col("_other")).cast("int")).alias("_side"),
-    )
-    return _union([*small, pairs])
+    # still large: classes go to blocks by their digest
+    blocks = F.greatest(F.ceil(F.col("_count") / block), F.ceil(F.col("_total") * 4 / node_shingles)).cast("int").alias("_blocks")
+    once = large.withColumn("_b", blocks).groupBy("_count", "_x", "_y").agg(F.min("_node").alias("_node"), F.max("_b").alias("_blocks"))
+    placed = _members_of(kept, once).withColumn("_block", F.pmod(F.xxhash64(F.lit(7), "_key"), F.col("_blocks")).cast("int"))
+    return _union(small), settle(placed.select("_node", "_key", "_block", "_blocks").distinct())
+
+
+def _members_of(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    return members.select("_node", "_key").join(nodes.select("_node", "_blocks"), "_node")
+
+
+def _led(large: DataFrame) -> DataFrame:
+    """Groups of the blocks of each large node (side 1), each with the node's leaders (side 0)."""
+    spread = F.pmod(F.xxhash64(F.lit(9), "_key"), F.lit(LEADERS))
+    leaders = large.groupBy("_node", spread.alias("_s")).agg(F.min("_key").alias("_key"), F.max("_blocks").alias("_blocks"))
+    first = leaders.select("_node", "_key", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block")).withColumn("_side", F.lit(0))
+    every = large.select("_node", "_key", "_block").withColumn("_side", F.lit(1)).unionByName(first)
+    return every.select(F.xxhash64("_node", "_block").alias("_group"), "_key", "_side")
+
+
+def _rest(large: DataFrame, labels: DataFrame, block: int) -> DataFrame:
+    """Groups in which the classes outside a large node's largest part (side 0) meet all of the node (side 1)."""
+    parts = labels.select(F.xxhash64("vertex").alias("_k"), F.xxhash64(F.lit(3), "root").alias("_part"))
+    # two classes of one key in different parts are in none, so they are compared
+    parts = parts.groupBy("_k").agg(F.min("_part").alias("_part"), F.max("_part").alias("_other")).where("_part = _other").drop("_other")
+    known = large.join(parts, F.col("_key") == F.col("_k"), "left").withColumn("_part", F.coalesce("_part", F.xxhash64(F.lit(4), "_key"))).drop("_k")
+    sizes = known.groupBy("_node", "_part").agg(F.count(F.lit(1)).alias("_n"))
+    main = sizes.groupBy("_node").agg(F.max_by("_part", F.struct("_n", "_part")).alias("_main"), (F.sum("_n") - F.max("_n")).alias("_outside"))
+    main = main.where("_outside > 0").withColumn("_rows", F.ceil(F.col("_outside") / block).cast("int"))
+    there = known.join(main, "_node").select("_node", "_key", "_block", "_blocks", "_rows", (F.col("_part") != F.col("_main")).alias("_out"))
+    row = F.pmod(F.xxhash64(F.lit(8), "_key"), F.col("_rows")).cast("int")
+    outside = there.where("_out").select("_node", "_key", row.alias("_row"), F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"), F.lit(0).alias("_side"))
+    whole = there.select("_node", "_key", F.explode(F.sequence(F.lit(0), F.col("_rows") - 1)).alias("_row"), "_block", F.lit(1).alias("_side"))
+    return settle(outside.unionByName(whole).select(F.xxhash64("_node", "_row", "_block").alias("_group"), "_key", "_side"))
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -225,8 +266,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) between classes: a star for each connected part of each group."""
     groups = settle(groups)
-    reps = classes.select(F.xxhash64("_class").alias("_key"), "_rep").join(groups.select("_key"), "_key", "left_semi").select("_rep")
-    texts = prepare(df, id_col, text_col).join(reps, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
+    reps = settle(classes.select(F.xxhash64("_class").alias("_key"), "_rep").join(groups.select("_key"), "_key", "left_semi").select("_rep"))
+    few = reps.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    texts = prepare(df, id_col, text_col).join(F.broadcast(reps) if few else reps, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
 
     def as_sets(batch: pa.RecordBatch) -> dict:
         sets = [s for x in text_bytes(batch.column("_text")) if len(s := shingle_set(x, shingle))]
@@ -265,28 +307,27 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group, with all its columns, and all rows without words, which are in no group."""
     members = settle(_members(df, id_col, text_col))
-    key = F.col(f"`{id_col}`").cast("long")
-    several = settle(members.groupBy("_id").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1 OR _id IS NULL").select("_id"))
+    rows, at = masked(df), {c: f"c{i}" for i, c in enumerate(df.columns)}
+    key = F.col(at[id_col]).cast("long")
+    several = settle(members.groupBy("_id").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1 OR _id IS NULL").select(F.col("_id").alias("_kept")))
     picked = members.where("_id <=> _component AND _n > 0").groupBy("_root").agg(F.first("_id").alias("_id"), F.min("_class").alias("_class"))
     picked = settle(picked.select("_id", "_class").unionByName(members.where("_n = 0").select("_id", "_class")).distinct())
-    single = df.join(picked.select(F.col("_id").alias("_kept")).distinct(), key.eqNullSafe(F.col("_kept")), "left_semi")
+    single = rows.join(picked.select(F.col("_id").alias("_kept")).distinct(), key.eqNullSafe(F.col("_kept")), "left_semi")
     if several.isEmpty():
-        return single
-    # an id of several rows doesn't tell them apart: theirs are found by their sets as well
-    several = several.select(F.col("_id").alias("_kept"))
-    names, kinds = df.columns, dict(df.dtypes)
+        return single.toDF(*df.columns)
 
+    # an id of several rows doesn't tell them apart: theirs are found by their sets as well
     def run(batch: pa.RecordBatch) -> dict:
-        sets = [shingle_set(x) for x in text_bytes(batch.column("_text_"))]
-        return {n: batch.column(n) for n in names} | {"_id_": batch.column("_id_"), "_class_": [_class(x) if len(x) else None for x in sets]}
-
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", _id_ long, _class_ binary"
-    sets = picked.select(F.col("_id").alias("_kept_id_"), F.col("_class").alias("_kept_class_"))
-    among = df.join(several, key.eqNullSafe(F.col("_kept")), "left_semi")
-    among = map_rows(among.select(*[F.col(f"`{n}`") for n in names], key.alias("_id_"), F.col(f"`{text_col}`").cast("string").alias("_text_")), run, schema)
-    stay = among.join(sets, F.col("_id_").eqNullSafe(F.col("_kept_id_")) & F.col("_class_").eqNullSafe(F.col("_kept_class_")), "left_semi")
-    one = stay.where("_class_ IS NOT NULL").dropDuplicates(["_id_", "_class_"]).unionByName(stay.where("_class_ IS NULL"))
-    return single.join(several, key.eqNullSafe(F.col("_kept")), "left_anti").unionByName(one.select(*[F.col(f"`{n}`") for n in names]))
+        sets = [shingle_set(x) for x in text_bytes(batch.column("_text"))]
+        return {n: batch.column(n) for n in batch.schema.names if n != "_text"} | {"_class": [_class(x) if len(x) else None for x in sets]}
+
+    schema = ", ".join(f"{n} {k}" for n, k in rows.dtypes) + ", _id long, _class binary"
+    sets = picked.select(F.col("_id").alias("_kept_id"), F.col("_class").alias("_kept_class"))
+    among = rows.join(several, key.eqNullSafe(F.col("_kept")), "left_semi")
+    among = map_rows(among.select(*rows.columns, key.alias("_id"), F.col(at[text_col]).cast("string").alias("_text")), run, schema)
+    stay = among.join(sets, F.col("_id").eqNullSafe(F.col("_kept_id")) & F.col("_class").eqNullSafe(F.col("_kept_class")), "left_semi")
+    one = stay.where("_class IS NOT NULL").dropDuplicates(["_id", "_class"]).unionByName(stay.where("_class IS NULL"))
+    return single.join(several, key.eqNullSafe(F.col("_kept")), "left_anti").unionByName(one.select(*rows.columns)).toDF(*df.columns)
 
 
 def op9_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

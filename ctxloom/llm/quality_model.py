@@ -8,7 +8,8 @@ scorer on byte trigrams, on a bounded sample; the scorer scores every document.
 
 Defined results: a null text counts as empty, on which no labeller but the length one
 votes; repeated rows give repeated results and each counts; an empty table gives an empty
-result; other columns are ignored.
+result; other columns are ignored; rows of one id (or of none) are sampled in the order of
+their texts, so a tie at the sample's end is between equal texts.
 """
 
 from __future__ import annotations
@@ -128,7 +129,8 @@ def score_quality(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # the place of the last sampled row in the order, from numbers alone; then the texts up to it
     suited = base.where(F.length("_text") <= SAMPLE_CHARS).withColumn("_order", F.xxhash64(F.lit(seed), "_id"))
     places = [r[0] for r in suited.select("_order").orderBy("_order").limit(sample).collect()]
-    chosen = suited.where(F.col("_order") <= places[-1]).limit(sample).select("_text").collect() if places else []
+    # rows of one id stand in the order of their texts
+    chosen = suited.where(F.col("_order") <= places[-1]).orderBy("_order", "_text").limit(sample).select("_text").collect() if places else []
     raws = [r[0].encode() for r in chosen]
     weights, bias = np.zeros(FEATURES), 0.0
     if raws:

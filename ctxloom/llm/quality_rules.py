@@ -9,7 +9,7 @@ document without failures stays whatever its host is.
 
 Defined results: a null text has no words; a null host is a host of its own; repeated rows
 give repeated results and each counts; an empty table gives an empty result; other columns
-are ignored.
+are ignored by ``judge`` and carried along by ``keep_documents``, whatever their names.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACE, documents, map_rows, prepare, settle, shingle_hashes, text_bytes, word_hashes
+from .common import SPACE, documents, map_rows, masked, prepare, settle, shingle_hashes, text_bytes, word_hashes
 
 SYMBOL = np.zeros(256, bool)
 SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
@@ -56,7 +56,7 @@ def measures(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFr
         out = {f"_{name}": [r[i] for r in rows] for i, name in enumerate(MEASURES)}
         return out | {"_id": batch.column("_id"), "_host": batch.column("_host")}
 
-    base = prepare(df, id_col, text_col, host_col).withColumnRenamed(f"_{host_col}", "_host").withColumn("_host", F.col("_host").cast("string"))
+    base = prepare(df, id_col, text_col, host_col).select("_id", "_text", F.col("_more0").cast("string").alias("_host"))
     return map_rows(base, run, "_id long, _host string, " + ", ".join(f"_{m} long" for m in MEASURES))
 
 
@@ -109,18 +109,19 @@ def keep_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     measured = measures(df, id_col, text_col, host_col).withColumn("_base", base_failed()).withColumn("_strict", strict_failed())
     condemned = settle(host_rates(measured).where(F.col("_rate") > host_rate).select(F.col("_host").alias("_h"), F.lit(True).alias("_condemned")))
-    names, kinds = df.columns, dict(df.dtypes)
+    rows, at = masked(df), {c: f"c{i}" for i, c in enumerate(df.columns)}
     # the list is sent to all tasks while it is short; a longer one is joined with a shuffle, whose skewed hosts Spark splits
     few = condemned.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    joined = df.join(F.broadcast(condemned) if few else condemned, F.col(f"`{host_col}`").cast("string").eqNullSafe(F.col("_h")), "left")
+    joined = rows.join(F.broadcast(condemned) if few else condemned, F.col(at[host_col]).cast("string").eqNullSafe(F.col("_h")), "left").drop("_h")
 
     def run(batch: pa.RecordBatch) -> dict:
-        rows = [measure(x) for x in text_bytes(batch.column(text_col))]
-        return {n: batch.column(n) for n in names} | {"_condemned": batch.column("_condemned")} | {f"_{m}": [r[i] for r in rows] for i, m in enumerate(MEASURES)}
+        measured = [measure(x) for x in text_bytes(batch.column(at[text_col]))]
+        return {n: batch.column(n) for n in batch.schema.names} | {f"_{m}": [r[i] for r in measured] for i, m in enumerate(MEASURES)}
 
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in names) + ", _condemned boolean, " + ", ".join(f"_{m} long" for m in MEASURES)
-    judged = map_rows(joined.select(*[F.col(f"`{n}`") for n in names], "_condemned"), run, schema)
-    return judged.where(~base_failed() & ~(F.coalesce("_condemned", F.lit(False)) & strict_failed())).select(*[F.col(f"`{n}`") for n in names])
+    schema = ", ".join(f"{n} {k}" for n, k in joined.dtypes) + ", " + ", ".join(f"_{m} long" for m in MEASURES)
+    judged = map_rows(joined, run, schema)
+    kept = judged.where(~base_failed() & ~(F.coalesce("_condemned", F.lit(False)) & strict_failed()))
+    return kept.select(*rows.columns).toDF(*df.columns)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

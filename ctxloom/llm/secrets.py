@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, prepare
+from .common import documents, map_rows, masked, prepare
 
 # The base formats (kind, pattern, measured group, least length).
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -133,14 +133,16 @@ def scan_secrets(
 
 def redact_secrets(df: DataFrame, text_col: str = "text", length_col: str | None = "n_chars", mark: str = "<SECRET>") -> DataFrame:
     """All columns, with secrets in the text replaced; a null text stays null.  ``length_col``, if there, follows the text."""
-    names = df.columns
+    rows, at = masked(df), {c: f"c{i}" for i, c in enumerate(df.columns)}
 
     def run(batch: pa.RecordBatch) -> dict:
-        texts = batch.column(text_col).to_pylist()
-        return {n: batch.column(n) for n in names} | {text_col: [t if not t or not (s := scan(t)) else redact(t, s, mark) for t in texts]}
+        texts = batch.column(at[text_col]).to_pylist()
+        return {n: batch.column(n) for n in batch.schema.names} | {at[text_col]: [t if not t or not (s := scan(t)) else redact(t, s, mark) for t in texts]}
 
-    out = map_rows(df, run, ", ".join(f"`{n}` {k}" for n, k in df.dtypes))
-    return out.withColumn(length_col, F.length(text_col).cast(dict(df.dtypes)[length_col])) if length_col in names else out
+    out = map_rows(rows, run, ", ".join(f"{n} {k}" for n, k in rows.dtypes))
+    if length_col in at:
+        out = out.withColumn(at[length_col], F.length(at[text_col]).cast(dict(rows.dtypes)[at[length_col]]))
+    return out.toDF(*df.columns)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

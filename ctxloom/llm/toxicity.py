@@ -1,16 +1,18 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on ordinary and one on toxic text.  The first
-holds zstandard's choice of common segments.  The second holds the same, so that both know
-ordinary text alike, and ends with the words and word beginnings that are over-represented
-in toxic documents, which zstandard's own choice would lose among frequent syllables.
-Every window of a text is compressed with both; how many bytes the toxic dictionary saves,
-over all windows, gives a few features whose weights and threshold are calibrated: in turn
-a part of the documents is described by dictionaries trained on the other parts, and the
-final dictionaries are trained on all.
+Two zstandard dictionaries are trained, one on ordinary and one on toxic text, whose
+samples are whole documents, so zstandard prefers segments that many of them share.  Most
+of those are as common in ordinary text; of the toxic dictionary only the stretches stay
+whose byte strings stand in clearly more of the toxic training documents than of the
+ordinary ones.  Behind the ordinary dictionary's content, which both know, they make the
+second dictionary.  Every window of a text is compressed with both; how many bytes the
+toxic dictionary saves, over all windows, gives a few features whose weights and threshold
+are calibrated: in turn a part of the documents is described by dictionaries trained on
+the other parts, and the final dictionaries are trained on all.
 
 Training takes at most ``sample`` labelled ids of each class, the first in a seeded hash
-order, and of their documents those of at most ``SAMPLE_CHARS`` characters.
+order, and of their documents those of at most ``SAMPLE_CHARS`` characters, one document an
+id (of several the least text); an id with both labels counts as toxic.
 
 Defined results: a null or empty text has one empty window and a score near the lowest;
 repeated rows give repeated results; an empty table gives an empty result; without labelled
@@ -19,8 +21,7 @@ rows of both classes every score is 0; other columns are ignored.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,9 +34,12 @@ from .common import documents, map_rows, prepare, text_bytes
 
 #: Training bounds: documents of a class, characters of one; parts of the calibration and penalty of its weights.
 SAMPLE, SAMPLE_CHARS, PARTS, PENALTY = 3000, 20_000, 4, 2.0
-WINDOW, STEP, DICTIONARY = 32, 8, 8192
-#: Word beginnings: their lengths in bytes with the blanks around the word, least documents, least z of the share's difference, most of them.
-LENGTHS, LEAST_DOCS, LEAST_Z, MOST = (5, 6, 8, 10, 12), 5, 6.0, 400
+#: Windows overlap, so every byte is in two or three of them.
+WINDOW, STEP = 32, 12
+#: Sizes of the ordinary dictionary and of the toxic one before it is reduced; ordinary text is trained on in pieces.
+ORDINARY, TOXIC, PIECE = 16_384, 65_536, 256
+#: A stretch stays where its strings of GRAM bytes stand in LEAST_DOCS toxic documents and their share is higher by LEAST_Z deviations and LEAST_RATIO times.
+GRAM, LEAST_DOCS, LEAST_Z, LEAST_RATIO = 6, 5, 5.0, 4.0
 
 
 @dataclass
@@ -48,7 +52,7 @@ class Model:
     bias: float
 
     def compressors(self):
-        shape = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_GREEDY, min_match=4, window_log=14, hash_log=12, chain_log=12, search_log=4)
+        shape = zstandard.ZstdCompressionParameters(strategy=zstandard.STRATEGY_GREEDY, min_match=4, window_log=17, hash_log=14, chain_log=14, search_log=4)
         raw = zstandard.DICT_TYPE_RAWCONTENT
         out = []
         for content in (self.ordinary, self.toxic):
@@ -63,13 +67,13 @@ def folded(raw: bytes) -> bytes:
     return b" " + b" ".join(w.strip(b".,;:!?*%$&#|\"'()") for w in raw.lower().split()) + b" "
 
 
-def windows(raw: bytes) -> list[bytes]:
-    return [raw[i : i + WINDOW] for i in range(0, max(1, len(raw) - WINDOW + STEP), STEP)]
+def windows(raw: bytes) -> Iterator[bytes]:
+    return (raw[i : i + WINDOW] for i in range(0, max(1, len(raw) - WINDOW + STEP), STEP))
 
 
 def savings(raw: bytes, ordinary, toxic) -> np.ndarray:
     """Of each window: bytes that the toxic dictionary saves over the ordinary one."""
-    return np.array([len(ordinary(w)) - len(toxic(w)) for w in windows(folded(raw))])
+    return np.fromiter((len(ordinary(w)) - len(toxic(w)) for w in windows(folded(raw))), np.int16)
 
 
 def describe(saved: np.ndarray) -> list[float]:
@@ -78,36 +82,54 @@ def describe(saved: np.ndarray) -> list[float]:
     return [float(top[-1]), float(top.mean()), *np.log1p(counts), *np.sqrt(counts / len(saved)), float(saved.mean()), float(np.log1p(len(saved)))]
 
 
-def beginnings(raw: bytes) -> set[bytes]:
-    return {w[:k] for w in {b" " + w + b" " for w in folded(raw).split()} for k in LENGTHS if len(w) >= k or k == LENGTHS[-1]}
+def grams(raw: bytes) -> np.ndarray:
+    """A hash below 2**22 of every string of GRAM bytes."""
+    b = np.frombuffer(raw, np.uint8).astype(np.uint64)
+    h = np.zeros(max(0, len(b) - GRAM + 1), np.uint64)
+    for j in range(GRAM):
+        h = h * np.uint64(0x100000001B3) + b[j : j + len(h)]
+    return ((h * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(42)).astype(np.int64)
 
 
-def over_represented(toxic: list[bytes], ordinary: list[bytes]) -> list[bytes]:
-    """Word beginnings whose document share is higher in toxic text, the most so last."""
-    a, b = Counter(x for t in toxic for x in beginnings(t)), Counter(x for t in ordinary for x in beginnings(t))
-    n, m = len(toxic), len(ordinary)
-    z = {}
-    for x, k in a.items():
-        if k >= LEAST_DOCS:
-            p = (k + b[x]) / (n + m)
-            score = (k / n - b[x] / m) / np.sqrt(p * (1 - p) * (1 / n + 1 / m) + 1e-12)
-            if score >= LEAST_Z and k / n > 4 * b[x] / m:
-                z[x] = score
-    return sorted(z, key=lambda x: (z[x], x))[-MOST:]
-
-
-def segments(texts: list[bytes], size: int) -> bytes:
-    """zstandard's choice of common segments; all of the text where there is too little to choose from."""
-    pieces = [f[i : i + 256] for t in texts for f in [folded(t)] for i in range(0, len(f), 512)]
+def document_counts(texts: list[bytes]) -> np.ndarray:
+    counts = np.zeros(1 << 22, np.int32)
+    for t in texts:
+        counts[np.unique(grams(folded(t)))] += 1
+    return counts
+
+
+def trained(samples: list[bytes], size: int) -> bytes:
+    """zstandard's choice of common segments; all of the samples where there is too little to choose from."""
     try:
-        return zstandard.train_dictionary(size, pieces, k=64, d=6).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=16, d=6).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(pieces)[-size:]
+        return b"".join(samples)[-size:]
+
+
+def reduced(content: bytes, toxic: list[bytes], ordinary: list[bytes]) -> bytes:
+    """The stretches of a trained dictionary that tell toxic from ordinary documents, the clearest last."""
+    at = grams(content)
+    a, b = document_counts(toxic)[at], document_counts(ordinary)[at]
+    n, m = len(toxic), len(ordinary)
+    p = (a + b) / (n + m)
+    z = (a / n - b / m) / np.sqrt(p * (1 - p) * (1 / n + 1 / m) + 1e-12)
+    tells = (a >= LEAST_DOCS) & (z >= LEAST_Z) & (a / n > LEAST_RATIO * b / m)
+    edges = np.flatnonzero(np.diff(np.concatenate(([False], tells, [False]))))
+    clear: dict[bytes, float] = {}
+    for i, j in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
+        stretch = content[i : j + GRAM - 1]
+        clear[stretch] = max(clear.get(stretch, 0.0), float(z[i:j].max()))
+    kept: list[bytes] = []
+    for stretch in sorted(clear, key=lambda s: (-clear[s], s)):
+        if not any(stretch in k for k in kept):
+            kept.append(stretch)
+    return b"".join(reversed(kept))
 
 
 def dictionaries(toxic: list[bytes], ordinary: list[bytes]) -> Model:
-    common = segments(ordinary, DICTIONARY)
-    return Model(common, common + b"".join(over_represented(toxic, ordinary)), np.zeros(0), np.zeros(0), np.ones(0), 0.0)
+    common = trained([f[i : i + PIECE] for t in ordinary for f in [folded(t)] for i in range(0, len(f), PIECE)], ORDINARY)
+    own = reduced(trained([folded(t) for t in toxic], TOXIC), toxic, ordinary)
+    return Model(common, common + own, np.zeros(0), np.zeros(0), np.ones(0), 0.0)
 
 
 def calibration(toxic: list[bytes], ordinary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -139,11 +161,10 @@ def fit(toxic: list[bytes], ordinary: list[bytes]) -> Model | None:
         step = np.linalg.solve(h, full.T @ (p - y) + PENALTY * np.append(w, 0))
         w, bias = w - step[:-1], bias - step[-1]
     z = x @ w + bias
-    # the threshold with the best F1 on the calibration rows becomes score 0.5
+    # score 0.5 is where as many calibration rows are called toxic as are toxic, so errors of both kinds balance
     order = np.argsort(-z, kind="stable")
-    hits = np.cumsum(y[order])
-    best = int(np.argmax(2 * hits / (np.arange(1, len(y) + 1) + y.sum())))
-    limit = (z[order[best]] + z[order[min(best + 1, len(y) - 1)]]) / 2
+    n = int(y.sum())
+    limit = (z[order[n - 1]] + z[order[min(n, len(y) - 1)]]) / 2
     model.weights, model.bias = w, bias - limit
     return model
 
@@ -155,11 +176,12 @@ def train(docs: DataFrame, labels: DataFrame, text_col: str, label_col: str, id_
     bounded size that is sent to the documents; those of suitable length are learned from.
     """
     order = F.xxhash64(F.lit(seed), F.col("_lid"))
-    marks = labels.select(F.col(id_col).cast("long").alias("_lid"), F.col(label_col).cast("int").alias("_label")).where("_lid is not null").distinct()
+    marks = labels.select(F.col(f"`{id_col}`").cast("long").alias("_lid"), F.col(f"`{label_col}`").cast("int").alias("_label")).where("_lid is not null and _label in (0, 1)")
+    marks = marks.groupBy("_lid").agg(F.max("_label").alias("_label"))
     first = [marks.where(F.col("_label") == label).orderBy(order, "_lid").limit(sample) for label in (1, 0)]
     rows = prepare(docs, id_col, text_col).where(F.length("_text").between(1, SAMPLE_CHARS))
-    found = rows.join(F.broadcast(first[0].unionByName(first[1])), F.col("_id") == F.col("_lid")).select("_label", "_id", "_text").collect()
-    found.sort(key=lambda r: (r["_id"] * 0x9E3779B97F4A7C15 % (1 << 64), r["_text"]))  # the parts are mixed
+    found = rows.join(F.broadcast(first[0].unionByName(first[1])), F.col("_id") == F.col("_lid")).groupBy("_id", "_label").agg(F.min("_text").alias("_text")).collect()
+    found.sort(key=lambda r: r["_id"] * 0x9E3779B97F4A7C15 % (1 << 64))  # the parts are mixed
     return fit(*[[r["_text"].encode() for r in found if r["_label"] == label] for label in (1, 0)])
 
 
