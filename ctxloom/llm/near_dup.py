@@ -46,8 +46,8 @@ TREES, BRANCHES, LEVELS = 8, 2, 3
 NODE_CLASSES, NODE_SHINGLES = 512, 4_000_000
 #: Classes in a block of a node that is large at the last level, and the leaders that all of its classes are compared with.
 BLOCK, LEADERS = 512, 16
-#: Ids of texts to be fetched up to which they are sent to all tasks; more are joined by shuffle.
-BROADCAST_IDS = 50_000
+#: Bits of the map, by id, of the texts to be fetched, which all tasks get: 16 MB however many texts there are.
+BITS = 27
 
 
 def shingle_set(raw: bytes, n: int = SHINGLE) -> np.ndarray:
@@ -266,16 +266,19 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: DataFrame, groups: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) between classes: a star for each connected part of each group."""
     groups = settle(groups)
-    reps = settle(classes.select(F.xxhash64("_class").alias("_key"), "_rep").join(groups.select("_key"), "_key", "left_semi").select("_rep"))
-    few = reps.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    texts = prepare(df, id_col, text_col).join(F.broadcast(reps) if few else reps, F.col("_id").eqNullSafe(F.col("_rep")), "left_semi")
+    reps = classes.select(F.xxhash64("_class").alias("_key"), "_rep").join(groups.select("_key"), "_key", "left_semi").select("_rep")
+    marked = _bitmap(reps)
+    texts = prepare(df, id_col, text_col).withColumn("_bit", F.shiftrightunsigned(F.xxhash64("_id"), 64 - BITS))
 
     def as_sets(batch: pa.RecordBatch) -> dict:
-        sets = [s for x in text_bytes(batch.column("_text")) if len(s := shingle_set(x, shingle))]
+        # the texts of other ids stay behind, but for a few that share a bit, whose sets no group asks for
+        bit = batch.column("_bit").to_numpy()
+        wanted = np.flatnonzero(marked.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+        sets = [s for x in text_bytes(batch.column("_text").take(pa.array(wanted))) if len(s := shingle_set(x, shingle))]
         return {"_class": [_class(s) for s in sets], "_set": [s.tobytes() for s in sets]}
 
     # rows with one id and several texts give sets more often than needed; a group takes each class once
-    sets = map_rows(texts.select("_text"), as_sets, "_class binary, _set binary").withColumn("_key", F.xxhash64("_class"))
+    sets = map_rows(texts.select("_bit", "_text"), as_sets, "_class binary, _set binary").withColumn("_key", F.xxhash64("_class"))
     dealt = groups.join(sets, "_key").repartition("_group").sortWithinPartitions("_group")
 
     def stars(rows: list[tuple[bytes, int | None, bytes]]) -> Iterator[tuple[bytes, bytes]]:
@@ -304,6 +307,19 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
     return map_batches(dealt.select("_group", "_class", "_side", "_set"), run, "a binary, b binary")
 
 
+def _bitmap(ids: DataFrame):
+    """A broadcast map with a bit set for the hash of each id; partial maps are merged before they are sent."""
+    spark = ids.sparkSession
+    at = ids.select(F.shiftrightunsigned(F.xxhash64(ids.columns[0]), 64 - BITS).alias("_at"))
+    # parts of 32,768 bits, numbered from 1 and set from bit 0 on
+    parts = at.groupBy(F.bitmap_bucket_number(F.col("_at") + 1).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("_at") + 1)).alias("_bits"))
+    bits = np.zeros(1 << (BITS - 3), np.uint8)
+    for part in parts.toLocalIterator():
+        own = np.frombuffer(part["_bits"], np.uint8)
+        bits[(part["_part"] - 1) * len(own) : part["_part"] * len(own)] = own
+    return spark.sparkContext.broadcast(bits)
+
+
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row of each group, with all its columns, and all rows without words, which are in no group."""
     members = settle(_members(df, id_col, text_col))
