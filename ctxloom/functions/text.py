@@ -65,3 +65,49 @@ def lexical_overlap(a: Column, b: Column, least: int = 4) -> Column:
 
 def allowed_value(values: Column, v: Column) -> Column:
     return F.array_contains(values, "*") | F.array_contains(values, v)
+
+
+def parse_time(c: Column) -> Column:
+    """The instant of an ISO 8601 text; without an offset it is UTC, whatever the session's zone; null where it doesn't parse."""
+    t = F.trim(c)
+    timed = F.when(F.regexp_like(t, F.lit(r"^\d{4}-\d{2}-\d{2}$")), F.concat(t, F.lit("T00:00:00"))).otherwise(t)
+    timed = F.regexp_replace(timed, r"^(.{10}[T ]\d{2}:\d{2})(Z|[+-]\d{2}:?\d{2})?$", "$1:00$2")
+    zoned = F.when(F.regexp_like(timed, F.lit(r"(Z|[+-]\d{2}:?\d{2})$")), timed).otherwise(F.concat(timed, F.lit("Z")))
+    whole = F.regexp_like(timed, F.lit(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]\d{2}:?\d{2})?$"))
+    return F.when(whole, F.try_to_timestamp(zoned))
+
+
+def is_utc(c: Column) -> Column:
+    """Whether an instant's text names UTC: naive texts and other offsets don't."""
+    return F.regexp_like(F.trim(c), F.lit(r"(Z|[+-]00:?00)$")) & parse_time(c).isNotNull()
+
+
+def token_estimate(c: Column) -> Column:
+    """A quarter of the characters, rounded down."""
+    return F.floor(F.length(F.coalesce(c, F.lit(""))) / 4)
+
+
+def ratio(part: Column, whole: Column, places: int = 6) -> Column:
+    """part / whole rounded; 0 where the whole is 0 or null."""
+    return F.round(F.coalesce(part / F.nullif(whole, F.lit(0)), F.lit(0.0)), places)
+
+
+def percent(part: Column, whole: Column) -> Column:
+    return ratio(part * 100, whole, 2)
+
+
+def guidance(tags: Column, lines: dict[str, str], otherwise: str = "others") -> Column:
+    """One line for each tag that has guidance, in the tags' order and without regard to case; else the line of ``otherwise``."""
+    known = F.create_map(*[F.lit(x) for k, v in lines.items() for x in (k.lower(), v)])
+    chosen = F.filter(F.coalesce(tags, F.array().cast("array<string>")), lambda t: F.map_contains_key(known, F.lower(t)))
+    shown = F.transform(chosen, lambda t: F.concat(F.lit("- "), t, F.lit(": "), F.element_at(known, F.lower(t))))
+    fallback = F.lit(f"- {otherwise}: {lines[otherwise]}") if otherwise in lines else F.lit("")
+    return F.when(F.size(chosen) > 0, F.array_join(shown, "\n")).otherwise(fallback)
+
+
+def prompt(question: Column, tags: Column, lines: dict[str, str], answer_when: list[str], abstain_when: list[str], otherwise: str = "others") -> Column:
+    """A task's prompt: the question, its tags, their guidance and the rules of answering, a section a line group."""
+    listed = lambda rules: F.lit("\n".join(f"- {r}" for r in rules))
+    shown = F.when(F.size(F.coalesce(tags, F.array().cast("array<string>"))) > 0, F.array_join(tags, ", ")).otherwise(otherwise)
+    parts = [("Question", question), ("Kinds", shown), ("Guidance", guidance(tags, lines, otherwise)), ("Answer when", listed(answer_when)), ("Abstain when", listed(abstain_when))]
+    return F.concat_ws("\n", *[F.concat(F.lit(f"{k}: "), F.coalesce(v, F.lit(""))) for k, v in parts])

@@ -70,3 +70,8 @@ def identity_sets(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
 def mutation_matrix(expected_reuse: Column, expected_new: Column, cache_hits: Column) -> Column:
     """Whether a mutation reused all it should and nothing that had to be made anew."""
     return (F.size(F.array_except(expected_reuse, cache_hits)) == 0) & (F.size(F.array_intersect(expected_new, cache_hits)) == 0)
+
+
+def coverage(df: DataFrame, slice_col: str) -> DataFrame:
+    """(slice, n): rows of each slice, a null slice being one of its own."""
+    return df.groupBy(slice_col).agg(F.count(F.lit(1)).alias("n"))

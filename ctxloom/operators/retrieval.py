@@ -6,7 +6,10 @@ are ``limit`` rows, planned as a top-k without a full sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+import zlib
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
@@ -38,30 +41,77 @@ def vector_search(df: DataFrame, query: list[float], limit: int, id_col: str, ve
     return top(rows.withColumn("score", F.round(cosine(F.col(vector_col), query), 6)).drop(vector_col), id_col, limit)
 
 
+def query_terms(query: str) -> list[str]:
+    return sorted(set(re.findall("[a-z0-9]+", query.lower())))
+
+
+def _bm25_part(tf: Column, df: Column, length: Column, n: Column, mean: Column) -> Column:
+    return F.log(1 + (n - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+
+
 def bm25(df: DataFrame, query: str, id_col: str, text_col: str) -> DataFrame:
     """id and score of each row that has a query term.
 
-    Term counts come row by row from the token array, so only one aggregate row (corpus
-    size, mean length, document frequencies of the query's terms) meets the rows again.
+    Lengths and term counts are counted in the text itself, terms only where the text holds
+    them at all, so no token array is made; one aggregate row (corpus size, mean length,
+    document frequencies of the query's terms) meets the rows again.
     """
-    import re
-
-    terms = sorted(set(re.findall("[a-z0-9]+", query.lower())))
+    terms = query_terms(query)
     if not terms:
         return df.select(id_col, F.lit(0.0).alias("score")).limit(0)
-    words = tokens(F.coalesce(F.col(text_col), F.lit("")))
-    often = [F.size("_w") - F.size(F.array_remove("_w", t)) for t in terms]
-    counted = df.select(id_col, words.alias("_w")).select(id_col, F.size("_w").alias("_len"), *[c.alias(f"_tf{i}") for i, c in enumerate(often)])
+    low = df.select(id_col, F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("_low"))
+    often = [F.when(F.contains("_low", F.lit(t)), F.regexp_count("_low", F.lit(f"(?<![a-z0-9]){t}(?![a-z0-9])"))).otherwise(F.lit(0)) for t in terms]
+    counted = low.select(id_col, F.regexp_count("_low", F.lit("[a-z0-9]+")).alias("_len"), *[c.alias(f"_tf{i}") for i, c in enumerate(often)])
     stats = counted.agg(F.count(F.lit(1)).alias("_n"), F.avg("_len").alias("_avg"), *[F.sum((F.col(f"_tf{i}") > 0).cast("long")).alias(f"_df{i}") for i in range(len(terms))])
     score = F.lit(0.0)
     for i in range(len(terms)):
-        idf = F.log(1 + (F.col("_n") - F.col(f"_df{i}") + 0.5) / (F.col(f"_df{i}") + 0.5))
-        tf = F.col(f"_tf{i}")
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("_len") / F.col("_avg")))
+        score = score + _bm25_part(F.col(f"_tf{i}"), F.col(f"_df{i}"), F.col("_len"), F.col("_n"), F.col("_avg"))
     some = F.greatest(*[F.col(f"_tf{i}") for i in range(len(terms))], F.lit(0)) > 0
     return counted.where(some).join(F.broadcast(stats)).select(id_col, F.round(score, 6).alias("score"))
 
 
+class Postings:
+    """A stored full-text index: rows (term, id, tf, len) in folders by a hash of the term, and the corpus's size and mean length.
+
+    A query reads the folders of its terms alone.  A folder is written in several files, so a
+    term that many rows have is spread over tasks.
+    """
+
+    BUCKETS, SPREAD = 64, 8
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.rows, self.stats = spark.read.parquet(f"{path}/postings"), spark.read.parquet(f"{path}/stats")
+
+    @staticmethod
+    def bucket(term: Column) -> Column:
+        return F.pmod(F.crc32(term.cast("binary")), F.lit(Postings.BUCKETS)).cast("int")
+
+    @staticmethod
+    def build(df: DataFrame, id_col: str, text_col: str, path: str) -> Postings:
+        words = tokens(F.coalesce(F.col(text_col), F.lit("")))
+        held = df.select(F.col(id_col).alias("id"), words.alias("_w")).withColumn("len", F.size("_w"))
+        held.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("mean")).write.parquet(f"{path}/stats")
+        counts = held.select("id", "len", F.explode("_w").alias("term")).groupBy("id", "len", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+        dealt = counts.withColumn("bucket", Postings.bucket(F.col("term"))).repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(Postings.SPREAD)))
+        dealt.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
+        return Postings(df.sparkSession, path)
+
+    def scores(self, query: str) -> DataFrame:
+        """(id, score) by BM25, as ``bm25`` over the indexed rows."""
+        terms = query_terms(query)
+        buckets = sorted({zlib.crc32(t.encode()) % self.BUCKETS for t in terms})
+        hits = self.rows.where(F.col("bucket").isin(buckets) & F.col("term").isin(terms))
+        df = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))  # as many rows as the query has terms
+        scored = hits.join(F.broadcast(df), "term").join(F.broadcast(self.stats))
+        part = _bm25_part(F.col("tf"), F.col("df"), F.col("len"), F.col("n"), F.col("mean"))
+        # terms in order, so that equal rows have equal sums
+        parts = F.array_sort(F.collect_list(F.struct(F.col("term"), part.alias("p"))))
+        return scored.groupBy("id").agg(F.round(F.aggregate(parts, F.lit(0.0), lambda a, x: a + x["p"]), 6).alias("score"))
+
+    def search(self, query: str, limit: int, id_col: str) -> DataFrame:
+        return top(self.scores(query).withColumnRenamed("id", id_col), id_col, limit)
+
+
 def full_text_search(df: DataFrame, query: str, limit: int, id_col: str, text_col: str, prefilter: str | None = None) -> DataFrame:
     return top(bm25(df.where(prefilter) if prefilter else df, query, id_col, text_col), id_col, limit)
 
@@ -89,12 +139,17 @@ STATE_COLUMNS = ("authority_status", "temporal_status", "policy_id", "as_of")
 
 
 def with_catalog(facts: DataFrame, catalog: DataFrame, id_col: str = "context_identity") -> DataFrame:
-    """Facts joined to the catalog on identity, blanks where it has no row; of equal identities the last by ``_seq`` wins if there is one."""
+    """Facts joined to the catalog on identity, blanks where it has no row; of equal identities the last by ``_seq`` wins if there is one.
+
+    Facts are a query's ``limit`` rows: sent to the catalog's tasks, they leave only their own catalog rows to be sorted out.
+    """
     known = set(catalog.columns)
     wanted = [c for c in (*TEXT_COLUMNS, *STATE_COLUMNS) if c in known]
     order = F.col("_seq") if "_seq" in known else F.lit(0)
-    last = catalog.groupBy("canonical_identity").agg(F.max_by(F.struct(*wanted), order).alias("_row"))
-    joined = F.broadcast(facts.withColumnRenamed(id_col, "_id")).join(last, F.col("_id") == F.col("canonical_identity"), "left")
+    named = facts.withColumnRenamed(id_col, "_id")
+    own = catalog.join(F.broadcast(named.select("_id")), F.col("canonical_identity") == F.col("_id"), "left_semi")
+    last = own.groupBy("canonical_identity").agg(F.max_by(F.struct(*wanted), order).alias("_row"))
+    joined = named.join(last, F.col("_id") == F.col("canonical_identity"), "left")
     field = lambda c: (F.coalesce(F.col(f"_row.{c}").cast("string"), F.lit("")) if c in known else F.lit("")).alias(c)
     return joined.select(
         F.col("_id").alias("canonical_identity"),

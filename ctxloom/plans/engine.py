@@ -22,30 +22,39 @@ _numbers = itertools.count()
 class Engine:
     def __init__(
         self, spark: SparkSession, relations: Mapping[str, DataFrame], retrieval: DataFrame | None = None, vectors: Mapping[str, list[float]] | None = None,
-        id_col: str = "context_identity", text_col: str = "text", vector_col: str = "vector",
+        id_col: str = "context_identity", text_col: str = "text", vector_col: str = "vector", postings: search.Postings | None = None, retrieval_name: str = "context_retrieval",
     ):
-        self.spark, self.relations, self.retrieval, self.vectors = spark, dict(relations), retrieval, dict(vectors or {})
-        self.id_col, self.text_col, self.vector_col = id_col, text_col, vector_col
+        self.spark, self.relations, self.vectors, self.postings = spark, dict(relations), dict(vectors or {}), postings
+        self.retrieval = retrieval if retrieval is not None else self.relations.get(retrieval_name)
+        self.id_col, self.text_col, self.vector_col, self.retrieval_name = id_col, text_col, vector_col, retrieval_name
+        #: What the last search did: adapter, table, mode, prefilter, limit and its plan.
+        self.last_execution: dict = {}
+        self._views: dict[str, str] = {}
 
     def sql(self, text: str) -> DataFrame:
         """A lazy DataFrame; any error is a ValueError."""
         if not text.strip():
             raise ValueError("analytical query is empty")
         try:
-            for name, df in self.relations.items():
-                df.createOrReplaceTempView(name)
-            return self.spark.sql(self._planned(text))
+            planned = self._planned(text)
+            # the relations are parameters of this engine's statements alone, so two engines of a session don't meet
+            return self.spark.sql(self._renamed(planned))
         except Exception as e:
             raise ValueError(f"analytical query failed: {e}") from e
 
     def semantic_search(self, relation: str, query: str, mode: str, limit: int, vector: str | None = None, prefilter: str | None = None) -> DataFrame:
         """The table function as an API; the relation is only the catalog that facts are joined to."""
-        if self.retrieval is None:
-            raise ValueError("no retrieval relation")
         if limit <= 0:
             raise ValueError("limit must be positive")
         if vector is not None and vector not in self.vectors:
             raise ValueError(f"unknown query vector: {vector}")
+        if mode not in ("vector", "full_text", "hybrid"):
+            raise ValueError(f"unknown retrieval mode: {mode}")
+        if self.retrieval is None:
+            # without a retrieval relation there are no facts
+            nothing = self.spark.createDataFrame([], f"{self.id_col} string, score double, retrieval_rank long")
+            self._record(relation, mode, prefilter, limit, nothing)
+            return search.with_catalog(nothing, self._catalog(relation), self.id_col)
         rows = self.retrieval.where(prefilter) if prefilter else self.retrieval
 
         def by_vector(n: int) -> DataFrame:
@@ -54,18 +63,37 @@ class Engine:
             return search.vector_search(rows.select(self.id_col, self.vector_col), self.vectors[vector], n, self.id_col, self.vector_col)
 
         def by_text(n: int) -> DataFrame:
+            if self.postings is not None and prefilter is None:
+                return self.postings.search(query, n, self.id_col)
             return search.full_text_search(rows.select(self.id_col, self.text_col), query, n, self.id_col, self.text_col)
 
         if mode == "vector":
             facts = by_vector(limit)
         elif mode == "full_text":
             facts = by_text(limit)
-        elif mode == "hybrid":
+        else:
             wide = max(limit * 4, 40)
             facts = search.hybrid(by_vector(wide), by_text(wide), self.id_col, limit)
-        else:
-            raise ValueError(f"unknown retrieval mode: {mode}")
-        return search.with_catalog(facts.withColumn(self.id_col, F.col(self.id_col).cast("string")), self.relations[relation], self.id_col)
+        self._record(relation, mode, prefilter, limit, facts)
+        return search.with_catalog(facts.withColumn(self.id_col, F.col(self.id_col).cast("string")), self._catalog(relation), self.id_col)
+
+    def _catalog(self, relation: str) -> DataFrame:
+        if relation not in self.relations:
+            raise ValueError(f"unknown relation: {relation}")
+        return self.relations[relation]
+
+    def _record(self, relation: str, mode: str, prefilter: str | None, limit: int, facts: DataFrame) -> None:
+        plan = facts._jdf.queryExecution().optimizedPlan().toString()
+        self.last_execution = {"adapter": "ctxloom", "table": self.retrieval_name, "catalog": relation, "mode": mode, "prefilter": prefilter, "limit": limit, "plan": plan}
+
+    def _renamed(self, text: str) -> str:
+        """The statement with each relation of this engine under the name of a view of its own."""
+        for name, df in self.relations.items():
+            if name not in self._views:
+                self._views[name] = f"__relation_{next(_numbers)}"
+                df.createOrReplaceTempView(self._views[name])
+        aliases = [f"`{n}` AS (SELECT * FROM {v})" for n, v in sorted(self._views.items())]
+        return f"WITH {', '.join(aliases)} ({text.rstrip().rstrip(';')})" if aliases else text
 
     def _planned(self, text: str) -> str:
         if "semantic_search" not in text.lower():

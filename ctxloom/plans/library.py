@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import identity, text
@@ -12,35 +10,7 @@ from ..operators import enrich, metrics, resolve, retrieval, state
 from ..sources import readers, relations, store
 from . import lifecycle
 from .engine import Engine
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(oracle: str | None = None):
-    def add(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def sql(spark: SparkSession, sf_dir: str, query: str, *names: str) -> DataFrame:
-    return Engine(spark, {n: table(spark, sf_dir, n) for n in names}).sql(query)
-
-
-def plain(name: str, names: tuple[str, ...], query: str) -> None:
-    """A query whose SQL is the same for both engines."""
-    fn = lambda spark, sf_dir: sql(spark, sf_dir, query, *names)
-    fn.__name__ = name
-    register(query)(fn)
-
+from .registry import ORACLES, QUERIES, plain, register, table
 
 # --- SQL through the engine ----------------------------------------------------------------
 
@@ -275,9 +245,10 @@ def contract_decide(spark, sf_dir):
 # --- integrity, capture, graphs ----------------------------------------------------------------
 
 
-@register("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 3 <> 0)")
+@register("SELECT DISTINCT o_custkey FROM orders WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0) AND o_custkey NOT IN (SELECT s_suppkey FROM supplier)")
 def orphan_check(spark, sf_dir):
-    return resolve.orphans(table(spark, sf_dir, "orders"), "o_custkey", (table(spark, sf_dir, "customer").where("c_custkey % 3 <> 0"), "c_custkey"))
+    solvent = table(spark, sf_dir, "customer").where("c_acctbal >= 0")
+    return resolve.orphans(table(spark, sf_dir, "orders"), "o_custkey", (solvent, "c_custkey"), (table(spark, sf_dir, "supplier"), "s_suppkey"))
 
 
 @register("SELECT sum(n)::BIGINT AS total, coalesce(sum(n) FILTER (WHERE doc_id IS NULL), 0)::BIGINT AS blanks, count(*) FILTER (WHERE n > 1 AND doc_id IS NOT NULL) AS duplicates FROM (SELECT doc_id, count(*) AS n FROM (SELECT doc_id FROM documents UNION ALL SELECT doc_id FROM labels) GROUP BY doc_id)")
@@ -290,38 +261,39 @@ def one_binding(spark, sf_dir):
     return resolve.not_exactly_one(table(spark, sf_dir, "customer"), "c_custkey", table(spark, sf_dir, "orders"), "o_custkey")
 
 
-_OLD = "SELECT user_id, max(event_type) AS v FROM events WHERE event_id % 2 = 0 AND user_id % 7 <> 0 GROUP BY user_id"
-_NEW = "SELECT user_id, max(event_type) AS v FROM events WHERE event_id % 3 = 0 AND user_id % 5 <> 0 GROUP BY user_id"
+_HALF = "2024-01-16 00:00:00"
+_VERSION = "SELECT concat_ws('-', user_id, event_type, floor(value / 10)::INT) AS k, count(*) AS v FROM events WHERE ts {} TIMESTAMP '" + _HALF + "' GROUP BY 1"
+_OLD, _NEW = _VERSION.format("<"), _VERSION.format(">=")
 
 
 def _versions(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    old = events.where("event_id % 2 = 0 AND user_id % 7 <> 0").groupBy("user_id").agg(F.max("event_type").alias("v"))
-    return old, events.where("event_id % 3 = 0 AND user_id % 5 <> 0").groupBy("user_id").agg(F.max("event_type").alias("v"))
+    """Two versions of a relation: how often a user had an event of a kind and size, in the first and in the second half of the month."""
+    events = table(spark, sf_dir, "events").withColumn("k", F.concat_ws("-", "user_id", "event_type", F.floor(F.col("value") / 10).cast("int")))
+    return [events.where(f"ts {op} timestamp_ntz'{_HALF}'").groupBy("k").agg(F.count(F.lit(1)).alias("v")) for op in ("<", ">=")]
 
 
 @register(
-    f"""SELECT user_id, CASE WHEN n.v IS NULL THEN 'deleted' WHEN o.v IS NULL THEN 'inserted' WHEN o.v = n.v THEN 'reused' ELSE 'changed' END AS change_type, coalesce(n.v, o.v) AS v
-    FROM ({_OLD}) o FULL JOIN ({_NEW}) n USING (user_id)"""
+    f"""SELECT k, CASE WHEN n.v IS NULL THEN 'deleted' WHEN o.v IS NULL THEN 'inserted' WHEN o.v = n.v THEN 'reused' ELSE 'changed' END AS change_type, coalesce(n.v, o.v) AS v
+    FROM ({_OLD}) o FULL JOIN ({_NEW}) n USING (k)"""
 )
 def cdc_diff(spark, sf_dir):
-    return state.changes(*_versions(spark, sf_dir), "user_id", "v")
+    return state.changes(*_versions(spark, sf_dir), "k", "v")
 
 
-@register(f"SELECT user_id, coalesce(n.v, o.v) AS v FROM ({_OLD}) o FULL JOIN ({_NEW}) n USING (user_id)")
+@register(f"SELECT k, coalesce(n.v, o.v) AS v FROM ({_OLD}) o FULL JOIN ({_NEW}) n USING (k)")
 def merge_state(spark, sf_dir):
-    return state.merged(*_versions(spark, sf_dir), "user_id")
+    return state.merged(*_versions(spark, sf_dir), "k")
 
 
 @register(
     """WITH RECURSIVE e AS (SELECT conv_id * 1000 + turn AS a, conv_id * 1000 + turn + 1 AS b FROM conversations),
-    c AS (SELECT conv_id * 1000 AS node FROM conversations WHERE turn = 0 AND conv_id % 10 = 0 UNION SELECT b FROM c JOIN e ON e.a = c.node)
+    c AS (SELECT conv_id * 1000 AS node FROM conversations WHERE turn = 0 UNION SELECT b FROM c JOIN e ON e.a = c.node)
     SELECT node::BIGINT AS node FROM c"""
 )
 def closure_turns(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations")
     edges = turns.select((F.col("conv_id") * 1000 + F.col("turn")).alias("a"), (F.col("conv_id") * 1000 + F.col("turn") + 1).alias("b"))
-    return state.closure(turns.where("turn = 0 AND conv_id % 10 = 0").select((F.col("conv_id") * 1000).alias("node")), edges, "a", "b")
+    return state.closure(turns.where("turn = 0").select((F.col("conv_id") * 1000).alias("node")), edges, "a", "b")
 
 
 # --- scalar functions and metrics ----------------------------------------------------------------
@@ -356,9 +328,9 @@ def classify_metrics(spark, sf_dir):
 )
 def recall_mrr(spark, sf_dir):
     best = retrieval.vector_search(table(spark, sf_dir, "embeddings"), QUERY_VECTOR, 100, "vec_id", "embedding")
-    first = best.groupBy("label").agg(F.min("retrieval_rank").alias("first"))
-    share = lambda c: F.round(F.avg(c.cast("int")), 6)
-    return first.agg(share(F.col("first") == 0).alias("recall_1"), share(F.col("first") < 3).alias("recall_3"), F.round(F.avg(1.0 / (F.col("first") + 1)), 6).alias("mrr"))
+    relevant = best.select(F.col("label").alias("query"), F.col("vec_id").alias("item"), F.lit("all").alias("slice"))
+    hits = best.select(F.col("label").alias("query"), F.col("vec_id").alias("item"), "retrieval_rank")
+    return metrics.retrieval(hits, relevant, "query", "item", "slice").drop("slice")
 
 
 @register(
@@ -384,14 +356,14 @@ def _sha(json_text: str) -> str:
 
 
 def _lifecycle_inputs(spark, sf_dir):
-    """Customers as observations; orders as outputs derived from them (a part of the sources is lacking)."""
+    """Customers as observations; orders as outputs derived from them (the sources of those of low priority are lacking)."""
     seen = table(spark, sf_dir, "customer").select(
         F.concat(F.lit("c"), "c_custkey").alias("snapshot_identity"), F.lit("crm").alias("source_system"), F.col("c_custkey").cast("string").alias("source_key"),
         F.lit("customer").alias("snapshot_role"), F.lit("customer").alias("object_role"), F.col("c_name").alias("preview"),
     )
     made = table(spark, sf_dir, "orders").select(
         F.concat(F.lit("o"), "o_orderkey").alias("identity"), F.lit("order").alias("role"), F.lit("summary").alias("kind"), F.lit("active").alias("status"),
-        F.array(F.concat(F.when(F.col("o_orderkey") % 10 == 0, "x").otherwise("c"), F.col("o_custkey"))).alias("derived_from"), F.col("o_orderpriority").alias("text"),
+        F.array(F.concat(F.when(F.col("o_orderpriority") == "5-LOW", "x").otherwise("c"), F.col("o_custkey"))).alias("derived_from"), F.col("o_orderpriority").alias("text"),
     )
     return seen, made
 
@@ -406,7 +378,7 @@ def catalog_build(spark, sf_dir):
     return made["context_catalog"].select("canonical_identity", "object_kind", "physical_relation", "preview")
 
 
-_EDGES = "SELECT CASE WHEN o_orderkey % 10 = 0 THEN 'x' ELSE 'c' END || o_custkey AS a, 'o' || o_orderkey AS b FROM orders"
+_EDGES = "SELECT CASE WHEN o_orderpriority = '5-LOW' THEN 'x' ELSE 'c' END || o_custkey AS a, 'o' || o_orderkey AS b FROM orders"
 
 
 @register(f"""SELECT {_sha("'{\"source\":\"' || a || '\",\"target\":\"' || b || '\",\"type\":\"derived_from\"}'")} AS edge_identity, a AS source_node_id, b AS target_node_id FROM ({_EDGES})""")
@@ -424,16 +396,17 @@ def lineage_nodes_build(spark, sf_dir):
 
 
 @register(
-    """SELECT 'reference:candidate_context' AS "check", count(DISTINCT l_orderkey) AS n_failed FROM lineitem WHERE l_orderkey % 4 = 0 HAVING count(*) > 0
-    UNION ALL SELECT 'reference:decision_candidate', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber = 7) HAVING count(*) > 0"""
+    """WITH l AS (SELECT l_orderkey, l_linenumber, max(l_linestatus) AS s FROM lineitem GROUP BY 1, 2)
+    SELECT 'reference:candidate_context' AS "check", count(DISTINCT l_orderkey) AS n_failed FROM l WHERE l_linenumber < 7 AND s = 'F' HAVING count(*) > 0
+    UNION ALL SELECT 'reference:decision_candidate', count(*) FROM l WHERE l_linenumber >= 7 HAVING count(*) > 0"""
 )
 def conformance_report(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.max("l_linestatus").alias("s"))
     candidate = F.concat_ws("-", "l_orderkey", "l_linenumber").alias("candidate_identity")
-    context = F.concat(F.when(F.col("l_orderkey") % 4 == 0, "none").otherwise("o"), F.col("l_orderkey")).alias("context_identity")
+    context = F.concat(F.when(F.col("s") == "F", "none").otherwise("o"), F.col("l_orderkey")).alias("context_identity")
     made = relations.materialize(
-        spark, {"context_model_id": "m", "context_model_identity": "m1"}, *_lifecycle_inputs(spark, sf_dir), resolution_candidates=lines.where("l_linenumber < 7 OR l_orderkey % 4 = 0").where("l_linenumber <> 7").select(candidate, context)
-        .unionByName(lines.where("l_orderkey % 4 = 0").select(F.concat(F.lit("k"), "l_orderkey").alias("candidate_identity"), context)),
+        spark, {"context_model_id": "m", "context_model_identity": "m1"}, *_lifecycle_inputs(spark, sf_dir),
+        resolution_candidates=lines.where("l_linenumber < 7").select(candidate, context),
         resolution_decisions=lines.select(F.concat(F.lit("d"), F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("decision_identity"), candidate, F.lit("selected").alias("outcome")),
     )
     return relations.conformance(spark, made).where("NOT passed").select("check", "n_failed")
@@ -490,3 +463,6 @@ def record_admission(spark, sf_dir):
     good, issues = store.admitted(table(spark, sf_dir, "documents").select("doc_id", F.when(F.col("doc_id") >= 0, F.col("lang")).alias("lang"), "text"), ["lang", "text"])
     counted = good.select(F.lit("").alias("lacks")).unionByName(issues.select(F.array_join("missing_concepts", ",").alias("lacks")))
     return counted.groupBy("lacks").agg(F.count(F.lit(1)).alias("n"))
+
+
+from . import queries_evaluation, queries_lifecycle, queries_plans, queries_retrieval, queries_sources  # noqa: E402, F401 (they register themselves)

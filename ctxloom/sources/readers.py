@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 import json
 import re
 import sqlite3
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from ..functions.identity import context_unit_id, string_identity, struct_identity
+from ..functions.text import blank
 from ..session import ship
 
 # HTTP answers after which a request is repeated.
@@ -40,6 +43,10 @@ class Limits:
         return Limits(*[type(v)(options.get(f"max_{k}", v)) for k, v in d.__dict__.items()])
 
 
+#: A dataset hub is asked up to six times.
+HUB = Limits(retries=5)
+
+
 def pause(attempt: int, retry_after: str | None) -> float:
     """Seconds before the next attempt: what the server asks for, else doubling up to 10."""
     return float(retry_after) if retry_after and retry_after.isdigit() else float(min(10, 2**attempt))
@@ -160,6 +167,37 @@ class SqliteSource(_Strings):
         return _Reader(make, dict(self.options), columns)
 
 
+class _Resources(DataSourceReader):
+    def __init__(self, factory, options, columns):
+        self.factory, self.options, self.columns = factory, options, columns
+
+    def partitions(self):
+        return [InputPartition(0)]  # each listing names the next
+
+    def read(self, partition):
+        module, _, name = self.factory.partition(":")
+        for record in resources(getattr(importlib.import_module(module), name)(), Limits.of(self.options)):
+            yield tuple(record[c] for c in RESOURCE_COLUMNS)
+
+
+# The columns of a resource scan.
+RESOURCE_COLUMNS = ("uri", "name", "mime_type", "text", "blob")
+
+
+class ResourceSource(DataSource):
+    """Options: client (``module:function`` that makes a client where the executors can import it), max_*."""
+
+    @classmethod
+    def name(cls):
+        return "ctxloom_resources"
+
+    def schema(self):
+        return ", ".join(f"{c} string" for c in RESOURCE_COLUMNS)
+
+    def reader(self, schema):
+        return _Resources(self.options["client"], dict(self.options), RESOURCE_COLUMNS)
+
+
 def resources(client, limits: Limits = Limits()) -> Iterator[dict]:
     """Each resource that a client lists page by page (``list(token) -> (items, token)``) and reads (``read(uri)``); tools aren't used."""
     token, n = None, 0
@@ -203,9 +241,14 @@ def affordable(df: DataFrame, order: str, size: str, budget: int) -> DataFrame:
     return ranged.join(F.broadcast(before), "_p").withColumn("_run", within + F.col("_before")).where(F.col("_run") <= budget).drop("_p", "_i", "_before", "_run")
 
 
+# How a source changes and what it says of deleted records.
+MODES = ("snapshot", "incremental", "cdc")
+DELETIONS = ("ignore", "tombstone", "hard-delete-event")
+
+
 @dataclass(frozen=True)
 class Contract:
-    """Concepts of a source, those that identify a record, and how it changes."""
+    """Concepts of a resource, those that identify a record, and how it changes."""
 
     concepts: tuple[str, ...]
     identity: tuple[str, ...]
@@ -213,40 +256,118 @@ class Contract:
     mode: str = "snapshot"
     cursor: str | None = None
     media_types: tuple[str, ...] = ("*",)
+    deletion: str = "ignore"
+    resource: str = "records"
 
     def __post_init__(self):
         if len(set(self.concepts)) != len(self.concepts):
             raise ValueError("duplicate concepts")
         if not self.identity or not set(self.identity) | set(self.required) <= set(self.concepts):
             raise ValueError("identity and required concepts must be declared")
-        if self.mode not in ("snapshot", "incremental", "cdc"):
-            raise ValueError(f"unknown mode: {self.mode}")
+        if self.mode not in MODES or self.deletion not in DELETIONS:
+            raise ValueError(f"unknown mode or deletion: {self.mode}, {self.deletion}")
         if self.mode != "snapshot" and self.cursor not in self.concepts:
             raise ValueError("an incremental source needs a cursor concept")
 
 
-def bind(df: DataFrame, contract: Contract, mapping: Mapping[str, str], media_type: str = "_media_type") -> tuple[DataFrame, DataFrame]:
-    """(records, issues): source fields under their concepts' names with record_key; a record lacking a concept, of a foreign media type or with a repeated key is an issue."""
+def check_binding(contracts: Iterable[Contract], bindings: Iterable[tuple[str, Mapping[str, str]]]) -> None:
+    """Every resource is bound once, with its required and identity concepts, its cursor and nothing undeclared."""
+    by_name = {c.resource: c for c in contracts}
+    seen: set[str] = set()
+    for resource, mapping in bindings:
+        if resource not in by_name or resource in seen:
+            raise ValueError(f"unknown or repeated resource: {resource}")
+        seen.add(resource)
+        c = by_name[resource]
+        needed = set(c.required) | set(c.identity) | ({c.cursor} if c.cursor and c.mode != "snapshot" else set())
+        missing, foreign = needed - set(mapping), set(mapping) - set(c.concepts)
+        if missing or foreign:
+            raise ValueError(f"binding doesn't fit the contract: {sorted(missing or foreign)}")
+    if seen != set(by_name):
+        raise ValueError(f"resources without binding: {sorted(set(by_name) - seen)}")
+
+
+def bind(df: DataFrame, contract: Contract, mapping: Mapping[str, str], media_type: str = "_media_type", observed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(records, issues): source fields under their concepts' names with record_key.
+
+    A record lacking a concept, of a foreign media type or with a repeated key is an issue;
+    with ``observed`` so is one without ``_content_sha256`` (prefixed), ``_observed_at`` or
+    ``_content_ref``, which are kept.  No record is lost.
+    """
     from .store import admitted
 
-    missing = (set(contract.required) | set(contract.identity)) - set(mapping)
-    if missing or not set(mapping) <= set(contract.concepts):
-        raise ValueError(f"binding doesn't fit the contract: {sorted(missing or set(mapping) - set(contract.concepts))}")
+    check_binding([contract], [(contract.resource, mapping)])
+    facts = ["_content_sha256", "_observed_at", "_content_ref"] if observed else []
     media = [media_type] if media_type in df.columns else []
-    named = df.select(*[F.col(f).alias(c) for c, f in mapping.items()], *media)
+    named = df.select(*[F.col(f).alias(c) for c, f in mapping.items()], *media, *facts)
     good, issues = admitted(named, sorted(set(contract.required) | set(contract.identity)))
-    key = F.concat_ws(":", *[F.col(c).cast("string") for c in contract.identity])
+    key = F.concat_ws(":", *[F.trim(F.col(c).cast("string")) for c in contract.identity])
     good = good.withColumn("record_key", key)
+    reason = F.lit(None).cast("string")
+    if observed:
+        bare = F.greatest(*[blank(F.col(c)) for c in ("_observed_at", "_content_ref")])
+        reason = F.when(bare, "missing_observation").when(~F.coalesce(F.startswith("_content_sha256", F.lit("sha256:")), F.lit(False)), "missing_content_hash")
     if media and "*" not in contract.media_types:
         foreign = ~F.coalesce(F.col(media_type).isin(list(contract.media_types)), F.lit(False))
-        issues = issues.unionByName(good.where(foreign).withColumns({"reason_code": F.lit("media_type_not_allowed"), "action": F.lit("excluded")}), allowMissingColumns=True)
-        good = good.where(~foreign)
+        reason = F.when(foreign, "media_type_not_allowed").otherwise(reason)
+    good = good.withColumn("reason_code", reason)
+    refused = good.where("reason_code IS NOT NULL")
+    good = good.where("reason_code IS NULL").drop("reason_code")
     repeated = good.groupBy("record_key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("record_key")
-    again = good.join(repeated, "record_key", "left_semi").withColumns({"reason_code": F.lit("duplicate_record_key"), "action": F.lit("excluded")})
-    return good.join(repeated, "record_key", "left_anti"), issues.unionByName(again, allowMissingColumns=True)
+    again = good.join(repeated, "record_key", "left_semi").withColumn("reason_code", F.lit("duplicate_record_key"))
+    refused = refused.unionByName(again).withColumn("action", F.lit("excluded"))
+    return good.join(repeated, "record_key", "left_anti"), issues.unionByName(refused, allowMissingColumns=True)
+
+
+def bound_records(records: DataFrame, contract: Contract, connector: str, domain: str) -> DataFrame:
+    """Canonical rows of bound records: source system, key, resource, observation and the context unit of key and resource."""
+    unit = struct_identity(F.col("record_key").alias("key"), F.lit(contract.resource).alias("resource"))
+    payload = F.to_json(F.struct(*sorted(c for c in contract.concepts if c in records.columns)), {"ignoreNullFields": "false"})
+    return records.select(
+        F.col("record_key").alias("record_id"), F.lit(connector).alias("source_system"), F.col("record_key").alias("source_key"), F.lit(contract.resource).alias("resource_id"),
+        F.col("_observed_at").alias("observed_at"), F.col("_content_ref").alias("content_ref"), F.col("_content_sha256").alias("content_sha256"), payload.alias("payload_json"),
+        context_unit_id(domain, unit).alias("context_unit_id"),
+    )
+
+
+def plain_records(df: DataFrame, environment: str, domain: str) -> DataFrame:
+    """Rows of (record_id, channel, text) with their context units; a blank field or a repeated id raises ValueError, as does an empty input."""
+    from ..operators.resolve import key_report
+
+    fields = ("record_id", "channel", "text")
+    rows = df.select(*[F.col(c).cast("string").alias(c) for c in fields])
+    total, *blanks = rows.agg(F.count(F.lit(1)), *[F.count_if(blank(F.col(c))) for c in fields]).first()
+    lacking = [c for c, n in zip(fields, blanks, strict=True) if n]
+    if lacking or not total:
+        raise ValueError(f"records lack {lacking}" if lacking else "no records")
+    if key_report(rows, "record_id").first()["duplicates"]:
+        raise ValueError("record ids are unique")
+    unit = context_unit_id(domain, string_identity(F.col("record_id")))
+    return rows.withColumns({"environment": F.lit(environment), "domain": F.lit(domain), "context_unit_id": unit})
+
+
+def ingest_lineage(records: DataFrame, load: str, run: str) -> tuple[DataFrame, DataFrame]:
+    """(nodes, edges) of an ingestion: record, its observation if it has content, the load, the context unit."""
+    seen = F.col("content_sha256") if "content_sha256" in records.columns else F.lit(None).cast("string")
+    node = lambda kind, key: struct_identity(F.lit(kind).alias("kind"), key.alias("key"), F.lit(run).alias("run"))
+    rows = records.select(F.col("record_id").alias("r"), F.nullif(F.trim(seen), F.lit("")).alias("c"), F.col("context_unit_id").alias("u"))
+    source, observed, loaded, unit = node("source_record", F.col("r")), node("source_observation", F.col("c")), node("ingestion_load", F.lit(load)), node("context_unit", F.col("u"))
+    some = F.col("c").isNotNull()
+    parts = F.array_compact(F.array(
+        F.struct(source.alias("node_id"), F.lit("source_record").alias("node_type"), F.col("r").alias("key")),
+        F.when(some, F.struct(observed.alias("node_id"), F.lit("source_observation").alias("node_type"), F.col("c").alias("key"))),
+        F.struct(unit.alias("node_id"), F.lit("context_unit").alias("node_type"), F.col("u").alias("key")),
+        F.struct(loaded.alias("node_id"), F.lit("ingestion_load").alias("node_type"), F.lit(load).alias("key")),
+    ))
+    links = F.array_compact(F.array(
+        F.when(some, F.struct(source.alias("source_node_id"), observed.alias("target_node_id"), F.lit("observed").alias("edge_type"))),
+        F.struct(F.when(some, observed).otherwise(source).alias("source_node_id"), loaded.alias("target_node_id"), F.lit("ingested").alias("edge_type")),
+        F.struct(loaded.alias("source_node_id"), unit.alias("target_node_id"), F.lit("canonicalized").alias("edge_type")),
+    ))
+    return rows.select(F.inline(parts)).distinct(), rows.select(F.inline(links)).distinct()
 
 
 def register(spark) -> None:
     ship(spark)
-    for source in (RestSource, SqliteSource):
+    for source in (RestSource, SqliteSource, ResourceSource):
         spark.dataSource.register(source)

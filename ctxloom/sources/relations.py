@@ -119,8 +119,8 @@ def lifecycle_edges(decisions: DataFrame, items: DataFrame, evaluations: DataFra
     parts = [
         edge(decisions, "context_identity", "decision_identity", kind),
         edge(items, "representation_identity", "package_identity", F.lit("included_in_package")),
-        edge(evaluations, "package_identity", "evaluation_identity", F.lit("package_evaluated_by_contract")),
-        edge(evaluations, "contract_identity", "evaluation_identity", F.lit("contract_evaluation")),
+        edge(evaluations, "package_identity", "evaluation_identity", F.lit("evaluated_by_contract")),
+        edge(evaluations, "contract_identity", "evaluation_identity", F.lit("applied_contract")),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -229,37 +229,47 @@ def conformance(spark: SparkSession, relations: Mapping[str, DataFrame], evidenc
 
     n_failed counts every failing key; ``examples`` are the least ``evidence`` of them.  If a
     relation is missing only the presence check is reported.
-    """
-    from ..operators.resolve import not_exactly_one
 
+    Each relation gives, in one scan, a row (check, value, defined, used) for its key and for
+    every reference that it makes or answers; one aggregation over all of them decides every
+    check, so nothing is joined.
+    """
     missing = sorted(set(RELATIONS) - set(relations))
     head = spark.createDataFrame([("presence", not missing, len(missing), missing)], "check string, passed boolean, n_failed long, examples array<string>")
     if missing:
         return head
-    failing = []
-    for name, df in relations.items():
-        if name in RELATIONS:
-            k = F.coalesce(F.trim(F.col(key_of(name))), F.lit(""))
-            failing.append(df.groupBy(k.alias("bad")).agg(F.count(F.lit(1)).alias("n")).where("bad = '' OR n > 1").select(F.lit(f"key:{name}").alias("check"), "bad"))
+    marks: dict[str, list[Column]] = {n: [] for n in RELATIONS}
+
+    def mark(name: str, check: str, column: str, defined: int, used: int, key: bool = False) -> None:
+        value = F.coalesce(F.trim(F.col(column)), F.lit("")) if key else F.when(~blank(F.col(column)), F.col(column))
+        marks[name].append(F.struct(F.lit(check).alias("check"), value.alias("bad"), F.lit(defined).alias("defined"), F.lit(used).alias("used")))
+
+    for name in RELATIONS:
+        mark(name, f"key:{name}", key_of(name), 1, 0, key=True)
     for check, (fk, targets) in REFERENCES.items():
-        name, column = fk.split(".")
-        found = relations[name].where(~blank(F.col(column))).select(F.col(column).alias("bad")).distinct()
+        mark(*fk.split(".")[:1], f"reference:{check}", fk.split(".")[1], 0, 1)
         for t in targets.split():
-            other, pk = t.split(".")
-            found = found.join(relations[other].select(F.col(pk).alias("bad")), "bad", "left_anti")
-        failing.append(found.select(F.lit(f"reference:{check}").alias("check"), "bad"))
-    several = not_exactly_one(relations["context_packages"], "package_identity", relations["context_package_contracts"], "package_identity")
-    failing.append(several.select(F.lit("one_contract").alias("check"), F.col("package_identity").alias("bad")))
-    bad = failing[0]
-    for f in failing[1:]:
-        bad = bad.unionByName(f)
+            mark(*t.split(".")[:1], f"reference:{check}", t.split(".")[1], 1, 0)
+    mark("context_packages", "one_contract", "package_identity", 1, 0)
+    mark("context_package_contracts", "one_contract", "package_identity", 0, 1)
+    rows = None
+    for name in RELATIONS:
+        part = relations[name].select(F.inline(F.array(*marks[name]))).where("bad IS NOT NULL")
+        rows = part if rows is None else rows.unionByName(part)
+    met = rows.groupBy("check", "bad").agg(F.sum("defined").alias("d"), F.sum("used").alias("u"))
+    failing = (
+        F.when(F.startswith("check", F.lit("key:")), (F.col("bad") == "") | (F.col("d") > 1))
+        .when(F.startswith("check", F.lit("reference:")), (F.col("u") > 0) & (F.col("d") == 0))
+        .otherwise((F.col("d") > 0) & (F.col("u") != 1))
+    )
+    bad = met.where(failing).select("check", "bad")
+    counts = bad.groupBy("check").agg(F.count(F.lit(1)).alias("n_failed"))
+    # the limit on the rank holds before the shuffle, so a check with many failing keys is no single task's load
+    least = bad.withColumn("_r", F.row_number().over(_by("check", "bad"))).where(F.col("_r") <= evidence)
+    shown = least.groupBy("check").agg(F.array_sort(F.collect_list("bad")).alias("examples"))
     checks = [f"key:{n}" for n in RELATIONS] + [f"reference:{c}" for c in REFERENCES] + ["one_contract"]
     listed = spark.createDataFrame([(c,) for c in checks], "check string")
-    # the rank is found per check over failing keys alone; the limit bounds what is collected, not what is counted
-    least = bad.withColumn("_r", F.row_number().over(_by("check", "bad"))).groupBy("check").agg(
-        F.count(F.lit(1)).alias("n_failed"), F.array_sort(F.collect_list(F.when(F.col("_r") <= evidence, F.col("bad")))).alias("examples")
-    )
-    rows = listed.join(least, "check", "left").select(
+    rows = listed.join(counts, "check", "left").join(shown, "check", "left").select(
         "check", F.col("n_failed").isNull().alias("passed"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"), F.coalesce("examples", F.array().cast("array<string>")).alias("examples")
     )
     return head.unionByName(rows)
@@ -301,9 +311,21 @@ def declared_test(relations: Mapping[str, DataFrame], kind: str, role: str) -> t
 
 
 def publish(prior: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
-    """The next version of an immutable store; the same key with another value raises ValueError."""
-    clash = prior.select(key, F.col(value).alias("_old")).join(rows, key).where(~F.col("_old").eqNullSafe(F.col(value)))
+    """The next version of an immutable store; a key with two values, in the rows or against the store, raises ValueError."""
+    # two values are enough to tell; a key's rows are reduced before the shuffle
+    ends = rows.groupBy(key).agg(F.min(F.coalesce(F.col(value).cast("string"), F.lit("\0"))).alias("_a"), F.max(F.coalesce(F.col(value).cast("string"), F.lit("\0"))).alias("_z"))
+    stored = prior.select(key, F.coalesce(F.col(value).cast("string"), F.lit("\0")).alias("_old"))
+    clash = ends.join(stored, key, "left").where((F.col("_a") != F.col("_z")) | (F.col("_old") != F.col("_a")))
     first = clash.select(key).orderBy(key).first()
     if first is not None:
         raise ValueError(f"persistence_conflict: {first[0]}")
     return prior.unionByName(rows.dropDuplicates([key]).join(prior.select(key), key, "left_anti"), allowMissingColumns=True)
+
+
+def counts(relations: Mapping[str, DataFrame]) -> DataFrame:
+    """(name, n): rows of each relation."""
+    out = None
+    for name, df in sorted(relations.items()):
+        part = df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out

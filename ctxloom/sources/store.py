@@ -1,18 +1,30 @@
-"""Namespaced, versioned Parquet relations: a new version is written whole, then a pointer names it."""
+"""Namespaced, versioned Parquet relations: files are written first, then a pointer names those of the new version.
+
+A version lists whole folders and, behind them, folders of changes by key.  So adding and
+merging write only what is new; a reader takes the last change of each key over the whole
+folders, and ``compact`` writes them as one.  The pointer also holds the cursor of an
+ingested source, so data and state change at once.
+"""
 
 from __future__ import annotations
 
+import json
 import re
+import urllib.parse
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folders of changes after which a merge writes the relation whole.
+MOST_CHANGES = 16
+
 
 class Store:
     """Relations under <root>/<environment>/<domain>/<name>; readers see the version that the pointer names.
 
-    Writers of one relation are serialised by the caller.  The paths are Hadoop paths.
+    Writers of one relation are serialised by the caller.  The paths are Hadoop paths, so a
+    root may be a bucket with its own scheme and host.
     """
 
     def __init__(self, spark: SparkSession, root: str, environment: str, domain: str):
@@ -20,48 +32,118 @@ class Store:
             _checked(part)
         if re.search(r"[?#]", root):
             raise ValueError("a root has no query or fragment")
+        place = urllib.parse.urlsplit(root)
+        if place.scheme not in ("", "file") and not place.netloc:
+            raise ValueError("a remote root needs a host")
         self.spark, self.base = spark, f"{root.rstrip('/')}/{environment}/{domain}"
 
     def _path(self, path: str):
-        jvm = self.spark._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _versions(self, name: str) -> list[str]:
-        p, fs = self._path(f"{self.base}/{_checked(name)}/current")
+    def _listed(self, path: str) -> list[str]:
+        p, fs = self._path(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
-    def names(self) -> list[str]:
-        p, fs = self._path(self.base)
-        found = [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
-        return sorted(n for n in found if self._versions(n))
+    def _versions(self, name: str) -> list[str]:
+        return self._listed(f"{self.base}/{_checked(name)}/current")
 
-    def read(self, name: str) -> DataFrame:
+    def _state(self, name: str, version: str | None = None) -> dict:
+        """What a version's pointer says; of the last one if none is given."""
         versions = self._versions(name)
         if not versions:
             raise ValueError(f"unknown relation: {name}")
-        parts = self.spark.read.parquet(*[f"{self.base}/{name}/data/{v.split('-', 1)[1]}" for v in versions[-1:]])
-        return parts
+        p, fs = self._path(f"{self.base}/{name}/current/{version or versions[-1]}")
+        stream = fs.open(p)
+        try:
+            return json.loads(bytes(stream.readAllBytes()).decode())
+        finally:
+            stream.close()
+
+    def _write(self, name: str, rows: DataFrame) -> str:
+        folder = uuid.uuid4().hex
+        rows.write.parquet(f"{self.base}/{name}/data/{folder}")
+        return folder
+
+    def _point(self, name: str, state: dict) -> None:
+        versions = self._versions(name)
+        n = int(versions[-1].split("-")[0]) + 1 if versions else 0
+        made, fs = self._path(f"{self.base}/{name}/pending/{uuid.uuid4().hex}")
+        stream = fs.create(made, False)
+        stream.write(bytearray(json.dumps(state).encode()))
+        stream.close()
+        # the pointer comes into being at once and whole
+        place, _ = self._path(f"{self.base}/{name}/current/{n:012d}-{uuid.uuid4().hex}")
+        fs.mkdirs(place.getParent())
+        if not fs.rename(made, place):
+            raise OSError(f"can't publish {name}")
 
-    def _publish(self, name: str, rows: DataFrame) -> None:
-        n = len(self._versions(name))
-        version = uuid.uuid4().hex
-        rows.write.parquet(f"{self.base}/{name}/data/{version}")
-        p, fs = self._path(f"{self.base}/{name}/current/{n:012d}-{version}")
-        fs.create(p, False).close()  # the pointer comes into being at once
+    def names(self) -> list[str]:
+        return [n for n in self._listed(self.base) if not n.endswith(".staged") and self._versions(n)]
+
+    def read(self, name: str, version: str | None = None) -> DataFrame:
+        state = self._state(name, version)
+        folder = lambda f: f"{self.base}/{name}/data/{f}"
+        merged = self.spark.read.option("mergeSchema", "true")
+        whole = merged.parquet(*map(folder, state["whole"]))
+        if not state.get("changes"):
+            return whole
+        from ..operators.state import last_by
+
+        key, parts = state["key"], None
+        for seq, f in enumerate(state["changes"]):
+            part = self.spark.read.parquet(folder(f)).withColumn("__seq", F.lit(seq))
+            parts = part if parts is None else parts.unionByName(part, allowMissingColumns=True)
+        last = last_by(parts, [key], "__seq").drop("__seq")
+        return whole.join(last.select(key), key, "left_anti").unionByName(last, allowMissingColumns=True).select(*whole.columns, *[c for c in last.columns if c not in whole.columns])
 
     def create(self, name: str, rows: DataFrame) -> None:
         if self._versions(name):
             raise ValueError(f"relation exists: {name}")
-        self._publish(name, rows)
+        self.replace(name, rows)
 
     def add(self, name: str, rows: DataFrame) -> None:
+        """Only the new rows are written."""
         if rows.isEmpty():
             raise ValueError("no rows to add")
-        self._publish(name, self.read(name).unionByName(rows, allowMissingColumns=True))
-
-    def replace(self, name: str, rows: DataFrame) -> None:
-        self._publish(name, rows)
+        state = self._state(name)
+        if state.get("changes"):
+            self.compact(name)
+            state = self._state(name)
+        self._point(name, state | {"whole": [*state["whole"], self._write(name, rows)]})
+
+    def replace(self, name: str, rows: DataFrame, cursor: dict | None = None) -> None:
+        _checked(name)
+        self._point(name, {"whole": [self._write(name, rows)]} | ({"cursor": cursor} if cursor else {}))
+
+    def merge(self, name: str, rows: DataFrame, key: str, cursor: dict | None = None) -> None:
+        """Rows replace those of their key, which must be unique in them; only they are written."""
+        state = self._state(name)
+        if state.get("changes") and state["key"] != key or len(state.get("changes", ())) >= MOST_CHANGES:
+            self.compact(name)
+            state = self._state(name)
+        changed = {"changes": [*state.get("changes", ()), self._write(name, rows)], "key": key}
+        self._point(name, state | changed | ({"cursor": cursor} if cursor else {}))
+
+    def compact(self, name: str) -> None:
+        """The same rows as one folder."""
+        state = self._state(name)
+        self._point(name, {"whole": [self._write(name, self.read(name))]} | ({"cursor": state["cursor"]} if state.get("cursor") else {}))
+
+    def vacuum(self, name: str, keep: int = 2) -> int:
+        """Deletes all but the last ``keep`` versions and the folders that none of these names; readers of older versions must be done."""
+        versions = self._versions(name)
+        kept = versions[-max(1, keep) :]
+        used = {f for v in kept for s in [self._state(name, v)] for f in (*s["whole"], *s.get("changes", ()))}
+        gone = [f"current/{v}" for v in versions[: -max(1, keep)]] + [f"data/{f}" for f in self._listed(f"{self.base}/{name}/data") if f not in used]
+        for path in gone:
+            p, fs = self._path(f"{self.base}/{name}/{path}")
+            fs.delete(p, True)
+        return len(gone)
+
+    def cursor(self, name: str) -> dict | None:
+        """The saved cursor of an ingested relation: its type and its value as text."""
+        return self._state(name).get("cursor") if self._versions(name) else None
 
     def metadata(self, name: str) -> dict:
         df = self.read(name)
@@ -82,18 +164,51 @@ def admitted(records: DataFrame, required: list[str]) -> tuple[DataFrame, DataFr
     return marked.where(F.size("missing_concepts") == 0).drop("missing_concepts"), issues
 
 
-def ingest(store: Store, name: str, scan: DataFrame, key: str, content: str, snapshot: bool = True) -> dict[str, int]:
-    """Merge a scan into a relation of (key, content, deleted): changed and new rows replace, absent keys become tombstones in snapshot mode."""
+def ingest(store: Store, name: str, scan: DataFrame, key: str, content: str, snapshot: bool = True, cursor: str | None = None, removed: str | None = None) -> dict[str, int]:
+    """Merge a scan into a relation of its columns and ``deleted``; only changed, new and deleted rows are written.
+
+    In snapshot mode keys that the scan lacks become tombstones that keep their last row.
+    ``removed`` names a boolean column by which the source itself marks deleted rows; these
+    count as changed and as deleted.  ``cursor`` names a column whose largest value, by its
+    own type, is saved with the data; without change nothing is loaded.
+    """
     from ..operators.state import changes
     from ..plans.lineage import settle
 
-    prior = store.read(name) if name in store.names() else scan.limit(0).withColumn("deleted", F.lit(False))
-    found = settle(changes(prior.where("not deleted"), scan, key, content, snapshot))
+    known = name in store.names()
+    gone = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
+    rows = scan.withColumn("deleted", gone).drop(*[removed] if removed and removed != "deleted" else [])
+    prior = store.read(name) if known else rows.limit(0)
+    found = settle(changes(prior.where("not deleted"), rows.where("not deleted"), key, content, snapshot).where(F.col(key).isNotNull()))
     counts = {r[0]: r[1] for r in found.groupBy("change_type").count().collect()}
-    if counts.get("changed", 0) + counts.get("inserted", 0) + counts.get("deleted", 0):
-        # a deleted key keeps its last content; what is neither scanned nor deleted stays as it was
-        fresh = scan.withColumn("deleted", F.lit(False))
-        gone = prior.join(found.where("change_type = 'deleted'").select(key), key, "left_semi").withColumn("deleted", F.lit(True))
-        rest = prior.join(scan.select(key), key, "left_anti").join(gone.select(key), key, "left_anti")
-        store.replace(name, fresh.unionByName(gone, allowMissingColumns=True).unionByName(rest, allowMissingColumns=True))
+    if removed:
+        # a row that the source marks is changed as well as deleted
+        own = rows.where("deleted").join(prior.where("not deleted").select(key), key, "left_semi")
+        n = own.count()
+        found = found.where("change_type <> 'deleted'") if not snapshot else found.join(own.select(key), key, "left_anti")
+        counts = {r[0]: r[1] for r in found.groupBy("change_type").count().collect()}
+        counts["changed"], counts["deleted"] = counts.get("changed", 0) + n, counts.get("deleted", 0) + n
+    saved = _advanced(store.cursor(name) if known else None, scan, cursor) if cursor else None
+    if any(counts.get(k) for k in ("changed", "inserted", "deleted")):
+        emitted = rows.where("not deleted").join(found.where("change_type IN ('changed', 'inserted')").select(key), key, "left_semi")
+        absent = prior.join(found.where("change_type = 'deleted'").select(key), key, "left_semi").withColumn("deleted", F.lit(True))
+        out = emitted.unionByName(absent, allowMissingColumns=True)
+        if removed:
+            out = out.unionByName(own, allowMissingColumns=True)
+        if known:
+            store.merge(name, out, key, saved)
+        else:
+            store.replace(name, out, saved)
+    elif saved and known and saved != store.cursor(name):
+        store._point(name, store._state(name) | {"cursor": saved})
     return {k: counts.get(k, 0) for k in ("inserted", "changed", "reused", "deleted")}
+
+
+def _advanced(prior: dict | None, scan: DataFrame, column: str) -> dict | None:
+    """The larger of the saved cursor and the scan's, compared by the column's type."""
+    kind = dict(scan.dtypes)[column]
+    latest = F.max(F.col(column))
+    if prior:
+        latest = F.greatest(latest, F.lit(prior["value"]).cast(kind))
+    value = scan.agg(latest.cast("string")).first()[0]
+    return None if value is None else {"type": kind, "value": value}

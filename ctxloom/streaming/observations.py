@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.state import last_by
 from ..sources.store import Store, ingest
 
 
@@ -17,12 +19,29 @@ def windowed(stream: DataFrame, at: str, size: str, by: list[str], delay: str =
     return grouped.agg(F.count(F.lit(1)).alias("n"))
 
 
-def merge_stream(stream: DataFrame, store: Store, name: str, key: str, content: str, checkpoint: str):
-    """Merges each micro-batch; the last row of a key wins.  A stream shows no absence, so it makes no tombstones."""
+def merge_stream(stream: DataFrame, store: Store, name: str, key: str, content: str, order: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Merges each micro-batch; of a key's rows in a batch the one with the largest ``order`` wins.
+
+    A stream shows no absence, so it makes no tombstones.  ``order`` must be a column of the
+    events themselves, so that a batch that is run again after a failure merges alike.  With
+    ``once`` the query ends when all that is there has been merged.
+    """
 
     def merge(batch: DataFrame, _: int) -> None:
-        rest = [c for c in batch.columns if c != key]
-        last = batch.groupBy(key).agg(F.max_by(F.struct(*rest), F.monotonically_increasing_id()).alias("_l")) if rest else batch
-        ingest(store, name, last.select(key, *[F.col(f"_l.{c}").alias(c) for c in rest]), key, content, snapshot=False)
+        ingest(store, name, last_by(batch.where(F.col(key).isNotNull()), [key], order), key, content, snapshot=False)
+
+    writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+def publish_stream(stream: DataFrame, store: Store, name: str, checkpoint: str, mode: str = "complete", once: bool = False) -> StreamingQuery:
+    """Publishes a stream's result: the whole table at each batch in complete mode, closed rows added in append mode."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        if mode == "complete" or name not in store.names():
+            store.replace(name, batch)
+        elif not batch.isEmpty():
+            store.add(name, batch)
 
-    return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).start()
+    writer = stream.writeStream.outputMode(mode).foreachBatch(write).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if once else writer).start()

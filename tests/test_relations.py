@@ -74,25 +74,30 @@ def test_publish_is_idempotent_and_refuses_changes(spark):
     assert relations.publish(prior, spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string"), "k", "v").count() == 2
     with pytest.raises(ValueError, match="persistence_conflict: a"):
         relations.publish(prior, spark.createDataFrame([("a", "2")], "k string, v string"), "k", "v")
+    with pytest.raises(ValueError, match="persistence_conflict: b"):  # two values of one batch
+        relations.publish(prior, spark.createDataFrame([("b", "1"), ("b", "2")], "k string, v string"), "k", "v")
+    with pytest.raises(ValueError, match="persistence_conflict: b"):
+        relations.publish(prior, spark.createDataFrame([("b", "1"), ("b", None)], "k string, v string"), "k", "v")
 
 
 DECLARED = {
     "context_model_id": "m", "title": "T",
-    "sources": [{"role": "src"}], "objects": [{"role": "doc", "source": "src"}, {"role": "other", "source": "src"}],
-    "derivations": [{"role": "sum", "inputs": ["doc"], "title": "x"}], "contracts": [{"contract_id": "k"}],
-    "outputs": [{"role": "out", "derivation": "sum", "contract": "k"}], "evaluations": [{"role": "e", "output": "out"}],
+    "sources": [{"role": "src"}], "objects": [{"role": "doc", "source": "src"}, {"role": "other", "source": "src"}, {"role": "sum", "kind": "semantic_derivation", "derived_from": ["doc"], "title": "x"}],
+    "contracts": [{"ref": "k"}], "outputs": [{"role": "out", "target_roles": ["sum"], "contract": "k"}], "evaluations": [{"evaluation_id": "e", "target_outputs": ["out"]}],
 }
 
 
 def test_manifest():
     m = manifest.compile_manifest(DECLARED)
-    shown = {**DECLARED, "title": "U", "objects": DECLARED["objects"][::-1], "derivations": [{"inputs": ["doc"], "role": "sum", "title": "y"}]}
+    shown = {**DECLARED, "title": "U", "objects": [{"title": "y", "derived_from": ["doc"], "kind": "semantic_derivation", "role": "sum"}, *DECLARED["objects"][:2][::-1]]}
     assert manifest.compile_manifest(shown).identity == m.identity
-    changed = manifest.compile_manifest({**DECLARED, "derivations": [{"role": "sum", "inputs": ["doc"], "mode": "short"}]})
+    named = {**DECLARED, "objects": {d["role"]: {k: v for k, v in d.items() if k != "role"} for d in DECLARED["objects"]}}
+    assert manifest.compile_manifest(named).identity == m.identity
+    changed = manifest.compile_manifest({**DECLARED, "objects": [*DECLARED["objects"][:2], {**DECLARED["objects"][2], "mode": "short"}]})
     d = manifest.diff(m, changed)
-    assert d["changed"] == ["derivations:sum"] and d["affected"] == ["derivations:sum", "evaluations:e", "outputs:out"]
+    assert d["changed"] == ["objects:sum"] and d["affected"] == ["evaluations:e", "objects:sum", "outputs:out"]
     assert "objects:doc" in d["unchanged"]
-    for bad in ({"extra": []}, {"sources": [{"role": "src"}, {"role": "src"}]}, {"outputs": [{"role": "o", "contract": "none"}]}, {"sources": [{}]}, {"derivations": [{"role": "a", "inputs": ["b"]}, {"role": "b", "inputs": ["a"]}], "outputs": [], "evaluations": []}):
+    for bad in ({"extra": []}, {"sources": [{"role": "src"}, {"role": "src"}]}, {"outputs": [{"role": "o", "contract": "none"}]}, {"sources": [{}]}, {"objects": [{"role": "a", "derived_from": ["b"]}, {"role": "b", "derived_from": ["a"]}], "outputs": [], "evaluations": []}):
         with pytest.raises(ValueError):
             manifest.compile_manifest({**DECLARED, **bad})
 
