@@ -1,13 +1,15 @@
 """License scans with a positional rare-token index, in DataFrame operations only.
 
-The words of the licence templates are counted over all documents.  Each template is
-indexed by the highest-IDF words of its mandatory phrase.  A document that has index words
-looks up their postings; postings of one template that agree in relative position (document
-place minus template place) form an alignment, whose mandatory phrase is then verified word
-by word at its place.  The share of the template's words found at their places is the
-alignment's score.
+The words of the licence templates are counted over all documents, which ranks them by IDF.
+A file looks up its own licence words, the highest-IDF ones first: of each template as many
+as it takes to have ``rare`` of them and one of the template's mandatory phrase.  Their
+postings are the places where the template has them.  A shift (file place minus template
+place) stays in the intersection if every looked-up word of the phrase stands at its place
+there; the mandatory phrase is then verified word by word at that shift, and the share of
+the template's words found at their places is the alignment's score.
 
-Every table on a join's small side is made of the templates, so its size is theirs.
+The index is a literal of the templates' size, and a file is scanned in its own row: nothing
+of a file is shuffled.
 
 Defined results: a null or empty text has no words, no labels and score 0; repeated rows
 give repeated results; an empty table gives an empty result; other columns are ignored; all
@@ -22,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, prepare, settle
+from .common import documents, prepare
 
 # The base phrases and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -90,77 +92,73 @@ def _words(spaced: Column) -> Column:
     return (F.length(spaced) - F.length(F.replace(spaced, F.lit(" "), F.lit("")))).cast("long")
 
 
-def _table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    """A literal table (no Python data path)."""
-    return spark.range(1).select(F.inline(F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, r, strict=True)]) for r in rows])))
+def _texts(words: list[str]) -> Column:
+    return F.array(*map(F.lit, words))
+
+
+def _index(templates: tuple[Template, ...]) -> Column:
+    """The templates as an array of (label, words, phrase, at, postings), postings being the places of each of its words."""
+    rows = []
+    for t in templates:
+        places = {w: [k for k, x in enumerate(t.words) if x == w] for w in sorted(set(t.words))}
+        postings = F.create_map(*[c for w, ks in places.items() for c in (F.lit(w), F.array(*map(F.lit, ks)))])
+        rows.append(F.struct(F.lit(t.label).alias("label"), _texts(t.words).alias("words"), _texts(t.phrase.split()).alias("phrase"), F.lit(t.at).alias("at"), postings.alias("postings")))
+    return F.array(*rows)
+
+
+def _verified(words: Column, own: Column, t: Column, rare: int) -> Column:
+    """Scores of the template's verified alignments; ``own`` are the file's licence words, highest IDF first."""
+    none = F.array().cast("array<double>")
+    ranked = F.filter(own, lambda w: F.map_contains_key(t["postings"], w))
+    first = F.array_position(F.transform(ranked, lambda w: F.array_contains(t["phrase"], w)), F.lit(True))
+    looked_up = F.slice(ranked, 1, F.greatest(F.lit(rare), first.cast("int")))
+    sure = F.filter(looked_up, lambda w: F.array_contains(t["phrase"], w))
+    key = F.get(sure, F.lit(0))
+    places = F.array_compact(F.transform(words, lambda w, i: F.when(w == key, i)))
+    shifts = F.array_distinct(F.flatten(F.transform(places, lambda p: F.transform(F.element_at(t["postings"], key), lambda k: p - k))))
+    stands = lambda w, shift: F.exists(F.element_at(t["postings"], w), lambda k: F.coalesce(F.get(words, shift + k) == w, F.lit(False)))
+    shared = F.filter(shifts, lambda shift: F.forall(sure, lambda w: stands(w, shift)))
+    begins = lambda shift: shift + t["at"]
+    phrase = F.filter(shared, lambda shift: (begins(shift) >= 0) & (F.slice(words, F.greatest(begins(shift), F.lit(0)) + 1, F.size(t["phrase"])) == t["phrase"]))
+    same = lambda shift: F.size(F.filter(F.transform(t["words"], lambda w, k: F.coalesce(F.get(words, shift + k) == w, F.lit(False))), lambda x: x))
+    return F.when(first > 0, F.transform(phrase, lambda shift: same(shift) / F.size(t["words"]))).otherwise(none)
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[Template, ...] = TEMPLATES, rare: int = RARE) -> DataFrame:
     """Per row: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
-    spark = df.sparkSession
     docs = prepare(df, id_col, text_col)
     vocabulary = sorted({w for t in templates for w in t.words})
-    all_words = F.array(*map(F.lit, vocabulary))
 
     # document frequencies of the templates' words, over all documents: as many rows as the templates have words
-    present = docs.select(F.explode(F.array_intersect(F.split(normal(F.col("_text")), " "), all_words)).alias("word"))
+    present = docs.select(F.explode(F.array_intersect(F.split(normal(F.col("_text")), " "), _texts(vocabulary))).alias("word"))
     frequency = {r[0]: r[1] for r in present.groupBy("word").count().collect()}
-    index = [
-        (i, w, k)
-        for i, t in enumerate(templates)
-        for own in [t.phrase.split()]
-        for w in sorted(set(own), key=lambda w: (frequency.get(w, 0), w))[:rare]
-        for k in [t.at + own.index(w)]
-    ]
-    rarest = F.array(*[F.lit(w) for w in sorted({w for _, w, _ in index})])
+    by_idf = sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))
+    # a file without any phrase's rarest word has no phrase
+    gate = sorted({min(t.phrase.split(), key=by_idf.index) for t in templates})
 
     spaced = docs.select("_id", normal(F.col("_text")).alias("_s"))
     n, first, last = count_places(F.col("_s"), tuple(BASE))
     n_words = F.when(F.length("_s") <= 1, F.lit(0).cast("long")).otherwise(_words(F.col("_s")) - 1)
     listed = F.array_sort(F.array_compact(F.array(*[F.when(F.contains("_s", F.lit(f" {p} ")), F.lit(x)) for p, x in BASE.items()])))
-    words = F.filter(F.split(F.substring(F.col("_s"), 2, 2**31 - 1), " "), lambda w: w != "")
     some = F.lit(False)
-    for w in sorted({w for _, w, _ in index}):
+    for w in gate:
         some = some | F.contains("_s", F.lit(f" {w} "))
-    placed = F.transform(words, lambda w, i: F.struct(i.alias("place"), w.alias("word")))
-    hits = F.when(some, F.filter(placed, lambda x: x["word"].isin(vocabulary)))
-    rows = settle(
-        spaced.select("_id", n_words.alias("_n_words"), n.alias("_n_base"), first.alias("_first"), last.alias("_last"), listed.alias("_base"), hits.alias("_hits"))
-        .withColumn("_row", F.monotonically_increasing_id())
-    )
-
-    found = rows.where(F.col("_hits").isNotNull() & F.arrays_overlap(F.transform("_hits", lambda x: x["word"]), rarest)).select("_row", F.inline("_hits"))
-    postings = _table(spark, index, ["template", "word", "at"])
-    need = {i: len({w for j, w, _ in index if j == i}) for i in range(len(templates))}
-    aligned = (
-        found.join(F.broadcast(postings), "word")
-        .groupBy("_row", "template", (F.col("place") - F.col("at")).alias("shift"))
-        .agg(F.count_distinct("word").alias("votes"))
-        .join(F.broadcast(_table(spark, sorted(need.items()), ["template", "need"])), "template")
-        .where("votes = need")
-    )
-    every = [(i, k, w, t.at <= k < t.at + len(t.phrase.split())) for i, t in enumerate(templates) for k, w in enumerate(t.words)]
-    size = [(i, len(t.words), len(t.phrase.split()), t.label) for i, t in enumerate(templates)]
-    expected = aligned.join(F.broadcast(_table(spark, every, ["template", "at", "word", "must"])), "template").select("_row", "template", "shift", (F.col("shift") + F.col("at")).cast("int").alias("place"), "word", "must")
-    verified = (
-        expected.join(found, ["_row", "place", "word"])
-        .groupBy("_row", "template", "shift")
-        .agg(F.count(F.lit(1)).alias("same"), F.sum(F.col("must").cast("int")).alias("sure"))
-        .join(F.broadcast(_table(spark, size, ["template", "length", "mandatory", "label"])), "template")
-        .where("sure = mandatory")
-        .groupBy("_row")
-        .agg(F.collect_set("label").alias("_labels"), F.round(F.max(F.col("same") / F.col("length")), 6).alias("_score"))
-    )
-    out = rows.join(verified, "_row", "left")
-    return out.select(
+    words = F.when(some, F.split(F.substring(F.col("_s"), 2, 2**31 - 1), " "))
+    rows = spaced.select("_id", n_words.alias("_n_words"), n.alias("_n_base"), first.alias("_first"), last.alias("_last"), listed.alias("_base"), words.alias("_w"))
+    # in the order of the literal, which is the order by IDF
+    rows = rows.withColumn("_own", F.array_intersect(_texts(by_idf), "_w"))
+    scores = F.transform(_index(templates), lambda t: F.struct(t["label"].alias("label"), F.array_max(_verified(F.col("_w"), F.col("_own"), t, rare)).alias("score")))
+    rows = rows.withColumn("_found", F.when(F.col("_w").isNotNull(), F.filter(scores, lambda x: x["score"].isNotNull())))
+    labels = F.coalesce(F.transform("_found", lambda x: x["label"]), F.array().cast("array<string>"))
+    return rows.select(
         F.col("_id").alias(id_col),
         F.col("_n_words").alias("n_words"),
         F.col("_n_base").alias("n_base"),
         F.col("_first").alias("first_word"),
         F.col("_last").alias("last_word"),
         F.array_join("_base", ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("_base", F.coalesce("_labels", F.array().cast("array<string>")))), ",").alias("labels"),
-        F.coalesce("_score", F.lit(0.0)).alias("score"),
+        F.array_join(F.array_sort(F.array_union("_base", labels)), ",").alias("labels"),
+        F.coalesce(F.round(F.array_max(F.transform("_found", lambda x: x["score"])), 6), F.lit(0.0)).alias("score"),
     )
 
 
