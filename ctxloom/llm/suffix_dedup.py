@@ -144,31 +144,26 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Per row: id, n_bytes, n_removed, n_spans, kept_sha256, and spans (array of removed (start, end) in bytes)."""
     spark = df.sparkSession
     base = prepare(df, id_col, text_col)
+    # a row is known by its id and the digest of its text, so rows of one id don't meet in one place
+    base = base.withColumn("_digest", F.substring(F.unhex(F.sha2(F.coalesce("_text", F.lit("")).cast("binary"), 256)), 1, 16))
 
     def first_pass(batch: pa.RecordBatch) -> dict:
         raws = text_bytes(batch.column("_text"))
-        return {
-            "_id": batch.column("_id"), "_digest": [_digest(x) for x in raws], "_n": [len(x) for x in raws],
-            "_hashes": [anchors(x, length)[0].view(np.int64) for x in raws],
-        }
+        return {"_id": batch.column("_id"), "_digest": batch.column("_digest"), "_n": [len(x) for x in raws], "_hashes": [anchors(x, length)[0].view(np.int64) for x in raws]}
 
     found = settle(map_rows(base, first_pass, "_id long, _digest binary, _n long, _hashes array<long>").where(F.col("_n") >= length))
     rows = settle(found.select("_id", "_digest", "_n"))
     copies = rows.groupBy("_digest").agg(F.min("_id").alias("_rep"), F.count(F.lit(1)).alias("_copies"))
-    wanted = settle(_shared_anchors(found, group).join(copies.select("_digest", "_rep"), "_digest"))
+    wanted = settle(_shared_anchors(found, group).join(copies.select("_digest", "_rep"), "_digest").withColumnRenamed("_digest", "_of"))
     del found  # the anchors of all texts need the shared folder no longer
     release(spark)
 
-    by_id = wanted.groupBy("_rep").agg(F.collect_list(F.struct("_digest", "_cuts")).alias("_wanted"))
-    sources = base.join(by_id, F.col("_id").eqNullSafe(F.col("_rep"))).select("_text", "_wanted")
+    sources = base.join(wanted, F.col("_id").eqNullSafe(F.col("_rep")) & (F.col("_digest") == F.col("_of"))).select("_text", "_digest", "_cuts")
 
     def cut(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("_hash", "_parts", "_digest", "_first", "_count", "_piece")}
-        for raw, every in zip(text_bytes(batch.column("_text")), batch.column("_wanted").to_pylist(), strict=True):
-            own = _digest(raw)
-            parts = {c["_hash"]: c["_parts"] for c in next((x["_cuts"] for x in every if x["_digest"] == own), [])}
-            if not parts:
-                continue
+        for raw, own, cuts in zip(text_bytes(batch.column("_text")), batch.column("_digest").to_pylist(), batch.column("_cuts").to_pylist(), strict=True):
+            parts = {c["_hash"]: c["_parts"] for c in cuts}
             hashes, firsts, counts = anchors(raw, length)
             for h, first, count in zip(hashes.view(np.int64).tolist(), firsts.tolist(), counts.tolist(), strict=True):
                 if h in parts:
@@ -180,24 +175,22 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     out["_piece"].append(raw[first : first + count + length - 1])
         return out
 
-    # rows with one id and equal texts give the same pieces more than once
+    # equal rows of one id give the same pieces more than once
     pieces = map_rows(sources, cut, "_hash long, _parts int, _digest binary, _first int, _count int, _piece binary")
     spans = _covered(pieces, length)
     whole = copies.where("_copies > 1").select("_digest")
     removed = (
         spans.join(whole, "_digest", "left_anti")
-        .groupBy("_digest").agg(F.collect_list(F.struct("_from", "_to")).alias("_spans"))
+        .groupBy("_digest").agg(F.collect_list(F.struct("_from", "_to")).alias("_spans"))  # the spans of one text
         .unionByName(rows.select("_digest", "_n").distinct().join(whole, "_digest").select("_digest", F.array(F.struct(F.lit(0).alias("_from"), F.col("_n").cast("int").alias("_to"))).alias("_spans")))
     )
-    by_id = rows.select("_id", "_digest").distinct().join(removed, "_digest").groupBy("_id").agg(F.collect_list(F.struct("_digest", "_spans")).alias("_removed")).withColumnRenamed("_id", "_rid")
-    by_id = settle(by_id)
+    of_rows = settle(rows.select("_id", "_digest").distinct().join(removed, "_digest").select(F.col("_id").alias("_rid"), F.col("_digest").alias("_of"), "_spans"))
 
     def finish(batch: pa.RecordBatch) -> dict:
         out: dict[str, list] = {k: [] for k in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")}
-        for raw, every in zip(text_bytes(batch.column("_text")), batch.column("_removed").to_pylist(), strict=True):
+        for raw, spans in zip(text_bytes(batch.column("_text")), batch.column("_spans").to_pylist(), strict=True):
             merged: list[list[int]] = []
-            own = _digest(raw) if every else b""
-            for a, b in sorted((s["_from"], s["_to"]) for x in every or [] if x["_digest"] == own for s in x["_spans"]):
+            for a, b in sorted((s["_from"], s["_to"]) for s in spans or []):
                 if merged and a <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], b)
                 else:
@@ -211,7 +204,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             out["spans"].append([{"start": a, "end": b} for a, b in merged])
         return out | {"_id": batch.column("_id")}
 
-    joined = base.join(by_id, F.col("_id").eqNullSafe(F.col("_rid")), "left").select("_id", "_text", "_removed")
+    joined = base.join(of_rows, F.col("_id").eqNullSafe(F.col("_rid")) & (F.col("_digest") == F.col("_of")), "left").select("_id", "_text", "_spans")
     out = map_rows(joined, finish, "_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start: long, end: long>>")
     return out.withColumnRenamed("_id", id_col)
 
