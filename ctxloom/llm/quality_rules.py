@@ -26,8 +26,8 @@ SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 BROADCAST_HOSTS = 100_000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
-#: The stricter rules of condemned hosts, and the shrunk failure rate from which a host is condemned.
-SYMBOL_PERCENT, DUP_LINES, STRICT_REPEAT_PERCENT, HOST_RATE = 10, 5, 30, 0.5
+#: The stricter rules of condemned hosts, and the shrunk failure rate above which a host is condemned: a tenth of its documents.
+SYMBOL_PERCENT, DUP_LINES, STRICT_REPEAT_PERCENT, HOST_RATE = 10, 5, 30, 0.1
 
 
 def measure(raw: bytes) -> tuple[int, int, int, int, int]:
