@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, map_rows, prepare
 
-CHUNK = 1 << 16
+CHUNK = 1 << 15
 OVERLAP = 1 << 10
 DIGESTS = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
