@@ -121,7 +121,7 @@ def test_schema_and_nested_values(spark):
     assert schema.json_safe(value) == {"d": "2024-01-02", "n": "1.50", "x": ["01", {"t": "2024-01-02T03:00:00"}]}
     assert identity.ingest_identity({"b": "é", "a": datetime.date(2024, 1, 2)}) == "sha256:" + identity.hashlib.sha256(b'{"a":"2024-01-02","b":"\\u00e9"}').hexdigest()
     one = spark.createDataFrame([({"k": [1.5, None]}, "é")], "m map<string,array<double>>, s string")
-    assert one.select(identity.canonical(F.struct(F.col("s").alias("s"), F.col("m").alias("m")))).first()[0] == '{"m":{"k":[1.5,null]},"s":"é"}'
+    assert one.select(identity.canonical(F.struct(F.col("s").alias("s"), F.col("m").alias("m"))).alias("c")).first()[0] == '{"m":{"k":[1.5,null]},"s":"é"}'
 
 
 def test_times(spark):
