@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import gc
-import re
-import tempfile
 import time
 import uuid
 from collections.abc import Callable, Iterator
@@ -14,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.lineage import shared_folder
 from ..session import ship
 
 
@@ -21,19 +20,6 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where that is unset on one machine, as in tests, a temporary folder."""
-    context = spark.sparkContext
-    known = context._jsc.sc().getCheckpointDir()
-    if known.isEmpty():
-        folder = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the cluster shares")
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="ctxloom-checkpoint-"))
-        known = context._jsc.sc().getCheckpointDir()
-    return known.get()
-
-
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage in the shared folder."""
     spark = df.sparkSession
