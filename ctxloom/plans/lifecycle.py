@@ -14,6 +14,7 @@ from ..functions.text import parse_time
 from ..operators import requests, resolve
 from ..sources import relations
 from ..sources.store import Store
+from .lineage import settle
 
 #: Relations that are published at once.
 WRITERS = 8
@@ -166,7 +167,8 @@ def run(
     decisions = decision_rows(candidates)
     if packages is None:
         packages, items = default_packages(decisions)
-    evaluated = resolve.evaluate(measured(packages, items, outputs, consumer, task, purpose, contract.authority_level, **context), contract)
+    # computed once, as five relations read the verdicts
+    evaluated = settle(resolve.evaluate(measured(packages, items, outputs, consumer, task, purpose, contract.authority_level, **context), contract))
     evaluations, bindings, allowed = publication(evaluated, contract_identity)
     contracts = spark.createDataFrame([(contract_identity, "active")], "contract_identity string, status string")
     made = relations.materialize(

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators import requests, resolve, state
+from ..operators import resolve, state
 from ..sources import relations
 from . import lifecycle
-from .library import _EDGES, _lifecycle_inputs
+from .library import _lifecycle_inputs
 from .lineage import scratch
 from .registry import register, table
 
@@ -145,7 +145,7 @@ def package_item_order(spark, sf_dir):
 DECLARED = {
     "contract_id": "orders", "version": "2", "title": "shown only",
     "rules": {
-        "consumers": ["1-URGENT", "2-HIGH", "3-MEDIUM"], "permitted_tasks": ["O", "F"], "purposes": ["O", "P"], "prohibited_uses": "nothing", "budgets": {"max_package_items": 6, "max_tokens": 150, "max_bytes": 40000},
+        "consumers": ["1-URGENT", "2-HIGH", "3-MEDIUM"], "permitted_tasks": ["O", "F"], "purposes": ["O", "P"], "prohibited_uses": "F", "budgets": {"max_package_items": 6, "max_tokens": 150, "max_bytes": 40000},
         "citations_required": True, "freshness": {"required": True}, "required_authority_level": "verified", "valid_time_range": {"until": "2001-06-01"},
     },
 }
@@ -160,7 +160,7 @@ _MEASURED = """SELECT o_orderkey, any_value(o_orderpriority) AS consumer, any_va
 @register(
     f"""WITH m AS ({_MEASURED}), v AS (SELECT *, array_to_string(list_filter([
       CASE WHEN consumer NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM') THEN 'unauthorized_consumer' END, CASE WHEN task NOT IN ('O', 'F') THEN 'unsupported_task' END,
-      CASE WHEN task NOT IN ('O', 'P') THEN 'unsupported_purpose' END, CASE WHEN n_items > 6 THEN 'max_items_exceeded' END, CASE WHEN n_tokens > 150 THEN 'max_tokens_exceeded' END,
+      CASE WHEN task NOT IN ('O', 'P') THEN 'unsupported_purpose' END, CASE WHEN task = 'F' THEN 'prohibited_use' END, CASE WHEN n_items > 6 THEN 'max_items_exceeded' END, CASE WHEN n_tokens > 150 THEN 'max_tokens_exceeded' END,
       CASE WHEN n_bytes > 40000 THEN 'max_bytes_exceeded' END, CASE WHEN uncited THEN 'missing_required_citations' END, CASE WHEN superseded THEN 'superseded_evidence_rejected' END,
       CASE WHEN as_of > TIMESTAMP '2001-06-01' OR until < as_of THEN 'freshness_expired' END], lambda x: x IS NOT NULL), ',') AS violated FROM m)
     SELECT violated, CASE WHEN violated <> '' THEN 'deny' WHEN NOT auth THEN 'abstain' ELSE 'allow' END AS decision, count(*) AS n FROM v GROUP BY 1, 2"""

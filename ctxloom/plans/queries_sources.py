@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
 from pyspark.sql import functions as F
 
 from ..functions import identity
@@ -9,6 +12,7 @@ from ..operators import state
 from ..sources import acquire, readers
 from ..sources.store import Store, ingest
 from ..streaming import observations
+from . import models
 from .lineage import scratch
 from .registry import register, table
 
@@ -271,3 +275,85 @@ def identity_conventions(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(
         "c_custkey", identity.over_json(named, identity.ingest_identity).alias("identity"), identity.over_json(F.struct(F.col("c_name").alias("name")), identity.row_hash).alias("row_hash")
     )
+
+
+# --- scans and declarations ------------------------------------------------------------------------
+
+
+@register("""SELECT 'train/' || r_name || '/' || r_regionkey || '.png' AS member, 'sha256:' || sha256(r_name) AS image_sha256, strlen(r_name) AS byte_count, r_name AS label FROM region""")
+def archive_members(spark, sf_dir):
+    regions = table(spark, sf_dir, "region").orderBy("r_regionkey").collect()  # five regions
+    body = io.BytesIO()
+    with zipfile.ZipFile(body, "w") as archive:
+        for r in regions:
+            archive.writestr(f"train/{r['r_name']}/{r['r_regionkey']}.png", r["r_name"])
+    folder = scratch(spark, "archive")
+    acquire.write_bytes(spark, f"{folder}/images.zip", body.getvalue())
+    wanted = acquire.Selection("owner/images", REVISION, "images.zip", "mit", members=tuple(sorted(f"train/{r['r_name']}/{r['r_regionkey']}.png" for r in regions)))
+    records, judgments = acquire.acquire_members(spark, folder, CARD, wanted)
+    return records.join(judgments.select("asset_id", "label"), "asset_id").select("member", "image_sha256", "byte_count", "label")
+
+
+@register("""SELECT 'res://' || r_regionkey AS uri, r_name AS name, 'text/plain' AS mime_type, upper(r_name) AS text FROM region""")
+def resource_scan(spark, sf_dir):
+    """A client that lists the regions' names, which it got where it was made, on two pages."""
+    readers.register(spark)
+    names = [r[0] for r in table(spark, sf_dir, "region").select("r_name").orderBy("r_regionkey").collect()]  # five regions
+    rows = spark.read.format("ctxloom_resources").option("client", "ctxloom.plans.queries_sources:listing").option("argument", ",".join(names)).load()
+    return rows.select("uri", "name", "mime_type", "text")
+
+
+class listing:  # noqa: N801 (named like the function that it stands for)
+    def __init__(self, argument: str):
+        self.names = argument.split(",")
+
+    def list(self, token):
+        items = [{"uri": f"res://{i}", "name": n, "mimeType": "text/plain"} for i, n in enumerate(self.names)]
+        return (items[:2], "more") if token is None else (items[2:], None)
+
+    def read(self, uri):
+        return {"text": self.names[int(uri.removeprefix("res://"))].upper()}
+
+
+@register("SELECT * FROM (VALUES (1, 100), (101, 1), (350, 1)) t(start, length)")
+def window_coalescing(spark, sf_dir):
+    return spark.createDataFrame(readers.row_windows([5, 1, 5, 100, 101, 350]), "start int, length int")
+
+
+@register("SELECT * FROM (VALUES ('fits', true), ('unmapped identity', false), ('bound twice', false), ('unbound resource', false), ('foreign concept', false), ('no cursor', false), ('unknown deletion', false), ('repeated concept', false), ('open identity', false)) t(declaration, accepted)")
+def source_declarations(spark, sf_dir):
+    contract = lambda **more: readers.Contract(**({"concepts": ("id", "body", "at"), "identity": ("id",), "resource": "r"} | more))
+    cases = {
+        "fits": lambda: readers.check_binding([contract(mode="incremental", cursor="at", deletion="tombstone")], [("r", {"id": "k", "at": "t"})]),
+        "unmapped identity": lambda: readers.check_binding([contract()], [("r", {"body": "b"})]),
+        "bound twice": lambda: readers.check_binding([contract()], [("r", {"id": "k"}), ("r", {"id": "k"})]),
+        "unbound resource": lambda: readers.check_binding([contract()], []),
+        "foreign concept": lambda: readers.check_binding([contract()], [("r", {"id": "k", "z": "z"})]),
+        "no cursor": lambda: contract(mode="cdc"),
+        "unknown deletion": lambda: contract(deletion="soft"),
+        "repeated concept": lambda: contract(concepts=("id", "id")),
+        "open identity": lambda: contract(identity=("z",)),
+    }
+    rows = []
+    for name, case in cases.items():
+        try:
+            case()
+            rows.append((name, True))
+        except ValueError:
+            rows.append((name, False))
+    return spark.createDataFrame(rows, "declaration string, accepted boolean")
+
+
+@register("SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type HAVING count(*) > (SELECT count(*) / 6 FROM events)")
+def sql_models(spark, sf_dir):
+    """Two models in dependency order; one whose test fails leaves what was published."""
+    s = _store(spark, "models")
+    s.create("events", table(spark, sf_dir, "events").select("event_type", "value"))
+    totals = models.Model("totals", "SELECT event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY event_type", ("events",), ("non_empty", "unique:event_type"))
+    frequent = models.Model("frequent", "SELECT * FROM totals WHERE n > (SELECT sum(n) / 6 FROM totals)", ("totals",))
+    models.run_models(s, [frequent, totals])
+    try:
+        models.run_models(s, [models.Model("frequent", "SELECT event_type, 1L AS n, 0.0D AS total FROM events", ("events",), ("unique:event_type",))])
+    except ValueError:
+        return s.read("frequent")
+    raise AssertionError("a failed test was published")

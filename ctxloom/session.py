@@ -14,6 +14,7 @@ _shipped: set[str] = set()
 def session(app: str = "ctxloom", master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session in UTC with adaptive execution; settings already made by the cluster stay."""
     builder = SparkSession.builder.appName(app).config("spark.sql.session.timeZone", "UTC").config("spark.sql.adaptive.enabled", "true")
+    builder = builder.config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")  # cut lineage goes when no plan needs it
     if master:
         builder = builder.master(master)
     if shuffle_partitions:

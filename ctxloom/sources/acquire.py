@@ -244,6 +244,14 @@ def content_issues(content: Column, sha256: Column, size: Column | None = None)
     return F.when(content.isNull(), "missing").when(~actual.eqNullSafe(sha256), "hash").when(wrong_size, "size")
 
 
+def write_bytes(spark: SparkSession, path: str, body: bytes) -> None:
+    """A new file at a Hadoop path; the bytes are the driver's own."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, False)
+    stream.write(bytearray(body))
+    stream.close()
+
+
 def write_artifacts(spark: SparkSession, root: str, artifacts: Mapping[str, object]) -> DataFrame:
     """Canonical JSON files under a root and their index (path, sha256, size, media_type); the values are the driver's own and small."""
     index = []
@@ -251,10 +259,7 @@ def write_artifacts(spark: SparkSession, root: str, artifacts: Mapping[str, obje
         if path.startswith("/") or ".." in path.split("/"):
             raise ValueError(f"unsafe path: {path}")
         body = canonical_json(value).encode()
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{path}")
-        stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(p, False)
-        stream.write(bytearray(body))
-        stream.close()
+        write_bytes(spark, f"{root.rstrip('/')}/{path}", body)
         index.append((path, "sha256:" + hashlib.sha256(body).hexdigest(), len(body), "application/json"))
     return spark.createDataFrame(index, "path string, sha256 string, size long, media_type string")
 

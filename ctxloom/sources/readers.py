@@ -176,7 +176,8 @@ class _Resources(DataSourceReader):
 
     def read(self, partition):
         module, _, name = self.factory.partition(":")
-        for record in resources(getattr(importlib.import_module(module), name)(), Limits.of(self.options)):
+        argument = [self.options["argument"]] if "argument" in self.options else []
+        for record in resources(getattr(importlib.import_module(module), name)(*argument), Limits.of(self.options)):
             yield tuple(record[c] for c in RESOURCE_COLUMNS)
 
 
@@ -185,7 +186,7 @@ RESOURCE_COLUMNS = ("uri", "name", "mime_type", "text", "blob")
 
 
 class ResourceSource(DataSource):
-    """Options: client (``module:function`` that makes a client where the executors can import it), max_*."""
+    """Options: client (``module:function`` that makes a client where the executors can import it), argument (given to it), max_*."""
 
     @classmethod
     def name(cls):

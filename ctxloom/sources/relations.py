@@ -16,36 +16,120 @@ from ..functions.identity import struct_identity
 from ..functions.text import blank, preview
 from ..operators.state import last_by
 
-MODEL = "context_model_id context_model_revision"
+#: The columns by which a row names its model.
+MODEL = ("context_model_id", "context_model_revision")
 
-# Relation names, their key first, then the declared columns (string unless a type follows).
+# The standard relations and their columns in the declared order.
 RELATIONS = {
-    "context_models": f"context_model_identity {MODEL} semantic_identity title status manifest_json",
-    "context_objects": f"object_identity {MODEL} object_role object_kind source_system source_key current_snapshot_identity status display_name",
-    "context_snapshots": f"snapshot_identity object_identity {MODEL} snapshot_role source_system source_key observed_at content_ref content_sha256 media_type byte_length:bigint change_type status payload_json",
-    "context_assertions": f"assertion_identity {MODEL} assertion_subject assertion_type evidence_identities:array<string> status value_json",
-    "context_catalog": f"canonical_identity display_name {MODEL} object_kind schema_id schema_revision source_system source_key media_type evidence_preview preview content_ref operation_name status authority_status temporal_status policy_id as_of physical_relation",
-    "context_outputs": f"identity output_identity {MODEL} output_role output_kind status value value_json payload_json",
-    "context_retrieval": "retrieval_identity identity context_identity vector:array<double> text context_model_id status",
-    "authority_policies": f"policy_identity {MODEL} policy_role target_role policy_ref settings_json status",
-    "context_contracts": f"contract_identity {MODEL} contract_id contract_version semantic_identity rules_json status",
-    "context_package_contracts": f"binding_identity package_identity {MODEL} contract_identity contract_version evaluation_identity decision",
-    "contract_evaluations": f"evaluation_identity package_identity {MODEL} contract_identity contract_version decision violated_rules:array<string> explanation evaluated_at evaluator_identity",
-    "resolution_decisions": f"decision_identity {MODEL} candidate_identity outcome reason_code request_identity resolution_identity context_identity selected_identity",
-    "resolution_candidates": f"candidate_identity {MODEL} context_identity retrieval_identity semantic_score:double retrieval_rank:bigint request_identity resolution_identity task_id",
-    "lineage_nodes": f"canonical_node_id display_name {MODEL} node_kind node_type source_system source_key schema_id schema_revision operation_name status preview content_ref media_type",
-    "lineage_edges": f"edge_identity {MODEL} source_node_id target_node_id edge_type operation_identity run_identity",
-    "context_packages": f"package_identity {MODEL} task_id package_kind budget_tokens:bigint metadata",
-    "package_items": f"package_item_identity package_identity {MODEL} representation_identity role rank:bigint token_estimate:bigint evidence_identities:array<string>",
+    "context_models": {
+        "context_model_identity": "string", "context_model_id": "string", "context_model_revision": "string", "semantic_identity": "string",
+        "title": "string", "status": "string", "manifest_json": "string",
+    },
+    "context_objects": {
+        "object_identity": "string", "context_model_id": "string", "context_model_revision": "string", "object_role": "string",
+        "object_kind": "string", "source_system": "string", "source_key": "string", "current_snapshot_identity": "string", "status": "string",
+        "display_name": "string",
+    },
+    "context_snapshots": {
+        "snapshot_identity": "string", "object_identity": "string", "context_model_id": "string", "context_model_revision": "string",
+        "snapshot_role": "string", "source_system": "string", "source_key": "string", "observed_at": "string", "content_ref": "string",
+        "content_sha256": "string", "media_type": "string", "byte_length": "bigint", "change_type": "string", "status": "string",
+        "payload_json": "string",
+    },
+    "context_assertions": {
+        "assertion_identity": "string", "context_model_id": "string", "context_model_revision": "string", "assertion_subject": "string",
+        "assertion_type": "string", "evidence_identities": "array<string>", "status": "string", "value_json": "string",
+    },
+    "context_catalog": {
+        "canonical_identity": "string", "display_name": "string", "context_model_id": "string", "context_model_revision": "string",
+        "object_kind": "string", "schema_id": "string", "schema_revision": "string", "source_system": "string", "source_key": "string",
+        "media_type": "string", "evidence_preview": "string", "preview": "string", "content_ref": "string", "operation_name": "string",
+        "status": "string", "authority_status": "string", "temporal_status": "string", "policy_id": "string", "as_of": "string",
+        "physical_relation": "string",
+    },
+    "context_outputs": {
+        "identity": "string", "output_identity": "string", "context_model_id": "string", "context_model_revision": "string", "output_role": "string",
+        "output_kind": "string", "status": "string", "value": "string", "value_json": "string", "payload_json": "string",
+    },
+    "context_retrieval": {
+        "identity": "string", "context_identity": "string", "retrieval_identity": "string", "vector": "array<double>", "text": "string",
+        "context_model_id": "string", "status": "string",
+    },
+    "authority_policies": {
+        "policy_identity": "string", "context_model_id": "string", "context_model_revision": "string", "policy_role": "string",
+        "target_role": "string", "policy_ref": "string", "settings_json": "string", "status": "string",
+    },
+    "context_contracts": {
+        "contract_identity": "string", "context_model_id": "string", "context_model_revision": "string", "contract_id": "string",
+        "contract_version": "string", "semantic_identity": "string", "rules_json": "string", "status": "string",
+    },
+    "context_package_contracts": {
+        "binding_identity": "string", "package_identity": "string", "context_model_id": "string", "context_model_revision": "string",
+        "contract_identity": "string", "contract_version": "string", "evaluation_identity": "string", "decision": "string",
+    },
+    "contract_evaluations": {
+        "evaluation_identity": "string", "package_identity": "string", "context_model_id": "string", "context_model_revision": "string",
+        "contract_identity": "string", "contract_version": "string", "decision": "string", "violated_rules": "array<string>",
+        "explanation": "string", "evaluated_at": "string", "evaluator_identity": "string",
+    },
+    "resolution_decisions": {
+        "decision_identity": "string", "context_model_id": "string", "context_model_revision": "string", "candidate_identity": "string",
+        "outcome": "string", "reason_code": "string", "request_identity": "string", "resolution_identity": "string", "context_identity": "string",
+        "selected_identity": "string",
+    },
+    "resolution_candidates": {
+        "candidate_identity": "string", "context_model_id": "string", "context_model_revision": "string", "context_identity": "string",
+        "retrieval_identity": "string", "semantic_score": "double", "retrieval_rank": "bigint", "request_identity": "string",
+        "resolution_identity": "string", "task_id": "string",
+    },
+    "lineage_nodes": {
+        "canonical_node_id": "string", "display_name": "string", "context_model_id": "string", "context_model_revision": "string",
+        "node_kind": "string", "node_type": "string", "source_system": "string", "source_key": "string", "schema_id": "string",
+        "schema_revision": "string", "operation_name": "string", "status": "string", "preview": "string", "content_ref": "string",
+        "media_type": "string",
+    },
+    "lineage_edges": {
+        "edge_identity": "string", "context_model_id": "string", "context_model_revision": "string", "source_node_id": "string",
+        "target_node_id": "string", "edge_type": "string", "operation_identity": "string", "run_identity": "string",
+    },
+    "context_packages": {
+        "package_identity": "string", "context_model_id": "string", "context_model_revision": "string", "task_id": "string",
+        "package_kind": "string", "budget_tokens": "bigint", "metadata": "string",
+    },
+    "package_items": {
+        "package_item_identity": "string", "package_identity": "string", "context_model_id": "string", "context_model_revision": "string",
+        "representation_identity": "string", "role": "string", "rank": "bigint", "token_estimate": "bigint", "evidence_identities": "array<string>",
+    },
+}
+
+# The key of each relation.
+KEYS = {
+    "context_models": "context_model_identity",
+    "context_objects": "object_identity",
+    "context_snapshots": "snapshot_identity",
+    "context_assertions": "assertion_identity",
+    "context_catalog": "canonical_identity",
+    "context_outputs": "identity",
+    "context_retrieval": "retrieval_identity",
+    "authority_policies": "policy_identity",
+    "context_contracts": "contract_identity",
+    "context_package_contracts": "binding_identity",
+    "contract_evaluations": "evaluation_identity",
+    "resolution_decisions": "decision_identity",
+    "resolution_candidates": "candidate_identity",
+    "lineage_nodes": "canonical_node_id",
+    "lineage_edges": "edge_identity",
+    "context_packages": "package_identity",
+    "package_items": "package_item_identity",
 }
 
 
 def fields(name: str) -> dict[str, str]:
-    return {f.split(":")[0]: f.split(":")[1] if ":" in f else "string" for f in RELATIONS[name].split()}
+    return RELATIONS[name]
 
 
 def key_of(name: str) -> str:
-    return RELATIONS[name].split()[0]
+    return KEYS[name]
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
@@ -149,7 +233,7 @@ def materialize(spark: SparkSession, model: Mapping[str, str], observations: Dat
     unknown = set(given) - set(RELATIONS)
     if unknown:
         raise ValueError(f"unknown relations: {sorted(unknown)}")
-    stamp = {c: F.lit(model.get(c)) for c in MODEL.split()}
+    stamp = {c: F.lit(model.get(c)) for c in MODEL}
 
     def stamped(df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.coalesce(_has(df, c), v) for c, v in stamp.items()})
@@ -160,7 +244,7 @@ def materialize(spark: SparkSession, model: Mapping[str, str], observations: Dat
 
     seen = stamped(observations).withColumn("object_identity", _id(source_system=F.col("source_system"), source_key=F.col("source_key")))
     objects = seen.select(
-        "object_identity", *MODEL.split(), "object_role", _has(seen, "object_kind").alias("object_kind"), "source_system", "source_key",
+        "object_identity", *MODEL, "object_role", _has(seen, "object_kind").alias("object_kind"), "source_system", "source_key",
         F.col("snapshot_identity").alias("current_snapshot_identity"), _has(seen, "status").alias("status"), _has(seen, "display_name").alias("display_name"),
         _has(seen, "_seq", "long").alias("_seq"),
     )
@@ -174,7 +258,7 @@ def materialize(spark: SparkSession, model: Mapping[str, str], observations: Dat
     inputs = _either(_has(made, "derived_from", "array<string>"), _has(made, "input_identities", "array<string>"))
     evidence = _either(_has(made, "evidence_identities", "array<string>"), inputs)
     asserted = made.where(F.coalesce(_has(made, "publish_assertion", "boolean"), F.lit(True))).select(
-        _id(output=F.col("identity"), type=F.lit("output")).alias("assertion_identity"), *MODEL.split(), F.col("identity").alias("assertion_subject"),
+        _id(output=F.col("identity"), type=F.lit("output")).alias("assertion_identity"), *MODEL, F.col("identity").alias("assertion_subject"),
         _has(made, "kind").alias("assertion_type"), evidence.alias("evidence_identities"), _has(made, "status").alias("status"), _has(made, "value_json").alias("value_json"),
     )
     out["context_assertions"] = conform(asserted.unionByName(out["context_assertions"], allowMissingColumns=True), "context_assertions")
