@@ -123,6 +123,7 @@ def link(sets: list[np.ndarray], first: int | None = None, num: int = NUMERATOR,
                 seen = owners[np.arange(stops[-1]) + np.repeat(starts[c] - stops + lens, lens)]
                 both = np.bincount(seen, minlength=n)
                 near = den * both >= num * (sizes[i] + sizes - both)
+                near[i] = True  # its own shingles that no other set has aren't counted
                 if near.sum() > 1:
                     parts.join(np.flatnonzero(near))
     return parts.roots()
@@ -348,3 +349,22 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 def op9_minhash_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
+
+
+ORACLE = """
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' ')) END)) AS s FROM t),
+d AS (SELECT doc_id, s, len(s) AS n, md5(array_to_string(s, '|')) AS c FROM s),
+c AS (SELECT c, any_value(s) AS s, any_value(n) AS n FROM d WHERE n > 0 GROUP BY c),
+g AS (SELECT c, n, unnest(s) AS g FROM c),
+l AS (
+  SELECT a, b FROM (SELECT x.c AS a, y.c AS b, any_value(x.n) AS m, any_value(y.n) AS n, count(*) AS common FROM g x JOIN g y ON x.g = y.g AND x.c < y.c GROUP BY x.c, y.c)
+  WHERE 100 * common >= 75 * (m + n - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT c AS a, c AS root FROM c UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.a),
+k AS (SELECT r.a, min(doc_id) AS component_id FROM r JOIN d ON d.c = r.root AND d.n > 0 GROUP BY r.a)
+SELECT doc_id, n::BIGINT AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept FROM d LEFT JOIN k ON k.a = d.c AND d.n > 0
+"""

@@ -253,9 +253,11 @@ def test_links_between_blocks_of_a_large_node():
     # a1 ~ a2 in the first block, a2 ~ b1 in the second, a1 not ~ b1
     a1, a2, b1 = set(range(20)), set(range(2, 22)), set(range(4, 24))
     cases = [([a1, a2, b1], 2), ([b1, a2, a1], 1)]
+    # similar sets of which one has many shingles of its own
+    cases += [([set(range(85)), set(range(5, 99))], 1), ([set(range(5, 99)), set(range(85))], 1)]
     for k in range(200):
         r = random.Random(k)
-        sets = [set(range(s, s + 20)) for s in (r.randrange(60) for _ in range(r.randrange(2, 30)))]
+        sets = [set(range(s, s + r.choice((20, 20, 23, 26)))) for s in (r.randrange(60) for _ in range(r.randrange(2, 30)))]
         cases.append((sets, r.randrange(1, len(sets))))
     for sets, first in cases:
         arrays = [np.array(sorted(s), np.uint64) for s in sets]
