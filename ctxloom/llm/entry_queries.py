@@ -19,4 +19,10 @@ QUERIES = {
         suffix_dedup.op10_suffix_dedup,
     )
 } | {"pipeline": corpus_pipeline.run}
-ORACLES = {"op5_license_scan": licenses.ORACLE, "op7_quality_rules": quality_rules.ORACLE}
+ORACLES = {
+    "op4_secret_scan": secrets.ORACLE,
+    "op5_license_scan": licenses.ORACLE,
+    "op7_quality_rules": quality_rules.ORACLE,
+    "op9_minhash_near_dup": near_dup.ORACLE,
+    "op10_suffix_dedup": suffix_dedup.ORACLE,
+}

@@ -157,3 +157,38 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
 
     return map_rows(prepare(documents(spark, sf_dir), "doc_id", "text"), run, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
+
+
+# In SQL, letters in either case are spelled out, as its (?i) also folds other scripts.
+_KEY = "(?:" + "|".join("".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")) + ")"
+_PREFIX = _KEY + """["'']?\\x20*[:=]\\x20*["'']?"""
+
+
+def _places(kind: str, order: int, pattern: str, keep: str) -> str:
+    """The matches of a pattern and where they start: the lengths of what lies between them, added up."""
+    return f"""SELECT doc_id, {order} AS o, '{kind}' AS kind, m, (sum(len(m) + len(p)) OVER (PARTITION BY doc_id, '{kind}' ORDER BY k) - len(m))::BIGINT AS a FROM (
+      SELECT doc_id, unnest(range(1, len(ms) + 1)) AS k, unnest(ms) AS m, unnest(list_slice(ps, 1, len(ms))) AS p FROM (
+        SELECT doc_id, regexp_extract_all(t, '{pattern}') AS ms, regexp_split_to_array(t, '{pattern}') AS ps FROM t)) QUALIFY {keep}"""
+
+
+_ALLOWED = " OR ".join(f"regexp_full_match(m, '{p}')" for p in ALLOW)
+ORACLE = f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS (
+  {_places("assign", 0, _PREFIX + "[A-Za-z0-9+/_.=-]+", f"len(regexp_replace(m, '^{_PREFIX}', '')) >= {ASSIGN_LEAST}")}
+  UNION ALL {_places("access", 1, "AKIA[A-Z0-9]+", f"len(m) >= {ACCESS_LEAST}")}
+  UNION ALL {_places("hex", 2, "[0-9a-f]+", "len(m) >= 24")}),
+runs AS (
+  {" UNION ALL ".join(f"SELECT doc_id, {i} AS class, m, a, {c.window} AS w, {c.bits} AS bits FROM ({_places('entropy', 3, c.pattern, 'true')}) WHERE NOT ({_ALLOWED})" for i, c in enumerate(CLASSES))}),
+windows AS (SELECT doc_id, class, a, w, i, list_entropy(string_split(substr(m, i + 1, w), '')) AS h, bits FROM (SELECT *, unnest(range(0, len(m) - w + 1)) AS i FROM runs)),
+joined AS (
+  SELECT DISTINCT doc_id, 3 AS o, 'entropy' AS kind, a + min(i) AS a, a + max(i) + w AS z FROM (
+    SELECT *, sum(new) OVER (PARTITION BY doc_id, class, a ORDER BY i) AS run FROM (
+      SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id, class, a ORDER BY i) <= w THEN 0 ELSE 1 END AS new FROM windows WHERE h >= bits - 1e-10)) GROUP BY doc_id, class, a, w, run),
+spans AS (SELECT doc_id, o, kind, a, a + len(m) AS z FROM base UNION ALL SELECT * FROM joined),
+listed AS (
+  SELECT doc_id, count(*) FILTER (WHERE o = 0) AS n0, count(*) FILTER (WHERE o = 1) AS n1, count(*) FILTER (WHERE o = 2) AS n2,
+    string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, o, z) FILTER (WHERE o < 3) AS b, string_agg(kind || ':' || a || ':' || z, ',' ORDER BY a, o, z) AS s FROM spans GROUP BY doc_id)
+SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(b, '')) AS base_sha256, coalesce(s, '') AS spans
+FROM t LEFT JOIN listed USING (doc_id)
+"""

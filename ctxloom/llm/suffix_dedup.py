@@ -281,3 +281,19 @@ def _covered(pieces: DataFrame, length: int) -> DataFrame:
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(documents(spark, sf_dir)).drop("spans")
+
+
+ORACLE = """
+WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM t)),
+again AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY m) AS n FROM w) WHERE n > 1),
+runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 200 AS z FROM (SELECT doc_id, i, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run
+    FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM again)) GROUP BY doc_id, run),
+gone AS (SELECT doc_id, sum(z - a)::BIGINT AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id),
+edges AS (
+  SELECT doc_id, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS start, a AS stop FROM (SELECT doc_id, a, z FROM runs UNION ALL SELECT doc_id, len(h) // 2, len(h) // 2 FROM t)),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * start + 1, 2 * (stop - start)), '' ORDER BY start) AS k FROM edges JOIN t USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM t LEFT JOIN gone USING (doc_id) JOIN kept USING (doc_id)
+"""

@@ -148,7 +148,7 @@ def test_op4(spark, sf_dir):
     assert "entropy" in got[40]["spans"]
 
 
-@pytest.mark.parametrize("name", ["op5_license_scan", "op7_quality_rules"])
+@pytest.mark.parametrize("name", sorted(entry_queries.ORACLES))
 def test_ops_with_sql(spark, sf_dir, name):
     con = duckdb.connect()
     con.sql(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet/*.parquet'")
