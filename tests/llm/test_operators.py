@@ -126,8 +126,9 @@ def test_gif_round_trip_and_features(docs):
     for n in (0, 1, 575, 576, 577, 40000, 100000):
         for alpha in (1, 3, 256):
             raw = bytes(random.randrange(alpha) for _ in range(n))
-            back, shown = gif.payload(gif.store(raw))
-            assert back[:n] == raw and set(back[n:]) <= {255} and len(back) % 576 == 0 and shown
+            back, frames, ms = gif.payload(gif.store(raw))
+            assert back[:n] == raw and set(back[n:]) <= {255} and len(back) % 576 == 0
+            assert frames == -(-len(back) // (576 * 64)) and ms == 100 * frames
 
 
 def test_gif_disposal_transparency_and_palettes(spark):
