@@ -39,9 +39,8 @@ def test_lifecycle_conforms_and_publishes_only_what_is_allowed(spark, tmp_path):
     failed = {r["check"]: r["examples"] for r in relations.conformance(spark, got).collect() if not r["passed"]}
     assert failed == {}
     # a package that was published doesn't outlive a newer contract
-    again = lifecycle.run(spark, model, observations(spark), outputs(spark), candidates, resolve.Contract(max_items=0), "k2", "c", "t", "p", store)
+    again = lifecycle.run(spark, model, observations(spark), outputs(spark), candidates, resolve.Contract(max_items=0), "k2", "c", "t", "p", store, tests=[("lineage_complete", "sum")])
     assert again["context_packages"].count() == 0 and again["contract_evaluations"].where("decision = 'deny'").count() == 2
-    got = lifecycle.run(spark, model, observations(spark), outputs(spark), candidates, resolve.Contract(max_items=1), "k1", "c", "t", "p", store, tests=[("lineage_complete", "sum")])
     with pytest.raises(ValueError, match="declared test"):
         lifecycle.run(spark, model, observations(spark), outputs(spark), candidates, resolve.Contract(max_items=1), "k1", "c", "t", "p", tests=[("lineage_complete", "lone")])
     edges = {(r["source_node_id"], r["target_node_id"]) for r in got["lineage_edges"].where("edge_type = 'derived_from'").collect()}
