@@ -1,9 +1,9 @@
 """License scans with a positional rare-token index, in DataFrame operations only.
 
 The words of the licence templates are counted over all documents, which ranks them by IDF.
-A file looks up its own licence words, the highest-IDF ones first: of each template as many
-as it takes to have ``rare`` of them and one of the template's mandatory phrase.  Their
-postings are the places where the template has them.  A shift (file place minus template
+A file looks up its own licence words, the highest-IDF ones first: of each template whose phrase it
+has all words of, ``rare`` of them and the first of the phrase's.  Their postings are the
+places where the template has them.  A shift (file place minus template
 place) stays in the intersection if every looked-up word of the phrase stands at its place
 there; the mandatory phrase is then verified word by word at that shift, and the share of
 the template's words found at their places is the alignment's score.
@@ -106,22 +106,36 @@ def _index(templates: tuple[Template, ...]) -> Column:
     return F.array(*rows)
 
 
-def _verified(words: Column, own: Column, t: Column, rare: int) -> Column:
-    """Scores of the template's verified alignments; ``own`` are the file's licence words, highest IDF first."""
-    none = F.array().cast("array<double>")
-    ranked = F.filter(own, lambda w: F.map_contains_key(t["postings"], w))
-    first = F.array_position(F.transform(ranked, lambda w: F.array_contains(t["phrase"], w)), F.lit(True))
-    looked_up = F.slice(ranked, 1, F.greatest(F.lit(rare), first.cast("int")))
-    sure = F.filter(looked_up, lambda w: F.array_contains(t["phrase"], w))
-    key = F.get(sure, F.lit(0))
+def _candidates(own: Column, templates: tuple[Template, ...], rare: int) -> Column:
+    """For each template whose whole phrase has its words in the file: its number and the words to look up, by the file's IDF order."""
+    out = []
+    for i, t in enumerate(templates):
+        phrase = _texts(sorted(set(t.phrase.split())))
+        looked_up = F.slice(F.array_intersect(own, _texts(sorted(set(t.words)))), 1, rare)
+        # one of the phrase's words is among them, whatever the rest of the template has in the file
+        words = F.array_distinct(F.concat(F.slice(F.array_intersect(own, phrase), 1, 1), looked_up))
+        out.append(F.when(F.size(F.array_except(phrase, own)) == 0, F.struct(F.lit(i).alias("i"), words.alias("words"))))
+    return F.array_compact(F.array(*out))
+
+
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _best(words: Column, candidate: Column, index: Column) -> Column:
+    """The best score of a candidate template's verified alignments, null without any."""
+    t = F.get(index, candidate["i"])
+    key = F.get(candidate["words"], F.lit(0))
+    at = lambda shift, k: F.coalesce(F.get(words, shift + k), F.lit(""))
     places = F.array_compact(F.transform(words, lambda w, i: F.when(w == key, i)))
+    # postings of the first word give the shifts; those of the phrase's other looked-up words must agree with them
     shifts = F.array_distinct(F.flatten(F.transform(places, lambda p: F.transform(F.element_at(t["postings"], key), lambda k: p - k))))
-    stands = lambda w, shift: F.exists(F.element_at(t["postings"], w), lambda k: F.coalesce(F.get(words, shift + k) == w, F.lit(False)))
-    shared = F.filter(shifts, lambda shift: F.forall(sure, lambda w: stands(w, shift)))
-    begins = lambda shift: shift + t["at"]
-    phrase = F.filter(shared, lambda shift: (begins(shift) >= 0) & (F.slice(words, F.greatest(begins(shift), F.lit(0)) + 1, F.size(t["phrase"])) == t["phrase"]))
-    same = lambda shift: F.size(F.filter(F.transform(t["words"], lambda w, k: F.coalesce(F.get(words, shift + k) == w, F.lit(False))), lambda x: x))
-    return F.when(first > 0, F.transform(phrase, lambda shift: same(shift) / F.size(t["words"]))).otherwise(none)
+    others = F.filter(candidate["words"], lambda w: F.array_contains(t["phrase"], w))
+    shared = F.filter(shifts, lambda shift: F.forall(others, lambda w: F.exists(F.element_at(t["postings"], w), lambda k: at(shift, k) == w)))
+    verified = F.filter(shared, lambda shift: F.forall(F.sequence(F.lit(0), F.size(t["phrase"]) - 1), lambda k: at(shift, t["at"] + k) == F.get(t["phrase"], k)))
+    same = lambda shift: F.aggregate(F.sequence(F.lit(0), F.size(t["words"]) - 1), F.lit(0), lambda n, k: n + F.when(at(shift, k) == F.get(t["words"], k), 1).otherwise(0))
+    return _once(verified, lambda found: F.array_max(F.transform(found, lambda shift: same(shift) / F.size(t["words"]))))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: tuple[Template, ...] = TEMPLATES, rare: int = RARE) -> DataFrame:
@@ -147,8 +161,10 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = spaced.select("_id", n_words.alias("_n_words"), n.alias("_n_base"), first.alias("_first"), last.alias("_last"), listed.alias("_base"), words.alias("_w"))
     # in the order of the literal, which is the order by IDF
     rows = rows.withColumn("_own", F.array_intersect(_texts(by_idf), "_w"))
-    scores = F.transform(_index(templates), lambda t: F.struct(t["label"].alias("label"), F.array_max(_verified(F.col("_w"), F.col("_own"), t, rare)).alias("score")))
-    rows = rows.withColumn("_found", F.when(F.col("_w").isNotNull(), F.filter(scores, lambda x: x["score"].isNotNull())))
+    rows = rows.withColumn("_candidates", F.when(F.col("_w").isNotNull(), _candidates(F.col("_own"), templates, rare)))
+    index = _index(templates)
+    scored = F.transform("_candidates", lambda c: F.struct(F.get(index, c["i"])["label"].alias("label"), _best(F.col("_w"), c, index).alias("score")))
+    rows = rows.withColumn("_found", F.filter(scored, lambda x: x["score"].isNotNull()))
     labels = F.coalesce(F.transform("_found", lambda x: x["label"]), F.array().cast("array<string>"))
     return rows.select(
         F.col("_id").alias(id_col),
