@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import bpe, gif, licenses, mixing, near_dup, quality_model, quality_rules, secrets, suffix_dedup, toxicity
+from . import bpe, gif, hard_negatives, licenses, mixing, near_dup, quality_model, quality_rules, secrets, suffix_dedup, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -17,6 +17,7 @@ QUERIES = {
         gif.op8_gif_media,
         near_dup.op9_minhash_near_dup,
         suffix_dedup.op10_suffix_dedup,
+        hard_negatives.op12_hard_negatives,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLES = {
@@ -25,4 +26,5 @@ ORACLES = {
     "op7_quality_rules": quality_rules.ORACLE,
     "op9_minhash_near_dup": near_dup.ORACLE,
     "op10_suffix_dedup": suffix_dedup.ORACLE,
+    "op12_hard_negatives": hard_negatives.ORACLE,
 }
