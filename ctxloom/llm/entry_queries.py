@@ -2,7 +2,7 @@
 
 import corpus_pipeline
 
-from . import bpe, gif, hard_negatives, licenses, mixing, near_dup, quality_model, quality_rules, secrets, suffix_dedup, toxicity
+from . import bpe, divergence, gif, hard_negatives, html_text, licenses, mixing, near_dup, quality_model, quality_rules, secrets, suffix_dedup, toxicity
 
 QUERIES = {
     f.__name__: f
@@ -17,7 +17,9 @@ QUERIES = {
         gif.op8_gif_media,
         near_dup.op9_minhash_near_dup,
         suffix_dedup.op10_suffix_dedup,
+        divergence.op11_source_divergence,
         hard_negatives.op12_hard_negatives,
+        html_text.op13_html_text,
     )
 } | {"pipeline": corpus_pipeline.run}
 ORACLES = {
@@ -26,5 +28,6 @@ ORACLES = {
     "op7_quality_rules": quality_rules.ORACLE,
     "op9_minhash_near_dup": near_dup.ORACLE,
     "op10_suffix_dedup": suffix_dedup.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
     "op12_hard_negatives": hard_negatives.ORACLE,
 }
