@@ -170,8 +170,26 @@ class Page(HTMLParser):
         if self.link:
             self.linked += len(data) - data.count(" ")
 
-    def parse_marked_section(self, i: int, report: int = 1) -> int:
-        return self.parse_bogus_comment(i)
+    # the page is fed whole, so a tag or comment that doesn't end there is passed over to the page's end, as browsers do
+    def _to_end(self, k: int) -> int:
+        return k if k >= 0 else len(self.rawdata)
+
+    def parse_starttag(self, i: int) -> int:
+        return self._to_end(super().parse_starttag(i))
+
+    def parse_endtag(self, i: int) -> int:
+        return self._to_end(super().parse_endtag(i))
+
+    def parse_pi(self, i: int) -> int:
+        return self._to_end(super().parse_pi(i))
+
+    def parse_comment(self, i: int, report: int = 1) -> int:
+        return self._to_end(super().parse_comment(i, report))
+
+    def parse_html_declaration(self, i: int) -> int:
+        if self.rawdata.startswith("<![", i):
+            return self._to_end(self.parse_bogus_comment(i))
+        return self._to_end(super().parse_html_declaration(i))
 
     def whole(self, text: str) -> Page:
         self.feed(text)
