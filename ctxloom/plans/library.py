@@ -465,4 +465,4 @@ def record_admission(spark, sf_dir):
     return counted.groupBy("lacks").agg(F.count(F.lit(1)).alias("n"))
 
 
-from . import queries_evaluation, queries_lifecycle, queries_plans, queries_retrieval, queries_sources  # noqa: E402, F401 (they register themselves)
+from . import queries_evaluation, queries_lifecycle, queries_plans, queries_retrieval, queries_scale, queries_sources  # noqa: E402, F401 (they register themselves)
