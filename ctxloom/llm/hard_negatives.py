@@ -72,7 +72,7 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Exact inner products as longs."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
-    if np.abs(a).max() * np.abs(b).max() * a.shape[1] < 2**53:
+    if float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1] < 2**53:
         return (a @ b.T).astype(np.int64)
     whole = [np.array([[int(v) for v in row] for row in m], object) for m in (a, b)]
     return np.clip(whole[0] @ whole[1].T, NONE + 1, 2**63 - 1).astype(np.int64)

@@ -7,7 +7,7 @@ standard deviation are content, and runs of them are clusters.  The region of th
 is the element that most of the clusters' text is in: an ``article`` or ``main`` if one
 holds a fair share of it, else an element that is called so, else the deepest one with
 nearly all.  Of such a region every line stays, however short; of a nameless one what lies
-in or between the clusters, and beside them paragraphs and headings that aren't links.
+from the first to the last cluster, and beside them paragraphs and headings, but for links.
 Parts of the page that say what they are (menus, page headers, footers, sidebars, notices,
 adverts, forms, scripts, comments of readers) take no part in any of this.
 
@@ -225,12 +225,20 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 
 def mark_clusters(lines: list[Line]) -> None:
-    """Content are the lines whose smoothed ratio is above the threshold; all, if none is."""
+    """Content are the runs of lines whose smoothed ratio is above the threshold, from the first to the last line that is so by itself; all lines, if there is none."""
     if not lines:
         return
-    smooth = smoothed(np.array([len(x.text) / max(1, x.tags) for x in lines], float))
-    above = smooth > THRESHOLD * smooth.std()
-    for x, a in zip(lines, above if above.any() else ~above):
+    ratios = np.array([len(x.text) / max(1, x.tags) for x in lines], float)
+    smooth = smoothed(ratios)
+    limit = THRESHOLD * smooth.std()
+    above, own = smooth > limit, ratios > limit
+    number = np.cumsum(np.diff(above, prepend=False))  # of the run
+    kept = np.zeros(len(lines), bool)
+    core = np.flatnonzero(above & own)
+    for run in np.unique(number[core]):
+        inside = core[number[core] == run]
+        kept[inside[0] : inside[-1] + 1] = True
+    for x, a in zip(lines, kept if kept.any() else ~kept):
         x.content = bool(a)
 
 
@@ -276,8 +284,7 @@ def main_lines(html: str) -> list[Line]:
         return own
     marks = [i for i, x in enumerate(own) if x.content]
     first, last = marks[0], marks[-1]
-    plain = lambda x: nodes[x.node].tag in TEXT and x.linked < LINK_SHARE * len(x.text)
-    return [x for i, x in enumerate(own) if x.content or plain(x) or first < i < last and x.linked < LINK_SHARE * len(x.text)]
+    return [x for i, x in enumerate(own) if x.linked < LINK_SHARE * len(x.text) and (first <= i <= last or nodes[x.node].tag in TEXT)]
 
 
 def main_text(html: str | None) -> str:
