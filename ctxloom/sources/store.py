@@ -9,22 +9,32 @@ ingested source, so data and state change at once.
 from __future__ import annotations
 
 import json
+import os
 import re
 import urllib.parse
 import uuid
+from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Folders of changes after which a merge writes the relation whole.
 MOST_CHANGES = 16
+#: Times that a writer builds anew on what others have published meanwhile.
+ATTEMPTS = 20
+
+
+class Conflict(RuntimeError):
+    """Another writer has published a version that this one didn't know of."""
 
 
 class Store:
     """Relations under <root>/<environment>/<domain>/<name>; readers see the version that the pointer names.
 
-    Writers of one relation are serialised by the caller.  The paths are Hadoop paths, so a
-    root may be a bucket with its own scheme and host.
+    The paths are Hadoop paths, so a root may be a bucket with its own scheme and host; racing
+    writers need a file system whose rename fails where the target exists.
     """
 
     def __init__(self, spark: SparkSession, root: str, environment: str, domain: str):
@@ -65,27 +75,59 @@ class Store:
         rows.write.parquet(f"{self.base}/{name}/data/{folder}")
         return folder
 
-    def _point(self, name: str, state: dict) -> None:
-        versions = self._versions(name)
-        n = int(versions[-1].split("-")[0]) + 1 if versions else 0
+    def _point(self, name: str, state: dict, base: str | None) -> None:
+        """Publish the version after ``base``; a Conflict if that number is taken."""
+        n = int(base.split("-")[0]) + 1 if base else 0
         made, fs = self._path(f"{self.base}/{name}/pending/{uuid.uuid4().hex}")
         stream = fs.create(made, False)
         stream.write(bytearray(json.dumps(state).encode()))
         stream.close()
-        # the pointer comes into being at once and whole
-        place, _ = self._path(f"{self.base}/{name}/current/{n:012d}-{uuid.uuid4().hex}")
+        place, _ = self._path(f"{self.base}/{name}/current/{n:012d}")
         fs.mkdirs(place.getParent())
-        if not fs.rename(made, place):
-            raise OSError(f"can't publish {name}")
+        # the pointer comes into being at once, whole, and only once
+        try:
+            if fs.getUri().getScheme() == "file":
+                os.link(made.toUri().getPath(), place.toUri().getPath())
+            else:
+                jvm = self.spark._jvm
+                options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+                options[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+                jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(made, place, options)
+        except FileExistsError:
+            raise Conflict(f"{name}: version {n} is taken") from None
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                raise Conflict(f"{name}: version {n} is taken") from None
+            raise
+        finally:
+            fs.delete(made, False)
+
+    def _publish(self, name: str, change: Callable[[dict], dict]) -> None:
+        """Publish a change of the latest version, whichever that is by then."""
+        for _ in range(ATTEMPTS):
+            base = self.version(name)
+            try:
+                return self._point(name, change(self._state(name, base)), base)
+            except Conflict:
+                continue
+        raise Conflict(f"{name}: others have always been first")
+
+    def version(self, name: str) -> str | None:
+        """The latest version; None where there is none yet."""
+        versions = self._versions(name)
+        return versions[-1] if versions else None
 
     def names(self) -> list[str]:
         return [n for n in self._listed(self.base) if not n.endswith(".staged") and self._versions(n)]
 
     def read(self, name: str, version: str | None = None) -> DataFrame:
-        state = self._state(name, version)
+        return self._rows(name, self._state(name, version))
+
+    def _rows(self, name: str, state: dict) -> DataFrame:
         folder = lambda f: f"{self.base}/{name}/data/{f}"
-        merged = self.spark.read.option("mergeSchema", "true")
-        whole = merged.parquet(*map(folder, state["whole"]))
+        known = state.get("schema")
+        reader = self.spark.read.schema(StructType.fromJson(known)) if known else self.spark.read.option("mergeSchema", "true")
+        whole = reader.parquet(*map(folder, state["whole"]))
         if not state.get("changes"):
             return whole
         from ..operators.state import last_by
@@ -100,35 +142,75 @@ class Store:
     def create(self, name: str, rows: DataFrame) -> None:
         if self._versions(name):
             raise ValueError(f"relation exists: {name}")
-        self.replace(name, rows)
+        self._replace(name, rows, None, None)
 
     def add(self, name: str, rows: DataFrame) -> None:
-        """Only the new rows are written."""
+        """Only the new rows are written; what others publish meanwhile stays."""
         if rows.isEmpty():
             raise ValueError("no rows to add")
+        self._state(name)
+        folder = self._write(name, rows)
+        for _ in range(ATTEMPTS):
+            base = self.version(name)
+            state = self._state(name, base)
+            if state.get("changes"):
+                self.compact(name)
+                continue
+            try:
+                return self._point(name, _with_schema(state | {"whole": [*state["whole"], folder]}, state.get("schema"), rows), base)
+            except Conflict:
+                continue
+        raise Conflict(f"{name}: others have always been first")
+
+    def replace(self, name: str, rows: DataFrame, cursor: dict | None = None, expected: str | None = None) -> None:
+        """A Conflict if others publish a version after ``expected``, or after the latest one when this begins."""
+        self._replace(name, rows, cursor, expected or self.version(name))
+
+    def _replace(self, name: str, rows: DataFrame, cursor: dict | None, base: str | None) -> None:
+        self._point(name, {"whole": [self._write(name, rows)], "schema": rows.schema.jsonValue()} | ({"cursor": cursor} if cursor else {}), base)
+
+    def merge(self, name: str, rows: DataFrame, key: str, cursor: dict | None = None, expected: str | None = None) -> None:
+        """Rows replace those of their key, which must be unique in them; only they are written.
+
+        Others' merges stay, and of a key in both the one published later counts; with
+        ``expected`` a Conflict if others publish a version after that.
+        """
         state = self._state(name)
-        if state.get("changes"):
+        if state.get("changes") and state["key"] != key or len(state.get("changes", ())) >= MOST_CHANGES:
+            if expected and self.version(name) != expected:
+                raise Conflict(f"{name}: newer than {expected}")
             self.compact(name)
-            state = self._state(name)
-        self._point(name, state | {"whole": [*state["whole"], self._write(name, rows)]})
+            expected = expected and self.version(name)
+        folder = self._write(name, rows)
 
-    def replace(self, name: str, rows: DataFrame, cursor: dict | None = None) -> None:
-        _checked(name)
-        self._point(name, {"whole": [self._write(name, rows)]} | ({"cursor": cursor} if cursor else {}))
+        def changed(state: dict) -> dict:
+            if state.get("changes") and state["key"] != key:
+                raise ValueError(f"{name} is being merged by {state['key']}")
+            return state | {"changes": [*state.get("changes", ()), folder], "key": key} | ({"cursor": cursor} if cursor else {})
 
-    def merge(self, name: str, rows: DataFrame, key: str, cursor: dict | None = None) -> None:
-        """Rows replace those of their key, which must be unique in them; only they are written."""
-        state = self._state(name)
-        if state.get("changes") and state["key"] != key or len(state.get("changes", ())) >= MOST_CHANGES:
-            self.compact(name)
-            state = self._state(name)
-        changed = {"changes": [*state.get("changes", ()), self._write(name, rows)], "key": key}
-        self._point(name, state | changed | ({"cursor": cursor} if cursor else {}))
+        if expected:
+            self._point(name, changed(self._state(name, expected)), expected)
+        else:
+            self._publish(name, changed)
 
     def compact(self, name: str) -> None:
-        """The same rows as one folder."""
-        state = self._state(name)
-        self._point(name, {"whole": [self._write(name, self.read(name))]} | ({"cursor": state["cursor"]} if state.get("cursor") else {}))
+        """The same rows as one folder; changes that others publish meanwhile stay changes."""
+        old = self._state(name)
+        rows = self._rows(name, old)
+        folder = self._write(name, rows)
+
+        def folded(state: dict) -> dict:
+            known = old.get("changes", [])
+            if state["whole"] != old["whole"] or state.get("changes", [])[: len(known)] != known:
+                raise ValueError("compacted by another")
+            later = state.get("changes", [])[len(known) :]
+            kept = {k: state[k] for k in ("cursor",) if state.get(k)}
+            return {"whole": [folder], "schema": rows.schema.jsonValue()} | ({"changes": later, "key": state["key"]} if later else {}) | kept
+
+        try:
+            self._publish(name, folded)
+        except ValueError:
+            pass  # the relation has been written whole since: the folder goes with the next vacuum
 
     def vacuum(self, name: str, keep: int = 2) -> int:
         """Deletes all but the last ``keep`` versions and the folders that none of these names; readers of older versions must be done."""
@@ -150,6 +232,16 @@ class Store:
         return {"name": name, "columns": df.columns, "row_count": df.count()}
 
 
+def _with_schema(state: dict, known: dict | None, rows: DataFrame) -> dict:
+    """The state with the columns of its schema and of more rows; without a schema where their types differ."""
+    if known is None:
+        return state
+    fields = {f.name: f for f in StructType.fromJson(known)}
+    if any(f.name in fields and fields[f.name].dataType != f.dataType for f in rows.schema):
+        return {k: v for k, v in state.items() if k != "schema"}
+    return state | {"schema": StructType([*fields.values(), *[f for f in rows.schema if f.name not in fields]]).jsonValue()}
+
+
 def _checked(part: str) -> str:
     if not re.fullmatch(r"[A-Za-z0-9_.-]+", part) or part in (".", ".."):
         raise ValueError(f"unsafe name: {part!r}")
@@ -170,15 +262,26 @@ def ingest(store: Store, name: str, scan: DataFrame, key: str, content: str, sna
     In snapshot mode keys that the scan lacks become tombstones that keep their last row.
     ``removed`` names a boolean column by which the source itself marks deleted rows; these
     count as changed and as deleted.  ``cursor`` names a column whose largest value, by its
-    own type, is saved with the data; without change nothing is loaded.
+    own type, is saved with the data; without change nothing is loaded.  If another writer
+    publishes a version meanwhile, the scan is compared anew with that.
     """
+    for _ in range(ATTEMPTS):
+        try:
+            return _ingested(store, name, scan, key, content, snapshot, cursor, removed)
+        except Conflict:
+            continue
+    raise Conflict(f"{name}: others have always been first")
+
+
+def _ingested(store: Store, name: str, scan: DataFrame, key: str, content: str, snapshot: bool, cursor: str | None, removed: str | None) -> dict[str, int]:
     from ..operators.state import changes
     from ..plans.lineage import settle
 
-    known = name in store.names()
+    base = store.version(name)
+    known = base is not None
     gone = F.coalesce(F.col(removed), F.lit(False)) if removed else F.lit(False)
     rows = scan.withColumn("deleted", gone).drop(*[removed] if removed and removed != "deleted" else [])
-    prior = store.read(name) if known else rows.limit(0)
+    prior = store.read(name, base) if known else rows.limit(0)
     found = settle(changes(prior.where("not deleted"), rows.where("not deleted"), key, content, snapshot).where(F.col(key).isNotNull()))
     counts = {r[0]: r[1] for r in found.groupBy("change_type").count().collect()}
     if removed:
@@ -196,11 +299,11 @@ def ingest(store: Store, name: str, scan: DataFrame, key: str, content: str, sna
         if removed:
             out = out.unionByName(own, allowMissingColumns=True)
         if known:
-            store.merge(name, out, key, saved)
+            store.merge(name, out, key, saved, expected=base)
         else:
-            store.replace(name, out, saved)
+            store._replace(name, out, saved, None)
     elif saved and known and saved != store.cursor(name):
-        store._point(name, store._state(name) | {"cursor": saved})
+        store._point(name, store._state(name, base) | {"cursor": saved}, base)
     return {k: counts.get(k, 0) for k in ("inserted", "changed", "reused", "deleted")}
 
 

@@ -1,11 +1,13 @@
 """Operators for many rows a key: interval joins, skipping merges, reachability, indexes."""
 
 import random
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
 
 from ctxloom.operators import intervals
+from ctxloom.sources.store import Conflict, Store, ingest
 
 
 # --- interval joins -----------------------------------------------------------------------------
@@ -51,3 +53,78 @@ def test_interval_join_work_follows_its_results(spark):
     assert out.count() == sum(min(3, n - i) for i in range(0, n, 2))
     tried = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Cartesian" not in tried and "_block" in tried
+
+
+# --- racing writers -----------------------------------------------------------------------------
+
+
+def raced(monkeypatch, store, other):
+    """``other`` publishes just before the next pointer of this store is made."""
+    point, once = store._point, []
+
+    def late(name, state, base):
+        if not once:
+            once.append(1)
+            other()
+        return point(name, state, base)
+
+    monkeypatch.setattr(store, "_point", late)
+
+
+def test_racing_merges_both_arrive(spark, tmp_path, monkeypatch):
+    mine, other = (Store(spark, f"file://{tmp_path}", "test", "race") for _ in range(2))
+    rows = lambda *x: spark.createDataFrame(x, "k string, v int")
+    mine.create("t", rows(("a", 1), ("b", 1), ("c", 1)))
+    raced(monkeypatch, mine, lambda: other.merge("t", rows(("b", 2), ("d", 2)), "k"))
+    mine.merge("t", rows(("c", 3), ("d", 3)), "k")
+    assert sorted(map(tuple, mine.read("t").collect())) == [("a", 1), ("b", 2), ("c", 3), ("d", 3)]
+    assert len(mine._versions("t")) == 3
+
+
+def test_racing_additions_and_compaction(spark, tmp_path, monkeypatch):
+    mine, other = (Store(spark, f"file://{tmp_path}", "test", "race") for _ in range(2))
+    rows = lambda *x: spark.createDataFrame(x, "k string, v int")
+    mine.create("t", rows(("a", 1)))
+    raced(monkeypatch, mine, lambda: other.add("t", rows(("b", 2)).withColumn("w", F.lit(5))))
+    mine.add("t", rows(("c", 3)))
+    assert sorted(map(tuple, mine.read("t").select("k", "v", "w").collect())) == [("a", 1, None), ("b", 2, 5), ("c", 3, None)]
+    mine.merge("t", rows(("a", 9)), "k")
+    raced(monkeypatch, mine, lambda: other.merge("t", rows(("b", 8)), "k"))
+    mine.compact("t")
+    assert sorted(map(tuple, mine.read("t").select("k", "v").collect())) == [("a", 9), ("b", 8), ("c", 3)]
+    assert len(mine._state("t")["changes"]) == 1 and len(mine._state("t")["whole"]) == 1
+    raced(monkeypatch, mine, lambda: other.replace("t", rows(("z", 0))))
+    mine.merge("t", rows(("y", 1)), "k")
+    mine.compact("t")
+    assert sorted(map(tuple, mine.read("t").collect())) == [("y", 1), ("z", 0)]
+
+
+def test_racing_replacements_give_one_and_a_conflict(spark, tmp_path, monkeypatch):
+    mine, other = (Store(spark, f"file://{tmp_path}", "test", "race") for _ in range(2))
+    rows = lambda *x: spark.createDataFrame(x, "k string, v int")
+    for begin in (lambda s: s.create("u", rows(("b", 2))), lambda s: s.replace("u", rows(("c", 3)))):
+        with monkeypatch.context() as m:
+            raced(m, mine, lambda: begin(other))
+            with pytest.raises(Conflict):
+                begin(mine)
+    assert mine.read("u").collect() == other.read("u").collect() and len(mine._versions("u")) == 2
+    old = mine.version("u")
+    mine.merge("u", rows(("d", 4)), "k")
+    with pytest.raises(Conflict):
+        mine.merge("u", rows(("e", 5)), "k", expected=old)
+
+
+def test_racing_loads_compare_anew(spark, tmp_path, monkeypatch):
+    mine, other = (Store(spark, f"file://{tmp_path}", "test", "race") for _ in range(2))
+    rows = lambda *x: spark.createDataFrame(x, "k string, v string")
+    raced(monkeypatch, mine, lambda: ingest(other, "t", rows(("a", "1"), ("b", "1")), "k", "v"))
+    assert ingest(mine, "t", rows(("a", "1"), ("c", "1")), "k", "v") == {"inserted": 1, "changed": 0, "reused": 1, "deleted": 1}
+    assert sorted(map(tuple, mine.read("t").collect())) == [("a", "1", False), ("b", "1", True), ("c", "1", False)]
+
+
+def test_many_threads_merge_at_once(spark, tmp_path):
+    first = Store(spark, f"file://{tmp_path}", "test", "race")
+    first.create("t", spark.createDataFrame([("a", 0)], "k string, v int"))
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda i: Store(spark, f"file://{tmp_path}", "test", "race").merge("t", spark.createDataFrame([(f"k{i}", i)], "k string, v int"), "k"), range(6)))
+    assert first.read("t").count() == 7
