@@ -2,10 +2,12 @@
 
 Each text is measured once; the measures are settled as a small table.  Rule failures are
 summed by host (partial sums before the shuffle), the failure rates are shrunk with a beta
-prior fitted to all hosts by the method of moments, and a host whose shrunk rate exceeds a
-limit is condemned.  Verdicts join back to the documents: a document goes if it fails the
-base rules itself, or if its host is condemned and it fails one of the stricter rules.  A
-document without failures stays whatever its host is.
+prior fitted to all hosts by the method of moments, less what chance alone makes them
+differ.  The verdict on a host is how its shrunk rate compares with the prior's mean: the
+stricter rules' limits move with it, down on a worse host and up on a better one.  Verdicts
+join back to the documents: a document goes if it fails the base rules itself, or the
+stricter ones within its host's limits.  A document far from the limits stays whatever its
+host is, and where hosts differ by chance only the limits hardly move.
 
 Defined results: a null text has no words; a null host is a host of its own; repeated rows
 give repeated results and each counts; an empty table gives an empty result; other columns
@@ -26,8 +28,10 @@ SYMBOL[[ord(c) for c in "#*$%&|<>"]] = True
 BROADCAST_HOSTS = 100_000
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 LEAST_WORDS, REPEAT_PERCENT = 50, 50
-#: The stricter rules of condemned hosts, and the shrunk failure rate above which a host is condemned: a tenth of its documents.
-SYMBOL_PERCENT, DUP_LINES, STRICT_REPEAT_PERCENT, HOST_RATE = 10, 5, 30, 0.1
+#: The stricter rules at the mean host, by which failures are counted.
+SYMBOL_PERCENT, DUP_LINES, STRICT_REPEAT_PERCENT = 10, 5, 30
+#: What a host's verdict multiplies these limits with: the square of mean / shrunk rate, at least and at most this; the last limit never falls.
+TIGHTEST, LOOSEST = 0.8, 4.0
 
 
 def measure(raw: bytes) -> tuple[int, int, int, int, int]:
@@ -64,31 +68,38 @@ def base_failed() -> Column:
     return (F.col("_n_words") < LEAST_WORDS) | (100 * F.col("_n_repeat_words") > REPEAT_PERCENT * F.col("_n_words"))
 
 
-def strict_failed() -> Column:
+def strict_failed(verdict: Column | None = None) -> Column:
+    """Whether the base rules or the stricter ones fail, the latter within a host's limits."""
+    v = F.lit(1.0) if verdict is None else verdict
     return (
         base_failed()
-        | (100 * F.col("_n_symbols") > SYMBOL_PERCENT * F.col("_word_chars"))
-        | (F.col("_n_dup_lines") > DUP_LINES)
-        | (100 * F.col("_n_repeat_words") > STRICT_REPEAT_PERCENT * F.col("_n_words"))
+        | (100 * F.col("_n_symbols") > SYMBOL_PERCENT * F.col("_word_chars") * v)
+        | (F.col("_n_dup_lines") > DUP_LINES * v)
+        | (100 * F.col("_n_repeat_words") > STRICT_REPEAT_PERCENT * F.col("_n_words") * F.greatest(v, F.lit(1.0)))
     )
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
-    """Per host: documents, failures, and the posterior mean failure rate under a beta prior fitted to all hosts.
+    """Per host: documents, failures, the posterior mean failure rate under a beta prior fitted to all hosts, and the verdict.
 
     The prior's mean is the overall rate m; its weight k solves Var = m(1-m)/(k+1) for the
-    spread of the hosts' rates, each host weighed alike, and is kept between 1 and 1000.
+    spread of the hosts' rates less the spread that m alone gives, each host weighed alike,
+    and is kept between 1 and 1000.
     """
     hosts = measured.groupBy("_host").agg(F.count(F.lit(1)).alias("_docs"), F.sum(F.col("_strict").cast("long")).alias("_fails"))
     rate = F.col("_fails") / F.col("_docs")
-    mean, spread = hosts.agg(F.sum("_fails") / F.sum("_docs"), F.var_pop(rate)).first()  # one row: the prior
+    # one row: the prior
+    mean, spread, chance = hosts.agg(F.sum("_fails") / F.sum("_docs"), F.var_pop(rate), F.avg(1 / F.col("_docs"))).first()
     mean = mean or 0.0
-    weight = max(1.0, min(1000.0, mean * (1 - mean) / spread - 1 if spread else 1000.0))
-    return hosts.select("_host", "_docs", "_fails", ((F.col("_fails") + F.lit(mean * weight)) / (F.col("_docs") + F.lit(weight))).alias("_rate"))
+    spread = (spread or 0.0) - mean * (1 - mean) * (chance or 0.0)
+    weight = max(1.0, min(1000.0, mean * (1 - mean) / spread - 1 if spread > 0 else 1000.0))
+    rated = hosts.withColumn("_rate", (F.col("_fails") + F.lit(mean * weight)) / (F.col("_docs") + F.lit(weight)))
+    share = F.lit(mean) / F.col("_rate")
+    return rated.withColumn("_verdict", F.when(F.col("_rate") > 0, F.least(F.greatest(share * share, F.lit(TIGHTEST)), F.lit(LOOSEST))).otherwise(1.0))
 
 
-def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
-    """Per row: id, the measures, base_failed, strict_failed, host_rate, kept."""
+def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """Per row: id, the measures, base_failed, strict_failed (at the mean host), host_rate, host_verdict, kept."""
     measured = settle(measures(df, id_col, text_col, host_col).withColumn("_base", base_failed()).withColumn("_strict", strict_failed()))
     rates = host_rates(measured).withColumnRenamed("_host", "_h")
     joined = measured.join(rates, F.col("_host").eqNullSafe(F.col("_h")), "left")
@@ -98,21 +109,22 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_co
         F.col("_base").alias("base_failed"),
         F.col("_strict").alias("strict_failed"),
         F.round("_rate", 9).alias("host_rate"),
-        (~F.col("_base") & ~((F.col("_rate") > host_rate) & F.col("_strict"))).alias("kept"),
+        F.round("_verdict", 9).alias("host_verdict"),
+        (~strict_failed(F.col("_verdict"))).alias("kept"),
     )
 
 
-def keep_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", host_rate: float = HOST_RATE) -> DataFrame:
+def keep_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """The kept rows with all their columns.
 
-    Only the condemned hosts are joined, and each row is measured again instead of being shuffled with its text.
+    Only the hosts' verdicts are joined, and each row is measured again instead of being shuffled with its text.
     """
-    measured = measures(df, id_col, text_col, host_col).withColumn("_base", base_failed()).withColumn("_strict", strict_failed())
-    condemned = settle(host_rates(measured).where(F.col("_rate") > host_rate).select(F.col("_host").alias("_h"), F.lit(True).alias("_condemned")))
+    measured = measures(df, id_col, text_col, host_col).withColumn("_strict", strict_failed())
+    verdicts = settle(host_rates(measured).select(F.col("_host").alias("_h"), "_verdict"))
     rows, at = masked(df), {c: f"c{i}" for i, c in enumerate(df.columns)}
     # the list is sent to all tasks while it is short; a longer one is joined with a shuffle, whose skewed hosts Spark splits
-    few = condemned.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    joined = rows.join(F.broadcast(condemned) if few else condemned, F.col(at[host_col]).cast("string").eqNullSafe(F.col("_h")), "left").drop("_h")
+    few = verdicts.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    joined = rows.join(F.broadcast(verdicts) if few else verdicts, F.col(at[host_col]).cast("string").eqNullSafe(F.col("_h")), "left").drop("_h")
 
     def run(batch: pa.RecordBatch) -> dict:
         measured = [measure(x) for x in text_bytes(batch.column(at[text_col]))]
@@ -120,8 +132,7 @@ def keep_documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     schema = ", ".join(f"{n} {k}" for n, k in joined.dtypes) + ", " + ", ".join(f"_{m} long" for m in MEASURES)
     judged = map_rows(joined, run, schema)
-    kept = judged.where(~base_failed() & ~(F.coalesce("_condemned", F.lit(False)) & strict_failed()))
-    return kept.select(*rows.columns).toDF(*df.columns)
+    return judged.where(~strict_failed(F.col("_verdict"))).select(*rows.columns).toDF(*df.columns)
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,9 +164,12 @@ v AS (
       OR 100 * n_symbols > {SYMBOL_PERCENT} * word_chars OR n_dup_lines > {DUP_LINES} AS strict_failed
   FROM m),
 h AS (SELECT source, count(*) AS docs, sum(strict_failed::INT) AS fails FROM v GROUP BY source),
-p AS (SELECT sum(fails) / sum(docs) AS m, var_pop(fails / docs) AS s FROM h),
-k AS (SELECT m, greatest(1.0, least(1000.0, coalesce(m * (1 - m) / nullif(s, 0) - 1, 1000.0))) AS k FROM p)
+p AS (SELECT sum(fails) / sum(docs) AS m, var_pop(fails / docs) - m * (1 - m) * avg(1 / docs) AS s FROM h),
+k AS (SELECT m, greatest(1.0, least(1000.0, CASE WHEN s > 0 THEN m * (1 - m) / s - 1 ELSE 1000.0 END)) AS k FROM p),
+r AS (SELECT source, m / nullif((fails + m * k) / (docs + k), 0) AS x FROM h, k),
+f AS (SELECT source, coalesce(least(greatest(x * x, {TIGHTEST}::DOUBLE), {LOOSEST}::DOUBLE), 1.0) AS f FROM r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND NOT ((fails + m * k) / (docs + k) > {HOST_RATE} AND strict_failed) AS kept
-FROM v JOIN h ON v.source IS NOT DISTINCT FROM h.source, k
+  NOT base_failed AND NOT (100 * n_symbols > {SYMBOL_PERCENT} * word_chars * f OR n_dup_lines > {DUP_LINES} * f
+    OR 100 * n_repeat_words > {STRICT_REPEAT_PERCENT} * n_words * greatest(f, 1.0)) AS kept
+FROM v JOIN f ON v.source IS NOT DISTINCT FROM f.source
 """

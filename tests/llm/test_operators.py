@@ -122,6 +122,28 @@ def test_host_verdict_rejects_only_failing_documents(spark):
     assert not any(got[i] for i in range(40)) and got[100] and got[101] and all(got[200 + i] for i in range(40))
 
 
+def test_host_verdict_moves_the_limits_of_equal_documents(spark):
+    """Texts of 9 % and of 12 % symbols on a bad, a middling and a good host; symbols that no verdict changes stay in or out."""
+    def text(percent, seed):
+        words = prose(200, seed)
+        letters = len(words.replace(" ", ""))
+        return words + " " + "#" * round(percent * letters / (100 - percent))
+
+    rows, n = [], 0
+    for host, failing in (("bad", 120), ("middling", 60), ("good", 5)):
+        for i in range(200):
+            rows.append((n, text(30 if i < failing else 0, n), host))
+            n += 1
+        rows += [(f, text(p, 7), host) for f, p in zip(({"bad": 10_000, "middling": 20_000, "good": 30_000}[host] + k for k in range(4)), (0, 9, 12, 45))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    judged = {r["doc_id"]: r for r in quality_rules.judge(df).collect()}
+    kept = lambda first: [judged[first + k]["kept"] for k in range(4)]
+    assert (kept(10_000), kept(20_000), kept(30_000)) == ([True, False, False, False], [True, True, False, False], [True, True, True, False])
+    verdicts = [judged[x]["host_verdict"] for x in (10_000, 20_000, 30_000)]
+    assert verdicts[0] == quality_rules.TIGHTEST < 1 <= verdicts[1] < verdicts[2] == quality_rules.LOOSEST
+    assert {r["doc_id"] for r in quality_rules.keep_documents(df).collect()} == {i for i, r in judged.items() if r["kept"]}
+
+
 def test_gif_round_trip_and_features(docs):
     for n in (0, 1, 575, 576, 577, 40000, 100000):
         for alpha in (1, 3, 256):
