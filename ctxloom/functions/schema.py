@@ -1,7 +1,8 @@
 """Checks of nested values: JSON Schema, secret-bearing keys, removal of transient keys, names and paths.
 
-The rules are plain functions over Python values; ``violation`` and ``secret_field`` apply
-them to JSON text columns in Arrow batches.
+Schemas hold for Python values (``violations``) and, compiled to expressions over VARIANT, for
+columns of JSON text (``violation``), which no Python worker sees.  Searches through keys of
+any depth go through Arrow batches.  A text that isn't JSON has a defined result in each.
 """
 
 from __future__ import annotations
@@ -10,11 +11,12 @@ import datetime
 import decimal
 import json
 import re
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
+from functools import reduce, singledispatch
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship
@@ -22,6 +24,7 @@ from ..session import ship
 # Parts of key names that mark a secret, and names that hold one of them and are none.
 SECRET_PARTS = ("api_key", "credential", "password", "secret", "token")
 NOT_SECRET = ("max_tokens", "budget_tokens", "token_estimate")
+_SECRET = re.compile("|".join(SECRET_PARTS))
 
 _TYPES = {
     "null": lambda v: v is None,
@@ -107,38 +110,111 @@ def _by_value(texts: Column, fn) -> Column:
     return apply(texts)
 
 
+_FOUND = "array<struct<p:string,k:string>>"
+
+
 def violation(texts: Column, schema: Mapping[str, Any]) -> Column:
-    """``path keyword`` of the first violation by path of a JSON text, ``$ json`` if it doesn't parse, null if it holds (or is null)."""
-    list(violations(schema, None))  # a bad schema fails here, not in a task
+    """``path keyword`` of the first violation by path of a JSON text, null if it holds (or is null).
 
-    def first(text: str) -> str | None:
-        try:
-            found = sorted(violations(schema, json.loads(text)))
-        except ValueError:
-            return "$ json"
-        return " ".join(found[0]) if found else None
+    ``$ json`` for a text that isn't JSON or in which an object has a key twice.  Numbers are compared as doubles.
+    """
+    value = F.try_parse_json(texts)
+    first = F.array_min(_broken(schema, value, F.lit("$")))
+    return F.when(texts.isNotNull() & value.isNull(), "$ json").when(first.isNotNull(), F.concat(first["p"], F.lit(" "), first["k"]))
 
-    return _by_value(texts, first)
 
+def _broken(schema: Mapping[str, Any] | bool, v: Column, path: Column) -> Column:
+    """All that a VARIANT breaks, as (p, k), by an expression as deep as the schema; an unknown keyword raises ValueError."""
+    none = F.array().cast(_FOUND)
+    told = lambda at, keyword: F.struct(at.alias("p"), F.lit(keyword).alias("k"))
+    if isinstance(schema, bool):
+        return none if schema else F.array(told(path, "false"))
+    kind, number, text = F.schema_of_variant(v), F.try_variant_get(v, "$", "double"), F.try_variant_get(v, "$", "string")
+    is_number = kind.isin("BIGINT", "DOUBLE", "FLOAT") | F.startswith(kind, F.lit("DECIMAL"))
+    is_array, is_object, is_text = F.startswith(kind, F.lit("ARRAY")), F.startswith(kind, F.lit("OBJECT")), kind == "STRING"
+    types = {
+        "null": F.is_variant_null(v), "boolean": kind == "BOOLEAN", "number": is_number, "integer": is_number & (number == F.floor(number)),
+        "string": is_text, "array": is_array, "object": is_object,
+    }
+    items, members = F.try_variant_get(v, "$", "array<variant>"), F.try_variant_get(v, "$", "map<string,variant>")
+    below = lambda key: F.concat(path, F.lit("."), key.cast("string"))
+    many = lambda found: F.coalesce(F.flatten(found), none)
+
+    def equal(rule: Any) -> Column:
+        if rule is None:
+            return types["null"]
+        if isinstance(rule, bool):
+            return types["boolean"] & (F.try_variant_get(v, "$", "boolean") == F.lit(rule))
+        if isinstance(rule, (int, float)):
+            return is_number & (number == F.lit(float(rule)))
+        return is_text & (text == F.lit(rule)) if isinstance(rule, str) else F.to_json(v) == F.to_json(F.parse_json(F.lit(json.dumps(rule))))
 
-def secret_fields(value: Any, path: tuple[str, ...] = ()) -> list[str]:
-    """Paths of the keys, at any depth, whose name marks a secret; references and known counters aren't."""
     out = []
-    if isinstance(value, Mapping):
-        for k, v in value.items():
-            name = str(k).lower().replace("-", "_")
-            if name not in NOT_SECRET and not name.endswith("_ref") and any(p in name for p in SECRET_PARTS):
-                out.append(".".join((*path, str(k))))
-            out += secret_fields(v, (*path, str(k)))
-    elif isinstance(value, (list, tuple)):
-        for i, v in enumerate(value):
-            out += secret_fields(v, (*path, str(i)))
-    return out
+    for keyword, rule in schema.items():
+        fails = {
+            "type": lambda: ~reduce(Column.__or__, [types[t] for t in ([rule] if isinstance(rule, str) else rule)]),
+            "enum": lambda: ~reduce(Column.__or__, [equal(x) for x in rule], F.lit(False)),
+            "const": lambda: ~equal(rule),
+            "minLength": lambda: is_text & (F.length(text) < rule), "maxLength": lambda: is_text & (F.length(text) > rule),
+            "pattern": lambda: is_text & ~F.regexp_like(text, F.lit(rule)),
+            "minimum": lambda: is_number & (number < rule), "maximum": lambda: is_number & (number > rule),
+            "minItems": lambda: is_array & (F.size(items) < rule), "maxItems": lambda: is_array & (F.size(items) > rule),
+        }
+        if keyword in fails:
+            out.append(F.when(F.coalesce(fails[keyword](), F.lit(False)), F.array(told(path, keyword))).otherwise(none))
+        elif keyword == "items":
+            out.append(F.when(is_array, many(F.transform(items, lambda x, i, rule=rule: _broken(rule, x, below(i))))).otherwise(none))
+        elif keyword == "required":
+            lacking = F.filter(F.array(*[F.lit(k) for k in rule]), lambda k: ~F.map_contains_key(members, k))
+            out.append(F.when(is_object, F.transform(lacking, lambda k: told(below(k), "required"))).otherwise(none) if rule else none)
+        elif keyword == "properties":
+            for k, s in rule.items():
+                out.append(F.when(is_object & F.map_contains_key(members, k), _broken(s, F.try_element_at(members, F.lit(k)), below(F.lit(k)))).otherwise(none))
+        elif keyword == "additionalProperties":
+            more = F.array_except(F.map_keys(members), F.array(*[F.lit(k) for k in schema.get("properties", {})]).cast("array<string>"))
+            each = (lambda k: F.array(told(below(k), keyword))) if rule is False else (lambda k: _broken(rule, F.try_element_at(members, k), below(k)))
+            out.append(F.when(is_object, many(F.transform(more, each))).otherwise(none))
+        elif keyword in ("anyOf", "oneOf", "allOf"):
+            held = reduce(Column.__add__, [(F.size(_broken(s, v, path)) == 0).cast("int") for s in rule], F.lit(0))
+            out.append(F.when({"anyOf": held == 0, "oneOf": held != 1, "allOf": held < len(rule)}[keyword], F.array(told(path, keyword))).otherwise(none))
+        elif keyword not in _SHOWN:
+            raise ValueError(f"unsupported schema keyword: {keyword}")
+    return F.concat(none, *out)
+
+
+def entries(value: Any) -> Iterator[tuple[str, ...]]:
+    """The path of every key of every object in a value, from the outside in; places in arrays count as path."""
+    todo: list[tuple[tuple[str, ...], Any]] = [((), value)]
+    for path, x in todo:
+        named = isinstance(x, Mapping)
+        below = [((*path, str(k)), y) for k, y in (x.items() if named else enumerate(x))] if named or isinstance(x, (list, tuple)) else []
+        todo += below
+        if named:
+            yield from (p for p, _ in below)
+
+
+def names_secret(key: str) -> bool:
+    """Whether a key's name tells of a secret: it has one of the parts, in any case and with - for _, and is neither a reference nor a counter."""
+    plain = key.replace("-", "_").lower()
+    return bool(_SECRET.search(plain)) and plain not in NOT_SECRET and plain[-4:] != "_ref"
+
+
+def secret_fields(value: Any) -> list[str]:
+    """Paths of the keys, at any depth, whose name tells of a secret."""
+    return [".".join(path) for path in entries(value) if names_secret(path[-1])]
 
 
 def secret_field(texts: Column) -> Column:
-    """The first secret-bearing path of a JSON text by name, null if there is none."""
-    return _by_value(texts, lambda t: min(secret_fields(json.loads(t)), default=None))
+    """The first secret-bearing path of a JSON text by name, null if there is none; ``$ json`` for a text that isn't JSON."""
+    return _by_value(texts, lambda t: _of_json(t, lambda v: min(secret_fields(v), default=None), "$ json"))
+
+
+def _of_json(text: str, fn, otherwise: str | None) -> str | None:
+    try:
+        value = json.loads(text)
+    except (ValueError, RecursionError):
+        return otherwise
+    return fn(value)
 
 
 def without_keys(value: Any, *names: str) -> Any:
@@ -149,25 +225,33 @@ def without_keys(value: Any, *names: str) -> Any:
 
 
 def redacted(texts: Column, *names: str) -> Column:
-    """JSON texts without these keys at any depth, in canonical form."""
+    """JSON texts without these keys at any depth, in canonical form; null for a text that isn't JSON, NaN and infinities included."""
     from .identity import canonical_json
 
-    return _by_value(texts, lambda t: canonical_json(without_keys(json.loads(t), *names)))
+    def rule(value: Any) -> str | None:
+        try:
+            return canonical_json(without_keys(value, *names))
+        except ValueError:
+            return None
+
+    return _by_value(texts, lambda t: _of_json(t, rule, None))
 
 
+@singledispatch
 def json_safe(value: Any) -> Any:
-    """Instants and dates as ISO text, decimals as text, bytes as hex, rows and mappings as objects, at any depth."""
-    if hasattr(value, "asDict"):
-        value = value.asDict()
-    if isinstance(value, Mapping):
-        return {str(k): json_safe(v) for k, v in value.items()}
-    if isinstance(value, (list, tuple, set, frozenset)):
-        return [json_safe(v) for v in value]
-    if isinstance(value, (datetime.date, datetime.datetime)):
-        return value.isoformat()
-    if isinstance(value, (bytes, bytearray)):
-        return bytes(value).hex()
-    return str(value) if isinstance(value, decimal.Decimal) else value
+    """Instants and dates as ISO text, decimals as text, bytes as hex, rows and mappings as objects, at any depth; anything else as it is."""
+    return value
+
+
+json_safe.register(datetime.date, datetime.date.isoformat)
+json_safe.register(datetime.datetime, datetime.datetime.isoformat)
+json_safe.register(decimal.Decimal, str)
+json_safe.register(bytes, bytes.hex)
+json_safe.register(bytearray, bytearray.hex)
+json_safe.register(Mapping, lambda m: dict(zip(map(str, m), map(json_safe, m.values()))))
+json_safe.register(Row, lambda r: json_safe(r.asDict()))
+for _many in (list, tuple, set, frozenset):
+    json_safe.register(_many, lambda some: [*map(json_safe, some)])
 
 
 def safe_path(path: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .graphs import closure  # noqa: F401 (reachability is looked for here)
 
 def last_by(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The row with the largest ``order`` of each key; partial maxima before the shuffle, so a hot key is no single task's load."""
@@ -58,20 +59,6 @@ def expand_versions(df: DataFrame, key: str, before_from: Column, changed: Colum
     return df.select(key, *(extra or []), F.inline(versions))
 
 
-def closure(seeds: DataFrame, edges: DataFrame, source: str, target: str, rounds: int = 10_000) -> DataFrame:
-    """(node): all that can be reached from the seeds, these included; each round joins only what is new."""
-    from ..plans.lineage import settle
-
-    reached = settle(seeds.select(F.col(seeds.columns[0]).alias("node")).distinct())
-    fresh = reached
-    for _ in range(rounds):
-        fresh = settle(edges.join(fresh, F.col(source) == F.col("node")).select(F.col(target).alias("node")).distinct().join(reached, "node", "left_anti"))
-        if fresh.isEmpty():
-            break
-        reached = settle(reached.unionByName(fresh))
-    return reached
-
-
 def placed(df: DataFrame, order: list[Column], name: str, offset: Column | None = None) -> DataFrame:
     """The rows with their 0-based place in a total order, found from a range sort and the rows before each of its parts."""
     from ..plans.lineage import settle

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..operators import intervals, state
+from ..operators import graphs, intervals, pq, state
+from ..operators.textindex import TextIndex
+from ..sources.ranged import Ranged
+from ..sources.store import Store
+from .lineage import scratch
+from .library import TEXT_QUERY, _bm25_sql, _ranked
 from .registry import register, table
 
 #: A third and more of all events belong to one subject.
@@ -23,3 +29,94 @@ def interval_asof(spark, sf_dir):
     a = a.select("subject", F.col("event_id").alias("assertion"), F.col("ts").alias("valid_from"), "valid_until")
     held = intervals.asof_between(e.drop("size"), a, "subject", "ts", "valid_from", "valid_until")
     return held.groupBy("event_id", "subject").agg(F.count(F.lit(1)).alias("held"), F.min("assertion").alias("first_assertion"), F.sum("assertion").alias("total"))
+
+
+@register(
+    """SELECT o_orderkey, CASE WHEN o_orderkey % 1000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, o_orderstatus, o_totalprice > 400000 AND o_orderkey % 1000 <> 7 AS deleted FROM orders
+    UNION ALL SELECT -o_orderkey - 1, 1, 'N', FALSE FROM orders WHERE o_totalprice > 400000"""
+)
+def skip_merge(spark, sf_dir):
+    """Orders, loaded again with one price in a thousand changed, the dearest gone and as many new ones: only what differs is joined and written."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    dear, changed = F.col("o_totalprice") > 400000, F.col("o_orderkey") % 1000 == 7
+    new = orders.where(dear).select((-F.col("o_orderkey") - 1).alias("o_orderkey"), F.lit(1.0).alias("o_totalprice"), F.lit("N").alias("o_orderstatus"))
+    later = orders.where(~dear | changed).withColumn("o_totalprice", F.when(changed, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))).unionByName(new)
+    relation = Ranged(Store(spark, scratch(spark, "skip-merge"), "test", "orders"), "orders", "o_orderkey", file_rows=20_000)
+    for scan in (orders, later):
+        relation.load(scan, ["o_totalprice", "o_orderstatus"])
+    return relation.read()
+
+
+@register(
+    """WITH RECURSIVE e AS (SELECT event_id AS a, lead(event_id) OVER (ORDER BY event_id) AS b FROM events),
+    c AS (SELECT min(event_id) AS node FROM events UNION SELECT b FROM c JOIN e ON e.a = c.node WHERE b IS NOT NULL) SELECT node FROM c"""
+)
+def chain_closure(spark, sf_dir):
+    """What follows from the first event, each from the one before: as many steps as there are events."""
+    from ..operators.state import placed
+
+    events = placed(table(spark, sf_dir, "events").select("event_id"), [F.col("event_id")], "place")
+    edges = events.select("place", F.col("event_id").alias("a")).join(events.select((F.col("place") - 1).alias("place"), F.col("event_id").alias("b")), "place")
+    return graphs.closure(events.where("place = 0").select("event_id"), edges, "a", "b")
+
+
+_CYCLE = "c_nationkey % 5 = 3"
+
+
+@register(
+    f"""WITH o AS (SELECT o_orderkey AS node, o_custkey, {_CYCLE} AND count(*) OVER (PARTITION BY o_custkey) > 1 AS ring, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS r
+      FROM orders JOIN customer ON o_custkey = c_custkey),
+    after AS (SELECT l_orderkey, l_linenumber FROM lineitem)
+    SELECT node, CASE WHEN NOT ring THEN r - 1 END AS level, ring AS cyclic FROM o WHERE ring OR node IN (SELECT node FROM o QUALIFY count(*) OVER (PARTITION BY o_custkey) > 1)
+    UNION ALL SELECT -(l_orderkey * 10 + l_linenumber) - 1, CASE WHEN NOT ring THEN r END, FALSE FROM after JOIN o ON l_orderkey = node
+    UNION ALL SELECT node, 0, FALSE FROM o WHERE node IN (SELECT l_orderkey FROM lineitem) AND node NOT IN (SELECT node FROM o QUALIFY count(*) OVER (PARTITION BY o_custkey) > 1)"""
+)
+def plan_levels(spark, sf_dir):
+    """The level of each order after the customer's earlier ones and of each line after its order; some customers' last order leads to their first again."""
+    orders = table(spark, sf_dir, "orders").join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    own = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    each = orders.select(F.col("o_orderkey").alias("a"), F.lead("o_orderkey").over(own).alias("_next"), F.first("o_orderkey").over(own).alias("_first"), F.expr(_CYCLE).alias("_ring"))
+    each = each.withColumn("b", F.coalesce("_next", F.when(F.col("_ring") & (F.col("a") != F.col("_first")), F.col("_first"))))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("a"), (-(F.col("l_orderkey") * 10 + F.col("l_linenumber")) - 1).alias("b")).join(each.select("a"), "a", "left_semi")
+    return graphs.levels(each.select("a", "b").unionByName(lines), "a", "b")
+
+
+def _segments(spark, sf_dir):
+    """All documents, by language in two segments, without those of one source."""
+    docs = table(spark, sf_dir, "documents")
+    index = TextIndex(Store(spark, scratch(spark, "text-index"), "test", "documents"), "index", "doc_id", zone=32)
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    index.create()
+    index.append(docs.where(~english), "text")
+    index.append(docs.where(english), "text")
+    index.delete(docs.where("source = 'src3'").select("doc_id"))
+    return index
+
+
+_LIVE = "FROM documents WHERE source IS DISTINCT FROM 'src3'"
+
+
+@register(_ranked(_bm25_sql(TEXT_QUERY).replace("FROM documents)", f"{_LIVE})"), "doc_id", 20))
+def segments_topk(spark, sf_dir):
+    """As bm25_topk over the documents that an append and a deletion have left, reading the zones that can hold results."""
+    return _segments(spark, sf_dir).search(TEXT_QUERY, 20)[0]
+
+
+@register(
+    f"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+') AS w {_LIVE})
+    SELECT doc_id, len(list_filter(range(1, len(w) - 1), lambda i: w[i] = 'all' AND w[i + 1] = 'rights' AND w[i + 2] = 'reserved'))::BIGINT AS places FROM d WHERE places > 0"""
+)
+def segments_phrase(spark, sf_dir):
+    return _segments(spark, sf_dir).phrase("All rights reserved")
+
+
+@register()
+def pq_search(spark, sf_dir):
+    """Nearest neighbours of every hundredth vector in a quarter of the lists: what was found of the exact ten, by query."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    n = rows.count()
+    lists = max(4, round(n**0.5))
+    index = pq.Index.build(rows, "vec_id", "embedding", scratch(spark, "pq"), lists, 16)
+    queries = rows.where("vec_id % 100 = 0")
+    found = index.search(queries, "vec_id", "embedding", 10, -(-lists // 2), 100)
+    return pq.recall(found, pq.exact_search(rows, "vec_id", "embedding", queries, "vec_id", "embedding", 10))

@@ -124,6 +124,8 @@ class Store:
         return self._rows(name, self._state(name, version))
 
     def _rows(self, name: str, state: dict) -> DataFrame:
+        if "ranged" in state:
+            raise ValueError(f"{name} is read by its key ranges")
         folder = lambda f: f"{self.base}/{name}/data/{f}"
         known = state.get("schema")
         reader = self.spark.read.schema(StructType.fromJson(known)) if known else self.spark.read.option("mergeSchema", "true")
@@ -216,7 +218,8 @@ class Store:
         """Deletes all but the last ``keep`` versions and the folders that none of these names; readers of older versions must be done."""
         versions = self._versions(name)
         kept = versions[-max(1, keep) :]
-        used = {f for v in kept for s in [self._state(name, v)] for f in (*s["whole"], *s.get("changes", ()))}
+        used = {f for v in kept for s in [self._state(name, v)] for k in ("whole", "changes", "parts", "deltas") for f in s.get(k, ())}
+        used |= {s[k] for v in kept for s in [self._state(name, v)] for k in ("files", "digests") if k in s}
         gone = [f"current/{v}" for v in versions[: -max(1, keep)]] + [f"data/{f}" for f in self._listed(f"{self.base}/{name}/data") if f not in used]
         for path in gone:
             p, fs = self._path(f"{self.base}/{name}/{path}")

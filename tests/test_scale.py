@@ -3,10 +3,14 @@
 import random
 from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from ctxloom.operators import intervals
+from ctxloom.operators import graphs, intervals, pq
+from ctxloom.operators.retrieval import bm25
+from ctxloom.operators.textindex import TextIndex
+from ctxloom.sources.ranged import Ranged
 from ctxloom.sources.store import Conflict, Store, ingest
 
 
@@ -128,3 +132,260 @@ def test_many_threads_merge_at_once(spark, tmp_path):
     with ThreadPoolExecutor(6) as pool:
         list(pool.map(lambda i: Store(spark, f"file://{tmp_path}", "test", "race").merge("t", spark.createDataFrame([(f"k{i}", i)], "k string, v int"), "k"), range(6)))
     assert first.read("t").count() == 7
+
+
+# --- ranged relations ---------------------------------------------------------------------------
+
+
+def relation(spark, tmp_path, **more):
+    return Ranged(Store(spark, f"file://{tmp_path}", "test", "ranged"), "t", "k", **more)
+
+
+def test_ranged_loads_equal_a_plain_model(spark, tmp_path):
+    r = random.Random(2)
+    rel = relation(spark, tmp_path, file_rows=40, buckets=4, fold_share=0.3)
+    model: dict[int, tuple[str, bool]] = {}
+    scan = {k: "a" for k in range(0, 200, 2)}
+    for step in range(5):
+        snapshot = step != 2
+        got = rel.load(spark.createDataFrame([*scan.items(), (None, "x")], "k long, v string"), ["v"], snapshot)
+        live = {k: v for k, (v, gone) in model.items() if not gone}
+        want = {
+            "inserted": sum(k not in live for k in scan), "changed": sum(k in live and live[k] != v for k, v in scan.items()),
+            "reused": sum(live.get(k) == v for k, v in scan.items()), "deleted": sum(k not in scan for k in live) if snapshot else 0,
+        }
+        assert got == want
+        if snapshot:
+            model |= {k: (v, True) for k, v in live.items() if k not in scan}
+        model |= {k: (v, False) for k, v in scan.items()}
+        assert {x["k"]: (x["v"], x["deleted"]) for x in rel.read().collect()} == model and rel.read().count() == len(model)
+        some = {x["k"] for x in rel.read(50, 99).collect()}
+        assert some == {k for k in model if 50 <= k <= 99}
+        files = rel.files().collect()
+        assert sum(f["live"] for f in files) == sum(not gone for _, gone in model.values())
+        ends = sorted((f["lo"], f["hi"]) for f in files)
+        assert all(a[1] < b[0] for a, b in zip(ends, ends[1:]))
+        for _ in range(15):
+            k = r.randrange(-20, 230)
+            if k in scan and r.random() < 0.5:
+                del scan[k]
+            else:
+                scan[k] = r.choice("abc")
+    before = rel.store.version("t")
+    assert rel.load(spark.createDataFrame(list(scan.items()), "k long, v string"), ["v"])["changed"] >= 0
+    again = rel.store.version("t")
+    assert rel.load(spark.createDataFrame(list(scan.items()), "k long, v string"), ["v"])["reused"] == len(scan) and rel.store.version("t") == again >= before
+
+
+def bytes_of(spark):
+    """Bytes that this JVM has read from and written to files."""
+    stats = spark._jvm.org.apache.hadoop.fs.FileSystem.getStatistics("file", spark._jvm.java.lang.Class.forName("org.apache.hadoop.fs.RawLocalFileSystem"))
+    return stats.getBytesRead(), stats.getBytesWritten()
+
+
+def test_a_rerun_reads_and_writes_what_differs(spark, tmp_path):
+    """One key in a thousand changes: of what is stored under a tenth of the bytes is read and written."""
+    n = 30_000
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.hadoop.vectored.io.enabled", "false")  # such reads aren't counted
+    text = F.concat_ws("-", *[F.sha2(F.concat_ws("/", F.col("id").cast("string"), F.lit(i)).cast("binary"), 512) for i in range(16)])
+    for changed in (F.col("id") % 1000 == 7, F.col("id").between(15_000, 15_029)):
+        rel = relation(spark, tmp_path / str(changed)[8:12].replace("(", ""), file_rows=3_000)
+        scan = lambda c: spark.range(0, n, 1, 4).select(F.col("id").alias("k"), F.when(c, F.concat(text, F.lit("!"))).otherwise(text).alias("v"))  # noqa: E731, B023
+        path = f"{tmp_path}/scan"
+        scan(F.lit(False)).write.mode("overwrite").parquet(path)
+        assert rel.load(spark.read.parquet(path), ["v"])["inserted"] == n
+        size = sum(f.stat().st_size for f in tmp_path.rglob("data/**/*.parquet"))
+        scan(changed).write.mode("overwrite").parquet(path)
+        start = bytes_of(spark)
+        spark.read.parquet(path).select("k", F.xxhash64("v")).write.format("noop").mode("overwrite").save()
+        one_scan = bytes_of(spark)[0] - start[0]
+        written = sum(f.stat().st_size for f in tmp_path.rglob("data/**/*.parquet"))
+        start = bytes_of(spark)
+        assert rel.load(spark.read.parquet(path), ["v"]) == {"inserted": 0, "changed": 30, "reused": n - 30, "deleted": 0}
+        stored = sum(f.stat().st_size for f in tmp_path.rglob("data/**/*.parquet")) - written
+        read = bytes_of(spark)[0] - start[0]
+        print("read", read, "one scan", one_scan, "size", size, "stored", stored)
+        assert stored < size / 10
+        # the scan itself is read twice, once for its hashes and once for the rows that have changed; keys and hashes are settled on the way
+        assert read - 2 * one_scan < size / 10
+
+
+def test_ranged_opens_only_the_files_of_a_range(spark, tmp_path):
+    rel = relation(spark, tmp_path, file_rows=100)
+    rel.load(spark.range(1000).select(F.col("id").alias("k"), F.lit("x").alias("v")), ["v"])
+    assert rel.files().count() == 10 and rel.files(450, 460).count() <= 2
+    assert len(rel.read(450, 460).inputFiles()) <= 2 and rel.read(450, 460).count() == 11
+
+
+def test_ranged_of_nothing_and_racing(spark, tmp_path, monkeypatch):
+    rel, other = relation(spark, tmp_path), relation(spark, tmp_path)
+    rows = lambda *x: spark.createDataFrame(x, "k long, v string")
+    none = spark.createDataFrame([], "k long, v string")
+    assert rel.load(none, ["v"])["inserted"] == 0 and rel.read().count() == 0
+    assert rel.load(none, ["v"])["inserted"] == 0
+    raced(monkeypatch, rel.store, lambda: other.load(rows((1, "a"), (2, "a")), ["v"]))
+    assert rel.load(rows((1, "a"), (3, "a")), ["v"]) == {"inserted": 1, "changed": 0, "reused": 1, "deleted": 1}
+    assert sorted(map(tuple, rel.read().collect())) == [(1, "a", False), (2, "a", True), (3, "a", False)]
+    assert rel.load(none, ["v"])["deleted"] == 2 and rel.store.vacuum("t", 1) > 0 and rel.read().count() == 3
+
+
+# --- graphs -------------------------------------------------------------------------------------
+
+
+def graph(seed, n, more):
+    """Chains, trees both ways, a ring, a self-loop and some edges across."""
+    r = random.Random(seed)
+    edges = [(i, i + 1) for i in range(n)] + [(1000 + i, 1000 + i // 2) for i in range(2, 40)] + [(2000 + i // 2, 2000 + i) for i in range(2, 40)]
+    edges += [(3000 + i, 3000 + (i + 1) % 7) for i in range(7)] + [(4000, 4000), (5000, 5001), (5001, 5000), (5001, 5002)]
+    return edges + [(r.choice(edges)[0], r.choice(edges)[1]) for _ in range(more)] + edges[:2] + [(None, 1), (1, None)]
+
+
+def reach_by_force(seeds, edges):
+    found, todo = set(seeds), list(seeds)
+    while todo:
+        x = todo.pop()
+        for a, b in edges:
+            if a == x and b is not None and b not in found:
+                found.add(b)
+                todo.append(b)
+    return found
+
+
+@pytest.mark.parametrize("more", [0, 12])
+def test_closure_equals_plain_search(spark, more):
+    edges = graph(more, 60, more)
+    df = spark.createDataFrame(edges, "x int, y int")
+    for seeds in ([0], [55, 1030, 2001, 3003], [4000, 5000, 9999]):
+        got = [r[0] for r in graphs.closure(spark.createDataFrame([(s,) for s in seeds], "s int"), df, "x", "y").collect()]
+        assert sorted(got) == sorted(reach_by_force(seeds, edges))
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    from ctxloom.plans import lineage
+
+    rounds, settle = [], lineage.settle
+    monkeypatch.setattr(lineage, "settle", lambda df: rounds.append(1) or settle(df))
+    n = 3000
+    edges = spark.range(n).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert graphs.closure(spark.createDataFrame([(0,)], "s long"), edges, "a", "b").count() == n + 1
+    assert len(rounds) < 90
+    rounds.clear()
+    got = graphs.levels(edges, "a", "b").agg(F.count_if(F.col("level") == F.col("node")), F.count_if("cyclic")).first()
+    assert tuple(got) == (n + 1, 0) and len(rounds) < 40
+
+
+@pytest.mark.parametrize("more", [0, 12])
+def test_levels_equal_longest_ways(spark, more):
+    edges = sorted({(a, b) for a, b in graph(more + 5, 30, more) if a is not None and b is not None})
+    nodes = sorted({x for e in edges for x in e})
+    into = {v: [a for a, b in edges if b == v] for v in nodes}
+    level: dict[int, int] = {}
+    while more_ := [v for v in nodes if v not in level and all(a in level for a in into[v])]:
+        level |= {v: max((level[a] + 1 for a in into[v]), default=0) for v in more_}
+    left = {v for v in nodes if v not in level}
+    while gone := {v for v in left if not any(a == v and b in left for a, b in edges)}:
+        left -= gone
+    got = {r["node"]: (r["level"], r["cyclic"]) for r in graphs.levels(spark.createDataFrame(edges, "a int, b int"), "a", "b").collect()}
+    assert got == {v: (level.get(v), v in left) for v in nodes}
+
+
+def test_graphs_of_nothing(spark):
+    none = spark.createDataFrame([], "a int, b int")
+    assert graphs.levels(none, "a", "b").collect() == []
+    assert [r[0] for r in graphs.closure(spark.createDataFrame([(7,)], "s int"), none, "a", "b").collect()] == [7]
+
+
+# --- text index ---------------------------------------------------------------------------------
+
+
+def texts(seed, n, first=0):
+    r = random.Random(seed)
+    words = ["the"] * 30 + ["red", "fox", "hen"] * 3 + [f"w{i}" for i in range(60)]
+    return [(first + i, r.choice([None, "", *[" ".join(r.choice(words) for _ in range(r.randrange(1, 40)))] * 20])) for i in range(n)]
+
+
+def test_segments_equal_a_whole_index(spark, tmp_path):
+    schema = "id int, text string"
+    index = TextIndex(Store(spark, f"file://{tmp_path}", "test", "text"), "t", "id", zone=8)
+    index.create()
+    assert index.search("red", 5)[0].collect() == [] == index.phrase("red fox").collect()
+    live = {}
+    for step, rows in enumerate((texts(1, 150), texts(2, 90, 1000), texts(3, 30, 2000))):
+        index.append(spark.createDataFrame(rows, schema), "text")
+        live |= dict(rows)
+        if step:
+            gone = [i for i in live if i % 7 == step]
+            index.delete(spark.createDataFrame([(i,) for i in [*gone, 99_999]], "id int"))
+            live = {i: t for i, t in live.items() if i not in gone}
+    again = [i for i in range(1, 150) if i not in live][:3]  # deleted ids come back in a later segment
+    index.append(spark.createDataFrame([(i, "red fox red hen") for i in again], schema), "text")
+    live |= dict.fromkeys(again, "red fox red hen")
+    df = spark.createDataFrame(list(live.items()), schema)
+
+    def check():
+        for query in ("red", "the fox", "fox hen w3 the", "nothing", ""):
+            want = [(r["id"], r["score"]) for r in bm25(df, query, "id", "text").orderBy(F.desc("score"), "id").limit(7).collect()]
+            found, facts = index.search(query, 7)
+            assert [(r["id"], r["score"]) for r in found.orderBy("retrieval_rank").collect()] == want
+            assert facts["postings_read"] <= facts["postings"]
+        for phrase in ("red fox", "the the", "red the red", "fox", "w1 w2 w3 w4"):
+            words = phrase.split()
+            want = {}
+            for i, t in live.items():
+                own = (t or "").split()
+                if n := sum(own[k : k + len(words)] == words for k in range(len(own))):
+                    want[i] = n
+            assert {r["id"]: r["places"] for r in index.phrase(phrase).collect()} == want
+
+    check()
+    index.merge()
+    assert len(index.store._state("t")["segments"]) == 1 and "tombstones" not in index.store._state("t")
+    check()
+
+
+def test_a_search_skips_zones(spark, tmp_path):
+    rows = [(i, "the " * (1 + i % 40) + ("rare " * 9 if i % 500 == 3 else "")) for i in range(4000)]
+    index = TextIndex(Store(spark, f"file://{tmp_path}", "test", "text"), "t", "id", zone=16)
+    index.create()
+    df = spark.createDataFrame(rows, "id int, text string")
+    index.append(df, "text")
+    found, facts = index.search("rare the", 5)
+    want = [r["id"] for r in bm25(df, "rare the", "id", "text").orderBy(F.desc("score"), "id").limit(5).collect()]
+    assert [r["id"] for r in found.orderBy("retrieval_rank").collect()] == want
+    assert facts["postings_read"] < facts["postings"] / 4 and facts["postings"] == 4008
+
+
+# --- approximate vectors ------------------------------------------------------------------------
+
+
+def test_product_quantised_search(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(40, 16))
+    rows = [(i, (centres[i % 40] + rng.normal(size=16) * 0.3).tolist(), i % 3) for i in range(3000)]
+    odd = [(5000, None, 0), (5001, [0.0] * 16, 0), (5002, [float("nan")] * 16, 0), (5003, [1.0] * 4, 1), (5004, rows[0][1], 0)]
+    df = spark.createDataFrame(rows + odd, "id long, v array<double>, kind int")
+    index = pq.Index.build(df, "id", "v", str(tmp_path / "index"), 36, 8)
+    assert index.codes.count() == 3001 and len(index.model.fine) == 36
+    queries = df.where("id % 60 = 0 OR id > 5000").select(F.col("id").alias("name"), F.col("v").alias("asked"))
+    found = index.search(queries, "name", "asked", 10, 6, 80).cache()
+    exact = pq.exact_search(df, "id", "v", queries, "name", "asked", 10)
+    x = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in rows + odd[4:]}
+    for q in (0, 60, 5004):
+        want = sorted(((-round(float(x[q] @ y), 6), i) for i, y in x.items()))[:10]
+        got = exact.where(F.col("query_id") == q).orderBy("retrieval_rank").collect()
+        assert [(r["id"], r["score"]) for r in got] == [(i, -s) for s, i in want]
+    recalls = [r["recall"] for r in pq.recall(found, exact).collect()]
+    assert len(recalls) == 51 and sum(recalls) / len(recalls) >= 0.9
+    scores = {(r["query_id"], r["id"]): r["score"] for r in exact.collect()}
+    assert all(scores.get((r["query_id"], r["id"]), r["score"]) == r["score"] for r in found.collect())  # ranked again by the vectors themselves
+    only = index.search(queries, "name", "asked", 5, 36, 3000, "kind = 1").collect()
+    assert {r["id"] % 3 for r in only} == {1} and len(only) == 51 * 5
+    assert index.search(queries.limit(0), "name", "asked", 5, 3, 10).count() == 0
+
+
+def test_a_row_meets_few_centres(spark):
+    model = pq.Model(np.eye(3), np.repeat(np.eye(3), 4, axis=0) + 0.01 * np.arange(12)[:, None], np.zeros((1, 1, 3)))
+    x = np.random.default_rng(1).normal(size=(50, 3))
+    top = pq.nearest(x, model.coarse)
+    want = [t * 4 + int(((x[i] - model.fine[t * 4 : t * 4 + 4]) ** 2).sum(axis=1).argmin()) for i, t in enumerate(top)]
+    assert model.lists(x).tolist() == want
