@@ -116,11 +116,12 @@ _FOUND = "array<struct<p:string,k:string>>"
 def violation(texts: Column, schema: Mapping[str, Any]) -> Column:
     """``path keyword`` of the first violation by path of a JSON text, null if it holds (or is null).
 
-    ``$ json`` for a text that isn't JSON or in which an object has a key twice.  Numbers are compared as doubles.
+    ``$ json`` for a text that isn't JSON or in which an object has a key twice; what follows a
+    whole value is passed over.  Numbers are compared as doubles.
     """
     value = F.try_parse_json(texts)
     first = F.array_min(_broken(schema, value, F.lit("$")))
-    return F.when(texts.isNotNull() & value.isNull(), "$ json").when(first.isNotNull(), F.concat(first["p"], F.lit(" "), first["k"]))
+    return F.when(texts.isNull(), F.lit(None)).when(value.isNull(), "$ json").when(first.isNotNull(), F.concat(first["p"], F.lit(" "), first["k"]))
 
 
 def _broken(schema: Mapping[str, Any] | bool, v: Column, path: Column) -> Column:
@@ -163,7 +164,7 @@ def _broken(schema: Mapping[str, Any] | bool, v: Column, path: Column) -> Column
         if keyword in fails:
             out.append(F.when(F.coalesce(fails[keyword](), F.lit(False)), F.array(told(path, keyword))).otherwise(none))
         elif keyword == "items":
-            out.append(F.when(is_array, many(F.transform(items, lambda x, i, rule=rule: _broken(rule, x, below(i))))).otherwise(none))
+            out.append(F.when(is_array, many(F.transform(items, lambda x, i: _broken(rule, x, below(i))))).otherwise(none))
         elif keyword == "required":
             lacking = F.filter(F.array(*[F.lit(k) for k in rule]), lambda k: ~F.map_contains_key(members, k))
             out.append(F.when(is_object, F.transform(lacking, lambda k: told(below(k), "required"))).otherwise(none) if rule else none)

@@ -9,6 +9,7 @@ from ..operators import graphs, intervals, pq, state
 from ..operators.textindex import TextIndex
 from ..sources.ranged import Ranged
 from ..sources.store import Store
+from ..streaming import observations
 from .lineage import scratch
 from .library import TEXT_QUERY, _bm25_sql, _ranked
 from .registry import register, table
@@ -117,3 +118,52 @@ def pq_search(spark, sf_dir):
     queries = rows.where("vec_id % 100 = 0")
     found = index.search(queries, "vec_id", "embedding", 10, -(-2 * lists // 3), 100)
     return pq.recall(found, pq.exact_search(rows, "vec_id", "embedding", queries, "vec_id", "embedding", 10))
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+
+def _events(spark, sf_dir, *columns):
+    static = table(spark, sf_dir, "events")
+    stream = spark.readStream.schema(static.schema).parquet(f"{sf_dir}/events.parquet*")
+    return stream.select(F.col("ts").cast("timestamp").alias("at"), *columns)
+
+
+def _published(spark, stream, mode):
+    store = Store(spark, scratch(spark, "streams"), "test", "law")
+    observations.publish_stream(stream, store, "result", scratch(spark, "stream-state"), mode=mode, once=True).awaitTermination()
+    return store.read("result")
+
+
+@register(
+    """WITH e AS (SELECT user_id, ts, ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) > INTERVAL 6 HOURS AS apart FROM events),
+    s AS (SELECT user_id, ts, sum(CASE WHEN apart THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts) AS session FROM e)
+    SELECT user_id, min(ts) AS began, max(ts) + INTERVAL 6 HOURS AS ended, count(*) AS n FROM s GROUP BY user_id, session"""
+)
+def stream_sessions(spark, sf_dir):
+    found = observations.sessions(_events(spark, sf_dir, "user_id"), "at", "6 hours", ["user_id"])
+    times = [F.col(f"session.{k}").cast("timestamp_ntz").alias(n) for k, n in (("start", "began"), ("end", "ended"))]
+    return _published(spark, found.select("user_id", *times, "n"), "complete")
+
+
+@register(
+    """SELECT a.event_id AS viewed, b.event_id AS bought, a.user_id FROM events a JOIN events b ON a.user_id = b.user_id AND b.ts >= a.ts AND b.ts <= a.ts + INTERVAL 3 HOURS
+    WHERE a.event_type = 'view' AND b.event_type = 'purchase'"""
+)
+def stream_followed(spark, sf_dir):
+    views = _events(spark, sf_dir, "user_id", "event_type", F.col("event_id").alias("viewed")).where("event_type = 'view'").select("at", "user_id", "viewed")
+    bought = _events(spark, sf_dir, "user_id", "event_type", F.col("event_id").alias("bought")).where("event_type = 'purchase'").select(F.col("at").alias("bought_at"), "user_id", "bought")
+    return _published(spark, observations.followed(views, "at", bought, "bought_at", "user_id", "3 HOURS").select("viewed", "bought", "user_id"), "append")
+
+
+@register(
+    """SELECT user_id, CASE WHEN lag(value) OVER w IS NULL THEN 'inserted' WHEN floor(lag(value) OVER w / 50) = floor(value / 50) THEN 'reused' ELSE 'changed' END AS change_type, floor(value / 50)::BIGINT::VARCHAR AS size
+    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)"""
+)
+def stream_versions(spark, sf_dir):
+    """Each event's size class against the one before of its user, from state kept by user."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    sized = _events(session, sf_dir, "user_id", F.floor(F.col("value") / 50).cast("string").alias("size"))
+    changes = observations.versions(sized, "user_id", "size", "at", 366 * 86_400_000)
+    return _published(spark, changes, "append")

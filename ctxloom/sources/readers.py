@@ -89,7 +89,16 @@ def rest_pages(url: str, records: str, following: str, limits: Limits, cursor: t
             raise LimitError(f"{n} records, {pages} pages, {size} bytes")
         yield from found
         link = page.get(following)
-        url = urllib.parse.urljoin(url, link) if link else ""
+        url = following_page(url, link) if link else ""
+
+
+def following_page(url: str, link: str) -> str:
+    """The address of the next page, which must be one of the same server."""
+    there = urllib.parse.urljoin(url, link)
+    here, to = urllib.parse.urlsplit(url), urllib.parse.urlsplit(there)
+    if to.scheme not in ("http", "https") or (to.scheme, to.netloc) != (here.scheme, here.netloc):
+        raise ValueError(f"the next page is elsewhere: {to.scheme}://{to.hostname}")
+    return there
 
 
 class _Reader(DataSourceReader):

@@ -125,6 +125,35 @@ def test_schema_and_nested_values(spark):
     assert one.select(identity.canonical(F.struct(F.col("s").alias("s"), F.col("m").alias("m"))).alias("c")).first()[0] == '{"m":{"k":[1.5,null]},"s":"é"}'
 
 
+def test_compiled_schemas_equal_the_plain_rules(spark):
+    values = [None, True, 0, 1, 1.0, -2, 2.5, "", "ab", "é𝒳z", [], [1, "x", None, [2]], {}, {"a": None}, {"a": "x", "b": [{"c": 1}, {"c": "y", "d": 2}]}, {"a": {"a": {"a": 5}}, "z": False, "q r": 1.5}, [[1], [1, 2, 3]], {"b": [1] * 4}]
+    rules = [
+        True, False, {"type": "integer"}, {"type": ["number", "null"]}, {"type": "boolean"}, {"enum": [1, None, "ab", [], {"a": None}]}, {"const": True}, {"const": "x"}, {"minLength": 2, "maxLength": 2}, {"pattern": "^a"},
+        {"minimum": 1, "maximum": 2}, {"minItems": 1, "maxItems": 2}, {"items": {"type": ["integer", "array"], "maximum": 1, "items": False}}, {"required": ["a", "b"]}, {"additionalProperties": False},
+        {"properties": {"a": {"type": "string"}, "b": {"items": {"required": ["d"], "properties": {"c": {"type": "integer"}}}}}, "additionalProperties": {"type": "integer", "title": "shown only"}},
+        {"anyOf": [{"type": "string"}, {"required": ["a"]}]}, {"oneOf": [{"type": "integer"}, {"minimum": 2}]}, {"allOf": [{"type": "object"}, {"required": ["z"]}]},
+        {"type": "object", "properties": {"a": {"properties": {"a": {"properties": {"a": {"maximum": 4}}}}}}},
+    ]
+    texts = [json.dumps(v) for v in values] + ["{", "", '{"a": 1, "a": 2}', "[1"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(99, None)], "i int, t string").coalesce(1)
+    out = df.select("i", *[schema.violation(F.col("t"), r).alias(f"r{k}") for k, r in enumerate(rules)])
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    for row in out.collect():
+        for k, r in enumerate(rules):
+            if row["i"] < len(values):
+                want = next((" ".join(x) for x in sorted(schema.violations(r, values[row["i"]]))), None)
+            else:
+                want = None if row["i"] == 99 else "$ json"
+            assert row[f"r{k}"] == want, (row["i"], r)
+
+
+def test_malformed_json_has_defined_results(spark):
+    df = spark.createDataFrame([("{bad",), ("",), (None,), ('{"x": [{"my-Token": 1}]}',), ("[" * 100_000,), ('{"id": 1, "n": NaN}',)], "t string").coalesce(1)
+    got = df.select(schema.secret_field(F.col("t")), schema.redacted(F.col("t"), "id")).collect()
+    assert [r[0] for r in got] == ["$ json", "$ json", None, "x.0.my-Token", "$ json", None]
+    assert [r[1] for r in got] == [None, None, None, '{"x":[{"my-Token":1}]}', None, None]
+
+
 def test_times(spark):
     rows = spark.createDataFrame([(t,) for t in ("2024-01-02", "2024-01-02T03:04:05Z", "2024-01-02T03:04:05.25+02:00", "2024-01-02 03:04", "", "soon", None, "2024-13-01")], "t string")
     got = [r[0] for r in rows.select(F.unix_micros(text.parse_time(F.col("t")))).collect()]

@@ -1,5 +1,6 @@
 """Operators for many rows a key: interval joins, skipping merges, reachability, indexes."""
 
+import datetime
 import random
 from concurrent.futures import ThreadPoolExecutor
 
@@ -10,8 +11,10 @@ from pyspark.sql import functions as F
 from ctxloom.operators import graphs, intervals, pq
 from ctxloom.operators.retrieval import bm25
 from ctxloom.operators.textindex import TextIndex
+from ctxloom.sources import readers
 from ctxloom.sources.ranged import Ranged
 from ctxloom.sources.store import Conflict, Store, ingest
+from ctxloom.streaming import observations
 
 
 # --- interval joins -----------------------------------------------------------------------------
@@ -389,3 +392,36 @@ def test_a_row_meets_few_centres(spark):
     top = pq.nearest(x, model.coarse)
     want = [t * 4 + int(((x[i] - model.fine[t * 4 : t * 4 + 4]) ** 2).sum(axis=1).argmin()) for i, t in enumerate(top)]
     assert model.lists(x).tolist() == want
+
+
+# --- streams ------------------------------------------------------------------------------------
+
+
+def test_keyed_state_makes_versions_and_tombstones(spark, tmp_path):
+    day = lambda d, h=0: datetime.datetime(2024, 1, d, h)
+    first = [("a", "1", day(1)), ("b", "1", day(1)), ("c", "1", day(1)), ("b", "2", day(1, 5))]
+    second = [("a", "1", day(4)), ("c", "9", day(4)), ("d", "1", day(4))]
+    third = [("b", "2", day(9))]
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for rows in (first, second, third):
+            spark.createDataFrame(rows, "k string, v string, at timestamp").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+            stream = spark.readStream.schema("k string, v string, at timestamp").parquet(f"file://{tmp_path}/in")
+            changes = observations.versions(stream, "k", "v", "at", 2 * 86_400_000)
+            query = changes.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/state").option("path", f"{tmp_path}/out").trigger(availableNow=True).start()
+            query.awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+    want = [("a", "inserted", "1"), ("a", "reused", "1"), ("a", "deleted", "1"), ("b", "inserted", "1"), ("b", "changed", "2"), ("b", "deleted", "2"), ("b", "inserted", "2")]
+    want += [("c", "inserted", "1"), ("c", "changed", "9"), ("c", "deleted", "9"), ("d", "inserted", "1"), ("d", "deleted", "1")]
+    assert [x for x in got if x[1] != "deleted"] == sorted(x for x in want if x[1] != "deleted") and {x for x in got if x[1] == "deleted"} <= set(want)
+    assert ("b", "deleted", "2") in got
+
+
+def test_the_next_page_is_on_the_same_server():
+    assert readers.following_page("http://h/a?x=1", "/b?y=2") == "http://h/b?y=2"
+    for bad in ("https://h/b", "http://other/b", "file:///etc/passwd", "//other/b", "ftp://h/b"):
+        with pytest.raises(ValueError):
+            readers.following_page("http://h/a", bad)
