@@ -6,7 +6,9 @@ Distribution.  Each window of ``length`` bytes has an anchor, the least hash amo
 64-grams (the last one of equals), which depends on the window's bytes alone.  Windows that
 are equal have equal anchors, so an anchor that occurs once in all texts rules its windows
 out, and the texts around equal anchors can be sorted independently of all others.  Equal
-texts are sorted once.
+texts are sorted once.  Where a text goes on in one period, every window has an anchor of the
+same hash one step further; such windows are one piece, which is sorted for what it repeats
+of itself, so a piece is never many times as large as its text.
 
 Sorting.  The texts around the anchors of a group are joined and their suffixes sorted by
 the difference cover {1, 2} modulo 3: sampled triples are sorted and named, the names are
@@ -52,8 +54,11 @@ def _gram_hashes(b: np.ndarray) -> np.ndarray:
     return mix64(h)
 
 
-def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first start, number of starts) of the runs of windows that have the same anchor."""
+def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first start, number of starts, weight) of the runs of windows that follow each other and whose anchors have one hash.
+
+    The weight is 1 where these are one place, else as many as places would have given so many windows, and at least 2.
+    """
     out: list[tuple] = []
     for at in range(0, max(0, len(raw) - length + 1), STRETCH):
         h = _gram_hashes(np.frombuffer(raw, np.uint8)[at : at + STRETCH + length - 1])
@@ -66,9 +71,13 @@ def anchors(raw: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, n
             a = np.minimum(a[: len(a) - (width - n)], a[width - n :])
         place = (_LOW - (a & _LOW)).astype(np.int64)
         first = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-        out.append((h[place[first]], first + at, np.diff(np.append(first, len(place)))))
+        hashes = h[place[first]]
+        runs = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+        counts = np.diff(np.append(first[runs], len(place)))
+        several = np.diff(np.append(runs, len(first))) > 1
+        out.append((hashes[runs], first[runs] + at, counts, np.where(several, np.maximum(2, -(-counts // width)), 1)))
     if not out:
-        return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+        return np.empty(0, np.uint64), *[np.empty(0, np.int64)] * 3
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
@@ -149,7 +158,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def first_pass(batch: pa.RecordBatch) -> dict:
         raws = text_bytes(batch.column("_text"))
-        return {"_id": batch.column("_id"), "_digest": batch.column("_digest"), "_n": [len(x) for x in raws], "_hashes": [anchors(x, length)[0].view(np.int64) for x in raws]}
+        return {"_id": batch.column("_id"), "_digest": batch.column("_digest"), "_n": [len(x) for x in raws], "_hashes": [np.repeat(h.view(np.int64), w) for h, _, _, w in (anchors(x, length) for x in raws)]}
 
     found = settle(map_rows(base, first_pass, "_id long, _digest binary, _n long, _hashes array<long>").where(F.col("_n") >= length))
     rows = settle(found.select("_id", "_digest", "_n"))
@@ -161,22 +170,23 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     sources = base.join(wanted, F.col("_id").eqNullSafe(F.col("_rep")) & (F.col("_digest") == F.col("_of"))).select("_text", "_digest", "_cuts")
 
     def cut(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {k: [] for k in ("_hash", "_parts", "_digest", "_first", "_count", "_piece")}
+        out: dict[str, list] = {k: [] for k in ("_hash", "_parts", "_digest", "_first", "_count", "_several", "_piece")}
         for raw, own, cuts in zip(text_bytes(batch.column("_text")), batch.column("_digest").to_pylist(), batch.column("_cuts").to_pylist(), strict=True):
             parts = {c["_hash"]: c["_parts"] for c in cuts}
-            hashes, firsts, counts = anchors(raw, length)
-            for h, first, count in zip(hashes.view(np.int64).tolist(), firsts.tolist(), counts.tolist(), strict=True):
+            hashes, firsts, counts, weights = anchors(raw, length)
+            for h, first, count, several in zip(hashes.view(np.int64).tolist(), firsts.tolist(), counts.tolist(), (weights > 1).tolist(), strict=True):
                 if h in parts:
                     out["_hash"].append(h)
                     out["_parts"].append(parts[h])
                     out["_digest"].append(own)
                     out["_first"].append(first)
                     out["_count"].append(count)
+                    out["_several"].append(several)
                     out["_piece"].append(raw[first : first + count + length - 1])
         return out
 
     # equal rows of one id give the same pieces more than once
-    pieces = map_rows(sources, cut, "_hash long, _parts int, _digest binary, _first int, _count int, _piece binary")
+    pieces = map_rows(sources, cut, "_hash long, _parts int, _digest binary, _first int, _count int, _several boolean, _piece binary")
     spans = _covered(pieces, length)
     whole = copies.where("_copies > 1").select("_digest")
     removed = (
@@ -228,17 +238,17 @@ def _covered(pieces: DataFrame, length: int) -> DataFrame:
 
     def sort(rows: list[tuple]) -> Iterator[tuple]:
         distinct: dict[tuple, set] = {}
-        for h, part, digest, first, count, piece in rows:
-            distinct.setdefault((h, part, piece, count), set()).add((digest, first))
-        # a piece that stands at two places repeats whole; it is sorted only where its group has others to compare
+        for h, part, digest, first, count, repeating, piece in rows:
+            distinct.setdefault((h, part, piece, count, repeating), set()).add((digest, first))
+        # a piece that stands at two places repeats whole; it is sorted only where its group has others to compare, or it can repeat within itself
         several: dict[tuple, int] = {}
-        for h, part, _, _ in distinct:
+        for h, part, *_ in distinct:
             several[h, part] = several.get((h, part), 0) + 1
-        compared = [x for x in distinct if several[x[:2]] > 1]
+        compared = [x for x in distinct if several[x[:2]] > 1 or x[4]]
         hits = dict(zip(compared, repeated_starts([x[2] for x in compared], [x[3] for x in compared], length), strict=True)) if compared else {}
         seen: set[bytes] = set()
         for x, places in distinct.items():
-            _, part, piece, count = x
+            _, part, piece, count, _ = x
             flags = np.ones(count, bool) if len(places) > 1 else hits.get(x, np.zeros(count, bool))
             runs = _runs(flags)
             for digest, first in places:
@@ -257,12 +267,12 @@ def _covered(pieces: DataFrame, length: int) -> DataFrame:
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in zip(*[batch.column(c).to_pylist() for c in ("_hash", "_part", "_digest", "_first", "_count", "_piece")], strict=True):
+            for row in zip(*[batch.column(c).to_pylist() for c in ("_hash", "_part", "_digest", "_first", "_count", "_several", "_piece")], strict=True):
                 if size > SYMBOLS // 2 and row[:2] != held[-1][:2]:
                     yield from sorted_batch(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[5]) + 1
+                size += len(row[6]) + 1
         yield from sorted_batch(held)
 
     def sorted_batch(held: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -272,7 +282,7 @@ def _covered(pieces: DataFrame, length: int) -> DataFrame:
 
     part = F.when(F.col("_parts") > 1, F.pmod(F.xxhash64("_digest", "_first"), F.col("_parts")))
     dealt = pieces.withColumn("_part", part).repartition("_hash", "_part").sortWithinPartitions("_hash", "_part")
-    found = settle(map_batches(dealt.select("_hash", "_part", "_digest", "_first", "_count", "_piece"), run, "_digest binary, _from int, _to int, _print binary"))
+    found = settle(map_batches(dealt.select("_hash", "_part", "_digest", "_first", "_count", "_several", "_piece"), run, "_digest binary, _from int, _to int, _print binary"))
     windows = found.where("_print is not null")
     again = windows.groupBy("_print").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_print")
     elsewhere = windows.where("_digest is not null").join(again, "_print").drop("_print")

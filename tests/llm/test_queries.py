@@ -268,6 +268,37 @@ def test_suffix_rows_of_one_id_or_none(spark):
     assert got == collections.Counter([(None, n, n), (None, n, n), (None, n + 2, n), (1, n + 2, n), (1, len(data[4][1]), 0), (1, 0, 0), (None, 0, 0)])
 
 
+def removed_by_force(texts):
+    seen = collections.Counter(x[k : k + 200] for x in texts.values() for k in range(len(x) - 199))
+    out = {}
+    for i, x in texts.items():
+        gone = np.zeros(len(x), bool)
+        for k in range(len(x) - 199):
+            if seen[x[k : k + 200]] > 1:
+                gone[k : k + 200] = True
+        out[i] = (len(x), int(gone.sum()), hashlib.sha256(np.frombuffer(x, np.uint8)[~gone].tobytes()).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("stretch", [1 << 18, 700])
+def test_suffix_periodic_texts(spark, monkeypatch, stretch):
+    monkeypatch.setattr(suffix_dedup, "STRETCH", stretch)
+    some, ab = prose(120, 91), "ab" * 150
+    texts = ["a" * 3000, "a" * 199, "b" * 201, some + "a" * 450 + prose(50, 92), ab * 5 + "x" + ab, (prose(60, 93)[:137] + "") * 9, prose(80, 94)[:65] * 30, prose(200, 95)[:300] * 4 + "!", "c" * 250 + some[:260] + "c" * 250]
+    data = {i: t.encode() for i, t in enumerate(texts)}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    for group in (suffix_dedup.GROUP, 3):
+        got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in suffix_dedup.remove_repeats(df, group=group).collect()}
+        assert got == removed_by_force(data)
+
+
+def test_suffix_pieces_of_a_periodic_text_are_as_large_as_it():
+    for text, most in ((b"a" * 1_000_000, 2), (b"abc" * 300_000, 2), ((b"x" * 150 + b"y") * 6000, 8)):
+        h, first, count, weight = suffix_dedup.anchors(text)
+        assert count.sum() == len(text) - 199 and (np.diff(first) == count[:-1]).all()
+        assert (count + 199).sum() < most * len(text) and weight.sum() >= 2 * len(count) and weight.sum() < 2 * len(count) + len(text) / 100
+
+
 CLASHES = (
     "_id", "_text", "_row", "_more0", "_host", "_h", "_condemned", "_n_words", "_base", "_strict", "_kept", "_class", "_tokens", "_rep", "_key", "_group", "_side", "_set", "_bit", "_node", "_component", "_root",
     "_block", "_source", "_order", "_position", "_rank", "_slot", "_code", "_bucket", "_c", "_s", "_w", "_own", "_found", "_digest", "_of", "_rid", "_spans", "_hash", "_cuts", "_lid", "_label", "c0", "c1", "c2", "label", "word",
