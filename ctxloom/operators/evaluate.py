@@ -71,7 +71,7 @@ def authoritative(facts: Mapping[str, Any], snapshots: DataFrame, decisions: Dat
     """
     selected = F.col("outcome") == "selected"
     seen = snapshots.agg(_all(F.col("temporal_evidence")).alias("grounded"), F.count(F.lit(1)).alias("n_snapshots"))
-    order = decisions.select("*", F.lag("candidate_identity").over(_in_order()).alias("_before"))
+    order = _after(decisions)
     decided = order.agg(
         _all(F.when(selected, F.col("authority_basis") == "satisfied").otherwise(True)).alias("basis"), _all(F.when(selected, F.col("temporal_basis") == "valid").otherwise(True)).alias("timely"),
         _some(selected).alias("chosen"), _some((F.col("temporal_basis") == "expired") & (F.col("outcome") == "rejected")).alias("refused"),
@@ -114,10 +114,12 @@ def authoritative(facts: Mapping[str, Any], snapshots: DataFrame, decisions: Dat
     return listed(checks, seen, decided, older, judged, public, named, linked, moved)
 
 
-def _in_order():
-    from pyspark.sql import Window
+def _after(decisions: DataFrame) -> DataFrame:
+    """Each decision with the candidate of the one before it, joined by their places, so that no task holds the whole order."""
+    from .state import placed
 
-    return Window.orderBy("position")  # the decisions of one request
+    at = placed(decisions, [F.col("position")], "_place")
+    return at.join(at.select((F.col("_place") + 1).alias("_place"), F.col("candidate_identity").alias("_before")), "_place", "left").drop("_place")
 
 
 def semantic_sql(artifact: Mapping[str, Any], rows: DataFrame, lineage: DataFrame, most: int, excluded: str | None, text_only: bool = True) -> DataFrame:

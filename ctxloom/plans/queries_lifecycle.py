@@ -290,7 +290,7 @@ def immutable_conflict(spark, sf_dir):
 
 
 @register(
-    """WITH l AS (SELECT l_orderkey AS r, l_partkey AS p FROM lineitem WHERE l_linenumber = 1 GROUP BY ALL),
+    """WITH l AS (SELECT l_orderkey AS r, l_partkey AS p FROM lineitem GROUP BY ALL),
     c AS (SELECT r, p, row_number() OVER (PARTITION BY r ORDER BY p) - 1 AS k, p IN (SELECT p_partkey FROM part WHERE p_size > 25) AS ok FROM l), q AS (SELECT r, count(*) FILTER (WHERE ok) AS n FROM c GROUP BY r HAVING n > 0)
     SELECT 'resolution_candidates' AS relation, count(*) AS n FROM c UNION ALL SELECT 'resolution_decisions', count(*) FROM c UNION ALL SELECT 'contract_evaluations', count(*) FROM q
     UNION ALL SELECT 'context_packages', count(*) FROM q WHERE n <= 2 UNION ALL SELECT 'package_items', coalesce(sum(n), 0)::BIGINT FROM q WHERE n <= 2
@@ -298,7 +298,7 @@ def immutable_conflict(spark, sf_dir):
 )
 def lifecycle_run(spark, sf_dir):
     """From retrieval facts to published relations: requests, decisions, packages and one contract."""
-    facts = table(spark, sf_dir, "lineitem").where("l_linenumber = 1").select(F.col("l_orderkey").cast("string").alias("query_id"), F.concat(F.lit("p"), "l_partkey").alias("context_identity")).distinct()
+    facts = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").cast("string").alias("query_id"), F.concat(F.lit("p"), "l_partkey").alias("context_identity")).distinct()
     rank = F.row_number().over(_of_query()) - 1
     facts = facts.withColumns({"score": F.lit(1.0), "rank": rank.cast("long")})
     inputs = facts.select("query_id").distinct().withColumns({"retrieval_role": F.lit("lines"), "task_id": F.lit("t"), "as_of": F.lit("2024-01-01T00:00:00Z")})
