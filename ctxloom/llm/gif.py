@@ -6,8 +6,9 @@ disposal of each frame before the next.  ``encode`` writes 8-bit indexed frames.
 
 Defined results: null content gives no frames (``frames``) or the empty payload (the
 query); bytes that are no GIF, code sizes outside 2 to 8 and canvases of more than
-``MOST_PIXELS`` raise ValueError in ``decode`` and give an ``error`` row in ``frames``; repeated rows give repeated results; an empty table gives an empty result;
-other columns are ignored.
+``MOST_PIXELS`` raise ValueError in ``decode`` and give an ``error`` in ``frames``, there with
+the frames before the place that is broken; repeated rows give repeated results; an empty
+table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -198,8 +199,8 @@ def _rendered(data: bytes, most_pixels: int) -> Iterator[Frame]:
         if kind == 0x21:
             body, after = _blocks(data, at + 2)
             if data[at + 1] == 0xF9:
-                bits, hundredths, index = struct.unpack_from("<BHB", body)
-                delay, disposal, clear = hundredths * 10, bits >> 2 & 7, index if bits & 1 else None
+                bits, hundredths, through = struct.unpack_from("<BHB", body)
+                delay, disposal, clear = hundredths * 10, bits >> 2 & 7, through if bits & 1 else None
             at = after
             continue
         if kind != 0x2C:
@@ -261,19 +262,19 @@ def encode(frames: list[np.ndarray], palette: np.ndarray = GREY, delay_ms: int =
 
 
 def frames(df: DataFrame, id_col: str, content_col: str, bins: int = 4, most_pixels: int = MOST_PIXELS) -> DataFrame:
-    """Per GIF one row with its timed frames, or an error: id, frames array<struct<index, at_ms, delay_ms, width, height, rgba, histogram>>, error."""
+    """Per GIF one row with its timed frames, and an error where it breaks off or is none: id, frames array<struct<index, at_ms, delay_ms, width, height, rgba, histogram>>, error."""
     import pyspark.sql.functions as F
 
     base = df.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{content_col}`").cast("binary").alias("_content"))
 
     def one(raw: bytes | None) -> tuple[list[dict], str | None]:
+        found: list[dict] = []
         try:
-            return [
-                {"index": f.index, "at_ms": f.at_ms, "delay_ms": f.delay_ms, "width": f.rgba.shape[1], "height": f.rgba.shape[0], "rgba": f.rgba.tobytes(), "histogram": f.histogram(bins)}
-                for f in (rendered(raw, most_pixels) if raw is not None else ())
-            ], None
+            for f in rendered(raw, most_pixels) if raw is not None else ():
+                found.append({"index": f.index, "at_ms": f.at_ms, "delay_ms": f.delay_ms, "width": f.rgba.shape[1], "height": f.rgba.shape[0], "rgba": f.rgba.tobytes(), "histogram": f.histogram(bins)})
         except ValueError as e:
-            return [], str(e)
+            return found, str(e)
+        return found, None
 
     def run(batch: pa.RecordBatch) -> dict:
         rows = [one(x) for x in batch.column("_content").to_pylist()]

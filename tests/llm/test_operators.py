@@ -179,6 +179,20 @@ def test_gif_disposal_transparency_and_palettes(spark):
     assert len(got[1]["frames"]) == 4 and got[2]["frames"] == [] and got[2]["error"] is None and got[3]["error"] and got[4]["error"]
 
 
+def test_gif_frames_of_broken_empty_and_clashing_tables(spark):
+    whole = gif.encode([np.full((2, 3), i, np.uint8) for i in (0, 100, 255)])
+    cut = whole[: whole.rindex(b"\x21\xf9\x04") + 20]  # within the third frame
+    data = [(1, bytearray(whole)), (1, bytearray(whole)), (None, None), (2, bytearray(cut)), (3, bytearray(b"")), (4, bytearray(whole[:6]))]
+    df = spark.createDataFrame(data, "k long, content binary")
+    got = sorted(((r["k"], [(f["index"], f["at_ms"], f["histogram"]) for f in r["frames"]], r["error"] is not None) for r in gif.frames(df, "k", "content").collect()), key=str)
+    levels = lambda x: [6 if i == x * 4 // 256 * 21 else 0 for i in range(64)]
+    three = [(i, 100 * i, levels(x)) for i, x in enumerate((0, 100, 255))]
+    assert got == sorted([(1, three, False), (1, three, False), (None, [], False), (2, three[:2], True), (3, [], True), (4, [], True)], key=str)
+    clash = df.selectExpr("*", *[f"'{c}!' AS `{c}`" for c in ("_id", "_content", "frames", "error", "c0")])
+    assert sorted(map(str, gif.frames(clash, "k", "content").collect())) == sorted(map(str, gif.frames(df, "k", "content").collect()))
+    assert gif.frames(df.limit(0), "k", "content").collect() == []
+
+
 def late_clearing(data, least, extra):
     """A code stream that clears ``extra`` codes after the table is full, never if None."""
     clear, bits, at = 1 << least, 0, 0
