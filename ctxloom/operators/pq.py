@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
 def units(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Rows with a usable vector, and those vectors at length 1: not null, nothing null or infinite in it, not zero."""
     column = column.cast(pa.list_(pa.float64()))
-    sizes = pa.compute.fill_null(pa.compute.list_value_length(column), 0).to_numpy()
+    sizes = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
     width = int(sizes.max()) if len(sizes) else 0
     rows = np.flatnonzero((sizes == width) & (sizes > 0))
     x = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).reshape(len(rows), width) if len(rows) else np.zeros((0, max(1, width)))
