@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 #: Plain rounds before shortcuts are made; parts of a result that are kept before they become one.
 PLAIN_ROUNDS, MOST_PARTS = 4, 8
+#: Edges beyond which a graph is contracted before it gets shortcuts.
+MANY_EDGES = 200_000
+#: Contraction ends with a round in which fewer than one in so many of the nodes with a single way can go.
+FEW_GO = 50
 
 
 def _edges(edges: DataFrame, source: str, target: str) -> DataFrame:
@@ -26,15 +30,38 @@ def closure(seeds: DataFrame, edges: DataFrame, source: str, target: str) -> Dat
     that goes on, shortcuts are made by doubling: for each node with a single way out, and for
     each with a single way in, the node 2 ** j steps on or back, a row a node and level.  Then a
     round also runs through all chains and trees that it meets, so 10,000 steps in a row are
-    some 14 joins.  Edges without an end are passed over; a cycle ends as nothing in it is new.
+    some 14 joins.  Of a graph with many edges only a contracted form gets shortcuts: nodes
+    with a single way in or out go, a third of a chain a round, and are looked up again at the
+    end, so chains of any length cost a few times their edges and not a copy a level.  Edges
+    without an end are passed over; a cycle ends as nothing in it is new.
     """
     from ..plans.lineage import settle
 
     pairs = _edges(edges, source, target)
     fresh = settle(seeds.select(F.col(f"`{seeds.columns[0]}`").alias("node")).distinct())
+    if pairs.count() <= MANY_EDGES:
+        return _spread(fresh, pairs)[0]
+    known, more = _spread(fresh, pairs, PLAIN_ROUNDS)
+    if not more:
+        return known
+    known = settle(known)
+    # what is known needs no way in any more, and all ways out of it lead on from a seed
+    ahead = pairs.join(known.select(F.col("node").alias("b")), "b", "left_anti")
+    ahead = ahead.join(known.select(F.col("node").alias("a"), F.lit(True).alias("_s")), "a", "left").select("a", "b", F.coalesce("_s", F.lit(False)).alias("s"))
+    rest, gone = contracted(settle(ahead))
+    found = settle(_spread(known, rest.select("a", "b"))[0])
+    for into in reversed(gone):
+        found = settle(found.unionByName(into.join(found, F.col("a") == F.col("node"), "left_semi").select(F.col("b").alias("node"))).distinct())
+    return found
+
+
+def _spread(fresh: DataFrame, pairs: DataFrame, most: int | None = None) -> tuple[DataFrame, bool]:
+    """What is reached, in at most so many rounds, and whether the last of these found something."""
+    from ..plans.lineage import settle
+
     parts, shortcuts, rounds = [fresh], None, 0
     step = lambda along, found: along.join(found, F.col("a") == F.col("node")).select(F.col("b").alias("node"))
-    while True:
+    while most is None or rounds < most:
         ahead = step(pairs, fresh).distinct()
         if rounds >= PLAIN_ROUNDS:
             shortcuts = doubled(pairs) if shortcuts is None else shortcuts
@@ -43,10 +70,11 @@ def closure(seeds: DataFrame, edges: DataFrame, source: str, target: str) -> Dat
                 ahead = settle(ahead.unionByName(step(s, ahead)).distinct())
         fresh = settle(ahead.join(reduce(DataFrame.unionByName, parts), "node", "left_anti"))
         if fresh.isEmpty():
-            return reduce(DataFrame.unionByName, parts)
+            return reduce(DataFrame.unionByName, parts), False
         parts, rounds = [*parts, fresh], rounds + 1
         if len(parts) > MOST_PARTS:
             parts = [settle(reduce(DataFrame.unionByName, parts))]
+    return reduce(DataFrame.unionByName, parts), True
 
 
 def doubled(pairs: DataFrame) -> list[DataFrame]:
@@ -66,6 +94,36 @@ def doubled(pairs: DataFrame) -> list[DataFrame]:
     return out
 
 
+def contracted(ahead: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """The edges (a, b, s) without nodes that have a single way in or out, and of each round the ways (a, b) into those that went.
+
+    ``s`` tells that ``a`` is a seed; seeds stay and have no way in.  In a round go those
+    nodes whose hash is above that of all their neighbours, so no two of them are neighbours
+    and no way through them is more than one edge for each of their edges: a third of a chain.
+    It ends when few edges are left, or with a round that finds few such nodes.
+    """
+    from ..plans.lineage import settle
+
+    gone: list[DataFrame] = []
+    while ahead.count() > MANY_EDGES:
+        h = lambda c: F.xxhash64(F.lit(len(gone)), c)  # noqa: B023, E731
+        ends = ahead.select(F.col("b").alias("node"), F.lit(1).alias("i"), F.lit(0).alias("o"), F.when(~F.col("s"), h("a")).alias("h"))
+        ends = ends.unionByName(ahead.where("NOT s").select(F.col("a").alias("node"), F.lit(0).alias("i"), F.lit(1).alias("o"), h("b").alias("h")))
+        nodes = ends.groupBy("node").agg(F.sum("i").alias("i"), F.sum("o").alias("o"), F.max("h").alias("h")).where("i < 2 OR o < 2")
+        chosen = settle(nodes.select("node", (F.coalesce(h("node") > F.col("h"), F.lit(True))).alias("goes")))
+        some, going = chosen.agg(F.count(F.lit(1)), F.count_if("goes")).first()
+        if not some or going * FEW_GO < some:
+            break
+        chosen = chosen.where("goes").select("node")
+        mark = lambda c: chosen.select(F.col("node").alias(c), F.lit(True).alias(f"_{c}"))  # noqa: B023, E731
+        marked = settle(ahead.join(mark("a"), "a", "left").join(mark("b"), "b", "left").select("a", "b", "s", "_a", "_b"))
+        into, out = marked.where("_b").select("a", "s", "b"), marked.where("_a").select(F.col("a").alias("b"), F.col("b").alias("c"))
+        through = into.join(out, "b").where("a <> c").select("a", F.col("c").alias("b"), "s").distinct()
+        gone.append(into.select("a", "b"))
+        ahead = settle(marked.where("_a IS NULL AND _b IS NULL").select("a", "b", "s").unionByName(through).distinct())
+    return ahead, gone
+
+
 def chains(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Each node's chain and place in it, (node, head, place), and the nodes of chains that close to a ring.
 

@@ -28,5 +28,12 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    shared_folder(df.sparkSession)
-    return df.checkpoint()
+    """The rows, written once, under a plan of their own.
+
+    A checkpoint keeps its plan's estimate of size, and a join's is the product of those of its
+    sides: over rounds of joins the number's digits double until the driver has no memory left.
+    """
+    spark = df.sparkSession
+    shared_folder(spark)
+    done = df.checkpoint()._jdf
+    return DataFrame(spark._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False), spark)

@@ -263,6 +263,30 @@ def test_closure_equals_plain_search(spark, more):
         assert sorted(got) == sorted(reach_by_force(seeds, edges))
 
 
+@pytest.mark.parametrize("more", [0, 12])
+def test_closure_of_a_contracted_graph(spark, monkeypatch, more):
+    monkeypatch.setattr(graphs, "MANY_EDGES", 3)
+    monkeypatch.setattr(graphs, "PLAIN_ROUNDS", 1)
+    edges = graph(more + 2, 40, more)
+    df = spark.createDataFrame(edges, "x int, y int")
+    for seeds in ([0], [55, 1030, 2001, 3003]):
+        got = [r[0] for r in graphs.closure(spark.createDataFrame([(s,) for s in seeds], "s int"), df, "x", "y").collect()]
+        assert sorted(got) == sorted(reach_by_force(seeds, edges))
+
+
+def test_a_settled_plan_forgets_the_size_of_its_joins(spark):
+    """Joins of joins: the estimate of one round must not be a factor of the next."""
+    from ctxloom.plans.lineage import settle
+
+    df = settle(spark.range(10).select("id", (F.col("id") + 1).alias("next")))
+    size = lambda d: int(str(d._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    first = None
+    for _ in range(5):
+        df = settle(df.join(df.select(F.col("id").alias("next"), F.col("next").alias("far")), "next").select("id", F.col("far").alias("next")))
+        first = first or size(df)
+        assert size(df) <= first
+
+
 def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
     from ctxloom.plans import lineage
 
