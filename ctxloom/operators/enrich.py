@@ -69,7 +69,7 @@ class StorePort(Protocol):
 
 
 class RetrievalPort(Protocol):
-    def semantic_search(self, relation: str, query: str, mode: str, limit: int, vector: str | None = None, prefilter: str | None = None) -> DataFrame: ...
+    def semantic_search(self, relation: str, query: str, mode: str, limit: int | None, vector: str | None = None, prefilter: str | None = None) -> DataFrame: ...
 
 
 class ResolutionPort(Protocol):

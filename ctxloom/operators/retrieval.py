@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from .state import placed
 
 K1, B = 1.2, 0.75
 RRF = 60
@@ -27,16 +28,19 @@ def cosine(v: Column, query: list[float]) -> Column:
     return dot / F.nullif(norm * F.lit(sum(x * x for x in query) ** 0.5), F.lit(0.0))
 
 
-def top(scored: DataFrame, id_col: str, limit: int, rank: str = "retrieval_rank") -> DataFrame:
+def top(scored: DataFrame, id_col: str, limit: int | None, rank: str = "retrieval_rank") -> DataFrame:
+    """The best rows with their ranks; without a limit all rows with a score, ranked by ranges."""
+    order = [F.desc("score"), F.asc(id_col)]
+    if limit is None:
+        return placed(scored.where(F.col("score").isNotNull()), order, rank)
     if limit <= 0:
         raise ValueError("limit must be positive")
-    order = [F.desc("score"), F.asc(id_col)]
     best = scored.where(F.col("score").isNotNull()).orderBy(*order).limit(limit)
     # the window sees at most ``limit`` rows
     return best.withColumn(rank, (F.row_number().over(Window.orderBy(*order)) - 1).cast("long"))
 
 
-def vector_search(df: DataFrame, query: list[float], limit: int, id_col: str, vector_col: str, prefilter: str | None = None) -> DataFrame:
+def vector_search(df: DataFrame, query: list[float], limit: int | None, id_col: str, vector_col: str, prefilter: str | None = None) -> DataFrame:
     rows = df.where(prefilter) if prefilter else df
     return top(rows.withColumn("score", F.round(cosine(F.col(vector_col), query), 6)).drop(vector_col), id_col, limit)
 
@@ -112,11 +116,11 @@ class Postings:
         return top(self.scores(query).withColumnRenamed("id", id_col), id_col, limit)
 
 
-def full_text_search(df: DataFrame, query: str, limit: int, id_col: str, text_col: str, prefilter: str | None = None) -> DataFrame:
+def full_text_search(df: DataFrame, query: str, limit: int | None, id_col: str, text_col: str, prefilter: str | None = None) -> DataFrame:
     return top(bm25(df.where(prefilter) if prefilter else df, query, id_col, text_col), id_col, limit)
 
 
-def hybrid(first: DataFrame, second: DataFrame, id_col: str, limit: int) -> DataFrame:
+def hybrid(first: DataFrame, second: DataFrame, id_col: str, limit: int | None) -> DataFrame:
     """Reciprocal-rank fusion of two ranked results: the sum of 1 / (60 + rank)."""
     both = first.select(id_col, "retrieval_rank").unionByName(second.select(id_col, "retrieval_rank"))
     return top(both.groupBy(id_col).agg(F.round(F.sum(1.0 / (RRF + F.col("retrieval_rank"))), 9).alias("score")), id_col, limit)
@@ -138,16 +142,16 @@ TEXT_COLUMNS = (
 STATE_COLUMNS = ("authority_status", "temporal_status", "policy_id", "as_of")
 
 
-def with_catalog(facts: DataFrame, catalog: DataFrame, id_col: str = "context_identity") -> DataFrame:
+def with_catalog(facts: DataFrame, catalog: DataFrame, id_col: str = "context_identity", few: bool = True) -> DataFrame:
     """Facts joined to the catalog on identity, blanks where it has no row; of equal identities the last by ``_seq`` wins if there is one.
 
-    Facts are a query's ``limit`` rows: sent to the catalog's tasks, they leave only their own catalog rows to be sorted out.
+    ``few`` facts, a query's ``limit`` rows, are sent to the catalog's tasks and leave only their own catalog rows to be sorted out.
     """
     known = set(catalog.columns)
     wanted = [c for c in (*TEXT_COLUMNS, *STATE_COLUMNS) if c in known]
     order = F.col("_seq") if "_seq" in known else F.lit(0)
     named = facts.withColumnRenamed(id_col, "_id")
-    own = catalog.join(F.broadcast(named.select("_id")), F.col("canonical_identity") == F.col("_id"), "left_semi")
+    own = catalog.join(F.broadcast(named.select("_id")) if few else named.select("_id"), F.col("canonical_identity") == F.col("_id"), "left_semi")
     last = own.groupBy("canonical_identity").agg(F.max_by(F.struct(*wanted), order).alias("_row"))
     joined = named.join(last, F.col("_id") == F.col("canonical_identity"), "left")
     field = lambda c: (F.coalesce(F.col(f"_row.{c}").cast("string"), F.lit("")) if c in known else F.lit("")).alias(c)

@@ -1,7 +1,7 @@
 """SQL over a set of relations, with the table function ``semantic_search``.
 
 A call's arguments are literals: relation, query text, mode (vector, full_text or hybrid),
-limit and, optionally, the name of a registered query vector and a prefilter.  It is found
+limit (NULL: all rows) and, optionally, the name of a registered query vector and a prefilter.  It is found
 by the session's own parser, planned lazily as a DataFrame, and its text is replaced by the
 name of a temporary view before Spark plans the whole statement.
 """
@@ -42,9 +42,9 @@ class Engine:
         except Exception as e:
             raise ValueError(f"analytical query failed: {e}") from e
 
-    def semantic_search(self, relation: str, query: str, mode: str, limit: int, vector: str | None = None, prefilter: str | None = None) -> DataFrame:
-        """The table function as an API; the relation is only the catalog that facts are joined to."""
-        if limit <= 0:
+    def semantic_search(self, relation: str, query: str, mode: str, limit: int | None, vector: str | None = None, prefilter: str | None = None) -> DataFrame:
+        """The table function as an API; the relation is only the catalog that facts are joined to.  Without a limit all rows that match are facts."""
+        if limit is not None and limit <= 0:
             raise ValueError("limit must be positive")
         if vector is not None and vector not in self.vectors:
             raise ValueError(f"unknown query vector: {vector}")
@@ -57,12 +57,12 @@ class Engine:
             return search.with_catalog(nothing, self._catalog(relation), self.id_col)
         rows = self.retrieval.where(prefilter) if prefilter else self.retrieval
 
-        def by_vector(n: int) -> DataFrame:
+        def by_vector(n: int | None) -> DataFrame:
             if vector is None:
                 raise ValueError("vector search needs a query vector")
             return search.vector_search(rows.select(self.id_col, self.vector_col), self.vectors[vector], n, self.id_col, self.vector_col)
 
-        def by_text(n: int) -> DataFrame:
+        def by_text(n: int | None) -> DataFrame:
             if self.postings is not None and prefilter is None:
                 return self.postings.search(query, n, self.id_col)
             return search.full_text_search(rows.select(self.id_col, self.text_col), query, n, self.id_col, self.text_col)
@@ -72,17 +72,17 @@ class Engine:
         elif mode == "full_text":
             facts = by_text(limit)
         else:
-            wide = max(limit * 4, 40)
+            wide = None if limit is None else max(limit * 4, 40)
             facts = search.hybrid(by_vector(wide), by_text(wide), self.id_col, limit)
         self._record(relation, mode, prefilter, limit, facts)
-        return search.with_catalog(facts.withColumn(self.id_col, F.col(self.id_col).cast("string")), self._catalog(relation), self.id_col)
+        return search.with_catalog(facts.withColumn(self.id_col, F.col(self.id_col).cast("string")), self._catalog(relation), self.id_col, limit is not None)
 
     def _catalog(self, relation: str) -> DataFrame:
         if relation not in self.relations:
             raise ValueError(f"unknown relation: {relation}")
         return self.relations[relation]
 
-    def _record(self, relation: str, mode: str, prefilter: str | None, limit: int, facts: DataFrame) -> None:
+    def _record(self, relation: str, mode: str, prefilter: str | None, limit: int | None, facts: DataFrame) -> None:
         plan = facts._jdf.queryExecution().optimizedPlan().toString()
         self.last_execution = {"adapter": "ctxloom", "table": self.retrieval_name, "catalog": relation, "mode": mode, "prefilter": prefilter, "limit": limit, "plan": plan}
 
@@ -103,7 +103,7 @@ class Engine:
                 raise ValueError("semantic_search takes 4 to 6 literal arguments")
             relation, query, mode, limit, *more = arguments
             view = f"__semantic_search_{next(_numbers)}"
-            self.semantic_search(relation, query, mode, int(limit), *[x if x else None for x in more]).createOrReplaceTempView(view)
+            self.semantic_search(relation, query, mode, None if limit is None else int(limit), *[x if x else None for x in more]).createOrReplaceTempView(view)
             text = text[:start] + view + text[_call_end(text, start) :]
         return text
 
@@ -119,7 +119,7 @@ class Engine:
                     a = arguments.apply(i)
                     if a.getClass().getSimpleName() != "Literal":
                         raise ValueError("semantic_search takes literal arguments")
-                    literals.append(a.toString())
+                    literals.append(None if a.value() is None else a.toString())
                 found.append((node.origin().startIndex().get(), literals))
             for seq in (node.children(), node.innerChildren(), node.subqueries()):
                 queue += [x for i in range(seq.size()) if hasattr(x := seq.apply(i), "nodeName") and _is_plan(x)]

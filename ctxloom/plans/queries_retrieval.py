@@ -76,7 +76,7 @@ def search_missing(spark, sf_dir):
 def escaped_prefilter(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("context_identity"), "text", "source")
     engine = Engine(spark, {"catalog": rows.select(F.col("context_identity").alias("canonical_identity"))}, rows)
-    return engine.sql("SELECT count(*) AS n FROM semantic_search('catalog', 'the', 'full_text', 100000, '', 'source <> ''it''''s''')")
+    return engine.sql("SELECT count(*) AS n FROM semantic_search('catalog', 'the', 'full_text', NULL, '', 'source <> ''it''''s''')")
 
 
 @register("SELECT event_type, count(*) AS n FROM events WHERE event_type = 'click' GROUP BY event_type")

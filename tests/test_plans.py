@@ -207,3 +207,13 @@ def test_project_lock(tmp_path):
     with pytest.raises(ValueError, match="outside"):
         project.lock(tmp_path)
     assert project.repeated_identities({"a": {"x": {"n": 1}}, "b": {"y": {"n": 1}, "z": {"n": 2}}}) and not project.repeated_identities({"a": {"x": {"n": 1}}})
+
+
+def test_a_search_without_a_limit_finds_all(spark):
+    rows = spark.range(300).select(F.col("id").alias("context_identity"), F.concat(F.lit("the "), F.repeat(F.lit("x "), (F.col("id") % 9).cast("int"))).alias("text"))
+    engine = Engine(spark, {"catalog": rows.select(F.col("context_identity").cast("string").alias("canonical_identity"))}, rows)
+    found = engine.sql("SELECT retrieval_rank AS r FROM semantic_search('catalog', 'the', 'full_text', NULL, '', 'context_identity < 250')").collect()
+    assert sorted(r["r"] for r in found) == list(range(250))
+    least = engine.semantic_search("catalog", "the", "full_text", 20).select("canonical_identity", "retrieval_rank").collect()
+    every = engine.semantic_search("catalog", "the", "full_text", None).where("retrieval_rank < 20").select("canonical_identity", "retrieval_rank").collect()
+    assert sorted(least) == sorted(every)
