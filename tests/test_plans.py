@@ -217,3 +217,13 @@ def test_a_search_without_a_limit_finds_all(spark):
     least = engine.semantic_search("catalog", "the", "full_text", 20).select("canonical_identity", "retrieval_rank").collect()
     every = engine.semantic_search("catalog", "the", "full_text", None).where("retrieval_rank < 20").select("canonical_identity", "retrieval_rank").collect()
     assert sorted(least) == sorted(every)
+
+
+def test_a_join_is_counted_without_its_pairs(spark, tmp_path):
+    """4 * 10 ** 10 pairs of one nation."""
+    from ctxloom.plans import library
+
+    for name, key in (("supplier", "s_nationkey"), ("customer", "c_nationkey")):
+        spark.range(200_001).select(F.when(F.col("id") == 0, 1).otherwise(0).alias(key)).write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "n_nationkey int, n_name string").write.parquet(f"{tmp_path}/nation.parquet")
+    assert sorted(map(tuple, library.QUERIES["fanout_join_count"](spark, str(tmp_path)).collect())) == [("a", 40_000_000_000), ("b", 1)]
