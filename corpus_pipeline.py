@@ -4,16 +4,19 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; each is written
 and read again before the next.  All but the last return the columns of ``documents``.
 Null texts count as empty, so the quality rules remove them; repeated rows are copies; an
 empty table gives an empty result; columns beyond those of ``documents`` are carried along
-until the last stage.
+until the last stage.  The mixture is the order of the stored rows; the last stage turns it
+into a column ``position``.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 from ctxloom.llm import bpe, mixing, near_dup, quality_rules, secrets
-from ctxloom.llm.common import documents, remove, store
+from ctxloom.llm.common import documents, fresh, remove, store
 
 #: A parameter: the rank file of the tokenizer.
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -42,8 +45,27 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text, with the digests of ids and decoded bytes."""
-    return bpe.encode(docs, bpe.load_ranks(RANKS), public_tokenizers.PATTERN, keep=("source",))
+    """Token ids of every text, with the digests of ids and decoded bytes, and the text's position in the mixture."""
+    placed, position = in_order(docs)
+    out = bpe.encode(placed, bpe.load_ranks(RANKS), public_tokenizers.PATTERN, keep=("source", position))
+    return out.withColumnRenamed(position, "position")
+
+
+def in_order(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with their 0-based place, and its column: of files by name and rows in each, as ``mix_sources`` writes them; of a frame without files by parts."""
+    (name,) = fresh(docs.columns, "_position")
+    try:
+        kept = docs.metadataColumn("_metadata")
+        file, row = kept["file_name"], kept["row_index"]
+        rows = docs.select(*[f"`{c}`" for c in docs.columns], file.alias(f"{name}_file"), row.alias(name))
+        rows.schema  # where there are no files, this raises
+    except AnalysisException:
+        return docs.withColumn(name, F.monotonically_increasing_id()), name
+    # a row a file
+    sizes = rows.groupBy(f"{name}_file").agg((F.max(name) + 1).alias("_n"))
+    before = sizes.select(F.col(f"{name}_file").alias(f"{name}_of"), (F.sum("_n").over(Window.orderBy(f"{name}_file")) - F.col("_n")).alias(f"{name}_before"))
+    placed = rows.join(F.broadcast(before), F.col(f"{name}_file") == F.col(f"{name}_of"))
+    return placed.withColumn(name, F.col(name) + F.col(f"{name}_before")).drop(f"{name}_file", f"{name}_of", f"{name}_before"), name
 
 
 STAGES = [

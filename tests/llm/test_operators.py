@@ -438,3 +438,16 @@ def test_pipeline_stages(spark, docs, empty):
         assert len(ids) == df.count() >= least
         if least:
             assert {r["doc_id"] for r in ids} & {6, 7, 8} == {6} and not {1, 2, 3, 4, 5, 12} & {r["doc_id"] for r in ids}
+
+
+def test_positions_follow_the_mixture(spark, tmp_path):
+    import corpus_pipeline
+    from ctxloom.llm import mixing
+
+    rows = [(i, prose(4 + 40 * (i % 50 == 0), i) * (1 + 400 * (i % 97 == 0)), "en", f"src{i % 3}", 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    corpus_pipeline.mix_sources(spark, df, "").write.parquet(f"{tmp_path}/mixed")
+    ids = corpus_pipeline.encode(spark, spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
+    mixed = mixing.mix(df, mixing.WEIGHTS).select("doc_id", "_position").collect()
+    assert {r["doc_id"]: r["position"] for r in ids} == {r["doc_id"]: r["_position"] for r in mixed} and len(ids) == 400
+    assert {r["position"] for r in corpus_pipeline.encode(spark, df.coalesce(1), "").collect()} == set(range(400))
