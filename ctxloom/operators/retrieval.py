@@ -8,11 +8,15 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import tokens
+from ..session import ship
 from .state import placed
 
 K1, B = 1.2, 0.75
@@ -74,6 +78,36 @@ def bm25(df: DataFrame, query: str, id_col: str, text_col: str) -> DataFrame:
     return counted.where(some).join(F.broadcast(stats)).select(id_col, F.round(score, 6).alias("score"))
 
 
+def worded(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, len, terms, places): a row's different terms and where each stands, found inside the row, so that no word is shuffled."""
+    ship(df.sparkSession)
+    words = df.select(F.col(f"`{id_col}`").alias("id"), tokens(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_w"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            lens, terms, places = by_term(b.column(1))
+            yield pa.RecordBatch.from_arrays([b.column(0), lens, terms, places], names=["id", "len", "terms", "places"])
+
+    return words.mapInArrow(run, f"id {dict(words.dtypes)['id']}, len int, terms array<string>, places array<array<int>>")
+
+
+def by_term(words: pa.ListArray) -> tuple[pa.Array, pa.ListArray, pa.ListArray]:
+    """Of lists of words: their lengths, their different words and the places of each."""
+    ends = words.offsets.to_numpy()
+    lens = np.diff(ends)
+    coded = words.flatten().dictionary_encode()
+    row = np.repeat(np.arange(len(lens)), lens)
+    place = (np.arange(len(row)) - np.repeat(ends[:-1] - ends[0], lens)).astype(np.int32)
+    key = row * max(1, len(coded.dictionary)) + coded.indices.to_numpy()
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.diff(key[order], prepend=-1))
+    at = order[first]
+    bounds = np.searchsorted(row[at], np.arange(len(lens) + 1)).astype(np.int32)
+    each = pa.ListArray.from_arrays(np.append(first, len(order)).astype(np.int32), place[order])
+    terms = coded.dictionary.take(coded.indices.take(pa.array(at)))
+    return pa.array(lens.astype(np.int32)), pa.ListArray.from_arrays(bounds, terms), pa.ListArray.from_arrays(bounds, each)
+
+
 class Postings:
     """A stored full-text index: rows (term, id, tf, len) in folders by a hash of the term, and the corpus's size and mean length.
 
@@ -92,10 +126,10 @@ class Postings:
 
     @staticmethod
     def build(df: DataFrame, id_col: str, text_col: str, path: str) -> Postings:
-        words = tokens(F.coalesce(F.col(text_col), F.lit("")))
-        held = df.select(F.col(id_col).alias("id"), words.alias("_w")).withColumn("len", F.size("_w"))
+        held = worded(df, id_col, text_col)
         held.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("mean")).write.parquet(f"{path}/stats")
-        counts = held.select("id", "len", F.explode("_w").alias("term")).groupBy("id", "len", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
+        often = F.arrays_zip(F.col("terms").alias("term"), F.transform("places", F.size).alias("tf"))
+        counts = held.select("id", "len", F.inline(often))
         dealt = counts.withColumn("bucket", Postings.bucket(F.col("term"))).repartition("bucket", F.pmod(F.xxhash64("id"), F.lit(Postings.SPREAD)))
         dealt.sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/postings")
         return Postings(df.sparkSession, path)

@@ -21,9 +21,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import tokens
 from ..sources.store import Store
-from .retrieval import _bm25_part, query_terms, top
+from .retrieval import _bm25_part, query_terms, top, worded
 
 #: Documents in a zone, folders of a segment's postings, zones that a search looks into before it skips any.
 ZONE, BUCKETS, FIRST_ZONES = 128, 32, 8
@@ -42,7 +41,7 @@ class TextIndex:
 
     def append(self, df: DataFrame, text_col: str) -> None:
         """New documents, as a segment; a null text has no terms."""
-        folder = self._segment(self._entries(df, text_col))
+        folder = self._segment(worded(df.where(F.col(f"`{self.id_col}`").isNotNull()), self.id_col, text_col))
         if folder:
             self.store._publish(self.name, lambda s: s | {"segments": [*s["segments"], folder], "parts": [*s["parts"], folder["folder"]]})
 
@@ -53,10 +52,11 @@ class TextIndex:
         docs = self._live_docs(state)
         if docs is None:
             return
-        gone = docs.join(wanted, "id", "left_semi")
+        gone = docs.select("segment", "id", "len").join(wanted, "id", "left_semi")  # the narrow columns only
         folder = uuid.uuid4().hex
         path = f"{self.store.base}/{self.name}/data/{folder}"
         gone.select("segment", "id", "len").write.parquet(f"{path}/ids")
+        gone = docs.join(self.spark.read.parquet(f"{path}/ids").select("segment", "id"), ["segment", "id"], "left_semi")
         gone = gone.select("id", F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
         gone.withColumn("bucket", _bucket(F.col("term"))).repartitionByRange("bucket", "term").sortWithinPartitions("bucket", "term").write.partitionBy("bucket").parquet(f"{path}/terms")
         lost = self.spark.read.parquet(f"{path}/ids").agg(F.count(F.lit(1)), F.sum("len")).first()
@@ -74,39 +74,28 @@ class TextIndex:
         """All live documents as one segment without deletions; a Conflict if others publish meanwhile."""
         base = self.store.version(self.name)
         state = self.store._state(self.name, base)
-        postings = self._postings(state, None)
-        if postings is None:
+        docs = self._live_docs(state)
+        if docs is None:
             return
-        each = postings.select("segment", "term", F.explode(F.arrays_zip("ids", "lens", "places")).alias("e"))
-        entries = each.select("segment", F.col("e.ids").alias("id"), F.col("e.lens").alias("len"), "term", F.col("e.places").alias("places"))
-        bare = self._live_docs(state).where("len = 0").select("segment", "id", "len", F.lit(None).cast("string").alias("term"), F.array().cast("array<int>").alias("places"))
-        folder = self._segment(self._alive(entries.unionByName(bare), state).drop("segment"))
+        folder = self._segment(docs.drop("segment"))
         self.store._point(self.name, {"segments": [folder] if folder else [], "parts": [folder["folder"]] if folder else [], "deltas": []}, base)
 
-    def _entries(self, df: DataFrame, text_col: str) -> DataFrame:
-        """(id, len, term, places), and a row without a term for a document that has none."""
-        words = df.select(F.col(f"`{self.id_col}`").alias("id"), tokens(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("_w")).where("id IS NOT NULL").withColumn("len", F.size("_w"))
-        each = words.select("id", "len", F.posexplode_outer("_w").alias("place", "term"))
-        return each.groupBy("id", "len", "term").agg(F.sort_array(F.collect_list(F.col("place").cast("int"))).alias("places"))
-
-    def _segment(self, entries: DataFrame) -> dict | None:
-        from ..plans.lineage import settle
-
-        entries = settle(entries)
-        docs = entries.groupBy("id").agg(F.max("len").alias("len"), F.array_sort(F.collect_list("term")).alias("terms"))
+    def _segment(self, docs: DataFrame) -> dict | None:
+        """Writes documents (id, len, terms, places), and from these their postings: a document goes to its zone's task whole, and is taken apart there."""
         folder = uuid.uuid4().hex
         path = f"{self.store.base}/{self.name}/data/{folder}"
-        docs.repartitionByRange("id").sortWithinPartitions("id").write.parquet(f"{path}/docs")
+        docs.write.parquet(f"{path}/docs")
         n, length = self.spark.read.parquet(f"{path}/docs").agg(F.count(F.lit(1)), F.sum("len")).first()
         if not n:
             return None
         bits = max(0, math.ceil(math.log2(n / self.zone))) if n > self.zone else 0
         zone = F.shiftrightunsigned(F.xxhash64("id"), 64 - bits) if bits else F.lit(0).cast("long")
-        held = entries.where("term IS NOT NULL").groupBy("term", zone.alias("zone"))
+        stored = self.spark.read.parquet(f"{path}/docs").withColumn("zone", zone).repartition("zone")
+        held = stored.select("zone", "id", "len", F.inline(F.arrays_zip(F.col("terms").alias("term"), F.col("places").alias("places")))).groupBy("zone", "term")
         one = F.struct("id", "len", "places")
         rows = held.agg(F.array_sort(F.collect_list(one)).alias("_e"), F.max(F.size("places")).alias("most"), F.min("len").alias("least"), F.count(F.lit(1)).alias("n"))
         rows = rows.select(_bucket(F.col("term")).alias("bucket"), "term", "zone", "n", "most", "least", F.col("_e.id").alias("ids"), F.col("_e.len").alias("lens"), F.col("_e.places").alias("places"))
-        rows.repartitionByRange("bucket", "term", "zone").sortWithinPartitions("bucket", "term", "zone").write.partitionBy("bucket").parquet(f"{path}/postings")
+        rows.sortWithinPartitions("bucket", "term", "zone").write.partitionBy("bucket").parquet(f"{path}/postings")
         return {"folder": folder, "n": n, "len": int(length or 0)}
 
     # --- reading --------------------------------------------------------------------------------

@@ -331,6 +331,19 @@ def texts(seed, n, first=0):
     return [(first + i, r.choice([None, "", *[" ".join(r.choice(words) for _ in range(r.randrange(1, 40)))] * 20])) for i in range(n)]
 
 
+def test_words_are_found_by_term_inside_a_row():
+    import pyarrow as pa
+
+    from ctxloom.operators.retrieval import by_term
+
+    rows = [["x"], ["the", "red", "the"], [], ["red", "the"], ["w"] * 3]
+    for words in (pa.array(rows, pa.list_(pa.string())).slice(1), pa.array([[], []], pa.list_(pa.string())), pa.array([], pa.list_(pa.string()))):
+        lens, terms, places = by_term(words)
+        want = [{t: [i for i, w in enumerate(r) if w == t] for t in r} for r in words.to_pylist()]
+        assert [dict(zip(t, p, strict=True)) for t, p in zip(terms.to_pylist(), places.to_pylist(), strict=True)] == want
+        assert lens.to_pylist() == [len(r) for r in words.to_pylist()]
+
+
 def test_segments_equal_a_whole_index(spark, tmp_path):
     schema = "id int, text string"
     index = TextIndex(Store(spark, f"file://{tmp_path}", "test", "text"), "t", "id", zone=8)
