@@ -57,15 +57,19 @@ class _Versions(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         found = pd.concat(list(rows)).sort_values([self.at, self.content])
-        last = self.state.get() if self.state.exists() else None
-        for content, at in zip(found[self.content], found[self.at]):
-            change = "inserted" if last is None or not last[2] else "reused" if last[0] == content else "changed"
-            if last is not None and last[2]:
-                self.handle.deleteTimer(last[1])
-            last = (content, int(at.timestamp() * 1000) + self.after_ms, True)
-            self.handle.registerTimer(last[1])
-            yield self._row(key, change, content)
-        self.state.update(last)
+        content, due, live = self.state.get() if self.state.exists() else (None, None, False)
+        timer, changes = due if live else None, []
+        for now in found[self.content]:
+            changes.append("inserted" if not live else "reused" if content == now else "changed")
+            content, live = now, True
+        # only the last row's timer can stand
+        due = int(found[self.at].iloc[-1].timestamp() * 1000) + self.after_ms
+        if due != timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(due)
+        self.state.update((content, due, True))
+        yield pd.DataFrame({self.key: [key[0]] * len(changes), "change_type": changes, self.content: found[self.content].to_numpy()})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         last = self.state.get()

@@ -434,6 +434,40 @@ def test_a_row_meets_few_centres(spark):
 # --- streams ------------------------------------------------------------------------------------
 
 
+def test_a_batch_of_one_key_is_one_frame_and_one_timer():
+    import pandas as pd
+
+    class Handle:
+        def __init__(self):
+            self.timers, self.value = [], None
+
+        def getValueState(self, *_):
+            return self
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def update(self, value):
+            self.value = value
+
+        def registerTimer(self, at):
+            self.timers.append(at)
+
+        def deleteTimer(self, at):
+            self.timers.remove(at)
+
+    handle, processor = Handle(), observations._Versions("k", "c", "at", 1000)
+    processor.init(handle)
+    for contents, want in ((["a", "a", "b", None, None], ["inserted", "reused", "changed", "changed", "reused"]), (["x", "x"], ["changed", "reused"])):
+        rows = pd.DataFrame({"k": 7, "c": contents, "at": pd.to_datetime(range(len(contents)), unit="s")})
+        (frame,) = processor.handleInputRows((7,), iter([rows]), None)
+        assert frame["change_type"].tolist() == want and len(frame) == len(contents)
+        assert handle.timers == [(len(contents) - 1) * 1000 + 1000]
+
+
 def test_keyed_state_makes_versions_and_tombstones(spark, tmp_path):
     day = lambda d, h=0: datetime.datetime(2024, 1, d, h)
     first = [("a", "1", day(1)), ("b", "1", day(1)), ("c", "1", day(1)), ("b", "2", day(1, 5))]
