@@ -14,6 +14,7 @@ import time
 from collections.abc import Callable, Iterator, Mapping
 from typing import Any, Protocol
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,9 @@ from ..session import ship
 OUTCOME = "identity string, status string, failure string, value_json string, outcome string, attempts int"
 _ARROW = pa.schema([*[(c, pa.string()) for c in ("identity", "status", "failure", "value_json", "outcome")], ("attempts", pa.int32())])
 
+#: Outcomes after which a task hands on what it has.
+ROWS = 1024
+
 # Failures after which another attempt makes sense.
 RETRYABLE = frozenset({"timeout", "rate_limited", "unavailable"})
 
@@ -142,13 +146,27 @@ def enrich(df: DataFrame, id_col: str, text_col: str, port: Port, batch: int = 3
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         until = time.monotonic() + deadline
         for part in parts:
-            ids, texts = part.column(0).to_pylist(), part.column(1).to_pylist()
-            rows: list[tuple] = [(i, "skipped", "no_text", None, "abstained", 0) for i, t in zip(ids, texts) if t is None]
-            live = [(i, t) for i, t in zip(ids, texts) if t is not None]
-            for start in range(0, len(live), batch):
-                rows += outcomes(live[start : start + batch], until)
+            rows: list[tuple] = []
+            for piece in pieces(part):
+                if piece.column(1).null_count:
+                    rows += [(i, "skipped", "no_text", None, "abstained", 0) for i in piece.column(0).to_pylist()]
+                else:
+                    rows += outcomes(list(zip(piece.column(0).to_pylist(), piece.column(1).to_pylist())), until)
+                if len(rows) >= ROWS:
+                    yield packed(rows)
+                    rows = []
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
+                yield packed(rows)
+
+    def pieces(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        """The rows without a text, then those with one by ``batch``: only these few become Python's at a time."""
+        missing = part.column(1).is_null().to_numpy(zero_copy_only=False)
+        for chosen, size in ((np.flatnonzero(missing), ROWS), (np.flatnonzero(~missing), batch)):
+            for start in range(0, len(chosen), size):
+                yield part.take(pa.array(chosen[start : start + size]))
+
+    def packed(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _ARROW)], schema=_ARROW)
 
     def outcomes(members: list[tuple[str, str]], until: float) -> list[tuple]:
         try:
