@@ -125,19 +125,23 @@ def contracted(ahead: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
 
 
 def chains(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Each node's chain and place in it, (node, head, place), and the nodes of chains that close to a ring.
+    """The place of each node in a chain but its head, (node, head, place) from 1, and the nodes of chains that close to a ring.
 
     A chain goes on over an edge that is the only one out of its first node and the only one
-    into its second.  Places come from list ranking: each node looks twice as far back a round.
+    into its second.  Places come from list ranking: each node looks twice as far back a
+    round; nodes that no chain has are not looked at, and those that have found their head
+    only by the others of their chain.
     """
     from ..plans.lineage import settle
 
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     out1 = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("_n"), F.min("b").alias("b")).where("_n = 1").select("a", "b")
     in1 = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1").select("b")
-    links = out1.join(in1, "b").select(F.col("b").alias("node"), F.col("a").alias("_back"))
-    ranked = settle(nodes.join(links, "node", "left").select("node", F.coalesce("_back", "node").alias("head"), F.col("_back").isNotNull().cast("long").alias("place"), F.col("_back").isNull().alias("_done")))
-    for _ in range(math.ceil(math.log2(max(2, ranked.count()))) + 1):
+    links = settle(out1.join(in1, "b").select(F.col("b").alias("node"), F.col("a").alias("head")))
+    # a head that no link leads to is where its chain begins
+    begun = links.select(F.col("node").alias("head"), F.lit(True).alias("_more"))
+    ranked = settle(links.join(begun, "head", "left").select("node", "head", F.lit(1).cast("long").alias("place"), F.col("_more").isNull().alias("_done")))
+    n = ranked.count()
+    for _ in range(math.ceil(math.log2(max(2, n))) + 1):
         open_ = ranked.where("NOT _done")
         if open_.isEmpty():
             break
@@ -152,19 +156,24 @@ def levels(edges: DataFrame, source: str, target: str) -> DataFrame:
 
     ``cyclic`` are the nodes on a cycle or on a way from one to another.  Chains are
     contracted first, so there are as many rounds as a way has branchings and not steps; a
-    cycle is what is left when no node can be placed any more.
+    cycle is what is left when no node can be placed any more.  Nodes without a way on are
+    placed at the end, by one aggregation, and take no part in the rounds.
     """
     from ..plans.lineage import settle
 
     pairs = _edges(edges, source, target)
     places, rings = (settle(x) for x in chains(pairs))
-    ends = places.select(F.col("node").alias("a"), F.col("head").alias("u"), (F.col("place") + 1).alias("w"))
-    at = places.select(F.col("node").alias("b"), F.col("head").alias("_head"))
+    inner = places.select("node").unionByName(rings)
+    ends = places.select(F.col("node").alias("a"), "head", "place")
     # edges within a chain lead from its head to itself; all others enter at a head
-    between = pairs.join(ends, "a").join(at, "b").where((F.col("b") == F.col("_head"))).groupBy("u", F.col("b").alias("v")).agg(F.max("w").alias("w"))
-    between = settle(between)
-    heads = places.where("place = 0").select(F.col("node").alias("v"))
-    waiting = settle(heads.join(between.groupBy("v").agg(F.count(F.lit(1)).alias("need")), "v", "left").select("v", F.coalesce("need", F.lit(0)).alias("need"), F.lit(0).cast("long").alias("level")))
+    entering = pairs.join(inner.withColumnRenamed("node", "b"), "b", "left_anti").join(ends, "a", "left")
+    between = settle(entering.groupBy(F.coalesce("head", "a").alias("u"), F.col("b").alias("v")).agg(F.max(F.coalesce("place", F.lit(0).cast("long")) + 1).alias("w")))
+    heads = between.select(F.col("u").alias("v")).unionByName(places.select(F.col("head").alias("v"))).distinct()
+    # ways to nodes that lead on, and to those that don't
+    on = settle(between.join(between.select(F.col("u").alias("v")).distinct(), "v", "left_semi"))
+    last = between.join(between.select(F.col("u").alias("v")).distinct(), "v", "left_anti")
+    waiting = between.select(F.col("u").alias("v")).distinct().join(on.groupBy("v").agg(F.count(F.lit(1)).alias("need")), "v", "left")
+    waiting = settle(waiting.select("v", F.coalesce("need", F.lit(0)).alias("need"), F.lit(0).cast("long").alias("level")))
     done = []
     while True:
         fresh = settle(waiting.where("need = 0").select("v", "level"))
@@ -173,13 +182,20 @@ def levels(edges: DataFrame, source: str, target: str) -> DataFrame:
         done.append(fresh)
         if len(done) > MOST_PARTS:
             done = [settle(reduce(DataFrame.unionByName, done))]
-        told = between.join(fresh.select(F.col("v").alias("u"), F.col("level").alias("_l")), "u").groupBy("v").agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_l") + F.col("w")).alias("_m"))
+        told = on.join(fresh.select(F.col("v").alias("u"), F.col("level").alias("_l")), "u").groupBy("v").agg(F.count(F.lit(1)).alias("_n"), F.max(F.col("_l") + F.col("w")).alias("_m"))
         waiting = settle(waiting.where("need > 0").join(told, "v", "left").select("v", (F.col("need") - F.coalesce("_n", F.lit(0))).alias("need"), F.greatest("level", F.coalesce("_m", F.lit(0))).alias("level")))
-    core = _core(waiting.select("v"), between)
+    core = _core(waiting.select("v"), on)
     known = reduce(DataFrame.unionByName, done) if done else waiting.select("v", "level").limit(0)
-    state = known.withColumn("cyclic", F.lit(False)).unionByName(waiting.join(core, "v", "left").select("v", F.lit(None).cast("long").alias("level"), F.coalesce("_core", F.lit(False)).alias("cyclic")))
-    placed = places.join(state, F.col("head") == F.col("v")).select("node", (F.col("level") + F.col("place")).alias("level"), "cyclic")
-    return placed.unionByName(rings.select("node", F.lit(None).cast("long").alias("level"), F.lit(True).alias("cyclic")))
+    state = settle(known.withColumn("cyclic", F.lit(False)).unionByName(waiting.join(core, "v", "left").select("v", F.lit(None).cast("long").alias("level"), F.coalesce("_core", F.lit(False)).alias("cyclic"))))
+    # an end behind a node without a level has none
+    told = last.join(state.select(F.col("v").alias("u"), "level"), "u").groupBy("v").agg(F.count_if(F.col("level").isNull()).alias("_n"), F.max(F.col("level") + F.col("w")).alias("_m"))
+    placed = state.unionByName(told.select("v", F.when(F.col("_n") == 0, F.col("_m")).alias("level"), F.lit(False).alias("cyclic")))
+    # the heads of chains that nothing enters and that lead nowhere else
+    alone = heads.join(placed, "v", "left_anti").select("v", F.lit(0).cast("long").alias("level"), F.lit(False).alias("cyclic"))
+    placed = settle(placed.unionByName(alone))
+    chained = places.join(placed, F.col("head") == F.col("v")).select("node", (F.col("level") + F.col("place")).alias("level"), "cyclic")
+    out = placed.withColumnRenamed("v", "node").unionByName(chained)
+    return out.unionByName(rings.select("node", F.lit(None).cast("long").alias("level"), F.lit(True).alias("cyclic")))
 
 
 def _core(left: DataFrame, between: DataFrame) -> DataFrame:

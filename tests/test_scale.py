@@ -316,6 +316,24 @@ def test_levels_equal_longest_ways(spark, more):
     assert got == {v: (level.get(v), v in left) for v in nodes}
 
 
+def test_ends_take_no_part_in_the_rounds_of_levels(spark, monkeypatch):
+    """Eight nodes in a row, each with a hundred ends: the rows written are few times the edges."""
+    from ctxloom.plans import lineage
+
+    rows, settle = [], lineage.settle
+
+    def counted(df):
+        out = settle(df)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(lineage, "settle", counted)
+    edges = [(h, h + 1) for h in range(7)] + [(h, 1000 + h * 100 + i) for h in range(8) for i in range(100)]
+    got = {r["node"]: r["level"] for r in graphs.levels(spark.createDataFrame(edges, "a int, b int"), "a", "b").collect()}
+    assert got == {h: h for h in range(8)} | {1000 + h * 100 + i: h + 1 for h in range(8) for i in range(100)}
+    assert sum(rows) < 5 * len(edges)
+
+
 def test_graphs_of_nothing(spark):
     none = spark.createDataFrame([], "a int, b int")
     assert graphs.levels(none, "a", "b").collect() == []
