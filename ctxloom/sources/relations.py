@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import struct_identity
 from ..functions.text import blank, preview
-from ..operators.state import last_by
 
 #: The columns by which a row names its model.
 MODEL = ("context_model_id", "context_model_revision")
@@ -133,18 +132,24 @@ def key_of(name: str) -> str:
 
 
 def empty(spark: SparkSession, name: str) -> DataFrame:
-    return spark.createDataFrame([], ", ".join(f"{c} {t}" for c, t in fields(name).items()))
+    """No rows, as a plan of which the optimiser knows it, so what reads nothing else is left out."""
+    return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in fields(name).items()]).where(F.lit(False))
 
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Declared columns with their types first (null where absent), others after; one row a key."""
+    """Declared columns with their types first (null where absent), others after; one row a key.
+
+    Each column is aggregated by itself, so a plan that reads some columns, or the key alone,
+    shuffles no others; all go by the same order, so their values are those of one row.
+    """
     declared = fields(name)
-    order = "_seq" if "_seq" in df.columns else None
     extra = [c for c in df.columns if c not in declared and c != "_seq"]
-    cols = [(F.col(c) if c in df.columns else F.lit(None)).cast(t).alias(c) for c, t in declared.items()]
-    key = key_of(name)
-    shaped = df.select(*cols, *extra, (F.col("_seq") if order else F.lit(0)).alias("_seq"))
-    return last_by(shaped, [key], "_seq").drop("_seq").select(*declared, *extra)
+    key, order = key_of(name), F.col("_seq") if "_seq" in df.columns else F.lit(0)
+    there = [_has(df, c, t).alias(c) for c, t in declared.items() if c in df.columns or c == key]
+    rest = [c for c in [*declared, *extra] if c in df.columns and c != key]
+    shaped = df.select(*there, *extra, order.alias("_seq"))
+    best = shaped.groupBy(key).agg(*[F.max_by(c, "_seq").alias(c) for c in rest]) if rest else shaped.select(key).distinct()
+    return best.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in declared.items()], *extra)
 
 
 def _has(df: DataFrame, c: str, t: str = "string") -> Column:
@@ -213,15 +218,17 @@ def lifecycle_edges(decisions: DataFrame, items: DataFrame, evaluations: DataFra
 
 
 def nodes(edges: DataFrame, *sources: tuple[DataFrame, str, str]) -> DataFrame:
-    """A node for each row of (frame, key, kind); a ``referenced`` stub for each edge end that none of them has."""
-    known = None
-    for order, (df, key, kind) in enumerate(sources):
-        shown = [_has(df, c).alias(c) for c in fields("lineage_nodes") if c not in ("canonical_node_id", "node_kind")]
-        part = df.select(F.col(key).alias("canonical_node_id"), F.lit(kind).alias("node_kind"), *shown, F.lit(order).alias("_seq"))
-        known = part if known is None else known.unionByName(part)
-    ends = edges.select(F.explode(F.array("source_node_id", "target_node_id")).alias("canonical_node_id")).distinct()
-    stubs = ends.join(known.select("canonical_node_id"), "canonical_node_id", "left_anti").withColumn("node_kind", F.lit("referenced")).withColumn("_seq", F.lit(-1))
-    return conform(known.unionByName(stubs, allowMissingColumns=True), "lineage_nodes")
+    """A node for each row of (frame, key, kind), of several of one key the last source's; a ``referenced`` stub for each edge end that none of them has.
+
+    Stubs come before all sources, so one aggregation settles them too; the kind follows from the place.
+    """
+    shown = [c for c in fields("lineage_nodes") if c not in ("canonical_node_id", "node_kind")]
+    known = edges.select(F.explode(F.array("source_node_id", "target_node_id")).alias("canonical_node_id"), *[F.lit(None).cast("string").alias(c) for c in shown], F.lit(0).alias("_place"))
+    for place, (df, key, _) in enumerate(sources, 1):
+        known = known.unionByName(df.select(F.col(key).cast("string").alias("canonical_node_id"), *[_has(df, c).alias(c) for c in shown], F.lit(place).alias("_place")))
+    best = known.groupBy("canonical_node_id").agg(F.max("_place").alias("_place"), *[F.max_by(c, "_place").alias(c) for c in shown])
+    kinds = F.array(F.lit("referenced"), *[F.lit(kind) for _, _, kind in sources])
+    return best.withColumn("node_kind", kinds[F.col("_place")]).select(*fields("lineage_nodes"))
 
 
 def materialize(spark: SparkSession, model: Mapping[str, str], observations: DataFrame, outputs: DataFrame, **given: DataFrame) -> dict[str, DataFrame]:
@@ -279,12 +286,14 @@ def materialize(spark: SparkSession, model: Mapping[str, str], observations: Dat
         out["context_packages"] = out["context_packages"].drop("items")
     edges = derived_edges(made).unionByName(lifecycle_edges(out["resolution_decisions"], out["package_items"], out["contract_evaluations"]))
     out["lineage_edges"] = conform(stamped(edges).unionByName(out["lineage_edges"], allowMissingColumns=True), "lineage_edges")
+    # the id of a made edge is that of its ends, so those of one id have the same
+    ends = out["lineage_edges"] if "lineage_edges" in given else edges
     declared = [
         (out["context_contracts"], "contract_identity", "contract"), (out["context_catalog"], "canonical_identity", "context"),
         (out["resolution_decisions"], "decision_identity", "decision"), (out["contract_evaluations"], "evaluation_identity", "evaluation"),
         (out["context_packages"], "package_identity", "package"), (out["lineage_nodes"], "canonical_node_id", "node"),
     ]
-    out["lineage_nodes"] = nodes(out["lineage_edges"], *declared)
+    out["lineage_nodes"] = nodes(ends, *declared)
     return out
 
 

@@ -74,6 +74,21 @@ def test_last_row_wins_and_inline_items(spark):
     assert [r["package_item_identity"] for r in got.where("package_identity = 'q'").collect()] == ["i8"]
 
 
+def test_nodes_are_settled_by_one_aggregation_that_reads_what_is_asked(spark):
+    got = relations.materialize(spark, {}, observations(spark), outputs(spark).withColumn("derived_from", F.array(F.concat(F.lit("x"), "identity"), F.lit("s1"))))["lineage_nodes"]
+    kinds = {r["canonical_node_id"]: r["node_kind"] for r in got.collect()}
+    assert kinds == {"s1": "context", "s2": "context", "o1": "context", "o2": "context", "o3": "context", "xo1": "referenced", "xo2": "referenced", "xo3": "referenced"}
+    plan = got.groupBy("node_kind").count()._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "max_by" not in plan and "sha2(" not in plan
+
+
+def test_an_edge_given_under_a_made_ones_id_brings_only_its_own_ends(spark):
+    given = spark.createDataFrame([("e", "a", "b", "t")], "edge_identity string, source_node_id string, target_node_id string, edge_type string")
+    got = relations.materialize(spark, {}, observations(spark), outputs(spark), lineage_edges=given)
+    assert {"a", "b"} <= {r[0] for r in got["lineage_nodes"].where("node_kind = 'referenced'").select("canonical_node_id").collect()}
+    assert all(r["passed"] for r in relations.conformance(spark, got).where("check LIKE 'reference:edge%'").collect())
+
+
 def test_publish_is_idempotent_and_refuses_changes(spark):
     prior = spark.createDataFrame([("a", "1")], "k string, v string")
     assert relations.publish(prior, spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string"), "k", "v").count() == 2
