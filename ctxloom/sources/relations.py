@@ -7,7 +7,9 @@ Columns beyond the declared ones are kept behind them.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -323,45 +325,51 @@ def conformance(spark: SparkSession, relations: Mapping[str, DataFrame], evidenc
     n_failed counts every failing key; ``examples`` are the least ``evidence`` of them.  If a
     relation is missing only the presence check is reported.
 
-    Each relation gives, in one scan, a row (check, value, defined, used) for its key and for
-    every reference that it makes or answers; one aggregation over all of them decides every
-    check, so nothing is joined.
+    One aggregation by value decides every check: a value of any number of relations is one group,
+    whose ``mask`` has a bit for each relation that has it as key and each reference that uses it.
+    Keys that several rows have, or that trimming changes, are counted aside, in a slot of their relation.
     """
     missing = sorted(set(RELATIONS) - set(relations))
     head = spark.createDataFrame([("presence", not missing, len(missing), missing)], "check string, passed boolean, n_failed long, examples array<string>")
     if missing:
         return head
-    marks: dict[str, list[Column]] = {n: [] for n in RELATIONS}
-
-    def mark(name: str, check: str, column: str, defined: int, used: int, key: bool = False) -> None:
-        value = F.coalesce(F.trim(F.col(column)), F.lit("")) if key else F.when(~blank(F.col(column)), F.col(column))
-        marks[name].append(F.struct(F.lit(check).alias("check"), value.alias("bad"), F.lit(defined).alias("defined"), F.lit(used).alias("used")))
-
-    for name in RELATIONS:
-        mark(name, f"key:{name}", key_of(name), 1, 0, key=True)
-    for check, (fk, targets) in REFERENCES.items():
-        mark(*fk.split(".")[:1], f"reference:{check}", fk.split(".")[1], 0, 1)
-        for t in targets.split():
-            mark(*t.split(".")[:1], f"reference:{check}", t.split(".")[1], 1, 0)
-    mark("context_packages", "one_contract", "package_identity", 1, 0)
-    mark("context_package_contracts", "one_contract", "package_identity", 0, 1)
-    rows = None
-    for name in RELATIONS:
-        part = relations[name].select(F.inline(F.array(*marks[name]))).where("bad IS NOT NULL")
-        rows = part if rows is None else rows.unionByName(part)
-    met = rows.groupBy("check", "bad").agg(F.sum("defined").alias("d"), F.sum("used").alias("u"))
-    failing = (
-        F.when(F.startswith("check", F.lit("key:")), (F.col("bad") == "") | (F.col("d") > 1))
-        .when(F.startswith("check", F.lit("reference:")), (F.col("u") > 0) & (F.col("d") == 0))
-        .otherwise((F.col("d") > 0) & (F.col("u") != 1))
-    )
-    bad = met.where(failing).select("check", "bad")
+    names, checks = list(RELATIONS), [*REFERENCES, "one_contract", "several_contracts"]
+    defined = {n: 1 << i for i, n in enumerate(names)}
+    padded = {n: 1 << len(names) + i for i, n in enumerate(names)}
+    used = {c: 1 << 2 * len(names) + i for i, c in enumerate(checks)}
+    bits: dict[str, dict[str, int]] = {n: {key_of(n): defined[n]} for n in names}
+    for check, (fk, _) in REFERENCES.items():
+        name, column = fk.split(".")
+        bits[name][column] = bits[name].get(column, 0) | used[check]
+    row = lambda value, mask, slot=0, n=0: F.struct(value.alias("bad"), F.lit(slot).alias("slot"), F.lit(mask).cast("long").alias("mask"), F.lit(n).cast("long").alias("n"))
+    met = None
+    for slot, name in enumerate(names, 1):
+        rows = relations[name].select(F.inline(F.array(*[row(F.col(c).cast("string"), mask) for c, mask in bits[name].items()])))
+        own = relations[name].groupBy(F.col(key_of(name)).cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+        value = F.coalesce(F.trim("_k"), F.lit(""))
+        odd = own.where((F.col("_n") > 1) | F.col("_k").isNull() | (F.col("_k") != value) | (value == ""))
+        counted = F.struct(value.alias("bad"), F.lit(slot).alias("slot"), F.lit(0).cast("long").alias("mask"), F.col("_n").alias("n"))
+        also = row(F.when(F.col("_k") != value, value), padded[name])
+        part = rows.where("bad IS NOT NULL").unionByName(odd.select(F.inline(F.array(counted, also))).where("bad IS NOT NULL"))
+        met = part if met is None else met.unionByName(part)
+    bound = relations["context_package_contracts"].groupBy(F.col("package_identity").cast("string").alias("_k")).agg(F.count(F.lit(1)).alias("_n"))
+    mask = F.when(F.col("_n") == 1, used["one_contract"]).otherwise(used["several_contracts"]).cast("long")
+    met = met.unionByName(bound.where("_k IS NOT NULL").select(F.col("_k").alias("bad"), F.lit(0).alias("slot"), mask.alias("mask"), F.lit(0).cast("long").alias("n")))
+    met = met.groupBy("bad", "slot").agg(F.bit_or("mask").alias("mask"), F.sum("n").alias("n"))
+    has = lambda m: F.col("mask").bitwiseAND(F.lit(m)) != 0
+    failing = {f"key:{n}": (has(padded[n]) & has(defined[n])) | ((F.col("slot") == i) & ((F.col("n") > 1) | (F.col("bad") == ""))) for i, n in enumerate(names, 1)}
+    for check, (_, targets) in REFERENCES.items():
+        any_of = sum(defined[t.split(".")[0]] for t in targets.split())
+        failing[f"reference:{check}"] = has(used[check]) & ~has(any_of) & ~blank(F.col("bad"))
+    failing["one_contract"] = has(defined["context_packages"]) & ~has(used["one_contract"]) & ~blank(F.col("bad"))
+    found = F.array_compact(F.array(*[F.when(fails, F.lit(check)) for check, fails in failing.items()]))
+    # few values fail, and only for these the checks are listed; a key can fail in its slot and beside it
+    bad = met.where(reduce(operator.or_, failing.values())).select("bad", F.explode(found).alias("check")).distinct()
     counts = bad.groupBy("check").agg(F.count(F.lit(1)).alias("n_failed"))
     # the limit on the rank holds before the shuffle, so a check with many failing keys is no single task's load
     least = bad.withColumn("_r", F.row_number().over(_by("check", "bad"))).where(F.col("_r") <= evidence)
     shown = least.groupBy("check").agg(F.array_sort(F.collect_list("bad")).alias("examples"))
-    checks = [f"key:{n}" for n in RELATIONS] + [f"reference:{c}" for c in REFERENCES] + ["one_contract"]
-    listed = spark.createDataFrame([(c,) for c in checks], "check string")
+    listed = spark.createDataFrame([(c,) for c in failing], "check string")
     rows = listed.join(counts, "check", "left").join(shown, "check", "left").select(
         "check", F.col("n_failed").isNull().alias("passed"), F.coalesce("n_failed", F.lit(0)).alias("n_failed"), F.coalesce("examples", F.array().cast("array<string>")).alias("examples")
     )

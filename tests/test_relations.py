@@ -1,4 +1,5 @@
 import json
+import re
 import sqlite3
 import threading
 from http.server import BaseHTTPRequestHandler, HTTPServer
@@ -89,6 +90,25 @@ def test_an_edge_given_under_a_made_ones_id_brings_only_its_own_ends(spark):
     assert all(r["passed"] for r in relations.conformance(spark, got).where("check LIKE 'reference:edge%'").collect())
 
 
+def test_conformance_groups_each_value_once_and_counts_padded_keys(spark):
+    got = relations.materialize(spark, {"context_model_identity": "m1"}, observations(spark), outputs(spark))
+    ids = lambda *keys: spark.createDataFrame([(k,) for k in keys], "contract_identity string")
+    own = got["context_contracts"].drop("contract_identity")
+    broken = {**got, "context_contracts": ids("a", "a ", "b", "b", " c", "c  ", "d ", "e", None, " ").join(own, F.lit(True), "left"), "authority_policies": got["authority_policies"]}
+    rows = {r["check"]: (r["n_failed"], r["examples"]) for r in relations.conformance(spark, broken).collect() if not r["passed"]}
+    assert rows == {"key:context_contracts": (4, ["", "a", "b", "c"])}
+    shared = spark.createDataFrame([("c1", "b")], "evaluation_identity string, contract_identity string")
+    more = {**broken, "contract_evaluations": relations.conform(shared, "contract_evaluations")}
+    assert {r["check"] for r in relations.conformance(spark, more).collect() if not r["passed"]} == {"key:context_contracts"}
+    packages = relations.conform(spark.createDataFrame([("p1",), ("p2",), ("p3",)], "package_identity string"), "context_packages")
+    bindings = relations.conform(spark.createDataFrame([("1", "p1"), ("2", "p2"), ("3", "p2")], "binding_identity string, package_identity string"), "context_package_contracts")
+    few = {r["check"]: r["examples"] for r in relations.conformance(spark, {**got, "context_packages": packages, "context_package_contracts": bindings}).collect() if not r["passed"]}
+    assert few == {"one_contract": ["p2", "p3"]}
+    # a value's rows carry a mask instead of a row and a name for every check
+    plan = relations.conformance(spark, got)._jdf.queryExecution().optimizedPlan().toString()
+    assert "bit_or" in plan and not re.search(r"reference:\w+ AS check", plan)
+
+
 def test_publish_is_idempotent_and_refuses_changes(spark):
     prior = spark.createDataFrame([("a", "1")], "k string, v string")
     assert relations.publish(prior, spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string"), "k", "v").count() == 2
