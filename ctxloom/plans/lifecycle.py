@@ -181,8 +181,7 @@ def run(
         with ThreadPoolExecutor(WRITERS) as pool:
             list(pool.map(lambda n: store.replace(n, made[n]), made))
         made = {name: store.read(name) for name in made}
-    for kind, role in tests:
-        passed, why = relations.declared_test(made, kind, role)
+    for (kind, role), (passed, why) in zip(tests, relations.declared_tests(made, tests), strict=True):
         if not passed:
             raise ValueError(f"declared test {kind} of {role}: {why}")
     return made

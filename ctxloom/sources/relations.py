@@ -8,7 +8,7 @@ Columns beyond the declared ones are kept behind them.
 from __future__ import annotations
 
 import operator
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -384,31 +384,53 @@ def _by(key: str, order: str):
 
 def declared_test(relations: Mapping[str, DataFrame], kind: str, role: str) -> tuple[bool, str]:
     """Runs one declared test on the outputs of a role; without target rows or with an unknown kind it fails."""
-    rows = relations["context_outputs"].where(F.col("output_role") == role)
-    facts = relations["context_assertions"]
-    ids = rows.select("identity")
-    if kind == "identity_unique":
-        failed = rows.groupBy("identity").count().where("count > 1")
-    elif kind == "evidence_required":
-        failed = ids.join(facts.where(F.size("evidence_identities") > 0).select(F.col("assertion_subject").alias("identity")), "identity", "left_anti")
-    elif kind == "lineage_complete":
-        failed = ids.join(relations["lineage_edges"].select(F.col("target_node_id").alias("identity")), "identity", "left_anti")
-    elif kind == "retrieval_indexed":
-        failed = ids.join(relations["context_retrieval"].select(F.col("context_identity").alias("identity")), "identity", "left_anti")
-    elif kind == "no_orphan_outputs":
-        failed = ids.join(relations["context_catalog"].select(F.col("canonical_identity").alias("identity")), "identity", "left_anti")
-    elif kind == "authority_resolved":
-        resolved = relations["context_catalog"].where(~blank(F.col("authority_status"))).select(F.col("canonical_identity").alias("identity"))
-        failed = ids.join(resolved, "identity", "left_anti")
-    elif kind == "snapshot_integrity":
-        rows = relations["context_snapshots"].where(F.col("snapshot_role") == role)
-        failed = rows.where(blank(F.col("content_sha256")) | blank(F.col("content_ref")))
-    else:
-        return False, f"unsupported test: {kind}"
-    if rows.isEmpty():
-        return False, "no target rows"
-    n = failed.count()
-    return n == 0, "" if n == 0 else f"{n} rows fail"
+    return declared_tests(relations, [(kind, role)])[0]
+
+
+def declared_tests(relations: Mapping[str, DataFrame], tests: Sequence[tuple[str, str]]) -> list[tuple[bool, str]]:
+    """The same for several (kind, role), in one job: the outputs of a role and all that is asked of them meet once."""
+    facts = {
+        "evidence_required": ("context_assertions", "assertion_subject", F.size("evidence_identities") > 0),
+        "lineage_complete": ("lineage_edges", "target_node_id", F.lit(True)),
+        "retrieval_indexed": ("context_retrieval", "context_identity", F.lit(True)),
+        "no_orphan_outputs": ("context_catalog", "canonical_identity", F.lit(True)),
+        "authority_resolved": ("context_catalog", "canonical_identity", ~blank(F.col("authority_status"))),
+    }
+    asked: dict[str, list[str]] = {}
+    for kind, role in dict.fromkeys(tests):
+        if kind in facts or kind in ("identity_unique", "snapshot_integrity"):
+            asked.setdefault(role, []).append(kind)
+    parts = []  # (role, kind, n rows, n that fail)
+    for role, kinds in asked.items():
+        wanted = [k for k in kinds if k in facts]
+        if wanted or "identity_unique" in kinds:
+            marks = lambda own: [F.lit(int(k == own)).alias(k) for k in wanted]  # noqa: B023, E731
+            met = relations["context_outputs"].where(F.col("output_role") == role).select("identity", F.lit(1).alias("_row"), *marks(None))
+            for kind in wanted:
+                name, column, holds = facts[kind]
+                # a null is no output's identity
+                fits = relations[name].where(holds & F.col(column).isNotNull())
+                met = met.unionByName(fits.select(F.col(column).alias("identity"), F.lit(0).alias("_row"), *marks(kind)))
+            of = met.groupBy("identity").agg(F.sum("_row").alias("_rows"), *[F.max(k).alias(k) for k in wanted])
+            failed = {k: F.sum(F.when(F.col(k) == 0, F.col("_rows")).otherwise(0)) for k in wanted} | {"identity_unique": F.count_if(F.col("_rows") > 1)}
+            counts = F.array(*[F.struct(F.lit(k).alias("kind"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"), F.coalesce(f, F.lit(0)).alias("failed")) for k, f in failed.items() if k in kinds])
+            parts.append(of.agg(counts.alias("_all")).select(F.lit(role).alias("role"), F.inline("_all")))
+        if "snapshot_integrity" in kinds:
+            lacking = blank(F.col("content_sha256")) | blank(F.col("content_ref"))
+            rows = relations["context_snapshots"].where(F.col("snapshot_role") == role)
+            parts.append(rows.agg(F.count(F.lit(1)).alias("n"), F.count_if(lacking).alias("failed")).select(F.lit(role).alias("role"), F.lit("snapshot_integrity").alias("kind"), "n", "failed"))
+    every = None
+    for part in parts:
+        every = part if every is None else every.unionByName(part)
+    found = {(r["kind"], r["role"]): (r["n"], r["failed"]) for r in every.collect()} if every is not None else {}  # a row a test
+
+    def verdict(test: tuple[str, str]) -> tuple[bool, str]:
+        if test not in found:
+            return False, f"unsupported test: {test[0]}"
+        n, failed = found[test]
+        return (False, "no target rows") if not n else (failed == 0, f"{failed} rows fail" if failed else "")
+
+    return [verdict(t) for t in tests]
 
 
 def publish(prior: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:

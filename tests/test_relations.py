@@ -109,6 +109,26 @@ def test_conformance_groups_each_value_once_and_counts_padded_keys(spark):
     assert "bit_or" in plan and not re.search(r"reference:\w+ AS check", plan)
 
 
+def test_declared_tests_run_as_one(spark):
+    got = relations.materialize(spark, {}, observations(spark), outputs(spark).withColumn("evidence_identities", F.array("identity")))
+    kinds = ["identity_unique", "evidence_required", "lineage_complete", "retrieval_indexed", "no_orphan_outputs", "authority_resolved", "snapshot_integrity", "what"]
+    context = spark.sparkContext
+    context.setJobGroup("declared-tests", "")
+    found = dict(zip(kinds, relations.declared_tests(got, [(k, "sum") for k in kinds]), strict=True))
+    context.setLocalProperty("spark.jobGroup.id", None)
+    assert len(context.statusTracker().getJobIdsForGroup("declared-tests")) < 25
+    assert [k for k in kinds if found[k][0]] == ["identity_unique", "evidence_required", "lineage_complete", "no_orphan_outputs"]
+    assert found["retrieval_indexed"] == (False, "1 rows fail") and found["authority_resolved"] == (False, "2 rows fail")
+    assert found["snapshot_integrity"] == (False, "no target rows") and found["what"] == (False, "unsupported test: what")
+    rows = spark.createDataFrame([("a", "r"), ("a", "r"), (None, "r"), ("b", "s")], "identity string, output_role string")
+    catalog = spark.createDataFrame([("a",), (None,)], "canonical_identity string")
+    made = {**got, "context_outputs": rows, "context_catalog": catalog}
+    # a null identity is in no relation, and every row of a lacking identity counts
+    assert relations.declared_tests(made, [("identity_unique", "r"), ("no_orphan_outputs", "r"), ("no_orphan_outputs", "s"), ("identity_unique", "s")]) == [
+        (False, "1 rows fail"), (False, "1 rows fail"), (False, "1 rows fail"), (True, ""),
+    ]
+
+
 def test_publish_is_idempotent_and_refuses_changes(spark):
     prior = spark.createDataFrame([("a", "1")], "k string, v string")
     assert relations.publish(prior, spark.createDataFrame([("a", "1"), ("b", "2")], "k string, v string"), "k", "v").count() == 2
