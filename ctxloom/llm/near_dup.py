@@ -15,9 +15,10 @@ part are then compared with all of the node, in blocks against blocks.  This fin
 link between different parts, so no row is dropped, and its cost is that of the node times
 the number of its classes outside the largest part.
 
-Nodes with the same members (as most of a group's are, over the trees) are compared once.
-A comparison emits a star for each connected part of a node, not its pairs, and the parts
-are joined by distributed connected components.
+Nodes with the same members (as most of a group's are, over the trees) are compared once, and
+nodes that share members as one, unless these are more than one task may hold.  A comparison
+emits a star for each connected part of a node, not its pairs, and the parts are joined by
+distributed connected components.
 
 Defined results: texts without words (or null) have an empty set and are linked with
 nothing; texts with fewer words than a shingle have one shingle, the whole sequence;
@@ -34,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LOWER, SEEDS, documents, map_batches, map_rows, masked, mix64, prepare, settle, shingle_hashes, text_bytes, word_hashes
@@ -46,7 +47,7 @@ TREES, BRANCHES, LEVELS = 8, 2, 3
 NODE_CLASSES, NODE_SHINGLES = 512, 4_000_000
 #: Classes in a block of a node that is large at the last level, and the leaders that all of its classes are compared with.
 BLOCK, LEADERS = 512, 16
-#: Bits of the map, by id, of the texts to be fetched, which all tasks get: 16 MB however many texts there are.
+#: Bits of a map of the texts to be fetched, or of the nodes with several members, which all tasks get: 16 MB however many there are.
 BITS = 27
 
 
@@ -180,7 +181,7 @@ def _members(
 
 
 def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_classes: int, node_shingles: int, block: int) -> tuple[DataFrame, DataFrame | None]:
-    """(_group, _key, _side), whole nodes to be compared, and the large ones as (_node, _key, _block, _blocks) if there are any.
+    """(_group, _key, _side), classes to be compared with each other, and the large ones as (_node, _key, _block, _blocks) if there are any.
 
     Where _side isn't null, only the links between sides 0 and 1 of a group are wanted.
 
@@ -194,24 +195,20 @@ def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_cla
     )
     small, large, kept = [], None, None
     for level in range(1, levels + 1):
-        nodes = settle(
-            member.groupBy("_node")
-            .agg(
-                F.count(F.lit(1)).alias("_count"),
-                F.sum("_n").alias("_total"),
-                F.bit_xor("_key").alias("_x"),
-                F.bit_xor(F.xxhash64("_key")).alias("_y"),
-            )
-            .where("_count > 1")
-        )
         # the first level only branches: two common tokens in a row tell similar classes from those that share a passage
-        fits = (F.col("_count") <= node_classes) & (F.col("_total") <= node_shingles) if level > 1 or levels == 1 else F.lit(False)
-        if level > 1 or levels == 1:
+        branching = level == 1 < levels
+        told = [] if branching else [F.sum("_n").alias("_total"), F.bit_xor("_key").alias("_x"), F.bit_xor(F.xxhash64("_key")).alias("_y")]
+        nodes = settle(member.groupBy("_node").agg(F.count(F.lit(1)).alias("_count"), *told).where("_count > 1"))
+        # most members are alone in their node, and stay behind before the joins
+        member = _among(member, nodes)
+        large = nodes
+        if not branching:
+            fits = (F.col("_count") <= node_classes) & (F.col("_total") <= node_shingles)
             once = nodes.where(fits).groupBy("_count", "_x", "_y").agg(F.min("_node").alias("_node"))
-            small.append(member.join(once.select("_node"), "_node").select(F.col("_node").alias("_group"), "_key", F.lit(None).cast("int").alias("_side")))
-        large = nodes.where(~fits)
-        if large.isEmpty() and small:
-            return _union(small), None
+            small.append(member.join(once.select("_node"), "_node").select(F.col("_node").alias("_group"), "_key", "_n"))
+            large = nodes.where(~fits)
+            if large.isEmpty():
+                return _gathered(_union(small), node_classes, node_shingles), None
         kept = member.join(large.select("_node"), "_node")
         if level < levels:
             ahead = keyed.select("_key", F.slice("_tokens", level * width + 1, width).alias("_next"))
@@ -225,7 +222,37 @@ def _groups(classes: DataFrame, trees: int, branches: int, levels: int, node_cla
     blocks = F.greatest(F.ceil(F.col("_count") / block), F.ceil(F.col("_total") * 4 / node_shingles)).cast("int").alias("_blocks")
     once = large.withColumn("_b", blocks).groupBy("_count", "_x", "_y").agg(F.min("_node").alias("_node"), F.max("_b").alias("_blocks"))
     placed = _members_of(kept, once).withColumn("_block", F.pmod(F.xxhash64(F.lit(7), "_key"), F.col("_blocks")).cast("int"))
-    return _union(small), settle(placed.select("_node", "_key", "_block", "_blocks").distinct())
+    return _gathered(_union(small), node_classes, node_shingles), settle(placed.select("_node", "_key", "_block", "_blocks").distinct())
+
+
+def _among(member: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The members of these nodes, and a few others that share a bit with one."""
+    marked, names = _bitmap(nodes.select("_node")), member.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = batch.column("_bit").to_numpy()
+            wanted = np.flatnonzero(marked.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
+            yield batch.select(names).take(pa.array(wanted))
+
+    return map_batches(member.withColumn("_bit", _bit("_node")), run, member.schema)
+
+
+def _gathered(groups: DataFrame, node_classes: int, node_shingles: int) -> DataFrame:
+    """(_group, _key, _side) of (_group, _key, _n): groups that share classes are one group, where that fits in one task.
+
+    A class is in some five groups, most of them of the same few classes: gathered, its set is
+    dealt once.  Whatever is gathered into more than a node may hold stays in its groups.
+    """
+    groups = settle(groups)
+    first = groups.groupBy("_group").agg(F.min("_key").alias("_first"))
+    whole = settle(components(groups.join(first, "_group").select(F.col("_first").alias("a"), F.col("_key").alias("b"))))
+    placed = whole.select(F.col("vertex").alias("_key"), F.col("root").alias("_root")).join(groups.groupBy("_key").agg(F.max("_n").alias("_n")), "_key")
+    held = placed.groupBy("_root").agg(F.count(F.lit(1)).alias("_count"), F.sum("_n").alias("_total"))
+    fits = (F.col("_count") <= node_classes) & (F.col("_total") <= node_shingles)
+    placed = settle(placed.join(held.select("_root", fits.alias("_fits")), "_root").select("_key", "_root", "_fits"))
+    apart = groups.join(placed.where("NOT _fits").select("_key"), "_key").select(F.xxhash64(F.lit(5), "_group").alias("_group"), "_key")
+    return placed.where("_fits").select(F.xxhash64(F.lit(6), "_root").alias("_group"), "_key").unionByName(apart).withColumn("_side", F.lit(None).cast("int"))
 
 
 def _members_of(members: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -269,7 +296,7 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
     groups = settle(groups)
     reps = classes.select(F.xxhash64("_class").alias("_key"), "_rep").join(groups.select("_key"), "_key", "left_semi").select("_rep")
     marked = _bitmap(reps)
-    texts = prepare(df, id_col, text_col).withColumn("_bit", F.shiftrightunsigned(F.xxhash64("_id"), 64 - BITS))
+    texts = prepare(df, id_col, text_col).withColumn("_bit", _bit("_id"))
 
     def as_sets(batch: pa.RecordBatch) -> dict:
         # the texts of other ids stay behind, but for a few that share a bit, whose sets no group asks for
@@ -308,14 +335,18 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
     return map_batches(dealt.select("_group", "_class", "_side", "_set"), run, "a binary, b binary")
 
 
+def _bit(column: str) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(column), 64 - BITS)
+
+
 def _bitmap(ids: DataFrame):
     """A broadcast map with a bit set for the hash of each id; partial maps are merged before they are sent."""
     spark = ids.sparkSession
-    at = ids.select(F.shiftrightunsigned(F.xxhash64(ids.columns[0]), 64 - BITS).alias("_at"))
+    at = ids.select(_bit(ids.columns[0]).alias("_at"))
     # parts of 32,768 bits, numbered from 1 and set from bit 0 on
     parts = at.groupBy(F.bitmap_bucket_number(F.col("_at") + 1).alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("_at") + 1)).alias("_bits"))
     bits = np.zeros(1 << (BITS - 3), np.uint8)
-    for part in parts.toLocalIterator():
+    for part in parts.coalesce(8).toLocalIterator():  # a job a partition
         own = np.frombuffer(part["_bits"], np.uint8)
         bits[(part["_part"] - 1) * len(own) : part["_part"] * len(own)] = own
     return spark.sparkContext.broadcast(bits)

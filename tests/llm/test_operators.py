@@ -10,6 +10,7 @@ from fractions import Fraction
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 
 from ctxloom.llm import bpe, gif, licenses, mixing, near_dup, quality_model, quality_rules, secrets, suffix_dedup, toxicity
 
@@ -329,6 +330,29 @@ def test_near_duplicates_in_blocks_of_large_nodes(spark):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_by_force(rows)
 
 
+def test_overlapping_nodes_are_dealt_as_one(spark):
+    rows = []
+    for k in range(12):
+        for i in range(8):
+            words = prose(120, 900 + k).split()
+            for j in range(i):
+                words[(j * 13 + i * 7) % len(words)] = f"e{k}x{i}x{j}"
+            rows.append((100 * k + i, " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = near_dup.signatures(df, "doc_id", "text", 5, near_dup.TREES * near_dup.BRANCHES * near_dup.LEVELS)
+    classes = sets.select("_class", F.col("_id").alias("_rep"), "_n", "_tokens")
+    most = max(r[0] for r in classes.select("_n").collect())
+    for limit, shingles in ((near_dup.NODE_CLASSES, near_dup.NODE_SHINGLES), (4, 10**6), (512, 6 * most)):
+        groups, large = near_dup._groups(classes, near_dup.TREES, near_dup.BRANCHES, near_dup.LEVELS, limit, shingles, near_dup.BLOCK)
+        dealt = collections.Counter(r["_key"] for r in groups.collect())
+        sizes = groups.groupBy("_group").count().collect()
+        assert max(r["count"] for r in sizes) <= limit
+        if limit == near_dup.NODE_CLASSES and shingles == near_dup.NODE_SHINGLES:  # each set goes to one task
+            assert large is None and set(dealt.values()) == {1} and len(dealt) > 80
+        got = near_dup.near_duplicates(df, node_classes=limit, node_shingles=shingles).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_by_force(rows)
+
+
 def test_one_row_of_each_group_stays(spark, docs):
     import corpus_pipeline
 
