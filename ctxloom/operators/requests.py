@@ -8,7 +8,7 @@ joins and aggregations on request, context or candidate ids.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -82,19 +82,25 @@ def many_vector_search(rows: DataFrame, id_col: str, vector_col: str, queries: l
     return ranked.where(F.col("rank") < limit)
 
 
-def executed(inputs: DataFrame, facts: DataFrame) -> DataFrame:
+def executed(inputs: DataFrame, facts: DataFrame, keep: Sequence[str] = (), deal: bool = False) -> DataFrame:
     """Retrieval inputs with their facts: one row a fact, under deterministic result and candidate ids.
 
     ``inputs`` have query_id, retrieval_role and, optionally, request_identity, candidate_identity,
     evidence_locator and more; ``facts`` query_id, context_identity, score and rank.  An input's own
-    candidate id is kept only where it has exactly one fact.
+    candidate id is kept only where it has exactly one fact.  Further columns of the facts are kept by name.
+    With ``deal`` the rows of a query are dealt to one task by ``_deal``, a hash of its id, while they
+    are narrow; grouped by it and an id that tells the query, they move no more.  Inputs with
+    request or candidate ids of their own are not dealt, as these don't tell the query.
     """
     if not inputs.where(blank(F.col("retrieval_role"))).isEmpty():
         raise ValueError("contract_invalid: a retrieval input needs a role")
     optional = lambda c: F.col(c) if c in inputs.columns else F.lit(None).cast("string")
     n = facts.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
     rank = F.col("rank").cast("long")
-    joined = inputs.join(facts.select("query_id", "context_identity", "score", "rank"), "query_id").join(n, "query_id")
+    joined = inputs.join(facts.select("query_id", "context_identity", "score", "rank", *keep), "query_id").join(n, "query_id")
+    if deal and not {"request_identity", "candidate_identity"} & set(inputs.columns):
+        # trimmed, as in the id of a request
+        joined = joined.withColumn("_deal", F.xxhash64(F.coalesce(F.trim(F.col("query_id").cast("string")), F.lit("")))).repartition("_deal")
     result = struct_identity(F.col("context_identity").alias("context_identity"), F.col("query_id").alias("query_id"), rank.alias("rank"), F.col("retrieval_role").alias("retrieval_role"))
     request = F.coalesce(optional("request_identity"), F.col("query_id"))
     candidate = struct_identity(F.col("context_identity").alias("context_identity"), rank.alias("rank"), request.alias("request_identity"))
@@ -151,7 +157,7 @@ def grouped_requests(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         kept = kept.withColumn("task_schema_revision", F.lit("1"))
     bare = blank(F.col("task_id")) | F.col("as_of").isNull() | blank(F.col("context_identity"))
     ends = [f(F.col(c).cast("string")).alias(f"{n}_{c}") for c in COMMON for n, f in (("a", F.min), ("z", F.max))]
-    requests = kept.groupBy("request_identity").agg(*ends, F.count(F.lit(1)).alias("n_candidates"), F.bool_or(bare).alias("bare"))
+    requests = kept.groupBy(*(c for c in kept.columns if c == "_deal"), "request_identity").agg(*ends, F.count(F.lit(1)).alias("n_candidates"), F.bool_or(bare).alias("bare"))
     mixed = F.lit(False)
     for c in COMMON:
         mixed = mixed | ~F.col(f"a_{c}").eqNullSafe(F.col(f"z_{c}"))

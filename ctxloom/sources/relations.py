@@ -145,12 +145,14 @@ def conform(df: DataFrame, name: str) -> DataFrame:
     shuffles no others; all go by the same order, so their values are those of one row.
     """
     declared = fields(name)
-    extra = [c for c in df.columns if c not in declared and c != "_seq"]
+    extra = [c for c in df.columns if c not in declared and c not in ("_seq", "_deal")]
     key, order = key_of(name), F.col("_seq") if "_seq" in df.columns else F.lit(0)
     there = [_has(df, c, t).alias(c) for c, t in declared.items() if c in df.columns or c == key]
     rest = [c for c in [*declared, *extra] if c in df.columns and c != key]
-    shaped = df.select(*there, *extra, order.alias("_seq"))
-    best = shaped.groupBy(key).agg(*[F.max_by(c, "_seq").alias(c) for c in rest]) if rest else shaped.select(key).distinct()
+    # rows of one key have one ``_deal``, by which they may already lie together
+    keys = [*(c for c in df.columns if c == "_deal"), key]
+    shaped = df.select(*keys[:-1], *there, *extra, order.alias("_seq"))
+    best = shaped.groupBy(*keys).agg(*[F.max_by(c, "_seq").alias(c) for c in rest]) if rest else shaped.select(*keys).distinct()
     return best.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in declared.items()], *extra)
 
 

@@ -278,3 +278,25 @@ def test_gate_and_matrix(spark):
     slices = metrics.retrieval(hits, wanted, "q", "item", "slice")
     assert sorted(map(tuple, slices.collect())) == [("s", 0.5, 1.0, 0.666667), ("t", 0.0, 0.0, 0.0)]
     assert tuple(metrics.macro(slices, "recall_1", "recall_3").first()) == (0.25, 0.5)
+
+
+def test_rows_of_a_query_are_dealt_once(spark):
+    from ctxloom.operators import resolve
+    from ctxloom.plans import lifecycle
+
+    # two queries whose ids differ by a space make one request; one query has two roles, so two requests share candidates
+    inputs = spark.createDataFrame([("a", "r"), (" a", "r"), ("b", "r"), ("b", "s")], "query_id string, retrieval_role string")
+    inputs = inputs.withColumns({"task_id": F.lit("t"), "as_of": F.lit("2024-01-01T00:00:00Z")})
+    facts = spark.createDataFrame([("a", "c1", 0, True), ("a", "c2", 1, True), (" a", "c1", 0, True), ("b", "c1", 0, True), ("b", "c3", 1, False)], "query_id string, context_identity string, rank long, good boolean").withColumn("score", F.lit(1.0))
+    outputs_ = spark.createDataFrame([(f"c{i}", "part", "part", "active") for i in range(4)], "identity string, role string, kind string, status string")
+    decide = lambda c: c.withColumn("d", F.struct(F.when(F.col("good"), "selected").otherwise("rejected").alias("outcome"), F.lit("x").alias("reason"))).drop("good")
+    contract = resolve.resolved_contract([{"contract_id": "k", "version": "1", "max_items": 2, "allow_historical": True}])
+    unseen = spark.createDataFrame([], "snapshot_identity string, source_system string, source_key string, snapshot_role string, object_role string")
+    made = lifecycle.orchestrate(spark, {"context_model_id": "m"}, unseen, outputs_, inputs, facts, decide, contract, keep=("good",), consumer="c", task="t", purpose="p")
+    counts = {n: made[n].count() for n in ("resolution_candidates", "resolution_decisions", "contract_evaluations", "context_packages", "package_items", "context_package_contracts")}
+    assert counts == {"resolution_candidates": 5, "resolution_decisions": 7, "contract_evaluations": 3, "context_packages": 2, "package_items": 2, "context_package_contracts": 2}
+    assert not any("_deal" in made[n].columns for n in made)
+    for name, key in (("resolution_candidates", "candidate_identity"), ("resolution_decisions", "decision_identity"), ("package_items", "package_item_identity")):
+        frame = made[name].groupBy().count()
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert f"hashpartitioning({key}" not in plan and "hashpartitioning(_deal" in plan
