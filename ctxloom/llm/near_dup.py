@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,8 +48,8 @@ TREES, BRANCHES, LEVELS = 8, 2, 3
 NODE_CLASSES, NODE_SHINGLES = 512, 4_000_000
 #: Classes in a block of a node that is large at the last level, and the leaders that all of its classes are compared with.
 BLOCK, LEADERS = 512, 16
-#: Bits of a map of the texts to be fetched, or of the nodes with several members, which all tasks get: 16 MB however many there are.
-BITS = 27
+#: Bits of a map of the texts to be fetched, or of the nodes with several members, which all tasks get: 16 MB at most, less where one bit in so many is enough.
+BITS, SPARSE = 27, 128
 
 
 def shingle_set(raw: bytes, n: int = SHINGLE) -> np.ndarray:
@@ -66,6 +67,16 @@ def minwise(s: np.ndarray, count: int) -> np.ndarray:
     return mix64(out).view(np.int64)
 
 
+def pack(raw: bytes, s: np.ndarray) -> tuple[bool, bytes]:
+    """The shorter of the compressed text (True), from which the set is made again, and the set itself: hashes don't compress."""
+    z = zstandard.ZstdCompressor(level=3).compress(raw)
+    return (True, z) if len(z) < s.nbytes else (False, s.tobytes())
+
+
+def unpack(zipped: bool, b: bytes, n: int = SHINGLE) -> np.ndarray:
+    return shingle_set(zstandard.ZstdDecompressor().decompress(b), n) if zipped else np.frombuffer(b, np.uint64)
+
+
 def _class(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
@@ -231,9 +242,7 @@ def _among(member: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bit = batch.column("_bit").to_numpy()
-            wanted = np.flatnonzero(marked.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
-            yield batch.select(names).take(pa.array(wanted))
+            yield batch.select(names).take(pa.array(_wanted(batch, marked.value)))
 
     return map_batches(member.withColumn("_bit", _bit("_node")), run, member.schema)
 
@@ -300,19 +309,19 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
 
     def as_sets(batch: pa.RecordBatch) -> dict:
         # the texts of other ids stay behind, but for a few that share a bit, whose sets no group asks for
-        bit = batch.column("_bit").to_numpy()
-        wanted = np.flatnonzero(marked.value[bit >> 3] >> (bit & 7).astype(np.uint8) & 1)
-        sets = [s for x in text_bytes(batch.column("_text").take(pa.array(wanted))) if len(s := shingle_set(x, shingle))]
-        return {"_class": [_class(s) for s in sets], "_set": [s.tobytes() for s in sets]}
+        raw = text_bytes(batch.column("_text").take(pa.array(_wanted(batch, marked.value))))
+        some = [(x, s) for x in raw if len(s := shingle_set(x, shingle))]
+        packed = [pack(x, s) for x, s in some]
+        return {"_class": [_class(s) for _, s in some], "_zipped": [z for z, _ in packed], "_set": [b for _, b in packed]}
 
     # rows with one id and several texts give sets more often than needed; a group takes each class once
-    sets = map_rows(texts.select("_bit", "_text"), as_sets, "_class binary, _set binary").withColumn("_key", F.xxhash64("_class"))
+    sets = map_rows(texts.select("_bit", "_text"), as_sets, "_class binary, _zipped boolean, _set binary").withColumn("_key", F.xxhash64("_class"))
     dealt = groups.join(sets, "_key").repartition("_group").sortWithinPartitions("_group")
 
-    def stars(rows: list[tuple[bytes, int | None, bytes]]) -> Iterator[tuple[bytes, bytes]]:
+    def stars(rows: list[tuple[bytes, int | None, bool, bytes]]) -> Iterator[tuple[bytes, bytes]]:
         group = sorted({(x[1] or 0, x[0]): x for x in rows}.values(), key=lambda x: (x[1] or 0, x[0]))
         first = sum(x[1] == 0 for x in group) or None
-        roots = link([np.frombuffer(x[2], np.uint64) for x in group], first, num, den)
+        roots = link([unpack(x[2], x[3], shingle) for x in group], first, num, den)
         for i, r in enumerate(roots.tolist()):
             if i != r:
                 yield group[r][0], group[i][0]
@@ -320,19 +329,19 @@ def _compare(df: DataFrame, id_col: str, text_col: str, shingle: int, classes: D
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, group, out = None, [], []
         for batch in batches:
-            for k, c, side, s in zip(*[batch.column(n).to_pylist() for n in ("_group", "_class", "_side", "_set")], strict=True):
+            for k, *row in zip(*[batch.column(n).to_pylist() for n in ("_group", "_class", "_side", "_zipped", "_set")], strict=True):
                 if k != key:
                     if group:
                         out += stars(group)
                     key, group = k, []
-                group.append((c, side, s))
+                group.append(row)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in range(2)], ["a", "b"])
                 out = []
         if group and (out := list(stars(group))):
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.binary()) for i in range(2)], ["a", "b"])
 
-    return map_batches(dealt.select("_group", "_class", "_side", "_set"), run, "a binary, b binary")
+    return map_batches(dealt.select("_group", "_class", "_side", "_zipped", "_set"), run, "a binary, b binary")
 
 
 def _bit(column: str) -> Column:
@@ -349,7 +358,23 @@ def _bitmap(ids: DataFrame):
     for part in parts.coalesce(8).toLocalIterator():  # a job a partition
         own = np.frombuffer(part["_bits"], np.uint8)
         bits[(part["_part"] - 1) * len(own) : part["_part"] * len(own)] = own
-    return spark.sparkContext.broadcast(bits)
+    return spark.sparkContext.broadcast(_folded(bits))
+
+
+def _folded(bits: np.ndarray) -> tuple[np.ndarray, int]:
+    """The map with runs of 2^shift bits as one, as long as one bit in SPARSE is set at most, and the shift: 0, or 3 or more."""
+    wide = len(bits) * 8 // SPARSE // max(int(np.bitwise_count(bits).sum()), 1)
+    shift = min(max(wide.bit_length() - 1, 0), BITS - 16)
+    if shift < 3:
+        return bits, 0
+    return np.packbits(bits.reshape(-1, 1 << (shift - 3)).any(axis=1), bitorder="little"), shift
+
+
+def _wanted(batch: pa.RecordBatch, marked: tuple[np.ndarray, int]) -> np.ndarray:
+    """The rows whose _bit is set in a folded map."""
+    bits, shift = marked
+    at = batch.column("_bit").to_numpy() >> shift
+    return np.flatnonzero(bits[at >> 3] >> (at & 7).astype(np.uint8) & 1)
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -3,11 +3,13 @@
 import collections
 import hashlib
 import math
+import pickle
 import random
 import re
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -353,6 +355,32 @@ def test_overlapping_nodes_are_dealt_as_one(spark):
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_by_force(rows)
 
 
+def test_maps_of_few_ids_are_small(spark):
+    for n in (0, 1, 1000, 20_000):
+        at = spark.range(n).select(near_dup._bit("id").alias("_bit"))
+        sent = near_dup._bitmap(spark.range(n)).value
+        assert len(pickle.dumps(sent)) < 20_000 + 40 * n
+        batch = pa.RecordBatch.from_arrays([pa.array([r["_bit"] for r in at.collect()], pa.int64())], ["_bit"])
+        assert len(near_dup._wanted(batch, sent)) == n
+        others = pa.RecordBatch.from_arrays([pa.array(np.random.default_rng(n).integers(0, 1 << near_dup.BITS, 50_000))], ["_bit"])
+        assert len(near_dup._wanted(others, sent)) < 1000
+    bits = np.random.default_rng(5).integers(0, 256, 1 << 20).astype(np.uint8)
+    assert near_dup._folded(bits)[0] is bits
+
+
+def test_compared_texts_are_dealt_compressed(spark, monkeypatch):
+    words = prose(400, 950).split()
+    rows = [(i, " ".join(f"e{i}" if j == i * 9 else w for j, w in enumerate(words))) for i in range(20)]
+    rows += [(100 + i, f"{i % 2} {'x' * 300} end") for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, run = [], near_dup.map_batches
+    monkeypatch.setattr(near_dup, "map_batches", lambda frame, *more: seen.append(frame) or run(frame, *more))
+    got = near_dup.near_duplicates(df).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == components_by_force(rows)
+    dealt = [r["_set"] for x in seen if "_set" in x.columns for r in x.collect()]
+    assert len(dealt) >= 20 and sum(map(len, dealt)) < 4 * 400 * len(dealt)  # as hashes, 8 bytes a shingle
+
+
 def test_one_row_of_each_group_stays(spark, docs):
     import corpus_pipeline
 
