@@ -270,7 +270,7 @@ def test_binding(spark):
             bad()
 
 
-@pytest.mark.parametrize("name", ["bound_ingest", "bound_units"])
+@pytest.mark.parametrize("name", ["bound_ingest", "bound_units", "ingest_lineage"])
 def test_observed_content_may_be_blank(spark, tmp_path, name):
     from ctxloom.plans import library
 
