@@ -82,23 +82,31 @@ def many_vector_search(rows: DataFrame, id_col: str, vector_col: str, queries: l
     return ranked.where(F.col("rank") < limit)
 
 
-def executed(inputs: DataFrame, facts: DataFrame, keep: Sequence[str] = (), deal: bool = False) -> DataFrame:
+def executed(inputs: DataFrame | None, facts: DataFrame, keep: Sequence[str] = (), deal: bool = False) -> DataFrame:
     """Retrieval inputs with their facts: one row a fact, under deterministic result and candidate ids.
 
     ``inputs`` have query_id, retrieval_role and, optionally, request_identity, candidate_identity,
     evidence_locator and more; ``facts`` query_id, context_identity, score and rank.  An input's own
     candidate id is kept only where it has exactly one fact.  Further columns of the facts are kept by name.
+    Without ``inputs`` each query has one, whose columns its facts carry.
     With ``deal`` the rows of a query are dealt to one task by ``_deal``, a hash of its id, while they
-    are narrow; grouped by it and an id that tells the query, they move no more.  Inputs with
+    are narrow; grouped by it and an id that tells the query, they move no more.  Facts without
+    inputs may have been dealt by a ``_deal`` of their own, never null, that queries of one trimmed id share.  Inputs with
     request or candidate ids of their own are not dealt, as these don't tell the query.
     """
-    if not inputs.where(blank(F.col("retrieval_role"))).isEmpty():
+    given = facts if inputs is None else inputs
+    if not given.where(blank(F.col("retrieval_role"))).isEmpty():
         raise ValueError("contract_invalid: a retrieval input needs a role")
-    optional = lambda c: F.col(c) if c in inputs.columns else F.lit(None).cast("string")
-    n = facts.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n"))
+    optional = lambda c: F.col(c) if c in given.columns else F.lit(None).cast("string")
     rank = F.col("rank").cast("long")
-    joined = inputs.join(facts.select("query_id", "context_identity", "score", "rank", *keep), "query_id").join(n, "query_id")
-    if deal and not {"request_identity", "candidate_identity"} & set(inputs.columns):
+    joined = facts if inputs is None else inputs.join(facts.select("query_id", "context_identity", "score", "rank", *keep), "query_id")
+    if "candidate_identity" in given.columns:
+        joined = joined.join(facts.groupBy("query_id").agg(F.count(F.lit(1)).alias("_n")), "query_id")
+    else:
+        joined = joined.withColumn("_n", F.lit(None).cast("long"))  # only an own id asks for it
+    if not deal or {"request_identity", "candidate_identity"} & set(given.columns):
+        joined = joined.drop("_deal")
+    elif "_deal" not in joined.columns:
         # trimmed, as in the id of a request
         joined = joined.withColumn("_deal", F.xxhash64(F.coalesce(F.trim(F.col("query_id").cast("string")), F.lit("")))).repartition("_deal")
     result = struct_identity(F.col("context_identity").alias("context_identity"), F.col("query_id").alias("query_id"), rank.alias("rank"), F.col("retrieval_role").alias("retrieval_role"))
@@ -163,8 +171,13 @@ def grouped_requests(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         mixed = mixed | ~F.col(f"a_{c}").eqNullSafe(F.col(f"z_{c}"))
     from ..plans.lineage import settle
 
-    requests = settle(requests.withColumn("mixed", mixed))
-    wrong = requests.where("bare OR mixed").orderBy("request_identity").first()
+    requests = requests.withColumn("mixed", mixed)
+    if "_deal" not in kept.columns:  # else they are grouped where they lie, and cheaper made again than written
+        requests = settle(requests)
+    # an id made of all that its rows have in common mixes nothing, so its rows are judged before they are dealt
+    told = "_deal" in kept.columns and not {"request_identity", "task_schema_revision"} & set(rows.columns)
+    judged = kept.where(bare).withColumn("bare", F.lit(True)) if told else requests.where("bare OR mixed")
+    wrong = judged.select("request_identity", "bare").orderBy("request_identity").first()
     if wrong is not None:
         raise ValueError(f"contract_invalid: request {wrong['request_identity']} {'lacks task, instant or context' if wrong['bare'] else 'mixes metadata'}")
     given = F.nullif(F.trim(F.col("candidate_identity")), F.lit("")) if "candidate_identity" in kept.columns else F.lit(None).cast("string")

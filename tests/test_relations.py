@@ -303,6 +303,62 @@ def test_gate_and_matrix(spark):
     assert tuple(metrics.macro(slices, "recall_1", "recall_3").first()) == (0.25, 0.5)
 
 
+def test_facts_may_carry_their_inputs(spark):
+    from ctxloom.operators import requests
+
+    facts = spark.createDataFrame([("1", "c1", 0, True, 1), ("1", "c2", 1, True, 1), ("2", "c1", 0, True, 2), ("2", "c2", 1, True, 2), ("2", "c3", 2, True, 2), (None, "c1", 0, False, 0)], "query_id string, context_identity string, rank long, good boolean, _deal long").withColumn("score", F.lit(1.0))
+    shared = {"retrieval_role": F.lit("r"), "task_id": F.lit("t"), "as_of": F.lit("2024-01-01T00:00:00Z")}
+    outputs_ = spark.createDataFrame([(f"c{i}", "part", "part", "active") for i in range(4)], "identity string, role string, kind string, status string")
+    decide = lambda c: c.withColumn("d", F.struct(F.when(F.col("good"), "selected").otherwise("rejected").alias("outcome"), F.lit("x").alias("reason"))).drop("good")
+    contract = resolve.resolved_contract([{"contract_id": "k", "version": "1", "max_items": 2, "allow_historical": True}])
+    unseen = spark.createDataFrame([], "snapshot_identity string, source_system string, source_key string, snapshot_role string, object_role string")
+    names = ("resolution_candidates", "resolution_decisions", "contract_evaluations", "context_packages", "package_items", "context_package_contracts")
+
+    def rows(inputs, facts, keep):
+        made = lifecycle.orchestrate(spark, {"context_model_id": "m"}, unseen, outputs_, inputs, facts, decide, contract, keep=keep, consumer="c", task="t", purpose="p")
+        assert not any("_deal" in made[n].columns for n in made)
+        return {n: sorted(map(str, (r.asDict() for r in made[n].select(*relations.fields(n)).collect()))) for n in names}
+
+    known = facts.where("query_id IS NOT NULL")
+    one = rows(None, known.withColumns(shared), ())
+    assert one == rows(known.select("query_id").distinct().withColumns(shared), known, ("good",))
+    assert [len(one[n]) for n in names] == [5, 5, 2, 1, 2, 1]
+    assert [len(v) for v in rows(None, facts.withColumns(shared), ()).values()] == [6, 6, 2, 1, 2, 1]
+    with pytest.raises(ValueError, match="lacks task, instant or context"):
+        requests.grouped_requests(requests.executed(None, facts.withColumns(shared | {"task_id": F.lit(" ")}), deal=True))
+    mixed = facts.withColumns(shared | {"task_schema_revision": F.concat(F.lit("1"), F.repeat(F.lit(" "), F.col("rank").cast("int")))})
+    with pytest.raises(ValueError, match="mixes metadata"):
+        requests.grouped_requests(requests.executed(None, mixed, deal=True))
+
+
+def test_outputs_that_tell_nothing_are_left_out(spark):
+    items = spark.createDataFrame([("p1", "a"), ("p1", "b"), ("p2", "c"), ("p2", "d"), ("p3", "e"), ("p3", "f"), ("p3", "g")], "package_identity string, representation_identity string").withColumns({"rank": F.lit(0), "token_estimate": F.lit(1)})
+    rows = [("a", "active", None, None, None, None, None), ("b", "Superseded", None, None, None, None, None), ("c", None, 7, None, None, None, None), ("d", None, None, "2020-01-01", None, None, None), ("e", None, None, None, "high", None, None), ("f", None, None, None, None, True, None), ("h", "active", 1, None, None, None, True)]
+    outputs_ = spark.createDataFrame(rows, "identity string, status string, byte_length long, valid_until string, authority_level string, expired boolean, cited boolean")
+    packages = items.groupBy("package_identity").agg(F.count(F.lit(1)).alias("budget_tokens")).withColumn("created_at", F.lit("2024-01-01"))
+    got = lifecycle.measured(packages, items, outputs_, "c", "t", "p", "high").select("package_identity", "n_items", "n_bytes", "n_uncited", "any_superseded", "any_expired", "authority_ok")
+    assert sorted(map(tuple, got.collect())) == [("p1", 2, 0, 2, True, False, False), ("p2", 2, 7, 2, False, True, False), ("p3", 3, 0, 3, False, True, True)]
+    quiet = outputs_.select("identity", F.lit("active").alias("status"))
+    assert "Join" not in lifecycle.measured(None, items, quiet, "c", "t", "p", None)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lifecycle_run_shuffles_lines_once(spark, tmp_path):
+    from ctxloom.plans import library
+
+    lines = [(1, 1), (1, 2), (1, 2), (2, 1), (2, 3), (2, 5), (0, 1), (None, 1), (None, 2), (None, 2), (7, 4)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(1, 30, "a"), (2, 40, "b"), (3, 26, "c"), (4, 25, "d"), (5, 50, "e")], "p_partkey long, p_size int, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    for t in ("lineitem", "part"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}.parquet/*.parquet'")
+    want = con.sql(library.ORACLES["lifecycle_run"])
+    got = library.QUERIES["lifecycle_run"](spark, str(tmp_path)).select(*want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].splitlines()
+    dealt = [line for line in plan if " Exchange hashpartitioning(" in line and "identity#" not in line]
+    assert len([line for line in dealt if "ReusedExchange" not in line]) == 1 and len([line for line in dealt if "ReusedExchange" in line]) == 6
+
+
 def test_rows_of_a_query_are_dealt_once(spark):
     from ctxloom.operators import resolve
     from ctxloom.plans import lifecycle
